@@ -11,23 +11,26 @@ LINK = r"(?i)<a\b[^>]*?[\s\"']href\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
 LINK_REST = r"(?i)^<a\b[^>]*?[\s\"']href\s*=\s*[\"']?|[\"']$"
 MARKUP = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<[!/?a-z][^>]*>"
 GAP = "\u0001"
+REFERENCE = "&(?!amp;)(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 
 
 def unescape(text: Column) -> Column:
-    """Named references of the fixed table and numeric references as characters; the ampersand last."""
+    """Named references of the fixed table and numeric references as characters; the ampersand last.
+
+    Only the references that occur in a text are replaced in it, each in one go.
+    """
+    named = F.create_map(*[F.lit(x) for pair in ENTITIES for x in pair])
+
     def put(acc: Column, code: Column) -> Column:
-        number = F.when(code.rlike("^[xX]"), F.conv(F.substring(code, 2, 8), 16, 10)).otherwise(code).try_cast("long")
+        number = F.when(code.rlike("^#[xX]"), F.conv(F.substring(code, 3, 8), 16, 10)).otherwise(
+            F.substring(code, 2, 8)).try_cast("long")
         valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        return F.when(valid, F.replace(acc, F.concat(F.lit("&#"), code, F.lit(";")), char)).otherwise(acc)
+        char = F.when(code.startswith("#"), F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")))
+        known = F.coalesce(char, named[code])
+        return F.coalesce(F.replace(acc, F.concat(F.lit("&"), code, F.lit(";")), known), acc)
 
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(1)))
-    out = F.when(text.contains("&#"), F.aggregate(codes, text, put)).otherwise(text)
-    for name, char in ENTITIES:
-        if name != "amp":
-            out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
-    return F.when(text.contains("&"), out).otherwise(text)
+    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)))
+    return F.replace(F.aggregate(codes, text, put), F.lit("&amp;"), F.lit("&"))
 
 
 def page_links(html: Column) -> Column:
@@ -37,10 +40,14 @@ def page_links(html: Column) -> Column:
     return F.filter(links, lambda h: ~h.startswith("mailto:"))
 
 
+def strip_markup(html: Column) -> Column:
+    """Text nodes with one space for the markup between two of them, however much there is."""
+    return F.regexp_replace(F.regexp_replace(html, MARKUP, GAP), GAP + "+", " ")
+
+
 def page_text(html: Column) -> Column:
-    """Visible text in lower case; markup between two text nodes, however much, is one space."""
-    marked = F.regexp_replace(html, MARKUP, GAP)
-    return F.lower(unescape(F.regexp_replace(marked, GAP + "+", " ")))
+    """Visible text in lower case."""
+    return F.lower(unescape(strip_markup(html)))
 
 
 def is_challenge(html: Column, markers: tuple[str, ...]) -> Column:

@@ -39,7 +39,7 @@ def snippet_vendors(hits: DataFrame, vendors=SNIPPET_VENDORS) -> DataFrame:
     found = F.array(*[
         F.when(named(words), F.struct(F.lit(i).alias("vendor_no"), F.lit(vendor).alias("vendor")))
         for i, (vendor, words) in enumerate(vendors, 1)])
-    return hits.select("id", "rank", "url", F.inline(F.array_compact(found))).withColumn(
+    return hits.select("id", "rank", "url", F.inline_outer(F.array_compact(found))).where(F.col("vendor").isNotNull()).withColumn(
         "tag", F.concat_ws(":", "vendor", F.lit("JOBS"), F.coalesce("url", F.lit(""))))
 
 
@@ -47,7 +47,8 @@ def job_mentions(texts: DataFrame, vendors=JOB_TEXT_VENDORS) -> DataFrame:
     """Whole-word vendor mentions in job texts (``id, text``), tagged ``vendor:JOBS:mention``."""
     found = F.array(*[
         F.when(F.col("text").rlike(rf"(?iU)\b{words}\b"), F.lit(vendor)) for vendor, words in vendors])
-    return texts.select("id", F.explode(F.array_compact(found)).alias("vendor")).withColumn(
+    return texts.select("id", F.explode_outer(F.array_compact(found)).alias("vendor")).where(
+        F.col("vendor").isNotNull()).withColumn(
         "tag", F.concat(F.col("vendor"), F.lit(":JOBS:mention")))
 
 

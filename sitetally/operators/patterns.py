@@ -12,39 +12,67 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..dictionaries.fixed import EVIDENCE_PATTERN, LINK_PATTERNS
-from ..functions.html import page_links, page_text
+from ..functions.html import page_links, strip_markup, unescape
+from ..functions.literals import fold, has_any, may_match, required_literals, stays_whole
 from ..functions.urls import authority, is_external
 from ..sources.dictionary import Pattern
 
 FLAGS = "(?iU)"  # Unicode-aware \b, \s and case folding
-SECTIONS = ("html", "links", "text")
+SECTIONS = ("html", "joined", "text")
 
 
 def with_sections(captures: DataFrame) -> DataFrame:
-    """Adds ``links`` (array) and ``text`` to the page bodies."""
-    return captures.withColumns({"links": page_links(F.col("html")), "text": page_text(F.col("html"))})
+    """Adds ``links`` (array), ``joined`` (one per line) and ``text`` to the page bodies, in steps that are kept apart."""
+    stripped = captures.withColumns({"links": page_links(F.col("html")), "text": strip_markup(F.col("html"))})
+    return stripped.withColumns({"joined": F.array_join("links", "\n"), "text": F.lower(unescape(F.col("text")))})
 
 
 def page_sections(captures: DataFrame) -> DataFrame:
     """One row per page and section, in the order in which sections are searched."""
-    bodies = F.array(
-        F.struct(F.lit(0).alias("section"), F.col("html").alias("body")),
-        F.struct(F.lit(1).alias("section"), F.array_join("links", "\n").alias("body")),
-        F.struct(F.lit(2).alias("section"), F.col("text").alias("body")))
+    bodies = F.array(*[
+        F.struct(F.lit(i).alias("section"), F.col(s).alias("body")) for i, s in enumerate(SECTIONS)])
     return with_sections(captures).select("site", "seq", F.inline(bodies))
 
 
-def _first_match(bodies: Sequence[Column], regex: str) -> Column:
+def _source_decides(regex: str) -> list[str] | None:
+    """The literals of a pattern if the page source alone tells whether any section can match."""
+    literals = required_literals(regex)
+    return literals if literals and all(stays_whole(x) for x in literals) else None
+
+
+def with_candidates(pages: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
+    """Adds what :func:`matches` needs: folded sections, and per pattern whether the page source allows a match."""
+    pages = pages.withColumns({f"folded_{s}": fold(F.col(s)) for s in SECTIONS})
+    coded = F.col("html").contains("&#")
+    maybe = {}
+    for p in patterns:
+        literals = _source_decides(p.regex)
+        if literals:
+            hidden = has_any(F.col("folded_joined"), literals) | has_any(F.col("folded_text"), literals)
+            maybe[f"maybe_{p.prio}"] = has_any(F.col("folded_html"), literals) | (coded & hidden)
+    return pages.withColumns(maybe)
+
+
+def _match_in(section: str, p: Pattern) -> Column:
+    """Does the section match? The regular expression runs only where the literal text any match needs is present."""
+    match = F.col(section).rlike(FLAGS + p.regex)
+    if _source_decides(p.regex):
+        return F.col(f"maybe_{p.prio}") & match
+    possible = may_match(F.col(f"folded_{section}"), p.regex)
+    return match if possible is None else possible & match
+
+
+def _first_match(p: Pattern) -> Column:
     """Section number and matched text of the first section that matches, as one string; NULL without a match."""
-    found = [F.concat(F.lit(str(i)), F.nullif(F.regexp_extract(b, FLAGS + regex, 0), F.lit("")))
-             for i, b in enumerate(bodies)]
-    return F.coalesce(*found)
+    return F.coalesce(*[
+        F.when(_match_in(s, p), F.concat(F.lit(str(i)), F.regexp_extract(s, FLAGS + p.regex, 0)))
+        for i, s in enumerate(SECTIONS)])
 
 
-def hit_structs(patterns: Sequence[Pattern], bodies: Sequence[Column]) -> Column:
-    """Array with one ``(prio, found)`` per pattern; ``found`` is NULL where the pattern does not match."""
-    return F.array(*[
-        F.struct(F.lit(p.prio).alias("prio"), _first_match(bodies, p.regex).alias("found")) for p in patterns])
+def matches(patterns: Sequence[Pattern]) -> Column:
+    """Array of ``(prio, found)`` of the patterns that match, evaluated pattern by pattern."""
+    each = F.array(*[F.struct(F.lit(p.prio).alias("prio"), _first_match(p).alias("found")) for p in patterns])
+    return F.filter(each, lambda m: m["found"].isNotNull())
 
 
 def describe(prio: Column, patterns: Sequence[Pattern]) -> dict[str, Column]:
@@ -58,23 +86,24 @@ def describe(prio: Column, patterns: Sequence[Pattern]) -> dict[str, Column]:
 
 def page_hits(captures: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
     """One row per page and matching pattern: the first matching section and the matched text, case kept."""
-    pages = with_sections(captures).select("site", "seq", "html", F.array_join("links", "\n").alias("links"), "text")
-    hits = pages.select("site", "seq", F.inline(hit_structs(patterns, [F.col(s) for s in SECTIONS])))
-    return hits.where(F.col("found").isNotNull()).select(
+    found = with_candidates(with_sections(captures), patterns).select("site", "seq", matches(patterns).alias("found"))
+    # An outer generator: for an inner one Spark tests the array first, and would match everything twice.
+    hits = found.select("site", "seq", F.inline_outer("found")).where(F.col("prio").isNotNull())
+    return hits.select(
         "site", "seq", "prio", F.substring("found", 1, 1).cast("int").alias("section"),
         F.expr("substring(found, 2)").alias("hit")).withColumns(describe(F.col("prio"), patterns))
 
 
 def page_intents(captures: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
     """Per page: does any section hold an intent phrase for booking, forms, payments."""
-    pages = with_sections(captures).select("site", "seq", "html", F.array_join("links", "\n").alias("links"), "text")
+    pages = with_candidates(with_sections(captures), [p for p in patterns if p.category.startswith("intent_")])
     flags = {}
     for kind in ("booking", "forms", "payments"):
         test = F.lit(False)
         for p in patterns:
             if p.category == f"intent_{kind}":
                 for s in SECTIONS:
-                    test = test | F.col(s).rlike(FLAGS + p.regex)
+                    test = test | _match_in(s, p)
         flags[f"intent_{kind}"] = test
     return pages.select("site", "seq", *[c.alias(n) for n, c in flags.items()])
 
@@ -103,7 +132,8 @@ def service_links(links: DataFrame, rules: dict[str, tuple[str, ...]] = LINK_PAT
                   mode: str = "domain") -> DataFrame:
     """External links by category. ``links``: ``site, seq, pos, url``."""
     outside = links.where(is_external(F.col("url"), F.col("site"), mode) & authority(F.col("url")).isNotNull())
-    return outside.select("*", F.explode(link_categories(F.col("url"), rules)).alias("category"))
+    return outside.select("*", F.explode_outer(link_categories(F.col("url"), rules)).alias("category")).where(
+        F.col("category").isNotNull())
 
 
 def distinct_service_links(services: DataFrame) -> DataFrame:
@@ -112,4 +142,5 @@ def distinct_service_links(services: DataFrame) -> DataFrame:
 
 
 def exploded_links(captures: DataFrame) -> DataFrame:
-    return captures.select("site", "seq", F.posexplode(page_links(F.col("html"))).alias("pos", "url"))
+    return captures.select("site", "seq", F.posexplode_outer(page_links(F.col("html"))).alias("pos", "url")).where(
+        F.col("url").isNotNull())

@@ -112,34 +112,36 @@ def evidence_sample(evidence: DataFrame, per_site: int = params.EVIDENCE_PER_SIT
 
 def _facts(captures: DataFrame, patterns: Sequence[Pattern], evidence: str, rules: dict, mode: str,
            markers: tuple[str, ...]) -> DataFrame:
-    """Everything a page contributes to its site, as rows ``kind, key, at, value, status``, in one pass over the bodies."""
-    pages = P.with_sections(captures.withColumn(
-        "ok", F.coalesce(F.col("status") < 400, F.lit(False)))).withColumn(
-        "read", F.col("ok") & ~is_challenge(F.col("html"), markers)).withColumn("joined", F.array_join("links", "\n"))
-
-    def fact(kind, key, section=None, pos=None, value=None):
-        return F.struct(
-            F.lit(kind).alias("kind") if isinstance(kind, str) else kind.alias("kind"), key.alias("key"),
-            (F.lit(0) if section is None else section).alias("section"),
-            (F.lit(0) if pos is None else pos).alias("pos"), (key if value is None else value).alias("value"))
-
-    bodies = [F.col("html"), F.col("joined"), F.col("text")]
-    nothing = F.lit(None).cast("string")
-    hits = [F.struct(F.lit(p.prio).alias("prio"), P._first_match(bodies, p.regex).alias("found")) for p in patterns]
-    hit_rows = F.transform(F.filter(F.array(*hits), lambda h: h["found"].isNotNull()), lambda h: fact(
-        "hit", h["prio"].cast("string"), F.substring(h["found"], 1, 1).cast("int"), None,
-        F.regexp_replace(h["found"], "(?s)^.", "")))
-    outside = F.filter(F.transform(F.col("links"), lambda u, i: F.struct(u.alias("url"), i.alias("pos"))), lambda x: (
-        is_external(x["url"], F.col("site"), mode) & authority(x["url"]).isNotNull()))
-    url_rows = F.flatten(F.transform(outside, lambda x: F.transform(
-        P.link_categories(x["url"], rules), lambda c: fact(c, x["url"], None, x["pos"]))))
+    """Everything a page contributes to its site, as rows ``kind, key, section, pos, value``, in one pass over the bodies.
+
+    A hit's value starts with its section. Pages that failed only show that the site exists; challenge pages only count
+    as pages.
+    """
+    ok = F.coalesce(F.col("status") < 400, F.lit(False))
+    pages = P.with_candidates(P.with_sections(captures.withColumn("ok", ok)), patterns)
     cited = F.col("html").rlike(P.FLAGS + evidence) | F.col("joined").rlike(P.FLAGS + evidence)
-    evidence_row = F.when(cited, F.array(fact("evidence", F.col("final_url")))).otherwise(F.array())
-    page_row = F.array(fact("page", F.lit(""), value=F.col("final_url")))
-    seen_row = F.array(fact("seen", F.lit(""), value=nothing))
-    rows = F.when(F.col("read"), F.concat(page_row, hit_rows, url_rows, evidence_row)).when(
-        F.col("ok"), page_row).otherwise(seen_row)
-    return pages.select("site", "seq", "status", F.inline(rows))
+    outside = F.filter(F.transform("links", lambda u, i: F.struct(u.alias("url"), i.alias("pos"))), lambda x: (
+        is_external(x["url"], F.col("site"), mode) & authority(x["url"]).isNotNull()))
+    matched = pages.select(
+        "site", "seq", "status", "final_url", "ok", (F.col("ok") & ~is_challenge(F.col("html"), markers)).alias("read"),
+        cited.alias("cited"), outside.alias("outside"), P.matches(patterns).alias("hits"))
+
+    def fact(kind, key, value, pos=None):
+        return F.struct(kind.alias("kind"), key.alias("key"), (F.lit(0) if pos is None else pos).alias("pos"),
+                        value.alias("value"))
+
+    none, url = F.lit("").alias("key"), F.col("final_url")
+    hits = F.transform("hits", lambda h: fact(F.lit("hit"), h["prio"].cast("string"), h["found"]))
+    links = F.flatten(F.transform("outside", lambda x: F.transform(
+        P.link_categories(x["url"], rules), lambda c: fact(c, x["url"], x["url"], x["pos"]))))
+    page, seen = fact(F.lit("page"), none, url), fact(F.lit("seen"), none, F.lit(""))
+    proof = fact(F.lit("evidence"), url, F.when(F.col("cited"), url))
+    rows = F.when(F.col("read"), F.concat(F.array(page, proof), hits, links)).otherwise(
+        F.array(F.when(F.col("ok"), page).otherwise(seen)))
+    facts = matched.select("site", "seq", "status", F.inline_outer(rows)).where(F.col("value").isNotNull())
+    is_hit = F.col("kind") == "hit"
+    return facts.withColumn("section", F.when(is_hit, F.substring("value", 1, 1).cast("int")).otherwise(0)).withColumn(
+        "value", F.when(is_hit, F.expr("substring(value, 2)")).otherwise(F.col("value")))
 
 
 def _points(software, vendor: str, place: int):

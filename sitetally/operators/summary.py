@@ -44,7 +44,8 @@ def pms_distribution(df: DataFrame) -> DataFrame:
 def phone_distribution(df: DataFrame) -> DataFrame:
     """Rows per phone provider text and their percent of all rows, most frequent first."""
     total = df.agg(_count()).scalar()
-    found = df.select(F.explode(items(df, "phone_clues_site")).alias("provider"))
+    found = df.select(F.explode_outer(items(df, "phone_clues_site")).alias("provider")).where(
+        F.col("provider").isNotNull())
     return found.groupBy(F.lower("provider").alias("provider")).agg(_count().alias("n")).select(
         "provider", "n", pct(F.col("n"), total).alias("pct")).orderBy(F.desc("n"), "provider")
 

@@ -39,7 +39,7 @@ def cell_urls(detections: DataFrame, cells: dict[str, str]) -> DataFrame:
             parse_list(F.col(column)), lambda u: F.struct(F.lit(category).alias("category"), u.alias("url")))
 
     both = F.flatten(F.array(*[rows(category, column) for category, column in cells.items()]))
-    return detections.select("id", F.inline(both))
+    return detections.select("id", F.inline_outer(both)).where(F.col("url").isNotNull())
 
 
 def vendor_counts(urls: DataFrame, vendor_map=VENDOR_MAP) -> DataFrame:

@@ -47,7 +47,7 @@ def stream_resume(spark, sf_dir):
 
 @query("stream_host_state", with_ctes(A.LOG) + """,
 made AS (SELECT * FROM steps WHERE NOT stopped)
-SELECT host, count(*)::BIGINT AS pages_attempted, count_if(status BETWEEN 200 AND 299)::BIGINT AS pages_fetched,
+SELECT host, count(*)::BIGINT AS pages_attempted, count(*) FILTER (status BETWEEN 200 AND 299)::BIGINT AS pages_fetched,
   count_if(challenge)::BIGINT AS captcha_hits, arg_max(error_run, (ts, seq)) AS consec_errors_final,
   arg_max(backoff, (ts, seq)) AS backoff_seconds_final, bool_or(error_run >= 3 OR coalesce(status = 403, false)) AS stopped
 FROM made GROUP BY host""")

@@ -113,7 +113,7 @@ FROM pairs GROUP BY vendor""")
 def full_stack_by_vendor(spark, sf_dir):
     rows = A.detections(spark, sf_dir).withColumn("integration_count", vendors.integration_count())
     urls = F.concat(*[parse_list(F.col(c)) for c in URL_CELLS.values()])
-    named = rows.select("id", "integration_count", F.explode(urls).alias("url")).withColumn(
+    named = rows.select("id", "integration_count", F.explode_outer(urls).alias("url")).withColumn(
         "vendor", vendors.vendor_from_url(F.col("url"))).where(F.col("vendor").isNotNull())
     return vendors.full_stack_by_vendor(named, rows)
 

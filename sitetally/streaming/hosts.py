@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from .. import params
 from ..operators.skew import micros_of
+from ..params import BACKOFF_CAP_SECONDS, BACKOFF_INITIAL_SECONDS, MAX_ERROR_RUN
+
+# Send the state function itself to the workers, so that they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE = "run long, slow long, stopped boolean, last_us long, last_seq long, attempted long, fetched long, challenges long, late long"
 OUTPUT = ("host string, pages_attempted long, pages_fetched long, captcha_hits long, consec_errors_final long, "
@@ -42,7 +47,7 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
         challenge = rows["challenge"].to_numpy(dtype=bool)
         runs = run_lengths(~failed, (failed | challenge).astype(np.int64), run)
         slows = run_lengths((status >= 200) & (status < 300), np.isin(status, (429, 503)).astype(np.int64), slow)
-        stops = np.flatnonzero((runs >= params.MAX_ERROR_RUN) | (status == 403))
+        stops = np.flatnonzero((runs >= MAX_ERROR_RUN) | (status == 403))
         stopped = len(stops) > 0
         made = int(stops[0]) + 1 if stopped else len(rows)
         attempted += made
@@ -50,7 +55,7 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
         challenges += int(challenge[:made].sum())
         run, slow = int(runs[made - 1]), int(slows[made - 1])
     state.update((run, slow, stopped, last_us, last_seq, attempted, fetched, challenges, late))
-    wait = min(float(params.BACKOFF_CAP_SECONDS), params.BACKOFF_INITIAL_SECONDS / 2 * 2.0 ** min(slow, 30)) if slow else 0.0
+    wait = min(float(BACKOFF_CAP_SECONDS), BACKOFF_INITIAL_SECONDS / 2 * 2.0 ** min(slow, 30)) if slow else 0.0
     yield pd.DataFrame({
         "host": [key[0]], "pages_attempted": [attempted], "pages_fetched": [fetched], "captcha_hits": [challenges],
         "consec_errors_final": [run], "backoff_seconds_final": [wait], "stopped": [stopped], "late_rows": [late]})
