@@ -37,6 +37,12 @@ def url_path(url: Column) -> Column:
     return F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
 
 
+def unquote(text: Column) -> Column:
+    """Percent escapes as characters; text with a broken escape stays as it is."""
+    decoded = F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return F.when(text.contains("%"), F.coalesce(decoded, text)).otherwise(text)
+
+
 def resolve_url(base: Column, href: Column) -> Column:
     """Target of a link found on ``base``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions.urls import url_path
+from ..functions.urls import unquote, url_path
 from .skew import MIN_HOT_ROWS, OrderedRows, lookup_join, micros_of
 
 
@@ -20,7 +20,7 @@ def robots_rules(robots: DataFrame) -> DataFrame:
     content = F.trim(F.regexp_replace("raw", "#.*$", ""))
     lines = lines.withColumns({
         "field": F.lower(F.trim(F.regexp_extract(content, "^([^:]*):", 1))),
-        "value": F.trim(F.regexp_extract(content, "^[^:]*:(.*)$", 1))})
+        "value": unquote(F.trim(F.regexp_extract(content, "^[^:]*:(.*)$", 1)))})
     event = (
         F.when(F.col("raw") == "", "blank")
         .when(F.col("field") == "user-agent", "agent")
@@ -77,10 +77,10 @@ def rules_for_agent(rules: DataFrame, agent: str) -> DataFrame:
 def robots_allowed(urls: DataFrame, agent_rules: DataFrame, url: str, spread: str) -> DataFrame:
     """Adds ``rule_no`` and ``allowed``: the first rule whose prefix starts the path decides; without one, allowed."""
     joined = lookup_join(urls, agent_rules, "host", spread)
-    path = url_path(F.col(url))
-    matching = F.filter("rules", lambda r: (r["prefix"] == "*") | path.startswith(r["prefix"]))
+    joined = joined.withColumn("path", unquote(url_path(F.col(url))))
+    matching = F.filter("rules", lambda r: F.col("path").startswith(r["prefix"]))
     return joined.withColumn("match", F.try_element_at(matching, F.lit(1))).withColumns({
-        "rule_no": F.col("match.rule_no"), "allowed": F.coalesce("match.allow", F.lit(True))}).drop("match", "rules")
+        "rule_no": F.col("match.rule_no"), "allowed": F.coalesce("match.allow", F.lit(True))}).drop("match", "rules", "path")
 
 
 def robots_asof(requests: DataFrame, snapshots: DataFrame, ttl_seconds: float = params.ROBOTS_TTL_SECONDS,
