@@ -20,19 +20,23 @@ def requests(log: DataFrame) -> DataFrame:
     return log.where(~F.col("disallowed"))
 
 
+def _made() -> Column:
+    return ~F.col("disallowed")
+
+
 def is_error() -> Column:
     return F.col("status").isNull() | (F.col("status") >= 400)
 
 
 def _with_runs(rows: OrderedRows) -> OrderedRows:
     """``error_run``: failures since the last success. A challenge page resets the run and then counts one."""
-    return rows.run_since("error_run", ~is_error(), (is_error() | F.col("challenge")).cast("int"))
+    return rows.run_since("error_run", _made() & ~is_error(), (_made() & (is_error() | F.col("challenge"))).cast("int"))
 
 
 def _with_backoff(rows: OrderedRows) -> OrderedRows:
     """``backoff``: seconds after the row. It doubles with each 429 or 503 and only a 2xx resets it."""
-    slow = F.coalesce(F.col("status").isin(429, 503), F.lit(False))
-    rows = rows.run_since("slow_run", F.col("status").between(200, 299), slow.cast("int"))
+    slow = F.coalesce(_made() & F.col("status").isin(429, 503), F.lit(False))
+    rows = rows.run_since("slow_run", _made() & F.col("status").between(200, 299), slow.cast("int"))
     doubled = F.pow(F.lit(2.0), F.least(F.col("slow_run"), F.lit(30).cast("long"))) * (params.BACKOFF_INITIAL_SECONDS / 2)
     seconds = F.when(F.col("slow_run") > 0, F.least(F.lit(float(params.BACKOFF_CAP_SECONDS)), doubled)).otherwise(0.0)
     return rows.scan(local={}, result={"backoff": seconds})
@@ -40,7 +44,7 @@ def _with_backoff(rows: OrderedRows) -> OrderedRows:
 
 def _with_stop(rows: OrderedRows) -> OrderedRows:
     """``stopped``: the host was given up before this row, after three failures in a row or a 403."""
-    stop = (F.col("error_run") >= params.MAX_ERROR_RUN) | F.coalesce(F.col("status") == 403, F.lit(False))
+    stop = (F.col("error_run") >= params.MAX_ERROR_RUN) | F.coalesce(_made() & (F.col("status") == 403), F.lit(False))
     return rows.running_sum("stops_before", stop.cast("long"), before=True).scan(
         local={}, result={"stopped": F.col("stops_before") > 0})
 
@@ -73,48 +77,44 @@ def politeness(log: DataFrame, base: float = params.DELAY_BASE_SECONDS, min_rows
 
 def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: bool = True,
                 min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Metrics per host over the requests made until the host was stopped.
+    """Metrics per host over the requests made until the host was stopped, in one pass over the log.
 
     ``evidence``: ``host, pos, url``, at most five per host. Beside the older final values there are a true maximum of
     the backoff and counters for what used to be uncounted: other 5xx and no response.
     """
-    rows = _with_stop(_with_runs(_with_backoff(OrderedRows.of(requests(log), ["host"], ORDER, min_rows)))).rows()
-    if apply_stop:
-        rows = rows.where(~F.col("stopped"))
-    s = F.col("status")
-    last = F.max(F.struct(*ORDER, "error_run", "backoff"))
-    metrics = rows.groupBy("host").agg(
-        F.count(F.lit(1)).alias("pages_attempted"),
+    rows = _with_stop(_with_runs(_with_backoff(OrderedRows.of(log, ["host"], ORDER, min_rows)))).rows()
+    made = _made() & ~F.col("stopped") if apply_stop else _made()
+    s = F.when(made, F.col("status"))
+    last = F.max(F.when(made, F.struct(*ORDER, "error_run", "backoff")))
+    # targets that were not requested count and tell the delay, and leave runs, backoff and stop as they are
+    out = rows.groupBy("host").agg(
+        F.count_if(made).alias("pages_attempted"),
         F.count_if(s.between(200, 299)).alias("pages_fetched"),
-        F.count_if(s.between(200, 299)).alias("http_2xx"),
         F.count_if(s == 403).alias("http_403"),
         F.count_if(s == 429).alias("http_429"),
         F.count_if(s == 503).alias("http_5xx"),
         F.count_if(s.between(400, 499) & ~s.isin(403, 429)).alias("other_4xx"),
         F.count_if((s >= 500) & (s != 503)).alias("other_5xx"),
-        F.count_if(s.isNull()).alias("no_response"),
-        F.count_if("challenge").alias("captcha_hits"),
+        F.count_if(made & F.col("status").isNull()).alias("no_response"),
+        F.count_if(made & F.col("challenge")).alias("captcha_hits"),
         F.count_if(s.isin(429, 503)).alias("backoff_events"),
-        F.max("backoff").alias("backoff_max"),
-        last.alias("last"))
-    asides = log.groupBy("host").agg(
         F.count_if("disallowed").alias("disallowed_paths"),
-        F.max_by("crawl_delay", F.struct(*ORDER)).alias("robots_crawl_delay"))
-    out = asides.join(metrics, "host", "left")
+        F.max_by("crawl_delay", F.when(F.col("crawl_delay").isNotNull(), F.struct(*ORDER))).alias("robots_crawl_delay"),
+        F.max(F.when(made, F.col("backoff"))).alias("backoff_max"),
+        last.alias("last"))
     if evidence is not None:
         cells = evidence.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("pos", "url"))).alias("e"))
         out = out.join(cells.select("host", F.concat_ws(";", F.transform("e", lambda x: x["url"])).alias("urls")), "host", "left")
     else:
         out = out.withColumn("urls", F.lit(""))
-    counts = ["pages_attempted", "pages_fetched", "http_2xx", "http_403", "http_429", "http_5xx", "other_4xx",
-              "other_5xx", "no_response", "captcha_hits", "backoff_events"]
     none = F.lit(0).cast("long")
     return out.select(
-        "host", *[F.coalesce(c, none).alias(c) for c in counts], "disallowed_paths",
+        "host", "pages_attempted", "pages_fetched", F.col("pages_fetched").alias("http_2xx"), "http_403", "http_429",
+        "http_5xx", "other_4xx", "other_5xx", "no_response", "captcha_hits", "backoff_events", "disallowed_paths",
         F.coalesce("last.error_run", none).alias("consec_errors_final"),
         F.coalesce("last.backoff", F.lit(0.0)).alias("backoff_seconds_final"),
         F.coalesce("backoff_max", F.lit(0.0)).alias("backoff_seconds_max"),
-        F.coalesce("pages_attempted", none).alias("pages_count"),
+        F.col("pages_attempted").alias("pages_count"),
         "robots_crawl_delay",
         F.when(F.col("robots_crawl_delay").isNotNull(), "yes").otherwise("no").alias("robots_cached"),
         F.coalesce("urls", F.lit("")).alias("sample_evidence_urls"))

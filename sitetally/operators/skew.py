@@ -103,7 +103,7 @@ class OrderedRows:
         if hot is None:
             return cls(df, None, tuple(keys), tuple(order))
         at = F.floor((position - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1) * F.col("_parts"))
-        segment = F.least(F.col("_parts") - 1, at).cast("int")
+        segment = F.least(F.col("_parts") - 1, F.coalesce(at, F.lit(0))).cast("int")  # NULL sorts first
         return cls(
             cold=df.join(hot.select(*keys), list(keys), "left_anti"),
             hot=df.join(hot, list(keys)).withColumn(SEGMENT, segment).drop("_parts", "_lo", "_hi"),

@@ -80,6 +80,19 @@ def test_error_runs_and_backoff(spark):
     assert (blocked.pages_attempted, blocked.http_403, blocked.consec_errors_final) == (2, 1, 1)
 
 
+def test_host_report_details(spark):
+    rows = [("h", 1, 1, 200, True, False, None), ("h", 2, 2, None, False, True, 2.5), ("h", 3, 3, 503, False, False, None),
+            ("h", 4, 4, 500, False, False, None), ("g", 1, 9, None, False, True, None)]
+    log = spark.createDataFrame(rows, _log(spark, []).schema)
+    evidence = spark.createDataFrame([("h", 2, "u2"), ("h", 1, "u1")], "host string, pos long, url string")
+    got = {r.host: r for r in hostlog.host_report(log, evidence).collect()}
+    h, g = got["h"], got["g"]
+    assert (h.pages_attempted, h.http_2xx, h.http_5xx, h.other_5xx, h.captcha_hits, h.disallowed_paths) == (3, 1, 1, 1, 1, 1)
+    assert (h.consec_errors_final, h.backoff_seconds_final, h.backoff_seconds_max) == (3, 2.0, 2.0)
+    assert (h.robots_crawl_delay, h.robots_cached, h.sample_evidence_urls) == (2.5, "yes", "u1;u2")
+    assert (g.pages_attempted, g.disallowed_paths, g.consec_errors_final, g.sample_evidence_urls) == (0, 1, 0, "")
+
+
 def test_alert(spark):
     rows = spark.createDataFrame([(i >= 15,) for i in range(100)], "success boolean")
     totals = hostlog.run_totals(rows)

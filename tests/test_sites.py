@@ -89,6 +89,14 @@ def test_features_agree_with_single_steps(captures, dictionary):
         assert len(rows[r.site].evidence_urls) == r.n
 
 
+def test_service_links_agree_with_features(captures, dictionary):
+    links = patterns.exploded_links(sites.usable(captures))
+    got = {(r.site, r.category, r.url) for r in patterns.distinct_service_links(patterns.service_links(links)).collect()}
+    want = {(r.site, c, u) for r in sites.site_features(captures, dictionary).collect()
+            for c in ("booking", "payment", "forms") for u in r[f"{c}_urls"]}
+    assert got == want and len(want) == 2
+
+
 def test_a_new_pattern_removes_no_hit(captures, dictionary):
     fewer = [p for p in dictionary if p.category != "forms"]
     some = {(r.site, r.prio) for r in patterns.page_hits(captures, fewer).collect()}

@@ -45,6 +45,12 @@ def test_scans_against_plain_windows(log):
     assert rows(split.select("host", "seq", "last", "total")) == rows(plain)
 
 
+def test_missing_order_values_sort_first(spark):
+    df = spark.range(200).select(F.lit("k").alias("k"), F.when(F.col("id") > 20, F.col("id")).alias("at"), "id")
+    assert rows(OrderedRows.of(df, ["k"], ["at", "id"], 10).running_sum("n", F.col("id")).rows()) == rows(
+        OrderedRows.of(df, ["k"], ["at", "id"]).running_sum("n", F.col("id")).rows())
+
+
 def test_asof(spark, log):
     parts = log.select("host", "ts", F.col("seq").alias("id"), "status")
     asks, snaps = parts.where("status = 200").drop("status"), parts.where("status = 404").drop("status")
