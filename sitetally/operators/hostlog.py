@@ -28,35 +28,41 @@ def is_error() -> Column:
     return F.col("status").isNull() | (F.col("status") >= 400)
 
 
-def _with_runs(rows: OrderedRows) -> OrderedRows:
-    """``error_run``: failures since the last success. A challenge page resets the run and then counts one."""
-    return rows.run_since("error_run", _made() & ~is_error(), (_made() & (is_error() | F.col("challenge"))).cast("int"))
+def _error_run() -> tuple[Column, Column]:
+    """Failures since the last success. A challenge page resets the run and then counts one."""
+    return _made() & ~is_error(), (_made() & (is_error() | F.col("challenge"))).cast("int")
 
 
-def _with_backoff(rows: OrderedRows) -> OrderedRows:
-    """``backoff``: seconds after the row. It doubles with each 429 or 503 and only a 2xx resets it."""
+def _slow_run() -> tuple[Column, Column]:
+    """Answers 429 or 503 since the last 2xx."""
     slow = F.coalesce(_made() & F.col("status").isin(429, 503), F.lit(False))
-    rows = rows.run_since("slow_run", _made() & F.col("status").between(200, 299), slow.cast("int"))
-    doubled = F.pow(F.lit(2.0), F.least(F.col("slow_run"), F.lit(30).cast("long"))) * (params.BACKOFF_INITIAL_SECONDS / 2)
-    seconds = F.when(F.col("slow_run") > 0, F.least(F.lit(float(params.BACKOFF_CAP_SECONDS)), doubled)).otherwise(0.0)
-    return rows.scan(local={}, result={"backoff": seconds})
+    return _made() & F.col("status").between(200, 299), slow.cast("int")
+
+
+def _backoff() -> Column:
+    """Seconds after the row: doubled with each step of the slow run, up to the cap."""
+    steps = F.least(F.col("slow_run"), F.lit(30).cast("long"))
+    doubled = F.pow(F.lit(2.0), steps) * (params.BACKOFF_INITIAL_SECONDS / 2)
+    return F.when(F.col("slow_run") > 0, F.least(F.lit(float(params.BACKOFF_CAP_SECONDS)), doubled)).otherwise(0.0)
 
 
 def _with_stop(rows: OrderedRows) -> OrderedRows:
     """``stopped``: the host was given up before this row, after three failures in a row or a 403."""
     stop = (F.col("error_run") >= params.MAX_ERROR_RUN) | F.coalesce(_made() & (F.col("status") == 403), F.lit(False))
-    return rows.running_sum("stops_before", stop.cast("long"), before=True).scan(
+    return rows.cut().running_sum({"stops_before": stop.cast("long")}, before=True).scan(
         local={}, result={"stopped": F.col("stops_before") > 0})
 
 
 def error_runs(log: DataFrame, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Every request with its error run and whether the host had been stopped before."""
     rows = OrderedRows.of(requests(log), ["host"], ORDER, min_rows)
-    return _with_stop(_with_runs(rows)).rows().drop("stops_before")
+    return _with_stop(rows.run_since({"error_run": _error_run()})).rows().drop("stops_before")
 
 
 def backoff_series(log: DataFrame, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    return _with_backoff(OrderedRows.of(requests(log), ["host"], ORDER, min_rows)).rows().drop("slow_run")
+    """Every request with the backoff in force after it."""
+    rows = OrderedRows.of(requests(log), ["host"], ORDER, min_rows).run_since({"slow_run": _slow_run()})
+    return rows.rows().withColumn("backoff", _backoff()).drop("slow_run")
 
 
 def politeness(log: DataFrame, base: float = params.DELAY_BASE_SECONDS, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
@@ -66,13 +72,13 @@ def politeness(log: DataFrame, base: float = params.DELAY_BASE_SECONDS, min_rows
     no gap and is never early.
     """
     timed = requests(log).withColumn("us", micros_of(log, "ts"))
-    rows = _with_backoff(OrderedRows.of(timed, ["host"], ORDER, min_rows))
-    rows = rows.last_known("us_before", F.col("us"), before=True).last_known("backoff_before", F.col("backoff"), before=True)
+    rows = OrderedRows.of(timed, ["host"], ORDER, min_rows).run_since({"slow_run": _slow_run()})
+    rows = rows.cut().last_known({"us_before": F.col("us"), "backoff_before": _backoff()}, before=True)
     required = F.greatest(F.lit(base), F.coalesce("crawl_delay", F.lit(0.0)), F.coalesce("backoff_before", F.lit(0.0)))
     gap = (F.col("us") - F.col("us_before")) / F.lit(1e6)
     return rows.rows().withColumns({"required": required, "gap": gap}).withColumn(
         "early", F.coalesce(F.col("gap") < F.col("required"), F.lit(False))).drop(
-        "us", "us_before", "backoff_before", "slow_run", "backoff")
+        "us", "us_before", "backoff_before", "slow_run")
 
 
 def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: bool = True,
@@ -82,7 +88,8 @@ def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: b
     ``evidence``: ``host, pos, url``, at most five per host. Beside the older final values there are a true maximum of
     the backoff and counters for what used to be uncounted: other 5xx and no response.
     """
-    rows = _with_stop(_with_runs(_with_backoff(OrderedRows.of(log, ["host"], ORDER, min_rows)))).rows()
+    runs = OrderedRows.of(log, ["host"], ORDER, min_rows).run_since({"error_run": _error_run(), "slow_run": _slow_run()})
+    rows = _with_stop(runs).rows().withColumn("backoff", _backoff())
     made = _made() & ~F.col("stopped") if apply_stop else _made()
     s = F.when(made, F.col("status"))
     last = F.max(F.when(made, F.struct(*ORDER, "error_run", "backoff")))
@@ -140,7 +147,7 @@ def progress_marks(rows: DataFrame, order: tuple[str, ...], every: int = params.
     """Running totals at every ``every``-th row. Needs a boolean ``success``."""
     one = F.lit(1).cast("long")
     ordered = OrderedRows.of(rows.select(F.lit(0).alias("all"), "success", *order), ["all"], order, min_rows)
-    ordered = ordered.running_sum("attempted", one).running_sum("succeeded", F.col("success").cast("long"))
+    ordered = ordered.running_sum({"attempted": one, "succeeded": F.col("success").cast("long")})
     marks = ordered.rows().where(F.col("attempted") % every == 0)
     total = rows.agg(F.count(F.lit(1))).scalar()
     return marks.select("attempted", "succeeded", (F.col("attempted") - F.col("succeeded")).alias("failed"),
@@ -157,7 +164,7 @@ def budget_calls(calls: DataFrame, caps: dict[str, int], order: tuple[str, ...],
     for source, n in caps.items():
         cap = F.when(F.col("source") == source, F.lit(n).cast("long")).otherwise(cap)
     rows = OrderedRows.of(calls, ["source"], order, min_rows)
-    rows = rows.running_sum("call_no", F.lit(1).cast("long")).running_sum("spend", F.col("unit_cost")).rows()
+    rows = rows.running_sum({"call_no": F.lit(1).cast("long"), "spend": F.col("unit_cost")}).rows()
     return rows.withColumns({
         "within_cap": F.coalesce(F.col("call_no") <= cap, F.lit(True)),
         "near_cap": F.coalesce(cap.isNotNull() & (F.col("call_no") >= warn_at), F.lit(False)),

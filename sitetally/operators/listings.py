@@ -105,7 +105,7 @@ def with_ids(listings: DataFrame, group: str, groups: Sequence[int], order: Sequ
 
     Rows are numbered inside each group, a large group segment by segment, then shifted by the rows of the groups before.
     """
-    numbered = OrderedRows.of(listings, [group], order, min_rows).running_sum("n", F.lit(1).cast("long")).rows()
+    numbered = OrderedRows.of(listings, [group], order, min_rows).running_sum({"n": F.lit(1).cast("long")}).rows()
     offset = F.lit(0).cast("long")
     for g in groups:
         before = listings.where(F.col(group) < g).agg(F.count(F.lit(1))).scalar()

@@ -94,7 +94,7 @@ def robots_asof(requests: DataFrame, snapshots: DataFrame, ttl_seconds: float =
 
     both = timed(snapshots, 0).unionByName(timed(requests, 1))
     snap = F.when(F.col("kind") == 0, F.struct(F.col("us"), F.col("id")))
-    rows = OrderedRows.of(both, ["host"], ["ts", "kind", "id"], min_rows).last_known("snap", snap).rows()
+    rows = OrderedRows.of(both, ["host"], ["ts", "kind", "id"], min_rows).last_known({"snap": snap}).rows()
     age = (F.col("us") - F.col("snap.us")) / F.lit(1e6)
     return rows.where(F.col("kind") == 1).select(
         "host", F.col("id").alias("request_id"), F.col("snap.id").alias("snapshot_id"), age.alias("age_seconds"),

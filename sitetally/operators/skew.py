@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_dir
+
 MAX_HOT = 10_000
 MIN_HOT_ROWS = 1_000_000
 PIECES_PER_SHARE = 4
@@ -143,54 +145,76 @@ class OrderedRows:
             hot = hot.withColumns({c: F.coalesce(F.col(c), v) for c, v in carried.items()})
         return OrderedRows(cold, hot.withColumns(dict(result)).drop(*helpers), self.keys, self.order)
 
-    def running_sum(self, name: str, value: Column, before: bool = False) -> OrderedRows:
-        """Running sum of ``value`` up to the row, or up to the row before it."""
+    def running_sum(self, values: Mapping[str, Column], before: bool = False) -> OrderedRows:
+        """Running sums up to the row, or up to the row before it."""
+        names, zero = list(values), F.lit(0).cast("long")
         end = -1 if before else 0
-        zero = F.lit(0).cast("long")
+        local: dict = {f"_v{n}": lambda w, n=n: values[n] for n in names}
+        local |= {f"_near{n}": lambda w, n=n: F.coalesce(
+            F.sum(f"_v{n}").over(w.rowsBetween(Window.unboundedPreceding, end)), zero) for n in names}
         return self.scan(
-            local={"_v": lambda w: value,
-                   "_near": lambda w: F.coalesce(F.sum("_v").over(w.rowsBetween(Window.unboundedPreceding, end)), zero)},
-            totals=[F.sum("_v").alias("_sum")],
-            fold=lambda s, w: s.withColumn(
-                "_far", F.sum("_sum").over(w.rowsBetween(Window.unboundedPreceding, -1))),
-            carried={"_far": zero},
-            result={name: F.col("_near") + F.col("_far")})
-
-    def last_known(self, name: str, value: Column, before: bool = False) -> OrderedRows:
-        """Latest non-NULL ``value`` at the row, or at the rows before it."""
-        end = -1 if before else 0
+            local=local,
+            totals=[F.sum(f"_v{n}").alias(f"_sum{n}") for n in names],
+            fold=lambda s, w: s.withColumns({
+                f"_far{n}": F.sum(f"_sum{n}").over(w.rowsBetween(Window.unboundedPreceding, -1)) for n in names}),
+            carried={f"_far{n}": zero for n in names},
+            result={n: F.col(f"_near{n}") + F.col(f"_far{n}") for n in names})
+
+    def last_known(self, values: Mapping[str, Column], before: bool = False) -> OrderedRows:
+        """Latest non-NULL values at the row, or at the rows before it."""
+        names, end = list(values), -1 if before else 0
+        local: dict = {f"_v{n}": lambda w, n=n: values[n] for n in names}
+        local |= {f"_near{n}": lambda w, n=n: F.last(f"_v{n}", ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, end)) for n in names}
         return self.scan(
-            local={"_v": lambda w: value,
-                   "_near": lambda w: F.last("_v", ignorenulls=True).over(
-                       w.rowsBetween(Window.unboundedPreceding, end))},
-            totals=[F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*self.order))).alias("_last")],
-            fold=lambda s, w: s.withColumn("_far", F.last("_last", ignorenulls=True).over(
-                w.rowsBetween(Window.unboundedPreceding, -1))),
-            carried={"_far": F.lit(None)},
-            result={name: F.coalesce(F.col("_near"), F.col("_far"))})
-
-    def run_since(self, name: str, reset: Column, value: Column) -> OrderedRows:
-        """Sum of ``value`` since the latest row where ``reset`` holds, that row included."""
-        zero = F.lit(0).cast("long")
+            local=local,
+            totals=[F.max_by(f"_v{n}", F.when(F.col(f"_v{n}").isNotNull(), F.struct(*self.order))).alias(f"_last{n}")
+                    for n in names],
+            fold=lambda s, w: s.withColumns({
+                f"_far{n}": F.last(f"_last{n}", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+                for n in names}),
+            carried={f"_far{n}": F.lit(None) for n in names},
+            result={n: F.coalesce(F.col(f"_near{n}"), F.col(f"_far{n}")) for n in names})
+
+    def run_since(self, runs: Mapping[str, tuple[Column, Column]]) -> OrderedRows:
+        """Per name ``(reset, value)``: the sum of ``value`` since the latest row where ``reset`` holds, that row included.
+
+        A run is the running sum less what it was before the latest reset, so that all runs share one window.
+        """
+        names, zero = list(runs), F.lit(0).cast("long")
         upto = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        near = {n: F.col(f"_sum{n}") - F.coalesce(F.col(f"_base{n}"), zero) for n in names}
+        local: dict = {}
+        for n, (reset, value) in runs.items():
+            local[f"_r{n}"] = lambda w, c=reset: F.coalesce(c, F.lit(False)).cast("int")
+            local[f"_v{n}"] = lambda w, c=value: c.cast("long")
+        local |= {f"_sum{n}": lambda w, n=n: F.sum(f"_v{n}").over(upto(w)) for n in names}
+        local |= {f"_base{n}": lambda w, n=n: F.last(
+            F.when(F.col(f"_r{n}") == 1, F.col(f"_sum{n}") - F.col(f"_v{n}")), ignorenulls=True).over(upto(w))
+            for n in names}
 
         def fold(summary: DataFrame, w: WindowSpec) -> DataFrame:
-            islands = summary.withColumn("_group", F.sum((F.col("_resets") > 0).cast("int")).over(upto(w)))
-            within = Window.partitionBy(*self.keys, "_group").orderBy(SEGMENT)
-            ends = islands.withColumn("_end", F.sum("_tail").over(upto(within)))
-            return ends.withColumn("_far", F.lag("_end").over(w))
+            for n in names:
+                group = F.sum((F.col(f"_resets{n}") > 0).cast("int")).over(upto(w))
+                summary = summary.withColumn(f"_group{n}", group)
+                within = Window.partitionBy(*self.keys, f"_group{n}").orderBy(SEGMENT)
+                summary = summary.withColumn(f"_end{n}", F.sum(f"_tail{n}").over(upto(within)))
+            return summary.withColumns({f"_far{n}": F.lag(f"_end{n}").over(w) for n in names})
 
-        near = F.col("_sum") - F.coalesce(F.col("_base"), zero)
         return self.scan(
-            local={"_r": lambda w: F.coalesce(reset, F.lit(False)).cast("int"),
-                   "_v": lambda w: value.cast("long"),
-                   "_sum": lambda w: F.sum("_v").over(upto(w)),
-                   "_base": lambda w: F.last(F.when(F.col("_r") == 1, F.col("_sum") - F.col("_v")),
-                                             ignorenulls=True).over(upto(w))},
-            totals=[F.max("_r").alias("_resets"), F.max_by(near, F.struct(*self.order)).alias("_tail")],
+            local=local,
+            totals=[t for n in names for t in (
+                F.max(f"_r{n}").alias(f"_resets{n}"), F.max_by(near[n], F.struct(*self.order)).alias(f"_tail{n}"))],
             fold=fold,
-            carried={"_far": zero},
-            result={name: near + F.when(F.col("_base").isNull(), F.col("_far")).otherwise(zero)})
+            carried={f"_far{n}": zero for n in names},
+            result={n: near[n] + F.when(F.col(f"_base{n}").isNull(), F.col(f"_far{n}")).otherwise(zero) for n in names})
+
+    def cut(self) -> OrderedRows:
+        """Checkpoint the hot rows: a scan reads them twice, and scans on top of scans would repeat the earlier ones."""
+        if self.hot is None:
+            return self
+        shared_dir(self.hot.sparkSession)
+        return OrderedRows(self.cold, self.hot.checkpoint(), self.keys, self.order)
 
     def where(self, condition: Column) -> OrderedRows:
         hot = None if self.hot is None else self.hot.where(condition)

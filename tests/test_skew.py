@@ -39,16 +39,16 @@ def test_scans_against_plain_windows(log):
     v = F.when(F.col("status") == 200, F.col("seq"))
     plain = log.select("host", "seq", F.last(v, True).over(w).alias("last"),
                        F.coalesce(F.sum("seq").over(w), F.lit(0)).alias("total"))
-    split = OrderedRows.of(log, ["host"], ["ts", "seq"], 10).last_known("last", v, before=True).running_sum(
-        "total", F.col("seq"), before=True).rows()
+    split = OrderedRows.of(log, ["host"], ["ts", "seq"], 10).last_known({"last": v}, before=True).running_sum(
+        {"total": F.col("seq")}, before=True).rows()
     assert split.count() == log.count()
     assert rows(split.select("host", "seq", "last", "total")) == rows(plain)
 
 
 def test_missing_order_values_sort_first(spark):
     df = spark.range(200).select(F.lit("k").alias("k"), F.when(F.col("id") > 20, F.col("id")).alias("at"), "id")
-    assert rows(OrderedRows.of(df, ["k"], ["at", "id"], 10).running_sum("n", F.col("id")).rows()) == rows(
-        OrderedRows.of(df, ["k"], ["at", "id"]).running_sum("n", F.col("id")).rows())
+    assert rows(OrderedRows.of(df, ["k"], ["at", "id"], 10).running_sum({"n": F.col("id")}).rows()) == rows(
+        OrderedRows.of(df, ["k"], ["at", "id"]).running_sum({"n": F.col("id")}).rows())
 
 
 def test_asof(spark, log):
