@@ -14,9 +14,9 @@ from .adapters import with_ctes
 from .registry import ORACLE, query
 
 
-def _stream(spark, sf_dir, name, max_files=1):
+def _stream(spark, sf_dir, name):
     # the pattern fits a single file as well as a folder of files
-    return read_stream(spark, f"{sf_dir}/{name}.parquet*", A.table(spark, sf_dir, name).schema, max_files)
+    return read_stream(spark, f"{sf_dir}/{name}.parquet*", A.table(spark, sf_dir, name).schema)
 
 
 def _hits(pages):

@@ -35,23 +35,25 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
     """The rows of one host in one micro-batch, in log order; rows older than the state count as late only."""
     run, slow, stopped, last_us, last_seq, attempted, fetched, challenges, late = (
         state.get if state.exists else (0, 0, False, -1, -1, 0, 0, 0, 0))
-    rows = pd.concat(batches, ignore_index=True).sort_values(["us", "seq"], ignore_index=True)
-    old = (rows["us"] < last_us) | ((rows["us"] == last_us) & (rows["seq"] <= last_seq))
+    parts = [(b["us"].to_numpy(), b["seq"].to_numpy(), b["status"].to_numpy(), b["challenge"].to_numpy()) for b in batches]
+    us, seq, status, challenge = (np.concatenate(c) for c in zip(*parts))
+    old = (us < last_us) | ((us == last_us) & (seq <= last_seq))
     late += int(old.sum())
-    rows = rows[~old]
-    if len(rows):
-        last_us, last_seq = int(rows["us"].iloc[-1]), int(rows["seq"].iloc[-1])
-    if len(rows) and not stopped:
-        status = rows["status"].fillna(0).to_numpy(dtype=np.int64)  # 0 stands for no response
-        failed = (status == 0) | (status >= 400)
-        challenge = rows["challenge"].to_numpy(dtype=bool)
+    order = np.lexsort((seq, us))
+    order = order[~old[order]]
+    if len(order):
+        last_us, last_seq = int(us[order[-1]]), int(seq[order[-1]])
+    if len(order) and not stopped:
+        status = np.nan_to_num(status[order].astype(np.float64)).astype(np.int64)  # 0 stands for no response
+        challenge = challenge[order].astype(bool)
+        failed, fine = (status == 0) | (status >= 400), (status >= 200) & (status < 300)
         runs = run_lengths(~failed, (failed | challenge).astype(np.int64), run)
-        slows = run_lengths((status >= 200) & (status < 300), np.isin(status, (429, 503)).astype(np.int64), slow)
+        slows = run_lengths(fine, np.isin(status, (429, 503)).astype(np.int64), slow)
         stops = np.flatnonzero((runs >= MAX_ERROR_RUN) | (status == 403))
         stopped = len(stops) > 0
-        made = int(stops[0]) + 1 if stopped else len(rows)
+        made = int(stops[0]) + 1 if stopped else len(order)
         attempted += made
-        fetched += int(((status >= 200) & (status < 300))[:made].sum())
+        fetched += int(fine[:made].sum())
         challenges += int(challenge[:made].sum())
         run, slow = int(runs[made - 1]), int(slows[made - 1])
     state.update((run, slow, stopped, last_us, last_seq, attempted, fetched, challenges, late))

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-MAX_FILES = 200  # rows sit in files of bounded size, so this bounds a micro-batch
+MAX_BYTES = 1 << 30  # input of one micro-batch; it bounds what a busy key can bring into one task
 
 
-def read_stream(spark: SparkSession, path: str, schema: StructType, max_files: int = MAX_FILES) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+def read_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None,
+                max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Files as they arrive, in micro-batches of bounded size (or of ``max_files`` files)."""
+    limit = ("maxBytesPerTrigger", max_bytes) if max_files is None else ("maxFilesPerTrigger", max_files)
+    return spark.readStream.schema(schema).option(*limit).parquet(path)
 
 
 def drain_to_files(stream: DataFrame, out: str, checkpoint: str) -> None:
