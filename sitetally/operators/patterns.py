@@ -53,13 +53,17 @@ def with_candidates(pages: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
     return pages.withColumns(maybe)
 
 
+def found_in(section: str, regex: str) -> Column:
+    """Does a section match? The regular expression runs only where the literal text any match needs is present."""
+    match = F.col(section).rlike(FLAGS + regex)
+    possible = may_match(F.col(f"folded_{section}"), regex)
+    return match if possible is None else possible & match
+
+
 def _match_in(section: str, p: Pattern) -> Column:
-    """Does the section match? The regular expression runs only where the literal text any match needs is present."""
-    match = F.col(section).rlike(FLAGS + p.regex)
     if _source_decides(p.regex):
-        return F.col(f"maybe_{p.prio}") & match
-    possible = may_match(F.col(f"folded_{section}"), p.regex)
-    return match if possible is None else possible & match
+        return F.col(f"maybe_{p.prio}") & F.col(section).rlike(FLAGS + p.regex)
+    return found_in(section, p.regex)
 
 
 def _first_match(p: Pattern) -> Column:

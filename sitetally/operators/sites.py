@@ -119,7 +119,7 @@ def _facts(captures: DataFrame, patterns: Sequence[Pattern], evidence: str, rule
     """
     ok = F.coalesce(F.col("status") < 400, F.lit(False))
     pages = P.with_candidates(P.with_sections(captures.withColumn("ok", ok)), patterns)
-    cited = F.col("html").rlike(P.FLAGS + evidence) | F.col("joined").rlike(P.FLAGS + evidence)
+    cited = P.found_in("html", evidence) | P.found_in("joined", evidence)
     outside = F.filter(F.transform("links", lambda u, i: F.struct(u.alias("url"), i.alias("pos"))), lambda x: (
         is_external(x["url"], F.col("site"), mode) & authority(x["url"]).isNotNull()))
     matched = pages.select(
