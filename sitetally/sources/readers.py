@@ -12,10 +12,13 @@ from ..functions.cells import address
 from ..operators.skew import lookup_join
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header line. A byte-order mark is skipped, quoted line breaks are kept, blank cells are NULL."""
+def read_csv(spark: SparkSession, path: str, schema: StructType, line_breaks: bool = True) -> DataFrame:
+    """CSV with a header line. A byte-order mark is skipped, quoted line breaks are kept, blank cells are NULL.
+
+    Files that may hold line breaks in cells are read whole, one per task; with ``line_breaks=False`` they are split.
+    """
     return spark.read.schema(schema).csv(
-        path, header=True, multiLine=True, nullValue="", escape='"', encoding="UTF-8", enforceSchema=True)
+        path, header=True, multiLine=line_breaks, nullValue="", escape='"', encoding="UTF-8", enforceSchema=True)
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:

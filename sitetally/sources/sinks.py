@@ -11,8 +11,11 @@ from ..functions.cells import join_list
 from .readers import read_csv
 
 
+ROWS_PER_FILE = 1_000_000  # a file with line breaks in cells is read by one task, so files stay small
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).csv(path, header=True, nullValue="", emptyValue="", escape='"')
+    df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).csv(path, header=True, nullValue="", emptyValue="", escape='"')
 
 
 def detections_flat(found: DataFrame) -> DataFrame:
