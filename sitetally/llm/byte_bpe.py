@@ -1,67 +1,61 @@
-"""Token ids of a byte-level BPE vocabulary file, each distinct word encoded once a worker."""
+"""Token ids of a byte-level BPE vocabulary file."""
 
 from __future__ import annotations
 
+import json
 import os
+from functools import lru_cache
 
 import numpy as np
 
+#: How such vocabularies split text before the merges; fixed by the format.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Below this character the libraries' Unicode tables cannot differ.
+PLAIN = "ɐ"
+
 
 class ByteBpe:
     """``encode(text)``: the ids that ``tokenizers`` gives for the whole text, as an array.
 
-    The pre-tokeniser starts a new piece at every single space before a character that is not white space, so a text can
-    be cut there without a change; each part is looked up, and only parts not seen before go to the library. A text with
-    two spaces in a row, or one at its end, goes to the library whole. The memory of parts is bounded.
+    Texts of Latin characters go to ``tiktoken``, set up from the same file, which takes a quarter of the time; all others
+    go to ``tokenizers`` itself. Tests hold both against each other.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.limit = limit
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
-        self.start, self.size = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
-
-    def _learn(self, parts: list[str]) -> None:
-        for part, found in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
-            ids = found.ids
-            k = self.known[part] = len(self.known)
-            if k >= len(self.start):
-                self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.start[k], self.size[k] = self.used, len(ids)
-            self.used += len(ids)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        byte_of = _bytes_of_characters()
+        order = [c for c in model["vocab"] if len(c) == 1 and c in byte_of]
+        order += ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+        ids = [model["vocab"][token] for token in order]
+        # the engine merges by id: usable if the file numbers its merges in their order
+        self.fast = None
+        if ids == sorted(ids):
+            ranks = {bytes(byte_of[c] for c in token): k for token, k in zip(order, ids, strict=True)}
+            self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype=np.uint32)
-        if "  " in text or text[-1] == " ":
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        if len(self.known) > self.limit:
-            self._forget()
-        parts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else _cut(text)
-        if not parts[0]:
-            del parts[0]
-        get = self.known.get
-        at = [get(p) for p in parts]
-        if None in at:
-            self._learn(list(dict.fromkeys(p for p, k in zip(parts, at, strict=True) if k is None)))
-            at = [self.known[p] for p in parts]
-        at = np.array(at)
-        sizes = self.size[at]
-        ends = np.cumsum(sizes)
-        return self.flat[np.repeat(self.start[at] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        if self.fast is not None and max(text) < PLAIN:
+            return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype=np.uint32)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+
+def _bytes_of_characters() -> dict[str, int]:
+    """The format writes printable bytes as themselves, the others as characters from U+0100 on, in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-def _cut(text: str) -> list[str]:
-    first, *rest = text.split(" ")
-    return [first, *(" " + r for r in rest)]
+@lru_cache(maxsize=2)
+def encoder(path: str) -> ByteBpe:
+    """One for all tasks of a worker."""
+    return ByteBpe(path)

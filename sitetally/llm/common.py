@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +75,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]],
 class WordHashes:
     """64-bit hashes of words, remembered; the memory is emptied when full, so its size is bounded."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 800_000):
         from xxhash import xxh3_64_intdigest
 
         self.hash, self.limit, self.known = xxh3_64_intdigest, limit, {}
@@ -84,14 +85,21 @@ class WordHashes:
         if len(known) > self.limit:
             known.clear()
         get = known.get
-        out = [get(w) for w in words]
+        out = list(map(get, words))
         if None in out:
-            for i, (h, w) in enumerate(zip(out, words, strict=True)):
+            for i, h in enumerate(out):
                 if h is None:
+                    w = words[i]
                     out[i] = known[w] = found(w)
         return np.array(out, dtype=np.uint64)
 
 
+@lru_cache(maxsize=1)
+def word_hashes() -> WordHashes:
+    """One for all tasks of a worker."""
+    return WordHashes()
+
+
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash for each run of ``size`` words, in order."""
     n = len(hashes) - size + 1

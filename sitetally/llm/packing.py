@@ -126,9 +126,9 @@ def packed(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
     def make():
         from pyspark import TaskContext
 
-        from .byte_bpe import ByteBpe
+        from .byte_bpe import encoder as shared
 
-        encoder, packer = ByteBpe(vocabulary), Packer(TaskContext.get().partitionId(), tiers, pool, with_ids)
+        encoder, packer = shared(vocabulary), Packer(TaskContext.get().partitionId(), tiers, pool, with_ids)
 
         class Each:
             close = packer.close

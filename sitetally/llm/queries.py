@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_dedup, packing, quality, signature_join
+from . import brown, language, line_dedup, packing, quality, signature_join, vector_graph
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_brown_lm")
+def op1_brown_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, vocabulary = brown.trained(docs.where(remainder("doc_id", 7) != 2))
+    return brown.scored(docs, model, vocabulary).select(
+        "doc_id", F.coalesce(remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
+
+
 @query("op4_language_id")
 def op4_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -113,3 +123,19 @@ def op8_line_dedup(spark, sf_dir):
 @query("op9_packing")
 def op9_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+OP10_SQL = f"""
+WITH RECURSIVE x AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda q: q IS NULL OR NOT isfinite(q))) = 0 AND list_aggregate(embedding, 'max') IS NOT NULL
+  AND (list_aggregate(embedding, 'max') != 0 OR list_aggregate(embedding, 'min') != 0)),
+e AS MATERIALIZED (SELECT p.vec_id AS a, q.vec_id AS b FROM x p JOIN x q ON p.label = q.label AND p.vec_id != q.vec_id
+  WHERE list_cosine_similarity(p.v, q.v) >= {vector_graph.LIMIT}),
+v AS (SELECT vec_id AS id FROM embeddings), {reach_sql('v', 'e')}
+SELECT d.vec_id, (SELECT count(*) FROM e WHERE e.a = d.vec_id) AS n_links, low AS component_id, d.vec_id = low AS kept
+FROM embeddings d JOIN lowest ON lowest.id = d.vec_id"""
+
+
+@query("op10_vector_graph", OP10_SQL)
+def op10_vector_graph(spark, sf_dir):
+    return vector_graph.near_duplicates(table(spark, sf_dir, "embeddings"))

@@ -5,7 +5,7 @@ at least ``PERCENT`` / 100. Equal sets collapse first, so copies cost one row ea
 
 * *Cells.* In a global order of shingles (frequent ones last), linked sets share one of their first
   ``n - ceil(0.8 n) + 1`` shingles. Every set goes to the cells of those; cells with one set are dropped.
-* *Leaders.* Each set of a cell is tried against the cell's smallest set. That joins groups of near copies in one round,
+* *Leaders.* Each set of a cell is tried against the cell's first set. That joins groups of near copies in one round,
   in rows proportional to the memberships and not to their squares.
 * *Trees.* In cells that still hold two components, sets form a tree by size: each node has the OR (and AND) of its
   members' bitmaps, the range of their sizes and of their components. Two nodes are visited together; a pair of nodes is
@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, map_rows, saved, windows
+from .common import WordHashes, map_rows, saved, windows, word_hashes
 from .components import components
 
 WORDS = 5
@@ -65,7 +65,7 @@ def frequent(docs: DataFrame) -> set[int]:
     def make():
         class Each:
             def __init__(self):
-                self.hashes, self.seen = WordHashes(), Counter()
+                self.hashes, self.seen = word_hashes(), Counter()
 
             def __call__(self, body):
                 self.seen.update(shingles(body, self.hashes).astype(np.int64).tolist())
@@ -90,7 +90,7 @@ def sets_of(docs: DataFrame, late: set[int]) -> DataFrame:
     def make():
         from xxhash import xxh3_64_intdigest
 
-        hashes, last, done = WordHashes(), np.sort(sent.value), set()
+        hashes, last, done = word_hashes(), np.sort(sent.value), set()
 
         def each(doc, body):
             doc = doc.decode() if isinstance(doc, bytes) else doc
@@ -107,7 +107,7 @@ def sets_of(docs: DataFrame, late: set[int]) -> DataFrame:
             if len(done) > 200_000:
                 done.clear()
             done.add(f)
-            is_late = np.isin(found, last) if len(last) else np.zeros(n, dtype=bool)
+            is_late = last[np.searchsorted(last[:-1], found)] == found if len(last) else np.zeros(n, dtype=bool)
             cells = np.concatenate([found[~is_late], found[is_late]])[:n - needed(n) + 1]
             yield doc, f, n, cells.astype(np.int64).tolist(), bitmap(found)
         return each
@@ -116,13 +116,24 @@ def sets_of(docs: DataFrame, late: set[int]) -> DataFrame:
 
 
 def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) of ``pairs`` whose sets link, by intersecting the whole sets."""
-    ids = pairs.select(F.col("a").alias("f")).union(pairs.select(F.col("b").alias("f"))).distinct()
-    one = sets.where("f is not null").groupBy("f").agg(F.min("doc_id").alias("doc_id")).join(ids, "f")
+    """The pairs (``a``, ``b``) of ``pairs`` whose sets link, by intersecting the whole sets.
+
+    A set is sent once to each task that has a pair of it: the pairs of a connected group of sets share one task, or, if the
+    group has more than ``BLOCK`` sets, as many as its pairs of blocks.
+    """
+    groups = components(pairs)
+    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    own = groups.join(sizes, "component").select(
+        F.col("id"), F.col("component").alias("c"), F.pmod(F.xxhash64("id"), F.col("blocks")).alias("own"))
+    placed = pairs.join(own.select(F.col("id").alias("a"), "c", F.col("own").alias("p")), "a").join(
+        own.select(F.col("id").alias("b"), F.col("own").alias("q")), "b").select("c", "p", "q", "a", "b")
+    placed = saved(placed, "pairs")
+    ends = placed.select("c", "p", "q", F.explode(F.array("a", "b")).alias("f")).distinct()
+    one = sets.where("f is not null").groupBy("f").agg(F.min("doc_id").alias("doc_id")).join(groups.select(F.col("id").alias("f")), "f")
     texts = docs.select(F.col("doc_id").alias("_d"), "text").where("text is not null")
 
     def hashed():
-        hashes = WordHashes()
+        hashes = word_hashes()
         from xxhash import xxh3_64_intdigest
 
         def each(f, body):
@@ -133,18 +144,47 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
         return each
 
     bodies = map_rows(texts.join(one, F.col("_d") == F.col("doc_id")).select("f", "text"), hashed, "f long, body binary")
-    bodies = saved(bodies.dropDuplicates(["f"]), "bodies")
+    empty = F.lit(None).cast("long")
+    rows = ends.join(bodies, "f").select("c", "p", "q", F.lit(0).alias("kind"), F.col("f").alias("a"), empty.alias("b"), "body")
+    rows = rows.unionByName(placed.select("c", "p", "q", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("body")))
 
     def make():
-        def each(a, b, x, y):
-            x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
+        held: dict[int, np.ndarray] = {}
+        at = None
+
+        def each(c, p, q, kind, a, b, body):
+            nonlocal at
+            if (c, p, q) != at:
+                held.clear()
+                at = c, p, q
+            if not kind:
+                held[a] = np.frombuffer(body, dtype=np.uint64)
+                return
+            x, y = held[a], held[b]
+            if len(x) > len(y):
+                x, y = y, x
+            common = int((y[np.searchsorted(y[:-1], x)] == x).sum())
             if 100 * common >= PERCENT * (len(x) + len(y) - common):
                 yield a, b
         return each
 
-    left = pairs.join(bodies.select(F.col("f").alias("a"), F.col("body").alias("x")), "a")
-    both = left.join(bodies.select(F.col("f").alias("b"), F.col("body").alias("y")), "b").select("a", "b", "x", "y")
+    return map_rows(rows.repartition("c", "p", "q").sortWithinPartitions("c", "p", "q", "kind"), make, "a long, b long")
+
+
+def bounded(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that sizes and bitmaps do not rule out."""
+    bits = sets.where("bits is not null").groupBy("f").agg(F.first("n").alias("n"), F.min("bits").alias("bits"))
+    both = pairs.join(bits.select(F.col("f").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x")), "a").join(
+        bits.select(F.col("f").alias("b"), "n", F.col("bits").alias("y")), "b").select("a", "b", "m", "n", "x", "y")
+
+    def make():
+        def each(a, b, m, n, x, y):
+            x, y = (np.frombuffer(v, dtype=np.uint64) for v in (x, y))
+            common = min(m - int(np.bitwise_count(x & ~y).sum()), n - int(np.bitwise_count(y & ~x).sum()))
+            if (100 + PERCENT) * common >= PERCENT * (m + n):
+                yield a, b
+        return each
+
     return map_rows(both, make, "a long, b long")
 
 
@@ -253,29 +293,28 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links, itself included)."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sets = saved(sets_of(docs, frequent(docs)), "sets")
-    cells = sets.select(F.explode("cells").alias("h"), "f", "n")
-    busy = cells.groupBy("h").agg(F.min("f").alias("lo"), F.max("f").alias("hi"),
-                                  F.min(F.struct("n", "f")).alias("lead")).where("lo != hi").select("h", "lead")
-    members = saved(cells.join(busy, "h").select("h", "f", "n", F.col("lead.f").alias("a"), F.col("lead.n").alias("m")),
-                    "members")
-    # the leader is the smallest set of its cell, so m <= n
-    tried = saved(members.where(f"f != a and {PERCENT} * n <= 100 * m").select("a", F.col("f").alias("b")).distinct(), "pairs")
-    first = saved(verified(docs, sets, tried), "links")
-    groups = components(first)
-
-    grouped = members.select("h", "f", "n").distinct().join(
-        groups.select(F.col("id").alias("f"), "component"), "f", "left").withColumn("c", F.coalesce("component", "f"))
-    grouped = saved(grouped.select("h", "f", "n", "c"), "members")
-    open_cells = grouped.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where(
-        "lo != hi").select("h", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    bits = sets.where("bits is not null").groupBy("f").agg(F.min("bits").alias("bits"))
+    cells = sets.select(F.explode("cells").alias("h"), "f")
+    busy = cells.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").select("h")
+    members = saved(cells.join(busy, "h").distinct(), "members")
+    lead = members.groupBy("h").agg(F.min("f").alias("a"), F.max("f").alias("z")).where("a != z").select("h", "a")
+    tried = saved(members.join(lead, "h").where("f != a").select("a", F.col("f").alias("b")).distinct(), "pairs")
+    first = saved(verified(docs, sets, saved(bounded(sets, tried), "pairs")), "links")
+    groups = components(first).select(F.col("id").alias("f"), "component")
+
+    grouped = members.join(lead.select("h"), "h").join(groups, "f", "left").select("h", "f", F.coalesce("component", "f").alias("c"))
+    grouped = saved(grouped, "members")
+    open_cells = grouped.groupBy("h").agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("f")).alias("same")).where("lo != hi")
+    # cells with the same sets are visited once
+    open_cells = open_cells.groupBy("same", "size").agg(F.min("h").alias("h")).select("h", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    bits = sets.where("bits is not null").groupBy("f").agg(F.first("n").alias("n"), F.min("bits").alias("bits"))
     own = F.pmod(F.xxhash64("f"), F.col("blocks"))
     placed = grouped.join(open_cells, "h").join(bits, "f").withColumn("own", own)
     task = F.struct(F.least("own", "k").alias("p"), F.greatest("own", "k").alias("q"), (F.col("own") > F.col("k")).cast("int").alias("side"))
     placed = placed.withColumn("k", F.explode(F.expr("sequence(0L, blocks - 1)"))).withColumn("t", task)
     placed = placed.select("h", "t.p", "t.q", "t.side", "f", "n", "c", "bits").repartition("h", "p", "q")
     found = _tree_pairs(placed.sortWithinPartitions("h", "p", "q"))
-    rest = found.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+    rest = found.join(tried, ["a", "b"], "left_anti")  # leaders are the smaller ids, as the first of a pair is
     second = saved(verified(docs, sets, saved(rest, "pairs")), "links")
 
     groups = components(first.unionByName(second)).select(F.col("id").alias("f"), "component")
