@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +42,17 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+@lru_cache(maxsize=8)
+def ship_package(context: SparkContext) -> None:
+    """Workers import the functions of this package: send it to them once, as they need not have it installed."""
+    root = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="sitetally-code-")) / "sitetally.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, Path(root.name) / path.relative_to(root))
+    context.addPyFile(str(archive))
+
+
 def rows_to_arrow(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
@@ -52,6 +67,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]],
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship_package(df.sparkSession.sparkContext)
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, language, line_dedup, packing, quality, signature_join, vector_graph
+from . import (
+    brown, html_model, language, licences, line_dedup, packing, quality, sentencepiece_scan, signature_join, vector_graph,
+)
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +44,24 @@ def op1_brown_lm(spark, sf_dir):
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 
+@query("op2_html_model")
+def op2_html_model(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_model.extracted(pages, html_model.trained(pages))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op3_sentencepiece_scan")
+def op3_sentencepiece_scan(spark, sf_dir):
+    """Per document: pieces, chunks, sum of scores, a digest of the ids, and whether the decoded text is the text."""
+    rows = sentencepiece_scan.encoded(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    digest = F.crc32(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"))
+    sums = rows.groupBy("doc", "mark").agg(
+        F.sum(F.size("ids").cast("long")).alias("n_pieces"), F.max("n_chunks").cast("long").alias("n_chunks"),
+        F.sum("score").alias("score"), F.sum(digest).alias("ids_digest"), F.every("round_trip").alias("round_trip"))
+    return sums.select(F.col("doc").alias("doc_id"), "n_pieces", "n_chunks", "score", "ids_digest", "round_trip")
+
+
 @query("op4_language_id")
 def op4_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -51,6 +71,54 @@ def op4_language_id(spark, sf_dir):
         "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def document_files(docs: DataFrame) -> DataFrame:
+    """Documents as files: a folder for each source, language and order of length; a short text that speaks of a licence
+    stands for the licence file of its source and language."""
+    name, base = F.col("doc_id").cast("string"), F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("und")))
+    is_licence = (F.length("text") < 400) & F.lower("text").contains("licen")
+    order = F.floor(F.log2(F.coalesce(F.length("text"), F.lit(0)) + 1)).cast("string")
+    path = F.when(is_licence, F.concat(base, F.lit("/LICENSE-"), name)).otherwise(F.concat(base, F.lit("/"), order, F.lit("/"), name))
+    return docs.select("doc_id", path.alias("path"), "text")
+
+
+_TEMPLATE_ROWS = ", ".join(f"('{n}', {k}, '{t}', {licences._terms(x).count(t)})" for n, texts in licences.TEMPLATES.items()
+                           for k, x in enumerate(texts) for t in sorted(set(licences._terms(x))))
+_SPLIT = r"list_filter(list_transform(string_split_regex(lower({0}), '[^a-z0-9.\-]+'), lambda w: trim(w, '.-')), lambda w: w != '')"
+OP5_SQL = rf"""
+WITH t(licence, k, term, n) AS (VALUES {_TEMPLATE_ROWS}),
+d AS (SELECT doc_id, text, coalesce(source, 'none') || '/' || coalesce(lang, 'und') AS base, length(text) < 400 AND
+      lower(text) LIKE '%licen%' AS is_licence, floor(log2(coalesce(length(text), 0) + 1))::INT::VARCHAR AS ord FROM documents),
+f AS (SELECT *, CASE WHEN is_licence THEN base || '/LICENSE-' || doc_id ELSE base || '/' || ord || '/' || doc_id END AS path,
+      CASE WHEN is_licence THEN base ELSE base || '/' || ord END AS dir FROM d),
+df AS (SELECT term, count(DISTINCT doc_id) AS c FROM (SELECT doc_id, unnest(list_distinct({_SPLIT.format('text')})) AS term FROM f)
+       WHERE term IN (SELECT term FROM t) GROUP BY term),
+total AS (SELECT count(*) AS n FROM documents),
+idf AS (SELECT v.term, ln((1 + total.n) / (1 + coalesce(c, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM t) v LEFT JOIN df USING (term), total),
+q AS (SELECT licence, k, term, n * idf / sqrt(sum((n * idf) ** 2) OVER (PARTITION BY licence, k)) AS q FROM t JOIN idf USING (term)),
+s AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS statement FROM f UNION ALL SELECT doc_id, text FROM f WHERE is_licence),
+b AS (SELECT DISTINCT statement FROM s),
+c AS (SELECT statement, term, count(*) AS n FROM (SELECT statement, unnest({_SPLIT.format('statement')}) AS term FROM b) GROUP BY ALL),
+w AS (SELECT statement, c.term, c.n * coalesce(idf, (SELECT ln(1 + n) + 1 FROM total)) AS w FROM c LEFT JOIN idf ON idf.term = c.term),
+norm AS (SELECT statement, sqrt(sum(w * w)) AS norm FROM w GROUP BY statement),
+score AS (SELECT statement, licence, round(sum(w * q) / any_value(norm), 6) AS score FROM w JOIN q USING (term) JOIN norm USING (statement)
+          GROUP BY statement, licence, k),
+own AS (SELECT doc_id, licence, score FROM s JOIN score USING (statement) WHERE score >= {licences.ACCEPT}
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1),
+per_dir AS (SELECT dir, licence, score FROM f JOIN own USING (doc_id) WHERE is_licence
+        QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path, licence) = 1),
+near AS (SELECT f.doc_id, p.dir, p.licence, p.score FROM f JOIN per_dir p ON f.dir = p.dir OR starts_with(f.dir, p.dir || '/')
+        QUALIFY row_number() OVER (PARTITION BY f.doc_id ORDER BY length(p.dir) DESC) = 1)
+SELECT f.doc_id, path, coalesce(own.licence, near.licence) AS licence, coalesce(own.score, near.score) AS score,
+  CASE WHEN own.licence IS NOT NULL THEN 'own' WHEN near.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+  CASE WHEN own.licence IS NULL THEN near.dir END AS origin_dir FROM f LEFT JOIN own USING (doc_id) LEFT JOIN near USING (doc_id)"""
+
+
+@query("op5_licence_scan", OP5_SQL)
+def op5_licence_scan(spark, sf_dir):
+    files = document_files(table(spark, sf_dir, "documents"))
+    return licences.scanned(files, key="doc_id").withColumnRenamed("key", "doc_id")
+
+
 _WORD = r"'[^\x20\x09-\x0D]+'"
 OP6_SQL = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, saved
+from .common import map_rows, saved, ship_package
 
 CHUNK, GROUP = 8192, 64
 UNKNOWN = 10
@@ -273,6 +273,7 @@ def encoded(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str
     ``round_trip`` (whether they decode to the text they came from)."""
     data = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
     kind = f"doc {data.schema['doc'].dataType.simpleString()}, mark long"
+    ship_package(data.sparkSession.sparkContext)
 
     def first_pass():
         p = pieces(vocabulary)

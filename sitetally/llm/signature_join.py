@@ -26,7 +26,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordHashes, map_rows, saved, windows, word_hashes
@@ -37,6 +37,7 @@ PERCENT = 80
 BITS = 2048
 LEAF, FAN = 8, 8
 BLOCK = 2048
+MARK_BITS = 18  # log2 of the 64-bit words of the bitmap of needed texts: 2 MB
 ORDER_SAMPLE, MANY, MOST_FREQUENT = 64, 6, 1 << 16
 
 
@@ -115,6 +116,19 @@ def sets_of(docs: DataFrame, late: set[int]) -> DataFrame:
     return map_rows(docs.select("doc_id", "text"), make, f"doc_id {kind}, f long, n int, cells array<long>, bits binary")
 
 
+def _place(doc_id: str) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(64 << MARK_BITS))
+
+
+def _marked(ids: DataFrame) -> np.ndarray:
+    """Bitmap of the hashes of ``doc_id``: its size is fixed, so with many ids it only lets more through."""
+    place = ids.select(_place("doc_id").alias("p"))
+    words = place.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("b")).toPandas()
+    out = np.zeros(1 << MARK_BITS, dtype=np.int64)
+    out[words["w"].to_numpy(dtype=np.int64)] = words["b"]
+    return out.view(np.uint64)
+
+
 def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) of ``pairs`` whose sets link, by intersecting the whole sets.
 
@@ -130,20 +144,22 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     placed = saved(placed, "pairs")
     ends = placed.select("c", "p", "q", F.explode(F.array("a", "b")).alias("f")).distinct()
     one = sets.where("f is not null").groupBy("f").agg(F.min("doc_id").alias("doc_id")).join(groups.select(F.col("id").alias("f")), "f")
-    texts = docs.select(F.col("doc_id").alias("_d"), "text").where("text is not null")
+    sent = docs.sparkSession.sparkContext.broadcast(_marked(one))
 
     def hashed():
-        hashes = word_hashes()
+        hashes, bits = word_hashes(), sent.value
         from xxhash import xxh3_64_intdigest
 
-        def each(f, body):
-            found = shingles(body, hashes).tobytes()
-            own = xxh3_64_intdigest(found)
-            if own - ((own >= 1 << 63) << 64) == f:  # another text under a repeated id has another set
-                yield f, found
+        def each(place, body):
+            if int(bits[place >> 6]) >> (place & 63) & 1:
+                found = shingles(body, hashes).tobytes()
+                f = xxh3_64_intdigest(found)
+                yield f - ((f >= 1 << 63) << 64), found
         return each
 
-    bodies = map_rows(texts.join(one, F.col("_d") == F.col("doc_id")).select("f", "text"), hashed, "f long, body binary")
+    # texts are not shuffled: most of those that are not needed are known by a bitmap of fixed size, the rest by the join
+    texts = docs.where("text is not null and doc_id is not null").select(_place("doc_id"), "text")
+    bodies = map_rows(texts, hashed, "f long, body binary")
     empty = F.lit(None).cast("long")
     rows = ends.join(bodies, "f").select("c", "p", "q", F.lit(0).alias("kind"), F.col("f").alias("a"), empty.alias("b"), "body")
     rows = rows.unionByName(placed.select("c", "p", "q", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("body")))
