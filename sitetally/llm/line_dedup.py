@@ -28,7 +28,9 @@ SHINGLE = 12
 SIMILAR = 0.8
 BANDS, ROWS = 6, 2
 SMALL = 64
-_WORDS = rf"(?:^|[\x20\x09-\x0D]+)(?=([^\x20\x09-\x0D][^\n]{{0,{SHINGLE - 1}}}))"
+SPACES = " \t\x0b\f\r"
+_WORDS = rf"(?:^|[\x20\x09-\x0D]++)(?=([^\x20\x09-\x0D].{{0,{SHINGLE - 1}}}))"
+MARK_BITS = 17  # log2 of the 64-bit words of the bitmap of needed lines: at most 131,072 rows are broadcast
 
 
 def shingle_hashes(line: Column) -> Column:
@@ -49,18 +51,26 @@ def bands(hashes: Column) -> Column:
 def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id``, ``mark`` (hash of the text), ``line_no``, ``line``, ``body`` (as compared) of every line."""
     lines = docs.select("doc_id", F.xxhash64(text).alias("mark"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    return lines.withColumn("body", F.lower(F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")))
+    return lines.withColumn("body", F.lower(F.btrim("line", F.lit(SPACES))))
 
 
-def _verified(lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = lines.select(F.xxhash64("body").alias("id"), "body").join(ids, "id", "left_semi")
-    sets = saved(sets.groupBy("id").agg(F.first("body").alias("body")).select(
-        "id", F.array_distinct(shingle_hashes(F.col("body"))).alias("s")), "lines")
+def shingle_sets(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id``, ``s`` of the lines in ``ids``. A bitmap of fixed size leaves out most others before anything is shuffled."""
+    place = F.pmod("id", F.lit(64 << MARK_BITS))
+    bits = ids.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("b"))
+    marked = lines.select(F.xxhash64("body").alias("id"), "body").withColumn("p", place)
+    some = marked.join(F.broadcast(bits), F.shiftright("p", 6) == F.col("w")).where("bit_get(b, cast(p & 63 AS int)) = 1")
+    once = some.groupBy("id").agg(F.first("body").alias("body")).join(ids, "id", "left_semi")
+    return saved(once.select("id", F.array_distinct(shingle_hashes(F.col("body"))).alias("s")), "sets")
+
+
+def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
+    near = both.where((F.size("x") >= SIMILAR * F.size("y")) & (F.size("y") >= SIMILAR * F.size("x")))
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(common >= SIMILAR * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return near.where(common >= SIMILAR * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
 def _grouped(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -82,24 +92,24 @@ def similar_lines(lines: DataFrame, hashed: DataFrame) -> DataFrame:
     every = one.select(F.explode("other").alias("key"), "id", "other")
     held = every.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
     members = saved(every.join(held, "key"), "buckets")
-    links = [_verified(lines, saved(_leaders(members), "pairs"))]
+    sets = shingle_sets(lines, members.select("id").distinct())
+    links = [saved(_verified(sets, saved(_leaders(members), "pairs")), "links")]
     all_links = lambda: reduce(DataFrame.unionByName, links)
-    links[0] = saved(links[0], "links")
     for depth in range(3):
         members = _grouped(members, all_links())
         few = members.where(F.col("size") <= SMALL).select("key", "id", "c")
         pairs = few.join(few.select("key", F.col("id").alias("b"), F.col("c").alias("d")), "key").where("id < b and c != d")
-        links.append(saved(_verified(lines, saved(pairs.select(F.col("id").alias("a"), "b").distinct(), "pairs")), "links"))
+        links.append(saved(_verified(sets, saved(pairs.select(F.col("id").alias("a"), "b").distinct(), "pairs")), "links"))
         members = members.where(F.col("size") > SMALL)
         if depth == 2 or members.isEmpty():
             break
         again = F.transform("other", lambda x: F.xxhash64("key", x))
         members = saved(members.select(F.explode(again).alias("key"), "id", "other").distinct(), "buckets")
-        links.append(saved(_verified(lines, saved(_leaders(members), "pairs")), "links"))
+        links.append(saved(_verified(sets, saved(_leaders(members), "pairs")), "links"))
     while not members.isEmpty():
         members = _grouped(members.select("key", "id", "other"), all_links())
         heads = members.groupBy("key", "c").agg(F.min("id").alias("id"))
-        new = saved(_verified(lines, saved(_leaders(heads), "pairs")), "links")
+        new = saved(_verified(sets, saved(_leaders(heads), "pairs")), "links")
         if new.isEmpty():
             break
         links.append(new)
@@ -110,9 +120,10 @@ def judged_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id``, ``mark``, ``line_no``, ``id``, ``chars``, ``kept`` of every line; blank lines have no id."""
     lines = lines_of(docs.select("doc_id", F.col(text).alias("text")))
     filled = F.col("body") != ""
-    rows = saved(lines.select(
+    hashed = lines.withColumn("h", F.when(filled, shingle_hashes(F.col("body"))))  # a step of its own: bands use it often
+    rows = saved(hashed.select(
         "doc_id", "mark", "line_no", F.length("line").alias("chars"), F.when(filled, F.xxhash64("body")).alias("id"),
-        F.when(filled, bands(shingle_hashes(F.col("body")))).alias("bands")), "lines")
+        F.when(filled, bands(F.col("h"))).alias("bands")), "lines")
     links = similar_lines(lines.where(filled), rows.where("id is not null"))
     of = components(links)
     place = F.struct("doc_id", "mark", "line_no")
