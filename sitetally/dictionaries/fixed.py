@@ -99,14 +99,3 @@ JOB_TEXT_VENDORS = (
 SEARCH_ALTERNATIVES = (
     "Open Dental", "Dentrix", "Eaglesoft", "Curve Dental", "Denticon", "Practice-Web", "Dolphin",
 )
-
-# Named character references that are decoded.
-ENTITIES = (
-    ("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("copy", "©"),
-    ("reg", "®"), ("trade", "™"), ("middot", "·"), ("bull", "•"), ("hellip", "…"),
-    ("ndash", "–"), ("mdash", "—"), ("lsquo", "‘"), ("rsquo", "’"), ("ldquo", "“"),
-    ("rdquo", "”"), ("laquo", "«"), ("raquo", "»"), ("times", "×"), ("deg", "°"),
-    ("euro", "€"), ("pound", "£"), ("cent", "¢"), ("sect", "§"), ("eacute", "é"),
-    ("egrave", "è"), ("agrave", "à"), ("ccedil", "ç"), ("auml", "ä"), ("ouml", "ö"),
-    ("uuml", "ü"), ("szlig", "ß"), ("ntilde", "ñ"), ("amp", "&"),
-)

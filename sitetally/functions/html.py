@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..dictionaries.fixed import ENTITIES
-
-LINK = r"(?i)<a\b[^>]*?[\s\"']href\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
-LINK_REST = r"(?i)^<a\b[^>]*?[\s\"']href\s*=\s*[\"']?|[\"']$"
-MARKUP = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<[!/?a-z][^>]*>"
+_QUOTED = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+UNSEEN = (r"(?is)<!--.*?(?:-->|\z)|<script\b" + _QUOTED + r">.*?(?:</script\s*>|\z)|<style\b" + _QUOTED + r">.*?(?:</style\s*>|\z)")
+ANCHOR = r"(?i)<a(?=[\s/])" + _QUOTED + ">"
+ATTRIBUTE = r"[^\s=>\"'/<]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+))?"
+MARKUP = UNSEEN + r"|<[!/?a-z]" + _QUOTED + ">|<[!/?a-z][^>]*>"
 GAP = "\u0001"
-REFERENCE = "&(?!amp;)(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+#: All named references of the standard, as the standard library has them.
+NAMED = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
 
 
 def unescape(text: Column) -> Column:
-    """Named references of the fixed table and numeric references as characters; the ampersand last.
+    """Named and numeric references as characters; the ampersand last.
 
-    Only the references that occur in a text are replaced in it, each in one go.
+    Only the references that occur in a text are replaced in it, each in one go; a text without any is left as it is.
     """
-    named = F.create_map(*[F.lit(x) for pair in ENTITIES for x in pair])
+    named = F.map_from_arrays(F.lit(list(NAMED)), F.lit(list(NAMED.values())))
 
     def put(acc: Column, code: Column) -> Column:
         number = F.when(code.rlike("^#[xX]"), F.conv(F.substring(code, 3, 8), 16, 10)).otherwise(
@@ -30,13 +34,24 @@ def unescape(text: Column) -> Column:
         return F.coalesce(F.replace(acc, F.concat(F.lit("&"), code, F.lit(";")), known), acc)
 
     codes = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)))
-    return F.replace(F.aggregate(codes, text, put), F.lit("&amp;"), F.lit("&"))
+    others = F.filter(codes, lambda c: ~c.isin("amp", "AMP"))
+    decoded = F.replace(F.replace(F.aggregate(others, text, put), F.lit("&AMP;"), F.lit("&")), F.lit("&amp;"), F.lit("&"))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
 def page_links(html: Column) -> Column:
-    """Every ``<a href>`` in page order, unescaped and trimmed, ``mailto:`` left out, duplicates kept."""
-    tags = F.regexp_extract_all(html, F.lit(LINK), F.lit(0))
-    links = F.transform(tags, lambda a: F.trim(unescape(F.regexp_replace(a, LINK_REST, ""))))
+    """Every ``<a href>`` in page order, unescaped and trimmed, ``mailto:`` left out, duplicates kept.
+
+    Comments, scripts and styles hold no links; ``>`` inside a quoted attribute does not end a tag.
+    """
+    seen = F.when(html.rlike(r"(?i)<!--|<script\b|<style\b"), F.regexp_replace(html, UNSEEN, GAP)).otherwise(html)
+    tags = F.regexp_extract_all(seen, F.lit(ANCHOR), F.lit(0))
+
+    def href(tag: Column) -> Column:
+        own = F.filter(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0)), lambda x: F.lower(x).rlike(r"^href\s*="))
+        return F.regexp_replace(F.get(own, 0), r"(?i)^href\s*=\s*[\"']?|[\"']$", "")
+
+    links = F.transform(F.filter(F.transform(tags, href), lambda h: h.isNotNull()), lambda h: F.trim(unescape(h)))
     return F.filter(links, lambda h: ~h.startswith("mailto:"))
 
 

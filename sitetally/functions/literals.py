@@ -97,6 +97,8 @@ def required_literals(regex: str) -> list[str] | None:
         if found is None:
             return None
         out += found
+    if not all(x.isascii() for x in out):
+        return None  # folding a whole text can depend on the place of a letter, such as the Greek sigma at a word's end
     return sorted({fold_text(x) for x in out})
 
 

@@ -43,17 +43,34 @@ def unquote(text: Column) -> Column:
     return F.when(text.contains("%"), F.coalesce(decoded, text)).otherwise(text)
 
 
+def _without_dots(url: Column) -> Column:
+    """``.`` and ``..`` segments of the path resolved; ``..`` at the root is dropped. Query and fragment stay."""
+    origin = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
+    rest = F.regexp_extract(F.substring(url, F.length(origin) + 1, F.length(url)), r"^([^?#]*)(.*)$", 2)
+    path = F.regexp_extract(F.substring(url, F.length(origin) + 1, F.length(url)), r"^([^?#]*)", 1)
+    parts = F.split(F.substring(path, 2, F.length(path)), "/")
+    kept = F.aggregate(
+        parts, F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(
+            F.array_append(acc, x)))
+    last = F.element_at(parts, -1)
+    kept = F.when(last.isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
+    clean = F.concat(origin, F.lit("/"), F.array_join(kept, "/"), rest)
+    return F.when((origin != "") & path.rlike(r"(^|/)\.\.?(/|$)"), clean).otherwise(url)
+
+
 def resolve_url(base: Column, href: Column) -> Column:
     """Target of a link found on ``base``.
 
     Absolute URLs stay; ``//host/x`` takes the scheme; ``/x`` replaces the path; ``?q`` and ``#f`` replace query and
-    fragment; an empty link is the page without its fragment; anything else replaces the last path segment.
+    fragment; an empty link is the page without its fragment; anything else replaces the last path segment. Dot segments of
+    a link that is not absolute are resolved.
     """
     no_fragment = F.regexp_replace(base, "#.*$", "")
     no_query = F.regexp_replace(base, r"[?#].*$", "")
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     folder = F.concat(origin, F.regexp_extract(F.substring(no_query, F.length(origin) + 1, F.length(base)), "^(.*/)", 1))
-    return (
+    return _without_dots_unless(href.rlike(_SCHEME), (
         F.when(F.coalesce(href, F.lit("")) == "", no_fragment)
         .when(href.rlike(_SCHEME), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 0), href))
@@ -62,7 +79,11 @@ def resolve_url(base: Column, href: Column) -> Column:
         .when(href.startswith("#"), F.concat(no_fragment, href))
         .when(F.length(folder) == F.length(origin), F.concat(origin, F.lit("/"), href))
         .otherwise(F.concat(folder, href))
-    )
+    ))
+
+
+def _without_dots_unless(absolute: Column, url: Column) -> Column:
+    return F.when(absolute | ~url.contains("/."), url).otherwise(_without_dots(url))
 
 
 def target_urls(website: Column) -> Column:

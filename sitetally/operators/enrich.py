@@ -19,7 +19,7 @@ def normalize_search(first: DataFrame, second: DataFrame) -> DataFrame:
     """
     answered = first.where(F.size("webPages.value") > 0)
     a = answered.select("id", "offset", F.posexplode("webPages.value").alias("pos", "hit"))
-    rest = lookup_join(second, answered.select("id").distinct(), "id", "offset", "left_anti")
+    rest = lookup_join(second, answered.select("id").distinct(), "id", "left_anti")
     b = rest.select("id", "offset", F.posexplode("organic_results").alias("pos", "r"))
     rank = (F.col("offset") + F.col("pos")).alias("rank")
     return a.select("id", rank, "hit.name", "hit.url", "hit.snippet").unionByName(b.select(

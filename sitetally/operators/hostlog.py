@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..functions.cells import pct
-from .skew import MIN_HOT_ROWS, OrderedRows, micros_of
+from .skew import OrderedRows, micros_of
 
 ORDER = ("ts", "seq")
 
@@ -53,26 +53,26 @@ def _with_stop(rows: OrderedRows) -> OrderedRows:
         local={}, result={"stopped": F.col("stops_before") > 0})
 
 
-def error_runs(log: DataFrame, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def error_runs(log: DataFrame, segments: int | None = None) -> DataFrame:
     """Every request with its error run and whether the host had been stopped before."""
-    rows = OrderedRows.of(requests(log), ["host"], ORDER, min_rows)
+    rows = OrderedRows.of(requests(log), ["host"], ORDER, segments)
     return _with_stop(rows.run_since({"error_run": _error_run()})).rows().drop("stops_before")
 
 
-def backoff_series(log: DataFrame, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def backoff_series(log: DataFrame, segments: int | None = None) -> DataFrame:
     """Every request with the backoff in force after it."""
-    rows = OrderedRows.of(requests(log), ["host"], ORDER, min_rows).run_since({"slow_run": _slow_run()})
+    rows = OrderedRows.of(requests(log), ["host"], ORDER, segments).run_since({"slow_run": _slow_run()})
     return rows.rows().withColumn("backoff", _backoff()).drop("slow_run")
 
 
-def politeness(log: DataFrame, base: float = params.DELAY_BASE_SECONDS, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def politeness(log: DataFrame, base: float = params.DELAY_BASE_SECONDS, segments: int | None = None) -> DataFrame:
     """Delay required before each request against the gap to the request before it.
 
     Required is the largest of the base delay, the crawl delay and the backoff in force. The first request of a host has
     no gap and is never early.
     """
     timed = requests(log).withColumn("us", micros_of(log, "ts"))
-    rows = OrderedRows.of(timed, ["host"], ORDER, min_rows).run_since({"slow_run": _slow_run()})
+    rows = OrderedRows.of(timed, ["host"], ORDER, segments).run_since({"slow_run": _slow_run()})
     rows = rows.cut().last_known({"us_before": F.col("us"), "backoff_before": _backoff()}, before=True)
     required = F.greatest(F.lit(base), F.coalesce("crawl_delay", F.lit(0.0)), F.coalesce("backoff_before", F.lit(0.0)))
     gap = (F.col("us") - F.col("us_before")) / F.lit(1e6)
@@ -81,14 +81,13 @@ def politeness(log: DataFrame, base: float = params.DELAY_BASE_SECONDS, min_rows
         "us", "us_before", "backoff_before", "slow_run")
 
 
-def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: bool = True,
-                min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: bool = True, segments: int | None = None) -> DataFrame:
     """Metrics per host over the requests made until the host was stopped, in one pass over the log.
 
     ``evidence``: ``host, pos, url``, at most five per host. Beside the older final values there are a true maximum of
     the backoff and counters for what used to be uncounted: other 5xx and no response.
     """
-    runs = OrderedRows.of(log, ["host"], ORDER, min_rows).run_since({"error_run": _error_run(), "slow_run": _slow_run()})
+    runs = OrderedRows.of(log, ["host"], ORDER, segments).run_since({"error_run": _error_run(), "slow_run": _slow_run()})
     rows = _with_stop(runs).rows().withColumn("backoff", _backoff())
     made = _made() & ~F.col("stopped") if apply_stop else _made()
     s = F.when(made, F.col("status"))
@@ -127,6 +126,18 @@ def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: b
         F.coalesce("urls", F.lit("")).alias("sample_evidence_urls"))
 
 
+def host_states(log: DataFrame, segments: int | None = None) -> DataFrame:
+    """Counters, final run and backoff, and whether the host was stopped: what the stream keeps per host, from a whole log."""
+    runs = OrderedRows.of(requests(log), ["host"], ORDER, segments).run_since({"error_run": _error_run(), "slow_run": _slow_run()})
+    made = _with_stop(runs).rows().where(~F.col("stopped")).withColumn("backoff", _backoff())
+    at, s = F.struct(*ORDER), F.col("status")
+    stop = (F.col("error_run") >= params.MAX_ERROR_RUN) | F.coalesce(s == 403, F.lit(False))
+    return made.groupBy("host").agg(
+        F.count("*").alias("pages_attempted"), F.count_if(s.between(200, 299)).alias("pages_fetched"),
+        F.count_if("challenge").alias("captcha_hits"), F.max_by("error_run", at).alias("consec_errors_final"),
+        F.max_by("backoff", at).alias("backoff_seconds_final"), F.bool_or(stop).alias("stopped"))
+
+
 def run_totals(detections: DataFrame) -> DataFrame:
     """Rows attempted, kept and failed, and the failure rate. Needs a boolean ``success``."""
     n, ok = F.count(F.lit(1)), F.count_if("success")
@@ -139,14 +150,13 @@ def alert(totals: DataFrame, threshold_pct: float = params.FAIL_ALERT_PCT) -> Da
     return totals.where(F.col("fail_rate") >= F.lit(threshold_pct)).withColumns({
         "threshold": F.lit(threshold_pct),
         "message": F.format_string(
-            "High failure rate (%.2f%%) >= threshold (%.1f%%)", F.col("fail_rate"), F.lit(threshold_pct))})
+            "%.2f%% of the sites failed; the limit is %.1f%%", F.col("fail_rate"), F.lit(threshold_pct))})
 
 
-def progress_marks(rows: DataFrame, order: tuple[str, ...], every: int = params.PROGRESS_EVERY,
-                   min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def progress_marks(rows: DataFrame, order: tuple[str, ...], every: int = params.PROGRESS_EVERY, segments: int | None = None) -> DataFrame:
     """Running totals at every ``every``-th row. Needs a boolean ``success``."""
     one = F.lit(1).cast("long")
-    ordered = OrderedRows.of(rows.select(F.lit(0).alias("all"), "success", *order), ["all"], order, min_rows)
+    ordered = OrderedRows.of(rows.select(F.lit(0).alias("all"), "success", *order), ["all"], order, segments)
     ordered = ordered.running_sum({"attempted": one, "succeeded": F.col("success").cast("long")})
     marks = ordered.rows().where(F.col("attempted") % every == 0)
     total = rows.agg(F.count(F.lit(1))).scalar()
@@ -155,7 +165,7 @@ def progress_marks(rows: DataFrame, order: tuple[str, ...], every: int = params.
 
 
 def budget_calls(calls: DataFrame, caps: dict[str, int], order: tuple[str, ...],
-                 warn_at: int = params.SOURCE_1_WARN_AT, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+                 warn_at: int = params.SOURCE_1_WARN_AT, segments: int | None = None) -> DataFrame:
     """Every call with its running number and spend in its source, and whether the cap still allows it.
 
     ``caps`` by source; a source without a cap is unlimited.
@@ -163,7 +173,7 @@ def budget_calls(calls: DataFrame, caps: dict[str, int], order: tuple[str, ...],
     cap = F.lit(None).cast("long")
     for source, n in caps.items():
         cap = F.when(F.col("source") == source, F.lit(n).cast("long")).otherwise(cap)
-    rows = OrderedRows.of(calls, ["source"], order, min_rows)
+    rows = OrderedRows.of(calls, ["source"], order, segments)
     rows = rows.running_sum({"call_no": F.lit(1).cast("long"), "spend": F.col("unit_cost")}).rows()
     return rows.withColumns({
         "within_cap": F.coalesce(F.col("call_no") <= cap, F.lit(True)),

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params
 from ..functions.urls import target_urls
-from .skew import MIN_HOT_ROWS, OrderedRows, lookup_join, top_k
+from .skew import OrderedRows, lookup_join, top_k
 
 
 def label_source(listings: DataFrame, source: str) -> DataFrame:
@@ -66,18 +66,18 @@ def known_rows(existing: DataFrame) -> DataFrame:
     return existing.where((F.coalesce("name", F.lit("")) != "") & (F.coalesce("address", F.lit("")) != ""))
 
 
-def _by_key(existing: DataFrame, new: DataFrame, order: Sequence[str]) -> DataFrame:
+def _by_key(existing: DataFrame, new: DataFrame, order: Sequence[str], complete: bool = True) -> DataFrame:
     """Per key: is it known, how many new rows, and the first of them. Copies are combined before the shuffle."""
     columns = new.columns
-    known = known_rows(existing).select(*dedup_key(), F.lit(True).alias("known"))
+    known = (known_rows(existing) if complete else existing).select(*dedup_key(), F.lit(True).alias("known"))
     fresh = new.select(*dedup_key(), F.lit(False).alias("known"), F.struct(*order).alias("at"), F.struct(*columns).alias("row"))
     return known.unionByName(fresh, allowMissingColumns=True).groupBy("name_key", "address_key").agg(
         F.bool_or("known").alias("known"), F.count("row").alias("n_new"), F.min_by("row", "at").alias("row"))
 
 
-def new_listings(existing: DataFrame, new: DataFrame, order: Sequence[str]) -> DataFrame:
-    """First new row of every key that is not among the existing ones."""
-    return _by_key(existing, new, order).where(~F.col("known") & F.col("row").isNotNull()).select("row.*")
+def new_listings(existing: DataFrame, new: DataFrame, order: Sequence[str], complete: bool = True) -> DataFrame:
+    """First new row of every key that is not among the existing ones (only the ``complete`` ones of them count, if asked)."""
+    return _by_key(existing, new, order, complete).where(~F.col("known") & F.col("row").isNotNull()).select("row.*")
 
 
 def dedup_listings(existing: DataFrame, new: DataFrame, order: Sequence[str],
@@ -99,18 +99,18 @@ def dedup_stats(existing: DataFrame, new: DataFrame, order: Sequence[str]) -> Da
     return keys.agg(total.alias("n_input"), added.alias("n_added"), (total - added).alias("n_skipped"))
 
 
-def with_ids(listings: DataFrame, group: str, groups: Sequence[int], order: Sequence[str],
-             min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Dense ids from 1 in the order ``group``, ``order``; ``groups`` are the few values ``group`` can have.
+def with_ids(listings: DataFrame, group: str, order: Sequence[str], segments: int | None = None) -> DataFrame:
+    """Dense ids from 1 in the order ``group``, ``order``; NULL groups come first.
 
-    Rows are numbered inside each group, a large group segment by segment, then shifted by the rows of the groups before.
+    Rows are numbered inside each group segment by segment, then shifted by the rows of the groups before. The groups are
+    counted once; their number decides how much the small table of offsets has to sort.
     """
-    numbered = OrderedRows.of(listings, [group], order, min_rows).running_sum({"n": F.lit(1).cast("long")}).rows()
-    offset = F.lit(0).cast("long")
-    for g in groups:
-        before = listings.where(F.col(group) < g).agg(F.count(F.lit(1))).scalar()
-        offset = F.when(F.col(group) == g, before).otherwise(offset)
-    return numbered.withColumn("id", F.col("n") + offset).drop("n")
+    numbered = OrderedRows.of(listings, [group], order, segments).running_sum({"n": F.lit(1).cast("long")}).rows()
+    counts = numbered.groupBy(group).agg(F.max("n").alias("size"))
+    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col(group).alias("_group"), F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_offset"))
+    joined = numbered.join(offsets, numbered[group].eqNullSafe(offsets["_group"]))
+    return joined.withColumn("id", F.col("n") + F.col("_offset")).drop("n", "_group", "_offset")
 
 
 def practice_captures(practices: DataFrame, captures: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def practice_captures(practices: DataFrame, captures: DataFrame) -> DataFrame:
     pages = captures.groupBy("site").agg(
         F.count(F.lit(1)).alias("n_pages"), F.count_if(F.col("status") < 400).alias("n_ok"),
         F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
-    return lookup_join(practices, pages, "site", "id", "inner")
+    return lookup_join(practices, pages, "site", "inner")
 
 
 def cap_pages(captures: DataFrame, n: int = params.PAGES_PER_HOST) -> DataFrame:

@@ -157,18 +157,18 @@ def site_features(captures: DataFrame, patterns: Sequence[Pattern], evidence: st
                   markers: tuple[str, ...] = CHALLENGE_MARKERS) -> DataFrame:
     """One row per site with every detection column.
 
-    Facts are combined per (site, kind, key) before any list is built. A list then holds at most one entry per pattern,
-    five URLs per category (a limit of the output format) and one evidence URL per candidate page; the unabridged
-    evidence is the table of :func:`sitetally.operators.patterns.evidence_pages`.
+    Facts are combined per (site, kind, key) before any list is built. A list then holds at most one entry per pattern and
+    five URLs per category (a limit of the output format); the evidence list has every evidence URL of the site once.
     """
     facts = _facts(captures, patterns, evidence, rules, mode, markers)
     once = facts.groupBy("site", "kind", "key").agg(F.min(F.struct("section", "seq", "pos", "value", "status")).alias("f"))
-    most = max(len(patterns), params.CANDIDATE_PAGES)
-    allowed = F.when(F.col("kind").isin(*rules), params.URLS_PER_CELL).when(
-        F.col("kind") == "evidence", params.CANDIDATE_PAGES).otherwise(most)
-    kept = top_k(once, ["site", "kind"], [F.col("f"), F.col("key")], most).where(F.col("rank") <= allowed)
+    most = max(len(patterns), params.URLS_PER_CELL)
+    is_evidence = F.col("kind") == "evidence"
+    allowed = F.when(F.col("kind").isin(*rules), params.URLS_PER_CELL).otherwise(most)
+    kept = top_k(once.where(~is_evidence), ["site", "kind"], [F.col("f"), F.col("key")], most).where(F.col("rank") <= allowed)
+    kept = kept.unionByName(once.where(is_evidence).withColumn("rank", F.lit(0)))
     prio = F.when(F.col("kind") == "hit", F.col("key").cast("int"))
-    kept = kept.select("site", "kind", "rank", prio.alias("prio"), "f.value", "f.status").withColumns(
+    kept = kept.select("site", "kind", "rank", prio.alias("prio"), "f.seq", "f.value", "f.status").withColumns(
         P.describe(F.col("prio"), patterns))
 
     def listed(condition, *order):
@@ -184,7 +184,7 @@ def site_features(captures: DataFrame, patterns: Sequence[Pattern], evidence: st
         *[listed(category == c, "prio").alias(f"{c}_hits") for c in ("booking", "forms", "payments", "other", "phone")],
         F.array_distinct(F.transform(F.array_sort(software), lambda x: F.struct(
             x["vendor"].alias("vendor"), x["strength"].alias("strength"), x["value"].alias("value")))).alias("software"),
-        listed(kind == "evidence", "rank").alias("evidence_urls"),
+        listed(kind == "evidence", "seq").alias("evidence_urls"),
         *[listed(kind == c, "rank").alias(f"{c}_urls") for c in rules])
     order = vendor_order(patterns)
     scores = F.array(*[_points(F.col("software"), v, -place) for v, place in order.items()])
@@ -210,7 +210,7 @@ def detections(practices: DataFrame, features: DataFrame) -> DataFrame:
     """Feature rows of the practices that have a website; a practice without any capture keeps empty features."""
     own = practices.withColumn("website", norm_url(F.col("website"))).where(F.col("website").isNotNull())
     keyed = own.select("id", "name", "website", authority(F.col("website")).alias("site"))
-    out = lookup_join(keyed, features, "site", "id")
+    out = lookup_join(keyed, features, "site")
     return out.drop("site").withColumns({
         **{f"has_online_{c}": F.coalesce(f"has_online_{c}", F.lit(False)) for c in CAPABILITIES},
         "likely_pms": F.coalesce("likely_pms", F.lit("unknown")),

@@ -1,60 +1,32 @@
-"""Hot keys: running state, lookups and top-k that hold when one key owns a third of all rows.
-
-A key is *hot* when it holds more than one ``MAX_HOT``-th of the rows (and more than ``MIN_HOT_ROWS``), so there are
-never more than ``MAX_HOT`` hot keys, whatever the data: their list has a fixed size bound and can be broadcast. It is
-measured first, with one count over the key column. Every other key is at most an ordinary task's load on a large
-cluster and takes the plain path; without hot keys the plan is the plain plan.
+"""Running state, lookups and top-k that hold when one key owns a third of all rows.
+
+* *Running state*: rows are range-partitioned by the whole order (keys, then every order column), so the cut points are
+  quantiles of what is there: outlying values, equal first values, NULL keys and any sortable type split alike. The piece of
+  a key in one partition is a segment; each segment is one window group, and one summary row per segment carries the state
+  over. There is one plan, whatever the number of rows; no key is looked for, measured or treated apart.
+* *Lookups*: a plain left or inner join against one row per key. Adaptive execution splits what a hot key, or NULL, has in a
+  partition at run time; both kinds of join allow it.
+* *Top-k* uses rank filters that Spark cuts before the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_dir
+from ..session import new_path
 
-MAX_HOT = 10_000
-MIN_HOT_ROWS = 1_000_000
-PIECES_PER_SHARE = 4
 SEGMENT = "_seg"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], position: Column | None = None,
-             min_rows: int = MIN_HOT_ROWS) -> DataFrame | None:
-    """``keys``, ``_parts`` (pieces to cut the key in) and, with ``position``, its range; None if no key is hot."""
-    share = F.greatest(F.lit(float(min_rows)), df.agg(F.count(F.lit(1))).scalar() / F.lit(float(MAX_HOT)))
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    if position is not None:
-        aggs += [F.min(position).alias("_lo"), F.max(position).alias("_hi")]
-    counts = df.groupBy(*keys).agg(*aggs).where(F.col("_n") > share)
-    parts = (F.ceil(F.col("_n") / share) * PIECES_PER_SHARE).cast("int").alias("_parts")
-    found = counts.select(*keys, parts, *(["_lo", "_hi"] if position is not None else []))
-    rows = found.limit(MAX_HOT).collect()  # fewer than MAX_HOT keys can exceed the share
-    return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema)) if rows else None
-
-
-def lookup_join(left: DataFrame, right: DataFrame, on: str, spread: str, how: str = "left",
-                min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Join ``left`` (any skew) to ``right``, which has one row per ``on``.
-
-    Rows of a hot key are spread over salts by the hash of their ``spread`` column; the one matching right row is copied
-    to each salt. NULL keys match nothing: they are spread the same way instead of meeting in one task.
-    """
-    hot = hot_keys(left, [on], min_rows=min_rows)
-    if hot is None:
-        return left.join(right, on, how)
-    h = F.xxhash64(F.col(spread))
-    zero = F.lit(0).cast("long")
-    salt = F.when(F.col(on).isNull(), F.pmod(h, F.lit(MAX_HOT).cast("long"))).otherwise(
-        F.coalesce(F.pmod(h, F.col("_parts").cast("long")), zero))
-    salted = left.join(hot, on, "left").withColumn("_salt", salt).drop("_parts")
-    last = F.coalesce(F.col("_parts"), F.lit(1)).cast("long") - 1
-    copied = right.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(zero, last))).drop("_parts")
-    return salted.join(copied, [on, "_salt"], how).drop("_salt")
+def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "left") -> DataFrame:
+    """Join ``left`` (any skew) to ``right``, which has one row per ``on``; NULL keys match nothing."""
+    return left.join(right, on, how)
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -82,34 +54,25 @@ def micros_of(df: DataFrame, ts: str) -> Column:
 
 @dataclass(frozen=True)
 class OrderedRows:
-    """Rows with an order inside each key, ready for running state.
+    """Rows with an order inside each key, cut into segments (``_seg``, a number that grows with the order).
 
-    ``cold`` rows belong to keys of ordinary size: one window per key. Rows of ``hot`` keys also carry ``_seg``, a number
-    that grows with the order: one window per (key, segment), and what a segment needs from the segments before it is
-    carried over from one summary row per segment.
+    They are written once to the shared folder: where the range boundaries fall differs from run to run, and all scans must
+    see the same ones.
     """
 
-    cold: DataFrame
-    hot: DataFrame | None
+    data: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
 
     @classmethod
-    def of(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str],
-           min_rows: int = MIN_HOT_ROWS) -> OrderedRows:
-        """``order`` must be total inside a key; its first column must be a number or a timestamp."""
-        first = order[0]
-        timed = isinstance(df.schema[first].dataType, (T.TimestampType, T.TimestampNTZType))
-        position = seconds_of(df, first) if timed else F.col(first)
-        hot = hot_keys(df, keys, position, min_rows)
-        if hot is None:
-            return cls(df, None, tuple(keys), tuple(order))
-        at = F.floor((position - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1) * F.col("_parts"))
-        segment = F.least(F.col("_parts") - 1, F.coalesce(at, F.lit(0))).cast("int")  # NULL sorts first
-        return cls(
-            cold=df.join(hot.select(*keys), list(keys), "left_anti"),
-            hot=df.join(hot, list(keys)).withColumn(SEGMENT, segment).drop("_parts", "_lo", "_hi"),
-            keys=tuple(keys), order=tuple(order))
+    def of(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], segments: int | None = None) -> OrderedRows:
+        """``order`` must be total inside a key; its columns can be of any sortable type, NULL first. ``segments``: how many
+        partitions, else as many as adaptive execution finds right."""
+        ranges = [*([segments] if segments else []), *keys, *order]
+        cut = df.repartitionByRange(*ranges).withColumn(SEGMENT, F.spark_partition_id())
+        path = new_path(df.sparkSession, "segments")
+        cut.write.parquet(path)
+        return cls(df.sparkSession.read.schema(cut.schema).parquet(path), tuple(keys), tuple(order))
 
     def scan(self, local: Mapping[str, Callable[[WindowSpec], Column]],
              result: Mapping[str, Column],
@@ -118,32 +81,27 @@ class OrderedRows:
              carried: Mapping[str, Column] | None = None) -> OrderedRows:
         """Add the running columns of ``result``.
 
-        ``local``: helper columns over the rows of one window, in order; later ones may use earlier ones.
+        ``local``: helper columns over the rows of one segment, in order; later ones may use earlier ones.
         ``totals``: one summary row per segment from those columns. ``fold``: summaries and the window over the segments
         of a key -> the columns of ``carried``, looking back only. ``carried``: their values where nothing precedes.
         ``result``: final columns from local and carried ones; the helpers are then dropped.
         """
         carried = carried or {}
         helpers = [c for c in (*local, *carried) if c not in result]
-
-        def run(df: DataFrame, window: WindowSpec) -> DataFrame:
-            for name, column in local.items():
-                df = df.withColumn(name, column(window))
-            return df
-
-        cold = run(self.cold, Window.partitionBy(*self.keys).orderBy(*self.order))
-        cold = cold.withColumns(dict(carried)) if carried else cold
-        cold = cold.withColumns(dict(result)).drop(*helpers)
-        if self.hot is None:
-            return OrderedRows(cold, None, self.keys, self.order)
         by_segment = [*self.keys, SEGMENT]
-        hot = run(self.hot, Window.partitionBy(*by_segment).orderBy(*self.order))
+        window = Window.partitionBy(*by_segment).orderBy(*self.order)
+        data = self.data
+        for name, column in local.items():
+            data = data.withColumn(name, column(window))
         if fold is not None:
-            summary = hot.groupBy(*by_segment).agg(*totals)
-            before = fold(summary, Window.partitionBy(*self.keys).orderBy(SEGMENT)).select(*by_segment, *carried)
-            hot = hot.join(before, by_segment, "left")
-            hot = hot.withColumns({c: F.coalesce(F.col(c), v) for c, v in carried.items()})
-        return OrderedRows(cold, hot.withColumns(dict(result)).drop(*helpers), self.keys, self.order)
+            summary = data.groupBy(*by_segment).agg(*totals)
+            names = {c: f"_at{i}" for i, c in enumerate(by_segment)}
+            before = fold(summary, Window.partitionBy(*self.keys).orderBy(SEGMENT)).select(
+                *(F.col(c).alias(n) for c, n in names.items()), *carried)
+            same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()))
+            data = data.join(before, same, "left").drop(*names.values()).withColumns(
+                {c: F.coalesce(F.col(c), v) for c, v in carried.items()})
+        return OrderedRows(data.withColumns(dict(result)).drop(*helpers), self.keys, self.order)
 
     def running_sum(self, values: Mapping[str, Column], before: bool = False) -> OrderedRows:
         """Running sums up to the row, or up to the row before it."""
@@ -210,15 +168,13 @@ class OrderedRows:
             result={n: near[n] + F.when(F.col(f"_base{n}").isNull(), F.col(f"_far{n}")).otherwise(zero) for n in names})
 
     def cut(self) -> OrderedRows:
-        """Checkpoint the hot rows: a scan reads them twice, and scans on top of scans would repeat the earlier ones."""
-        if self.hot is None:
-            return self
-        shared_dir(self.hot.sparkSession)
-        return OrderedRows(self.cold, self.hot.checkpoint(), self.keys, self.order)
+        """Written once more: a scan reads its rows twice, and scans on top of scans would repeat the earlier ones."""
+        path = new_path(self.data.sparkSession, "scanned")
+        self.data.write.parquet(path)
+        return OrderedRows(self.data.sparkSession.read.schema(self.data.schema).parquet(path), self.keys, self.order)
 
     def where(self, condition: Column) -> OrderedRows:
-        hot = None if self.hot is None else self.hot.where(condition)
-        return OrderedRows(self.cold.where(condition), hot, self.keys, self.order)
+        return OrderedRows(self.data.where(condition), self.keys, self.order)
 
     def rows(self) -> DataFrame:
-        return self.cold if self.hot is None else self.cold.unionByName(self.hot.drop(SEGMENT))
+        return self.data.drop(SEGMENT)

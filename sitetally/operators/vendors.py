@@ -154,3 +154,8 @@ def top_integrated(detections: DataFrame, k: int = params.TOP_SITES) -> DataFram
     return rows.orderBy(F.desc("integration_count"), "id").limit(k).select(
         "id", "name", "website", "integration_count",
         label("booking", F.coalesce("likely_booking_vendor", found)), label("payments", found), label("forms", found))
+
+
+def answered(found: DataFrame) -> DataFrame:
+    """How many detections there are, and how many of them have a page with status 200."""
+    return found.agg(F.count("*").alias("sites"), F.count_if(F.col("http_status") == 200).alias("answered"))

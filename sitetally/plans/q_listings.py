@@ -9,6 +9,9 @@ from ..functions.cells import address, drop_blank, ensure_column, search_query,
 from ..functions.urls import norm_url
 from ..operators import listings as L
 from ..params import PAGES_PER_HOST, SEARCH_NAME_CHARS
+from ..session import new_path
+from ..sources.readers import read_listings
+from ..sources.sinks import write_practices
 from . import adapters as A
 from .adapters import with_ctes
 from .registry import query
@@ -138,7 +141,7 @@ def listings_merge(spark, sf_dir):
     """Existing listings first, then the new ones, ids given anew."""
     existing, new = A.parts(spark, sf_dir)
     rows = L.dedup_listings(L.label_source(existing, SOURCE_EXISTING), L.label_source(new, "new"), ["seq"])
-    return L.with_ids(rows, "prio", [0, 1], ["seq"]).select("id", "name", "address", "source")
+    return L.with_ids(rows, "prio", ["seq"]).select("id", "name", "address", "source")
 
 
 @query("practices_with_ids", with_ctes(A.SUPPLIERS, A.CUSTOMERS) + f"""
@@ -149,7 +152,9 @@ def practices_with_ids(spark, sf_dir):
     rows = L.union_sources(
         L.label_source(A.listings(spark, sf_dir, "supplier"), SOURCE_1).withColumn("prio", F.lit(0)),
         L.label_source(A.listings(spark, sf_dir, "customer"), SOURCE_2).withColumn("prio", F.lit(1)))
-    return L.with_ids(rows, "prio", [0, 1], ["seq"]).select("id", "name", "website", "source")
+    path = new_path(spark, "practices-csv")
+    write_practices(L.with_ids(rows, "prio", ["seq"]).withColumn("address", F.lit(None).cast("string")), path)
+    return read_listings(spark, path, line_breaks=False).select("id", "name", "website", "source")
 
 
 @query("page_cap", with_ctes(A.CAPTURES) + f"""

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.cells import status_class
 from ..functions.urls import crawl_delay
 from ..operators import hostlog, robots
 from ..params import SOURCE_1_CALL_CAP, CallBudget
+from ..schemas import HOST_REPORT
+from ..session import new_path
+from ..sources.readers import read_csv
+from ..sources.sinks import write_host_report
 from . import adapters as A
 from .adapters import with_ctes
 from .registry import query
@@ -43,7 +48,7 @@ def politeness_gap(spark, sf_dir):
     return hostlog.politeness(A.fetch_log(spark, sf_dir)).select("host", "seq", "required", "gap", "early")
 
 
-@query("host_report", with_ctes(A.LOG) + """,
+REPORT = with_ctes(A.LOG) + """,
 made AS (SELECT * FROM steps WHERE NOT stopped),
 metrics AS (
   SELECT host, count(*)::BIGINT AS pages_attempted, count_if(status BETWEEN 200 AND 299)::BIGINT AS pages_fetched,
@@ -64,10 +69,29 @@ SELECT a.host, coalesce(pages_attempted, 0) AS pages_attempted, coalesce(pages_f
   coalesce(backoff_events, 0) AS backoff_events, disallowed_paths, coalesce(last_run, 0)::BIGINT AS consec_errors_final,
   coalesce(last_backoff, 0)::DOUBLE AS backoff_seconds_final, coalesce(backoff_max, 0)::DOUBLE AS backoff_seconds_max,
   coalesce(pages_attempted, 0) AS pages_count, robots_crawl_delay,
-  CASE WHEN robots_crawl_delay IS NOT NULL THEN 'yes' ELSE 'no' END AS robots_cached, '' AS sample_evidence_urls
-FROM asides a LEFT JOIN metrics m USING (host)""")
+  CASE WHEN robots_crawl_delay IS NOT NULL THEN 'yes' ELSE 'no' END AS robots_cached,
+  coalesce(e.urls, '') AS sample_evidence_urls
+FROM asides a LEFT JOIN metrics m USING (host) LEFT JOIN (
+  SELECT host, string_agg('http://' || host || '/' || seq, ';' ORDER BY n) AS urls FROM (
+    SELECT host, seq, row_number() OVER (PARTITION BY host ORDER BY seq) AS n FROM log WHERE challenge) WHERE n <= 5
+  GROUP BY host) e USING (host)"""
+
+
+@query("host_report", REPORT)
 def host_report(spark, sf_dir):
-    return hostlog.host_report(A.fetch_log(spark, sf_dir))
+    log = A.fetch_log(spark, sf_dir)
+    return hostlog.host_report(log, A.evidence_of(log))
+
+
+@query("sink_host_report", f"""SELECT host, pages_attempted, pages_fetched, http_2xx, http_403, http_429, http_5xx, captcha_hits,
+  backoff_events, disallowed_paths, consec_errors_final, backoff_seconds_final, pages_count, robots_crawl_delay, robots_cached,
+  nullif(sample_evidence_urls, '') AS sample_evidence_urls FROM ({REPORT})""")
+def sink_host_report(spark, sf_dir):
+    """Written as the 16-column file and read back by its header."""
+    path = new_path(spark, "host-report")
+    report = host_report(spark, sf_dir)
+    write_host_report(report, path)
+    return read_csv(spark, path, StructType([report.schema[c] for c in HOST_REPORT]), required=["host"])
 
 
 @query("crawl_delay", f"""WITH {A.ROBOTS}
@@ -85,8 +109,10 @@ def robots_rules(spark, sf_dir):
 
 
 @query("robots_allowed", f"""WITH {A.ROBOTS},
-mine AS (SELECT * FROM rules WHERE agent = 'tallybot' OR (agent = '*' AND host NOT IN (
-  SELECT host FROM rules WHERE agent = 'tallybot'))),
+mine AS (
+  SELECT host, rule_no, allow, prefix FROM rules WHERE (agent = 'tallybot' OR (agent = '*' AND host NOT IN (
+    SELECT host FROM rules WHERE agent = 'tallybot'))) AND host NOT LIKE 'shop.%'
+  UNION ALL SELECT host, 1, false, '/' FROM hosts WHERE host LIKE 'www.%' OR host LIKE 'shop.%'),
 urls AS (SELECT page_id, {A.SITE} AS host, regexp_replace(url, '^[a-z]+://[^/?#]*', '') AS path FROM pages),
 matched AS (
   SELECT u.page_id, arg_min(m.allow, m.rule_no) AS allow, min(m.rule_no) AS rule_no
@@ -94,10 +120,11 @@ matched AS (
 SELECT u.page_id, u.host, CAST(m.rule_no AS BIGINT) AS rule_no, coalesce(m.allow, true) AS allowed
 FROM urls u LEFT JOIN matched m USING (page_id)""")
 def robots_allowed(spark, sf_dir):
-    rules = robots.rules_for_agent(robots.robots_rules(A.robots_texts(spark, sf_dir)), A.AGENT)
+    texts = robots.rules_for_status(A.robots_answers(spark, sf_dir))
+    rules = robots.rules_for_agent(robots.robots_rules(texts), A.AGENT)
     urls = A.captures(spark, sf_dir).select(
         F.col("seq").alias("page_id"), F.col("site").alias("host"), F.col("final_url").alias("url"))
-    return robots.robots_allowed(urls, rules, "url", "page_id").select(
+    return robots.robots_allowed(urls, rules, "url").select(
         "page_id", "host", F.col("rule_no").cast("long").alias("rule_no"), "allowed")
 
 

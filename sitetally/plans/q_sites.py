@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.html import is_challenge, page_links, page_text
-from ..operators import hostlog, patterns, sites, summary
+from ..operators import hostlog, patterns, sites, summary, vendors
 from ..sources.dictionary import patterns_table
 from . import adapters as A
 from .adapters import with_ctes
@@ -221,8 +221,8 @@ SELECT s.site, p.final_url, CAST(200 AS INTEGER) AS http_status,
   coalesce(e.urls, '') AS evidence_urls, '' AS booking_urls, '' AS payment_urls, '' AS forms_urls
 FROM sites s JOIN first_page p USING (site) JOIN flags f USING (site) JOIN guesses g USING (site)
 LEFT JOIN clues c USING (site) LEFT JOIN software w USING (site)
-LEFT JOIN (SELECT site, string_agg(final_url, ';' ORDER BY n) AS urls FROM (
-  SELECT *, row_number() OVER (PARTITION BY site ORDER BY seq) AS n FROM cited) WHERE n <= 12 GROUP BY site) e USING (site)
+LEFT JOIN (SELECT site, string_agg(final_url, ';' ORDER BY seq, final_url) AS urls FROM (
+  SELECT site, final_url, min(seq) AS seq FROM cited GROUP BY site, final_url) GROUP BY site) e USING (site)
 """)
 def site_features(spark, sf_dir):
     """The whole detection row per site. The pages' own links are all internal, so the URL cells stay empty."""
@@ -280,6 +280,11 @@ def detection_success(spark, sf_dir):
     return _found(spark, sf_dir).select("id", "name", "website", "final_url", "success")
 
 
+@query("status_200_count", SUCCESS + "SELECT count(*)::BIGINT AS sites, count(final_url)::BIGINT AS answered FROM found")
+def status_200_count(spark, sf_dir):
+    return vendors.answered(_found(spark, sf_dir))
+
+
 TOTALS = """SELECT count(*)::BIGINT AS attempted, count_if(success)::BIGINT AS success,
   count_if(NOT success)::BIGINT AS failed, 100.0::DOUBLE * count_if(NOT success) / greatest(count(*), 1) AS fail_rate
 FROM found"""

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import hostlog, patterns
-from ..operators.listings import dedup_key
 from ..session import new_path
 from ..streaming import hosts
-from ..streaming.runs import drain_batches, drain_to_files, epoch_writer, read_stream
+from ..streaming.runs import drain_batches, drain_to_files, epoch_writer, first_listings_writer, read_stream
 from . import adapters as A
 from .adapters import with_ctes
 from .registry import ORACLE, query
@@ -46,19 +45,27 @@ def stream_resume(spark, sf_dir):
 
 
 @query("stream_host_state", with_ctes(A.LOG) + """,
-made AS (SELECT * FROM steps WHERE NOT stopped)
-SELECT host, count(*)::BIGINT AS pages_attempted, count(*) FILTER (status BETWEEN 200 AND 299)::BIGINT AS pages_fetched,
+made AS (SELECT * FROM steps WHERE NOT stopped),
+seen AS (SELECT host, ts, seq, coalesce(status = 200, false) AS early,
+  row_number() OVER (PARTITION BY host, coalesce(status = 200, false) ORDER BY ts DESC, seq DESC) AS n FROM req),
+late AS (
+  SELECT r.host, count(*)::BIGINT AS n FROM seen r JOIN seen l ON l.host = r.host AND l.early AND l.n = 1
+  WHERE NOT r.early AND (r.ts, r.seq) <= (l.ts, l.seq) GROUP BY r.host)
+SELECT m.host, count(*)::BIGINT AS pages_attempted, count(*) FILTER (status BETWEEN 200 AND 299)::BIGINT AS pages_fetched,
   count_if(challenge)::BIGINT AS captcha_hits, arg_max(error_run, (ts, seq)) AS consec_errors_final,
-  arg_max(backoff, (ts, seq)) AS backoff_seconds_final, bool_or(error_run >= 3 OR coalesce(status = 403, false)) AS stopped
-FROM made GROUP BY host""")
+  arg_max(backoff, (ts, seq)) AS backoff_seconds_final, bool_or(error_run >= 3 OR coalesce(status = 403, false)) AS stopped,
+  coalesce(any_value(late.n), 0) AS late_rows
+FROM made m LEFT JOIN late ON late.host = m.host GROUP BY m.host""")
 def stream_host_state(spark, sf_dir):
-    out = new_path(spark, "hosts")
-    log = A.fetch_log_of(_stream(spark, sf_dir, "events"))
-    drain_batches(hosts.host_states(log), epoch_writer(out), new_path(spark, "hosts-checkpoint"))
-    states = spark.read.parquet(out)
-    columns = [c for c in states.columns if c not in ("host", "epoch")]
-    latest = states.groupBy("host").agg(F.max_by(F.struct(*columns), "epoch").alias("s"))
-    return latest.select("host", "s.*").drop("late_rows")
+    """The good answers arrive first, in several files; all others, of any time, arrive afterwards."""
+    log = A.fetch_log(spark, sf_dir)
+    arrivals, out, checkpoint = (new_path(spark, n) for n in ("log", "hosts", "hosts-checkpoint"))
+    good = F.coalesce(F.col("status") == 200, F.lit(False))
+    for lot in (log.where(good), log.where(~good)):
+        lot.repartition(3, "seq").write.mode("append").parquet(arrivals)
+        states = hosts.host_states(read_stream(spark, arrivals, log.schema))
+        drain_batches(states, epoch_writer(out), checkpoint)
+    return hosts.settled(spark.read.parquet(out), spark.read.schema(log.schema).parquet(arrivals))
 
 
 @query("stream_totals", with_ctes(A.LOG) + """
@@ -75,11 +82,11 @@ def stream_totals(spark, sf_dir):
     return rows.where(F.col("epoch") == last).drop("epoch").withColumn("alert", F.col("fail_rate") >= 15.0)
 
 
-@query("stream_dedup", with_ctes(A.PARTS) + "SELECT DISTINCT k1 AS name_key, k2 AS address_key FROM fresh")
+@query("stream_dedup", with_ctes(A.PARTS) + "SELECT seq, name, address FROM added")
 def stream_dedup(spark, sf_dir):
-    """Keys of new listings in order of arrival, each once."""
-    out = new_path(spark, "keys")
+    """The first listing of every key that is neither among the existing ones nor came before."""
+    out = new_path(spark, "added")
+    existing, _ = A.parts(spark, sf_dir)
     _, new = A.parts_of(_stream(spark, sf_dir, "part"))
-    keys = new.select(*dedup_key()).dropDuplicates(["name_key", "address_key"])
-    drain_to_files(keys, out, new_path(spark, "keys-checkpoint"))
-    return spark.read.schema(keys.schema).parquet(out)
+    drain_batches(new, first_listings_writer(existing, out, ["seq"]), new_path(spark, "added-checkpoint"), "append")
+    return spark.read.parquet(out).select("seq", "name", "address")

@@ -31,7 +31,7 @@ FEED_B_DETAIL = _struct(place_id=_s, result=_struct(website=_s, formatted_phone_
 SEARCH_A = _struct(id=_l, offset=_l, webPages=_struct(value=T.ArrayType(_struct(name=_s, url=_s, snippet=_s))))
 SEARCH_B = _struct(id=_l, offset=_l, organic_results=T.ArrayType(_struct(title=_s, link=_s, snippet=_s)))
 
-# Detection rows as written to flat files: 22 columns, multi-valued cells joined by ";".
+# Fixed values. Detection rows as written to flat files: 22 columns, multi-valued cells joined by ";".
 DETECTION_CSV = _struct(
     id=_l, name=_s, website=_s, final_url=_s, http_status=_i,
     has_online_booking=_b, has_online_forms=_b, has_online_payments=_b,
@@ -43,6 +43,12 @@ DETECTION_CSV = _struct(
     evidence_urls=_s,
     booking_urls=_s, payment_urls=_s, forms_urls=_s)
 
+# Columns of the host report file.
+HOST_REPORT = (
+    "host", "pages_attempted", "pages_fetched", "http_2xx", "http_403", "http_429", "http_5xx", "captcha_hits", "backoff_events",
+    "disallowed_paths", "consec_errors_final", "backoff_seconds_final", "pages_count", "robots_crawl_delay", "robots_cached",
+    "sample_evidence_urls")
+
 LIST_COLUMNS = (
     "third_party_booking_clues", "third_party_forms_clues", "third_party_payments_clues", "third_party_other_clues",
     "phone_clues_site", "pms_clues_site", "evidence_urls", "booking_urls", "payment_urls", "forms_urls")

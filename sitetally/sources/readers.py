@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
 from ..dictionaries.fixed import SOURCE_1, SOURCE_2
@@ -12,31 +14,43 @@ from ..functions.cells import address
 from ..operators.skew import lookup_join
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, line_breaks: bool = True) -> DataFrame:
-    """CSV with a header line. A byte-order mark is skipped, quoted line breaks are kept, blank cells are NULL.
+def read_csv(spark: SparkSession, path: str, schema: StructType, line_breaks: bool = True,
+             required: Sequence[str] = ()) -> DataFrame:
+    """CSV by the names in the header line, whatever their order.
 
-    Files that may hold line breaks in cells are read whole, one per task; with ``line_breaks=False`` they are split.
+    Columns that ``schema`` does not name are left out, missing ones are NULL, and a missing ``required`` one is an error; so
+    is a folder whose files have different headers. A cell that does not fit its type is NULL. A byte-order mark is skipped,
+    quoted line breaks are kept, blank cells are NULL. Files that may hold line breaks in cells are read whole, one per task;
+    with ``line_breaks=False`` they are split.
     """
-    return spark.read.schema(schema).csv(
-        path, header=True, multiLine=line_breaks, nullValue="", escape='"', encoding="UTF-8", enforceSchema=True)
-
-
-def read_seeds(spark: SparkSession, path: str) -> DataFrame:
+    options = {"header": True, "multiLine": line_breaks, "nullValue": "", "escape": '"', "encoding": "UTF-8"}
+    found = spark.read.csv(path, **options).columns  # the header of one file; no rows are read
+    names = StructType([StructField(n, StringType()) for n in found])
+    rows = spark.read.schema(names).csv(path, enforceSchema=False, **options)
+    by_name = {n.strip().lstrip("\ufeff").lower(): n for n in found}
+    if lacking := [n for n in required if n.lower() not in by_name]:
+        raise ValueError(f"{path} has no column {', '.join(lacking)}")
+    return rows.select(*[
+        (F.col(f"`{by_name[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in by_name else
+         F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+
+
+def read_seeds(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """Seed cities, trimmed, blanks left out, each city once."""
     city = F.trim("city")
-    return read_csv(spark, path, schemas.SEED).where(city != "").select(city.alias("city")).distinct()
+    return read_csv(spark, path, schemas.SEED, line_breaks, ["city"]).where(city != "").select(city.alias("city")).distinct()
 
 
-def read_listings(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.PRACTICE)
+def read_listings(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
+    return read_csv(spark, path, schemas.PRACTICE, line_breaks, ["name"])
 
 
-def read_detections(spark: SparkSession, path: str, extra: str = "") -> DataFrame:
+def read_detections(spark: SparkSession, path: str, extra: str = "", line_breaks: bool = True) -> DataFrame:
     """Flat detections; ``extra`` names further columns in DDL, such as ``pms_clues_jobs string``."""
     schema = StructType(list(schemas.DETECTION_CSV.fields))
     if extra:
         schema = StructType(schema.fields + StructType.fromDDL(extra).fields)
-    return read_csv(spark, path, schema)
+    return read_csv(spark, path, schema, line_breaks, ["id"])
 
 
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +66,7 @@ def normalize_feed_a(pages: DataFrame, details: DataFrame) -> DataFrame:
         F.col("b.display_phone").alias("phone"))
     own = F.nullif(F.col("d.website"), F.lit(""))
     once = details.groupBy("id").agg(F.min(F.struct("website", "url")).alias("d"))
-    joined = lookup_join(rows, once, "id", "name")
+    joined = lookup_join(rows, once, "id")
     return joined.select(
         F.col("seed_city").alias("city"), "name", "address", F.coalesce(own, F.col("d.url"), F.lit("")).alias("website"),
         F.when(own.isNotNull(), "own").when(F.col("d.url").isNotNull(), "listing").otherwise("none").alias("website_kind"),
@@ -66,7 +80,7 @@ def normalize_feed_b(pages: DataFrame, details: DataFrame) -> DataFrame:
         F.col("r.place_id").alias("place_id"), F.col("r.name").alias("name"), F.col("city").alias("city"),
         F.col("r.formatted_address").alias("address"))
     once = details.groupBy("place_id").agg(F.min("result").alias("d"))
-    joined = lookup_join(rows, once, "place_id", "name")
+    joined = lookup_join(rows, once, "place_id")
     return joined.select(
         "city", "name", "address", F.coalesce("d.website", F.lit("")).alias("website"),
         F.coalesce("d.formatted_phone_number", F.lit("")).alias("phone"), F.lit(SOURCE_2).alias("source"))

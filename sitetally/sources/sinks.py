@@ -15,7 +15,8 @@ ROWS_PER_FILE = 1_000_000  # a file with line breaks in cells is read by one tas
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).csv(path, header=True, nullValue="", emptyValue="", escape='"')
+    df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).csv(path, header=True, nullValue="", emptyValue="", escape='"',
+                                                                             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def detections_flat(found: DataFrame) -> DataFrame:
@@ -38,6 +39,11 @@ def write_practices(practices: DataFrame, path: str, mode: str = "errorifexists"
     write_csv(practices.select(*schemas.PRACTICE.fieldNames()), path, mode)
 
 
+def write_host_report(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The 16 columns of the host file, the evidence sample among them."""
+    write_csv(report.select(*schemas.HOST_REPORT), path, mode)
+
+
 def write_json_document(doc: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """``doc``: one row with the document in ``value``."""
     doc.select("value").write.mode(mode).text(path)
@@ -56,5 +62,8 @@ def existing_keys(spark: SparkSession, path: str, schema, key: str) -> DataFrame
 def append_new(df: DataFrame, path: str, key: str) -> None:
     """Append the rows whose key is not in the folder yet; running it again adds nothing."""
     done = existing_keys(df.sparkSession, path, df.schema, key)
-    fresh = df if done is None else df.join(done, key, "left_anti").select(*df.columns)
+    if done is None:
+        fresh = df
+    else:  # a missing key is a key too, else its rows would be added again each time
+        fresh = df.join(done.withColumnRenamed(key, "_done"), F.col(key).eqNullSafe(F.col("_done")), "left_anti")
     write_csv(fresh, path, "append")

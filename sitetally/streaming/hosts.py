@@ -1,4 +1,9 @@
-"""Per-host state over a stream of fetch logs: counters, error run, backoff, stop flag."""
+"""Per-host state over a stream of fetch logs: counters, error run, backoff, stop flag.
+
+Rows that arrive in order advance the state. A row older than its host's state may change everything after it, so it is
+counted as late, and hosts with late rows are computed anew from the stored log: nothing is lost, and the cost of a batch
+stays that of its own rows as long as rows come in order.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators import hostlog
 from ..operators.skew import micros_of
 from ..params import BACKOFF_CAP_SECONDS, BACKOFF_INITIAL_SECONDS, MAX_ERROR_RUN
 
@@ -64,7 +70,7 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
 
 
 def host_states(log: DataFrame) -> DataFrame:
-    """Latest state of every host seen in a micro-batch. Logs must arrive in time order per host.
+    """Latest state of every host seen in a micro-batch, with the number of rows that came too late for it.
 
     Only four narrow columns of a host's rows in one trigger meet in a task; the size of a trigger bounds them.
     """
@@ -72,3 +78,12 @@ def host_states(log: DataFrame) -> DataFrame:
         "host", micros_of(log, "ts").alias("us"), "seq", F.col("status").cast("double").alias("status"), "challenge")
     return rows.groupBy("host").applyInPandasWithState(
         _advance, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
+
+
+def settled(states: DataFrame, log: DataFrame) -> DataFrame:
+    """One row per host: the latest of ``states`` (with ``epoch``), computed anew from the stored ``log`` if rows came late."""
+    columns = [c for c in states.columns if c not in ("host", "epoch")]
+    latest = states.groupBy("host").agg(F.max_by(F.struct(*columns), "epoch").alias("s")).select("host", "s.*")
+    late = latest.where(F.col("late_rows") > 0).select("host", "late_rows")
+    anew = hostlog.host_states(log.join(late.select("host"), "host", "left_semi")).join(late, "host")
+    return latest.where(F.col("late_rows") == 0).unionByName(anew)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..operators.listings import known_rows, new_listings
+
 MAX_BYTES = 1 << 30  # input of one micro-batch; it bounds what a busy key can bring into one task
 
 
@@ -35,3 +38,20 @@ def epoch_writer(out: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
     return write
+
+
+def first_listings_writer(existing: DataFrame, out: str, order: list[str]) -> Callable[[DataFrame, int], None]:
+    """Rows of each batch whose key is neither among ``existing`` nor in an earlier epoch's folder, the first per key.
+
+    What was written is the only memory: no state is kept between batches, and a repeated epoch replaces its own folder.
+    """
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark, known = batch.sparkSession, known_rows(existing)
+        try:
+            before = spark.read.parquet(out).where(f"epoch < {epoch}").drop("epoch")
+            known = known.unionByName(before, allowMissingColumns=True)
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+        new_listings(known, batch, order, complete=False).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+    return write

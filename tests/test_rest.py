@@ -16,7 +16,7 @@ from sitetally.plans import adapters as A
 from sitetally.session import new_path
 from sitetally.sources import readers, sinks
 from sitetally.streaming import hosts
-from sitetally.streaming.runs import drain_batches, drain_to_files, epoch_writer, read_stream
+from sitetally.streaming.runs import drain_batches, drain_to_files, epoch_writer, first_listings_writer, read_stream
 
 TEXTS = {
     "one": "User-agent: *\nDisallow: /a\nAllow: /a/b\n",
@@ -39,7 +39,7 @@ def test_robots_like_the_standard_parser(spark):
         [(f"{h}{i}", h, f"http://{h}{p}") for h in (*TEXTS, "unknown") for i, p in enumerate(PATHS)],
         "id string, host string, url string")
     mine = robots.rules_for_agent(robots.robots_rules(texts), "tallybot/1.0")
-    got = {(r.host, r.url): r.allowed for r in robots.robots_allowed(urls, mine, "url", "id").collect()}
+    got = {(r.host, r.url): r.allowed for r in robots.robots_allowed(urls, mine, "url").collect()}
     for host, text in TEXTS.items():
         parser = RobotFileParser()
         parser.parse(text.splitlines())
@@ -55,7 +55,7 @@ def test_robots_status(spark):
     for strict, denied in ((True, {"no", "down", "dead"}), (False, {"no"})):
         mine = robots.rules_for_agent(robots.robots_rules(robots.rules_for_status(rows, strict)), "any")
         urls = rows.select("host", F.lit("http://h/y").alias("url"))
-        got = {r.host for r in robots.robots_allowed(urls, mine, "url", "host").where("not allowed").collect()}
+        got = {r.host for r in robots.robots_allowed(urls, mine, "url").where("not allowed").collect()}
         assert got == denied
 
 
@@ -164,6 +164,41 @@ def test_sinks_refuse_to_overwrite_and_resume(spark):
         sinks.write_csv(df, path)
 
 
+def test_missing_keys_are_appended_once(spark):
+    path = new_path(spark, "resume")
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "id long, cell string")
+    for _ in range(3):
+        sinks.append_new(df, path, "id")
+    assert sorted(r.cell for r in readers.read_csv(spark, path, df.schema).collect()) == ["a", "b", "c"]
+
+
+def test_columns_by_name(spark):
+    path = new_path(spark, "listings")
+    lines = ["address,name,id,more", '"1 Main St, X",Ann,7,?', ",Bob,no number,?"]
+    spark.createDataFrame([(x,) for x in lines], "v string").coalesce(1).write.text(path)
+    got = [tuple(r) for r in readers.read_listings(spark, path, line_breaks=False).select("id", "name", "website", "address").collect()]
+    assert got == [(7, "Ann", None, "1 Main St, X"), (None, "Bob", None, None)]
+    with pytest.raises(ValueError, match="no column city"):
+        readers.read_seeds(spark, path)
+
+
+def test_practice_list_round_trip(spark):
+    path = new_path(spark, "practices")
+    rows = [(1, 'A "B", C', " http://x ", None, "1\nMain", "s"), (2, "D", None, "5", None, "t")]
+    df = spark.createDataFrame(rows, "id long, name string, website string, phone string, address string, source string")
+    sinks.write_practices(df, path)
+    assert sorted(tuple(r) for r in readers.read_listings(spark, path).collect()) == rows
+
+
+def test_two_robots_texts_of_a_host(spark):
+    texts = spark.createDataFrame([("h", 1, "User-agent: a\nDisallow: /x\n"), ("h", 2, "User-agent: b\nDisallow: /y%0Az\n")],
+                                  "host string, snapshot int, body string")
+    got = sorted((r.snapshot, r.agent, r.rule_no, r.allow, r.prefix) for r in robots.robots_rules(texts).collect())
+    assert got == [(1, "a", 1, False, "/x"), (2, "b", 1, False, "/y\nz")]
+    plan = robots.robots_rules(texts)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
 def test_percentages_sum_to_100(spark):
     d = A.detections(spark, SF_DIR)
     n = summary.pms_distribution(d).count()
@@ -212,6 +247,34 @@ def test_host_state_over_many_batches(spark):
             w.pages_attempted, w.pages_fetched, w.captcha_hits, w.consec_errors_final, w.backoff_seconds_final)
 
 
+def test_late_rows_of_a_host_are_not_lost(spark):
+    """Interleaved times in two files: the stream and the stored log together give the batch result."""
+    path, out = new_path(spark, "log"), new_path(spark, "state")
+    log = spark.range(100).select(
+        F.lit("h").alias("host"), F.timestamp_seconds(F.col("id") * 10).alias("ts"), F.col("id").alias("seq"),
+        F.when(F.col("id") % 4 == 3, 503).otherwise(200).cast("int").alias("status"), F.lit(False).alias("challenge"),
+        F.lit(False).alias("disallowed"), F.lit(None).cast("double").alias("crawl_delay"))
+    for part in (log.where("seq % 2 = 0"), log.where("seq % 2 = 1")):
+        part.coalesce(1).write.mode("append").parquet(path)
+        drain_batches(hosts.host_states(read_stream(spark, path, log.schema, 1)), epoch_writer(out), out + "-checkpoint")
+    got = hosts.settled(spark.read.parquet(out), spark.read.schema(log.schema).parquet(path)).collect()
+    want = hostlog.host_report(log).collect()[0]
+    assert len(got) == 1 and got[0].late_rows == 49
+    assert (got[0].pages_attempted, got[0].consec_errors_final, got[0].backoff_seconds_final) == (
+        want.pages_attempted, want.consec_errors_final, want.backoff_seconds_final) and want.pages_attempted == 100
+
+
+def test_first_listings_over_many_batches(spark):
+    path, out = new_path(spark, "parts"), new_path(spark, "added")
+    part = A.table(spark, SF_DIR, "part")
+    _arrive(part, path, ["p_partkey"], 4)
+    existing, new = A.parts(spark, SF_DIR)
+    _, arriving = A.parts_of(read_stream(spark, path, part.schema, 1))
+    drain_batches(arriving, first_listings_writer(existing, out, ["seq"]), new_path(spark, "added-checkpoint"), "append")
+    got = sorted(r.seq for r in spark.read.parquet(out).collect())
+    assert got == sorted(r.seq for r in listings.new_listings(existing, new, ["seq"]).collect())
+
+
 def test_a_failed_batch_is_done_again_once(spark):
     path, out, checkpoint = (new_path(spark, n) for n in ("parts", "out", "checkpoint"))
     part = A.table(spark, SF_DIR, "part")

@@ -97,6 +97,21 @@ def test_service_links_agree_with_features(captures, dictionary):
     assert got == want and len(want) == 2
 
 
+def test_evidence_is_complete(spark, dictionary):
+    """Twenty evidence pages give twenty URLs in the site's row and in the written file."""
+    from sitetally.session import new_path
+    from sitetally.sources import readers, sinks
+    pages = [("h.com", i, 200, f"http://h.com/{i % 20}", "text/html", '<a href="/privacy">x</a> online booking dentrix') for i in range(25)]
+    captures = spark.createDataFrame(pages, "site string, seq long, status int, final_url string, content_type string, html string")
+    features = sites.site_features(captures, dictionary, evidence="booking")
+    want = [f"http://h.com/{i}" for i in range(20)]
+    assert features.collect()[0].evidence_urls == want
+    practices = spark.createDataFrame([(1, "A", "h.com")], "id long, name string, website string")
+    path = new_path(spark, "found")
+    sinks.write_detections_csv(sites.detections(practices, features), path)
+    assert readers.read_detections(spark, path).collect()[0].evidence_urls == ";".join(want)
+
+
 def test_a_new_pattern_removes_no_hit(captures, dictionary):
     fewer = [p for p in dictionary if p.category != "forms"]
     some = {(r.site, r.prio) for r in patterns.page_hits(captures, fewer).collect()}

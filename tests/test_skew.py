@@ -1,4 +1,4 @@
-"""Hot keys: the split path gives the plain result."""
+"""Running state in segments gives the plain window's result, and the segments are even whatever the order looks like."""
 
 from __future__ import annotations
 
@@ -8,30 +8,49 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sitetally.operators import hostlog, listings, robots
-from sitetally.operators.skew import OrderedRows, hot_keys, lookup_join, top_k
+from sitetally.operators.skew import SEGMENT, OrderedRows, lookup_join, top_k
 from sitetally.plans import adapters as A
 
 
 @pytest.fixture(scope="module")
 def log(spark):
-    """A third of all rows belong to one host."""
+    """A third of all rows belong to one host, and some to none."""
     rows = A.fetch_log(spark, SF_DIR)
-    return rows.withColumn("host", F.when(F.col("seq") % 3 == 0, "hot").otherwise(F.col("host"))).cache()
+    host = F.when(F.col("seq") % 3 == 0, "hot").when(F.col("seq") % 7 == 0, None).otherwise(F.col("host"))
+    return rows.withColumn("host", host).cache()
 
 
 def rows(df):
     return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
 
 
-def test_hot_keys(spark, log):
-    assert hot_keys(log, ["host"]) is None
-    found = hot_keys(log, ["host"], min_rows=100).collect()
-    assert "hot" in [r.host for r in found] and all(r["_parts"] >= 4 for r in found)
+@pytest.mark.parametrize("operator", [hostlog.error_runs, hostlog.backoff_series, hostlog.politeness, hostlog.host_report,
+                                      hostlog.host_states])
+def test_log_operators(log, operator):
+    assert rows(operator(log, segments=13)) == rows(operator(log, segments=1))
 
 
-@pytest.mark.parametrize("operator", [hostlog.error_runs, hostlog.backoff_series, hostlog.politeness, hostlog.host_report])
-def test_log_operators(log, operator):
-    assert rows(operator(log, min_rows=25)) == rows(operator(log))
+CASES = {
+    "outlier": lambda: F.when(F.col("id") == 0, F.lit("1970-01-01").cast("timestamp")).otherwise(
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))),
+    "equal": lambda: F.lit("2024-05-05").cast("timestamp"),
+    "date": lambda: F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 40).cast("int")),
+    "string": lambda: F.concat(F.lit("x"), (F.col("id") * 7919 % 1000).cast("string")),
+    "missing": lambda: F.when(F.col("id") > 1500, F.col("id")),
+}
+
+
+@pytest.mark.parametrize("case", sorted(CASES))
+@pytest.mark.parametrize("key", ["hot", "null"])
+def test_segments_are_even_and_right(spark, case, key):
+    """One key (or NULL) owns all rows; the order has an outlier, equal values, dates, strings, missing values."""
+    hot = F.lit("hot") if key == "hot" else F.lit(None).cast("string")
+    df = spark.range(4000).select(hot.alias("k"), CASES[case]().alias("at"), "id")
+    cut = OrderedRows.of(df, ["k"], ["at", "id"], segments=8)
+    sizes = [r["count"] for r in cut.data.groupBy(SEGMENT).count().collect()]
+    assert len(sizes) >= 7 and max(sizes) <= 2 * 4000 / 8
+    w = Window.partitionBy("k").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
+    assert rows(cut.running_sum({"n": F.col("id")}).rows()) == rows(df.withColumn("n", F.sum("id").over(w)))
 
 
 def test_scans_against_plain_windows(log):
@@ -45,46 +64,59 @@ def test_scans_against_plain_windows(log):
     assert rows(split.select("host", "seq", "last", "total")) == rows(plain)
 
 
-def test_missing_order_values_sort_first(spark):
-    df = spark.range(200).select(F.lit("k").alias("k"), F.when(F.col("id") > 20, F.col("id")).alias("at"), "id")
-    assert rows(OrderedRows.of(df, ["k"], ["at", "id"], 10).running_sum({"n": F.col("id")}).rows()) == rows(
-        OrderedRows.of(df, ["k"], ["at", "id"]).running_sum({"n": F.col("id")}).rows())
-
-
-def test_asof(spark, log):
+def test_asof(log):
     parts = log.select("host", "ts", F.col("seq").alias("id"), "status")
     asks, snaps = parts.where("status = 200").drop("status"), parts.where("status = 404").drop("status")
-    assert rows(robots.robots_asof(asks, snaps, 3600, min_rows=20)) == rows(robots.robots_asof(asks, snaps, 3600))
+    assert rows(robots.robots_asof(asks, snaps, 3600, segments=9)) == rows(robots.robots_asof(asks, snaps, 3600, segments=1))
 
 
 def test_ids(spark):
-    df = spark.range(1000).select(F.col("id").alias("seq"), (F.col("id") % 3 == 0).cast("int").alias("prio"))
-    for size in (10, 10**6):
-        out = [(r.prio, r.seq) for r in listings.with_ids(df, "prio", [0, 1], ["seq"], min_rows=size).orderBy("id").collect()]
+    """Also for groups that nobody named, and for NULL."""
+    df = spark.range(1000).select(F.col("id").alias("seq"), F.nullif((F.col("id") % 5).cast("int"), F.lit(4)).alias("prio"))
+    for size in (1, 7):
+        out = [(-1 if r.prio is None else r.prio, r.seq) for r in listings.with_ids(df, "prio", ["seq"], size).orderBy("id").collect()]
         assert out == sorted(out) and len(out) == 1000
-        ids = listings.with_ids(df, "prio", [0, 1], ["seq"], min_rows=size).agg(F.min("id"), F.max("id"), F.countDistinct("id"))
+        ids = listings.with_ids(df, "prio", ["seq"], size).agg(F.min("id"), F.max("id"), F.countDistinct("id"))
         assert tuple(ids.collect()[0]) == (1, 1000, 1000)
 
 
 def test_progress(log):
     marked = log.withColumn("success", F.coalesce(F.col("status") < 400, F.lit(False)))
-    assert rows(hostlog.progress_marks(marked, ("ts", "seq"), min_rows=30)) == rows(
-        hostlog.progress_marks(marked, ("ts", "seq")))
+    assert rows(hostlog.progress_marks(marked, ("ts", "seq"), segments=11)) == rows(
+        hostlog.progress_marks(marked, ("ts", "seq"), segments=1))
 
 
 def test_budget(spark):
+    """In the order of a date and of a text."""
     calls = spark.range(600).select(
-        F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("source"), "id", F.lit("0.02").cast("decimal(10,4)").alias("unit_cost"))
-    assert rows(hostlog.budget_calls(calls, {"b": 100}, ("id",), min_rows=20)) == rows(
-        hostlog.budget_calls(calls, {"b": 100}, ("id",)))
+        F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("source"), "id", F.lit("0.02").cast("decimal(10,4)").alias("unit_cost"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 9).cast("int")).alias("day"), F.col("id").cast("string").alias("text"))
+    for order in (("id",), ("day", "id"), ("text",)):
+        assert rows(hostlog.budget_calls(calls, {"b": 100}, order, segments=6)) == rows(
+            hostlog.budget_calls(calls, {"b": 100}, order, segments=1))
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_lookup_join(spark, how):
-    left = spark.range(500).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise(
-        F.col("id").cast("string")).alias("k"))
-    right = spark.createDataFrame([("hot", 1), ("2", 2), ("5", 3)], "k string, v int")
-    assert rows(lookup_join(left, right, "k", "id", how, min_rows=20)) == rows(left.join(right, "k", how))
+def test_lookup_join_is_split_at_a_hot_key(spark, how):
+    """Half of the rows have one key, a third none: adaptive execution cuts their partitions."""
+    left = spark.range(60_000).select("id", F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise(
+        F.col("id").cast("string")).alias("k"), F.repeat(F.lit("x"), 20).alias("v"))
+    right = spark.createDataFrame([("hot", 1), ("5", 2), ("9", 3)], "k string, w int")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = lookup_join(left.repartition(6, "id"), right, "k", how)
+        got = len(joined.collect())
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    plain = {"left": 60_000, "inner": 30_002, "left_semi": 30_002, "left_anti": 29_998}
+    assert got == plain[how]
 
 
 def test_top_k_limits_before_the_shuffle(log):
