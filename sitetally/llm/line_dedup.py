@@ -3,12 +3,12 @@
 A line is its text in lower case without outer white space. Its shingles: the ``SHINGLE`` characters from each word start.
 Equal lines collapse by a 64-bit hash. The others get ``BANDS`` x ``ROWS`` MinHash values (smallest shingle hash under a
 random mask each); lines that agree on a whole band share a bucket, which a pair of similarity 0.8 misses in all bands with
-a chance of (1 - 0.8 ** ROWS) ** BANDS = 0.2 %. Pairs are verified by the exact Jaccard similarity of their shingles.
+a chance of about (1 - 0.8 ** ROWS) ** BANDS = 0.2 %. Pairs are verified by the exact Jaccard similarity of their shingles.
 
 Candidates grow with the bucket memberships, not with their squares: first every line against the smallest of its bucket;
 then, in buckets that still hold several components, every line against the others if the bucket has at most ``SMALL``
-lines. Larger ones are split by a second band, then by a third, in the same way; in the end every bucket that could not be
-split further has its components' smallest lines tried against the smallest one, round by round, until nothing links.
+lines. Larger ones are split by a second band, in the same way; where that still leaves more, its components' smallest lines
+are tried against the smallest one, round by round, until nothing links.
 
 NULL text: no lines. Blank lines stay. Rows with equal id and text are one document. Of a component the line with the
 smallest (id, line number) stays; NULL ids come first.
@@ -16,8 +16,6 @@ smallest (id, line number) stays; NULL ids come first.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +24,7 @@ from .components import components
 
 SHINGLE = 12
 SIMILAR = 0.8
-BANDS, ROWS = 6, 2
+BANDS, ROWS, BASES = 6, 2, 4
 SMALL = 64
 SPACES = " \t\x0b\f\r"
 _WORDS = rf"(?:^|[\x20\x09-\x0D]++)(?=([^\x20\x09-\x0D].{{0,{SHINGLE - 1}}}))"
@@ -43,8 +41,17 @@ def _mask(i: int) -> int:
     return x - ((x >> 63) << 64)
 
 
-def bands(hashes: Column) -> Column:
-    smallest = [F.array_min(F.transform(hashes, lambda h, m=_mask(i): h.bitwiseXOR(F.lit(m)))) for i in range(BANDS * ROWS)]
+def rehashed(hashes: Column) -> Column:
+    return F.transform(hashes, lambda h: F.xxhash64(h))
+
+
+def bands(bases: list[Column]) -> Column:
+    """Band keys from ``BASES`` arrays of hashes of the same shingles: each MinHash is the smallest hash under a mask, and
+    neighbouring ones come from different arrays, as those of one array are not independent."""
+    def masked(mask: int):
+        return lambda h: h.bitwiseXOR(F.lit(mask))
+
+    smallest = [F.array_min(F.transform(bases[i % BASES], masked(_mask(i)))) for i in range(BANDS * ROWS)]
     return F.array(*(F.xxhash64(F.lit(b), *smallest[b * ROWS:(b + 1) * ROWS]) for b in range(BANDS)))
 
 
@@ -74,9 +81,9 @@ def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _grouped(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``members`` (``key``, ``id``, ``other``) of buckets that hold several components ``c``, and the bucket's ``size``."""
+    """``members`` (``key``, ``band``, ``id``, ``other``) of buckets that hold several components ``c``, and the bucket's ``size``."""
     of = components(links)
-    rows = saved(members.join(of, "id", "left").select("key", "id", "other", F.coalesce("component", "id").alias("c")), "buckets")
+    rows = saved(members.join(of, "id", "left").select("key", "band", "id", "other", F.coalesce("component", "id").alias("c")), "buckets")
     open_ = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo != hi")
     return saved(rows.join(open_.select("key", "size"), "key"), "buckets")
 
@@ -86,44 +93,51 @@ def _leaders(members: DataFrame) -> DataFrame:
     return members.join(lead, "key").where("id != a").select("a", F.col("id").alias("b")).distinct()
 
 
+def _all_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of different components in buckets of at most ``SMALL`` lines."""
+    few = members.where(F.col("size") <= SMALL).select("key", "id", "c")
+    pairs = few.join(few.select("key", F.col("id").alias("b"), F.col("c").alias("d")), "key").where("id < b and c != d")
+    return pairs.select(F.col("id").alias("a"), "b").distinct()
+
+
 def similar_lines(lines: DataFrame, hashed: DataFrame) -> DataFrame:
     """Verified links (``a``, ``b``) between ids of different lines. ``hashed``: ``id``, ``bands``, any number of times."""
     one = hashed.groupBy("id").agg(F.first("bands").alias("other"))
-    every = one.select(F.explode("other").alias("key"), "id", "other")
+    every = one.select(F.posexplode("other").alias("band", "key"), "id", "other")
     held = every.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
     members = saved(every.join(held, "key"), "buckets")
     sets = shingle_sets(lines, members.select("id").distinct())
-    links = [saved(_verified(sets, saved(_leaders(members), "pairs")), "links")]
-    all_links = lambda: reduce(DataFrame.unionByName, links)
-    for depth in range(3):
-        members = _grouped(members, all_links())
-        few = members.where(F.col("size") <= SMALL).select("key", "id", "c")
-        pairs = few.join(few.select("key", F.col("id").alias("b"), F.col("c").alias("d")), "key").where("id < b and c != d")
-        links.append(saved(_verified(sets, saved(pairs.select(F.col("id").alias("a"), "b").distinct(), "pairs")), "links"))
-        members = members.where(F.col("size") > SMALL)
-        if depth == 2 or members.isEmpty():
-            break
-        again = F.transform("other", lambda x: F.xxhash64("key", x))
-        members = saved(members.select(F.explode(again).alias("key"), "id", "other").distinct(), "buckets")
-        links.append(saved(_verified(sets, saved(_leaders(members), "pairs")), "links"))
-    while not members.isEmpty():
-        members = _grouped(members.select("key", "id", "other"), all_links())
-        heads = members.groupBy("key", "c").agg(F.min("id").alias("id"))
-        new = saved(_verified(sets, saved(_leaders(heads), "pairs")), "links")
+    links = saved(_verified(sets, saved(_leaders(members), "pairs")), "links")
+    members = _grouped(members, links)
+    # a large bucket is cut once more, by every other band: lines of similarity 0.8 share one of those all but always
+    parts = members.where(F.col("size") > SMALL).select(
+        F.explode(F.filter("other", lambda _, i: i != F.col("band"))).alias("more"), "key", "band", "id", "other", "c")
+    parts = saved(parts.select(F.xxhash64("key", "more").alias("key"), "band", "id", "other", "c").distinct(), "buckets")
+    sizes = parts.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo != hi")
+    parts = saved(parts.join(sizes.select("key", "size"), "key"), "buckets")
+    pairs = _all_pairs(members).unionByName(_all_pairs(parts)).unionByName(_leaders(parts.where(F.col("size") > SMALL)))
+    links = saved(links.unionByName(_verified(sets, saved(pairs.distinct(), "pairs"))), "links")
+    rest = parts.where(F.col("size") > SMALL)
+    while not rest.isEmpty():
+        rest = _grouped(rest.select("key", "band", "id", "other"), links)
+        heads = rest.groupBy("key", "c").agg(F.min("id").alias("id"))
+        new = saved(_verified(sets, saved(_leaders(heads), "pairs")).join(links, ["a", "b"], "left_anti"), "links")
         if new.isEmpty():
             break
-        links.append(new)
-    return all_links()
+        links = links.unionByName(new)
+    return links
 
 
 def judged_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id``, ``mark``, ``line_no``, ``id``, ``chars``, ``kept`` of every line; blank lines have no id."""
     lines = lines_of(docs.select("doc_id", F.col(text).alias("text")))
     filled = F.col("body") != ""
-    hashed = lines.withColumn("h", F.when(filled, shingle_hashes(F.col("body"))))  # a step of its own: bands use it often
+    hashed = lines.withColumn("h0", F.when(filled, shingle_hashes(F.col("body"))))
+    for k in range(1, BASES):  # steps of their own: bands use each array often
+        hashed = hashed.withColumn(f"h{k}", rehashed(F.col(f"h{k - 1}")))
     rows = saved(hashed.select(
         "doc_id", "mark", "line_no", F.length("line").alias("chars"), F.when(filled, F.xxhash64("body")).alias("id"),
-        F.when(filled, bands(F.col("h"))).alias("bands")), "lines")
+        F.when(filled, bands([F.col(f"h{k}") for k in range(BASES)])).alias("bands")), "lines")
     links = similar_lines(lines.where(filled), rows.where("id is not null"))
     of = components(links)
     place = F.struct("doc_id", "mark", "line_no")

