@@ -56,9 +56,18 @@ def needed(n: int, percent: int = PERCENT) -> int:
 
 
 def bitmap(found: np.ndarray) -> bytes:
-    flags = np.zeros(BITS, dtype=bool)
-    flags[(found >> np.uint64(20)) % np.uint64(BITS)] = True
-    return np.packbits(flags).tobytes()
+    """At least eight bits a shingle, a multiple of ``BITS``: with fewer, the shingles of long texts hide each other."""
+    size = BITS
+    while size < 8 * len(found):
+        size *= 2
+    flags = np.zeros(size, dtype=bool)
+    flags[(found >> np.uint64(20)) % np.uint64(size)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def folded(bits: bytes, size: int = BITS) -> np.ndarray:
+    """A bitmap of ``size`` bits from one of as many or more."""
+    return np.bitwise_or.reduce(np.frombuffer(bits, dtype=np.uint64).reshape(-1, size // 64), axis=0)
 
 
 def frequent(docs: DataFrame) -> set[int]:
@@ -98,22 +107,23 @@ def sets_of(docs: DataFrame, late: set[int]) -> DataFrame:
             found = shingles(body or b"", hashes)
             n = len(found)
             if not n:
-                yield doc, None, 0, [], None
+                yield doc, None, 0, [], None, None
                 return
             f = xxh3_64_intdigest(found.tobytes())
             f -= (f >= 1 << 63) << 64
             if f in done:  # the cells of a copy in this task are known
-                yield doc, f, n, [], None
+                yield doc, f, n, [], None, None
                 return
             if len(done) > 200_000:
                 done.clear()
             done.add(f)
             is_late = last[np.searchsorted(last[:-1], found)] == found if len(last) else np.zeros(n, dtype=bool)
             cells = np.concatenate([found[~is_late], found[is_late]])[:n - needed(n) + 1]
-            yield doc, f, n, cells.astype(np.int64).tolist(), bitmap(found)
+            wide = bitmap(found)
+            yield doc, f, n, cells.astype(np.int64).tolist(), folded(wide).tobytes(), wide
         return each
 
-    return map_rows(docs.select("doc_id", "text"), make, f"doc_id {kind}, f long, n int, cells array<long>, bits binary")
+    return map_rows(docs.select("doc_id", "text"), make, f"doc_id {kind}, f long, n int, cells array<long>, bits binary, wide binary")
 
 
 def _place(doc_id: str) -> Column:
@@ -187,15 +197,16 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return map_rows(rows.repartition("c", "p", "q").sortWithinPartitions("c", "p", "q", "kind"), make, "a long, b long")
 
 
-def bounded(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that sizes and bitmaps do not rule out."""
-    bits = sets.where("bits is not null").groupBy("f").agg(F.first("n").alias("n"), F.min("bits").alias("bits"))
+def bounded(sets: DataFrame, pairs: DataFrame, by: str) -> DataFrame:
+    """The pairs that sizes and bitmaps (``bits``, or the exacter ``wide``) do not rule out."""
+    bits = sets.where("bits is not null").groupBy("f").agg(F.first("n").alias("n"), F.min(by).alias("bits"))
     both = pairs.join(bits.select(F.col("f").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x")), "a").join(
         bits.select(F.col("f").alias("b"), "n", F.col("bits").alias("y")), "b").select("a", "b", "m", "n", "x", "y")
 
     def make():
         def each(a, b, m, n, x, y):
-            x, y = (np.frombuffer(v, dtype=np.uint64) for v in (x, y))
+            size = 8 * min(len(x), len(y))
+            x, y = folded(x, size), folded(y, size)
             common = min(m - int(np.bitwise_count(x & ~y).sum()), n - int(np.bitwise_count(y & ~x).sum()))
             if (100 + PERCENT) * common >= PERCENT * (m + n):
                 yield a, b
@@ -314,7 +325,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     members = saved(cells.join(busy, "h").distinct(), "members")
     lead = members.groupBy("h").agg(F.min("f").alias("a"), F.max("f").alias("z")).where("a != z").select("h", "a")
     tried = saved(members.join(lead, "h").where("f != a").select("a", F.col("f").alias("b")).distinct(), "pairs")
-    first = saved(verified(docs, sets, saved(bounded(sets, tried), "pairs")), "links")
+    first = saved(verified(docs, sets, saved(bounded(sets, bounded(sets, tried, "bits"), "wide"), "pairs")), "links")
     groups = components(first).select(F.col("id").alias("f"), "component")
 
     grouped = members.join(lead.select("h"), "h").join(groups, "f", "left").select("h", "f", F.coalesce("component", "f").alias("c"))
@@ -331,7 +342,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     placed = placed.select("h", "t.p", "t.q", "t.side", "f", "n", "c", "bits").repartition("h", "p", "q")
     found = _tree_pairs(placed.sortWithinPartitions("h", "p", "q"))
     rest = found.join(tried, ["a", "b"], "left_anti")  # leaders are the smaller ids, as the first of a pair is
-    second = saved(verified(docs, sets, saved(rest, "pairs")), "links")
+    second = saved(verified(docs, sets, saved(bounded(sets, rest, "wide"), "pairs")), "links")
 
     groups = components(first.unionByName(second)).select(F.col("id").alias("f"), "component")
     rows = sets.select("doc_id", "f", "n").join(groups, "f", "left").withColumn("g", F.coalesce("component", "f"))
