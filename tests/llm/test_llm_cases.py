@@ -222,8 +222,8 @@ def test_byte_bpe_equals_tokenizers():
 
 
 def test_shared_lines_do_not_condemn_copies(spark):
-    own = [(i, f"line one of {i} says something long enough\nand this ends it with words {i * i}", "h") for i in range(30)]
-    boiler = [(100 + i, "Sign up for our weekly letter and get all of the very best stories for free\n" * 1 + f"w{i}", "h") for i in range(30)]
+    own = [(i, f"line one of {chr(97 + i)}x says something long enough\nand this ends it with words {chr(97 + i)}y", "h") for i in range(30)]
+    boiler = [(100 + i, f"Sign up for our weekly letter and get all of the very best stories for free\nw{i}", "h") for i in range(30)]
     copies = [(200 + i, "a text that was copied many times over and over by many other sites of the same kind", "h") for i in range(30)]
     rows = {r.doc_id: r for r in quality.judged(spark.createDataFrame(own + boiler + copies, "doc_id long, text string, source string")).collect()}
     assert all(rows[i].kept for i in range(30)) and all(not rows[100 + i].kept for i in range(30)) and all(rows[200 + i].kept for i in range(30))
