@@ -1,8 +1,8 @@
 """Near-duplicate lines of a corpus, one of each kept. DataFrame functions only.
 
 A line is its text in lower case without outer white space. Its shingles: the ``SHINGLE`` characters from each word start.
-Equal lines collapse by a 64-bit hash. The others get ``BANDS`` x ``ROWS`` MinHash values (smallest shingle hash under a
-random mask each); lines that agree on a whole band share a bucket, which a pair of similarity 0.8 misses in all bands with
+Equal lines collapse by a 64-bit hash. The others get ``BANDS`` x ``ROWS`` MinHash values (smallest and greatest of several
+hashes of their shingles); lines that agree on a whole band share a bucket, which a pair of similarity 0.8 misses in all bands with
 a chance of about (1 - 0.8 ** ROWS) ** BANDS = 0.2 %. Pairs are verified by the exact Jaccard similarity of their shingles.
 
 Candidates grow with the bucket memberships, not with their squares: first every line against the smallest of its bucket;
@@ -24,7 +24,7 @@ from .components import components
 
 SHINGLE = 12
 SIMILAR = 0.8
-BANDS, ROWS, BASES = 6, 2, 4
+BANDS, ROWS = 6, 2
 SMALL = 64
 SPACES = " \t\x0b\f\r"
 _WORDS = rf"(?:^|[\x20\x09-\x0D]++)(?=([^\x20\x09-\x0D].{{0,{SHINGLE - 1}}}))"
@@ -35,24 +35,14 @@ def shingle_hashes(line: Column) -> Column:
     return F.transform(F.regexp_extract_all(line, F.lit(_WORDS), F.lit(1)), lambda s: F.xxhash64(s))
 
 
-def _mask(i: int) -> int:
-    x = (i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
-    x = (x ^ x >> 31) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
-    return x - ((x >> 63) << 64)
-
-
 def rehashed(hashes: Column) -> Column:
     return F.transform(hashes, lambda h: F.xxhash64(h))
 
 
 def bands(bases: list[Column]) -> Column:
-    """Band keys from ``BASES`` arrays of hashes of the same shingles: each MinHash is the smallest hash under a mask, and
-    neighbouring ones come from different arrays, as those of one array are not independent."""
-    def masked(mask: int):
-        return lambda h: h.bitwiseXOR(F.lit(mask))
-
-    smallest = [F.array_min(F.transform(bases[i % BASES], masked(_mask(i)))) for i in range(BANDS * ROWS)]
-    return F.array(*(F.xxhash64(F.lit(b), *smallest[b * ROWS:(b + 1) * ROWS]) for b in range(BANDS)))
+    """Band keys from ``BANDS`` arrays of independent hashes of the same shingles. The smallest and the greatest hash of an
+    array are two MinHash values; a band joins the smallest of one array with the greatest of the next."""
+    return F.array(*(F.xxhash64(F.lit(b), F.array_min(bases[b]), F.array_max(bases[(b + 1) % BANDS])) for b in range(BANDS)))
 
 
 def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -133,11 +123,11 @@ def judged_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     lines = lines_of(docs.select("doc_id", F.col(text).alias("text")))
     filled = F.col("body") != ""
     hashed = lines.withColumn("h0", F.when(filled, shingle_hashes(F.col("body"))))
-    for k in range(1, BASES):  # steps of their own: bands use each array often
+    for k in range(1, BANDS):  # steps of their own: bands use each array often
         hashed = hashed.withColumn(f"h{k}", rehashed(F.col(f"h{k - 1}")))
     rows = saved(hashed.select(
         "doc_id", "mark", "line_no", F.length("line").alias("chars"), F.when(filled, F.xxhash64("body")).alias("id"),
-        F.when(filled, bands([F.col(f"h{k}") for k in range(BASES)])).alias("bands")), "lines")
+        F.when(filled, bands([F.col(f"h{k}") for k in range(BANDS)])).alias("bands")), "lines")
     links = similar_lines(lines.where(filled), rows.where("id is not null"))
     of = components(links)
     place = F.struct("doc_id", "mark", "line_no")
