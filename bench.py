@@ -13,10 +13,14 @@ from sitetally.plans import catalog  # noqa: E402
 from sitetally.session import build_session  # noqa: E402
 
 HEADLINE = (
-    "site_flags", "pattern_hits", "site_features", "host_report", "error_runs", "politeness_gap", "dedup_listings",
+    "site_flags", "site_hits", "pattern_hits", "site_features", "host_report", "error_runs", "politeness_gap", "dedup_listings",
     "practices_with_ids", "city_topup", "vendor_counts", "market_share", "enrich_jobs", "summary_adoption",
     "phone_distribution", "robots_allowed", "robots_asof", "budget_cap", "stream_page_hits", "stream_host_state",
 )
+#: Table that a query's time grows with, for rows a second.
+READS = {"host_report": "events", "error_runs": "events", "politeness_gap": "events", "stream_host_state": "events", "robots_asof": "events",
+         "dedup_listings": "part", "practices_with_ids": "customer", "city_topup": "customer", "vendor_counts": "orders",
+         "market_share": "orders", "enrich_jobs": "orders", "summary_adoption": "orders", "phone_distribution": "orders", "budget_cap": "orders"}
 
 
 def main() -> None:
@@ -29,8 +33,10 @@ def main() -> None:
         start = time.perf_counter()
         catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+    rows = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in {"pages", *READS.values()}}
+    speed = {name: round(rows[READS.get(name, "pages")] / t) for name, t in times.items()}
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
+                      "queries": times, "rows_per_s": speed, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
     spark.stop()
 
 
