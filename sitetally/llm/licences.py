@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import math
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,13 +105,12 @@ def inverse_frequencies(files: DataFrame, text: str = "text") -> tuple[dict[str,
 
 def statements(files: DataFrame, needed: list[str]) -> DataFrame:
     """``file``, ``statement``: lines, and whole licence files, that hold one of ``needed``."""
-    def may(text: str) -> Column:
-        return reduce(lambda a, b: a | b, (F.lower(text).contains(t) for t in needed))
-
-    lines = files.where(may("text")).select("file", F.explode(F.split("text", "\n")).alias("statement")).where(may("statement"))
-    whole = files.where(F.col("name").rlike(LICENCE_FILE) & F.col("text").contains("\n") & may("text")).select(
-        "file", F.col("text").alias("statement"))
-    return lines.unionByName(whole).where(F.arrays_overlap(terms(F.col("statement")), F.array(*(F.lit(t) for t in needed))))
+    starts = r"(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in needed) + ")"
+    whole = F.when(F.col("name").rlike(LICENCE_FILE) & F.col("text").contains("\n"), F.array("text")).otherwise(F.array().cast("array<string>"))
+    found = files.where(F.lower("text").rlike(starts)).select("file", F.explode(F.concat(F.split("text", "\n"), whole)).alias("statement"))
+    # the expression only thins out; whole terms decide
+    return found.where(F.lower("statement").rlike(starts)).where(
+        F.arrays_overlap(terms(F.col("statement")), F.array(*(F.lit(t) for t in needed))))
 
 
 def detected(files: DataFrame) -> DataFrame:
