@@ -1,7 +1,7 @@
 """From raw documents to packed token sequences: quality, language, near-duplicate lines, near-duplicate documents, packing.
 
-Every stage reads the Parquet table that the stage before it wrote, and works on all of it. ``SAFE`` columns of a document
-stay until the last stage. Empty tables pass through.
+Every stage reads the Parquet table that the stage before it wrote, and works on all of it. All columns of a document stay
+until the last stage, whatever they are called. Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -22,8 +22,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go; a missing ``lang`` becomes the predicted one."""
     model = language.fitted(docs.where(remainder("doc_id", 5) != 0))
-    rows = language.predicted(docs, model, keep=tuple(docs.columns)).where(F.col("lang_pred") != language.UNKNOWN)
-    return rows.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # whatever the columns are called, nothing clashes
+    plain = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    rows = language.predicted(plain, model, names["text"], tuple(names.values())).where(F.col("lang_pred") != language.UNKNOWN)
+    filled = rows.withColumn(names["lang"], F.coalesce(names["lang"], "lang_pred"))
+    return filled.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -157,11 +157,13 @@ def predicted(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str
     data = docs.select(F.col(text).alias("_text"), *keep)
     sent = data.sparkSession.sparkContext.broadcast(model)
 
+    is_text = [data.schema[c].dataType.typeName() == "string" for c in keep]
+
     def make():
         scorer = Scorer(sent.value)
 
         def each(body, *rest):
-            yield (*(r.decode() if isinstance(r, bytes) else r for r in rest), *scorer(body))
+            yield (*(r.decode() if t and r is not None else r for r, t in zip(rest, is_text, strict=True)), *scorer(body))
         return each
 
     kinds = ", ".join(f"`{c}` {data.schema[c].dataType.simpleString()}" for c in keep)

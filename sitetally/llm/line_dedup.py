@@ -141,8 +141,8 @@ def judged_lines(docs: DataFrame, text: str = "text") -> DataFrame:
 def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the lines that stay; every row and every other column is kept as it is."""
     gone = judged_lines(docs, text).where("not kept").groupBy("doc_id", "mark").agg(F.collect_set("line_no").alias("_gone"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_of"), "_gone")
-    marked = docs.withColumn("_mark", F.xxhash64(text))
-    joined = marked.join(gone, marked["doc_id"].eqNullSafe(gone["_id"]) & (F.col("_mark") == F.col("_of")), "left")
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda line, k: ~F.array_contains("_gone", k)), "\n")
-    return joined.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left)).select(*docs.columns)
+    gone = gone.select(F.col("doc_id").alias("__st_id"), F.col("mark").alias("__st_of"), F.col("_gone").alias("__st_gone"))
+    marked = docs.withColumn("__st_mark", F.xxhash64(text))
+    joined = marked.join(gone, F.col("doc_id").eqNullSafe(F.col("__st_id")) & (F.col("__st_mark") == F.col("__st_of")), "left")
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda line, k: ~F.array_contains("__st_gone", k)), "\n")
+    return joined.withColumn(text, F.when(F.col("__st_gone").isNull(), F.col(text)).otherwise(left)).select(*docs.columns)

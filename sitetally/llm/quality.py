@@ -134,7 +134,9 @@ def judged(docs: DataFrame, text: str = "text", host: str = "source", keep: Iter
 def kept_documents(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The rows of ``docs`` whose verdict is to stay, with all their columns and whole texts."""
     mark = F.xxhash64(F.col(text), F.col(host).cast("string"))
-    data = docs.select(F.col(text), F.col(host), F.col("doc_id").alias("_id"), mark.alias("_mark"))
-    out = judged(data, text, host, keep=("_id", "_mark")).where("not kept").select("_id", "_mark").distinct()
-    marked = docs.withColumn("_own", mark)
-    return marked.join(out, marked["doc_id"].eqNullSafe(out["_id"]) & (F.col("_own") == F.col("_mark")), "left_anti").drop("_own")
+    data = docs.select(F.col(text).alias("text"), F.col(host).alias("host"), F.col("doc_id").alias("_id"), mark.alias("_mark"))
+    out = judged(data, "text", "host", keep=("_id", "_mark")).where("not kept").select(
+        F.col("_id").alias("__st_id"), F.col("_mark").alias("__st_mark")).distinct()
+    marked = docs.withColumn("__st_own", mark)
+    same = F.col("doc_id").eqNullSafe(F.col("__st_id")) & (F.col("__st_own") == F.col("__st_mark"))
+    return marked.join(out, same, "left_anti").drop("__st_own")

@@ -6,6 +6,7 @@ from collections import Counter
 
 import corpus_pipeline
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 from sitetally.llm.common import saved
 
@@ -27,6 +28,19 @@ def test_stages(spark):
     assert packed.select("doc_id").distinct().count() == before
 
 
+def test_extra_columns_with_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(40)
+    extra = ("score", "lang_pred", "_text", "_mark", "mark", "line_no", "id", "kept", "component_id", "f", "n", "words")
+    docs = docs.withColumns({c: F.lit(c) for c in extra} | {"raw": F.encode(F.lit("\u00e9"), "ISO-8859-1"), "t": F.array("doc_id")})
+    docs = docs.withColumn("lang", F.when(F.col("lang") != "de", F.col("lang")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = saved(stage(spark, docs, SF_DIR), "stage")
+        row = docs.first()
+        assert all(row[c] == c for c in extra) and row["t"] == [row["doc_id"]] and bytes(row["raw"]) == b"\xe9", name
+    assert docs.where("lang is null").isEmpty()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() > 0
+
+
 def test_run_twice_gives_the_same(spark):
     def rows():
         return Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in corpus_pipeline.run(spark, SF_DIR).collect())
