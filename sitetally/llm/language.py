@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, saved
 
-SAMPLE = 2_000
-LONGEST = 5
+SAMPLE = 1_000
+LONGEST = 4
 SMOOTH = 0.5
-MIN_COUNT = 2
+MIN_COUNT = 3
 SHARPEST = 30
 UNKNOWN = "und"
 
@@ -41,8 +41,10 @@ def fitted(docs: DataFrame, text: str = "text", lang: str = "lang", by: str = "d
     """Counts over the sample, gathered by Spark; the result is bounded by the sample's size."""
     data = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(by)).alias("h"))
-    share = data.groupBy("lang").agg((F.lit(1e6 * sample) / F.count("*")).alias("share"))
-    chosen = data.join(share, "lang").where(F.pmod("h", F.lit(1_000_000)) < F.col("share")).select("lang", "text")
+    # one number per language; the model has a column for each of them anyway
+    sizes = {r.lang: r["count"] for r in data.groupBy("lang").count().collect()}
+    share = F.create_map(*(F.lit(x) for own, n in sorted(sizes.items()) for x in (own, 1e6 * sample / n)))
+    chosen = data.where(F.pmod("h", F.lit(1_000_000)) < share[F.col("lang")] if sizes else F.lit(False)).select("lang", "text")
 
     def make():
         class Each:
@@ -73,7 +75,9 @@ def fitted(docs: DataFrame, text: str = "text", lang: str = "lang", by: str = "d
     counted = map_rows(chosen, make, "lang string, size int, unit string, n long")
     units = saved(counted.groupBy("lang", "size", "unit").agg(F.sum("n").alias("n")), "language")
     totals = {(r[0], r[1]): r[2] for r in units.groupBy("lang", "size").agg(F.sum("n")).collect()}
-    return Model.of(units.where(F.col("n") >= MIN_COUNT).toPandas(), totals)
+    return Model.of(units.groupBy("size", "unit").agg(
+        F.collect_list(F.struct("lang", "n")).alias("by"), F.sum("n").alias("all")).where(F.col("all") >= MIN_COUNT).select(
+        "size", "unit", F.explode("by").alias("b")).select("size", "unit", "b.lang", "b.n").toPandas(), totals)
 
 
 class Model:
