@@ -57,6 +57,10 @@ class Pieces:
         self.points = {i: round(sp.get_score(i)) for i in plain}
         self.unknown = min(round(sp.get_score(i)) for i in plain) * TIES - UNKNOWN * TIES
         self.longest = max(map(len, self.ids))
+        # beginnings of pieces that are none themselves have no score; what is not here begins no piece
+        self.table = {p[:k]: None for p in self.ids for k in range(1, len(p))} | self.scores
+        self.plain_text = [chr(self.of_byte[i]) if i in self.of_byte else name for i, name in enumerate(self.names)]
+        self.part_bytes = frozenset(i for i, b in self.of_byte.items() if b > 127)
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece goes on behind a space")
         self.limit, self.known = limit, {}
@@ -71,18 +75,24 @@ class Pieces:
         score, back = [NEVER] * (n + 1), [-1] * (n + 1)
         for place, s in entry.items():
             score[place] = s
-        get, longest = self.scores.get, self.longest
+        table, longest = self.table, self.longest
         for i in range(min(stop, n)):
             here = score[i]
             if here == NEVER:
                 continue
             here += PLACES[(origin + i) & 4095]
             for j in range(i + 1, min(i + longest, n) + 1):
-                s = get(span[i:j])
-                if s is None:
-                    if j > i + 1 or span[i] in self.ids:
-                        continue
+                piece = span[i:j]
+                if piece in table:
+                    s = table[piece]
+                    if s is None:
+                        if j > i + 1:
+                            continue
+                        s = self.unknown
+                elif j == i + 1:
                     s = self.unknown
+                else:
+                    break
                 if here + s > score[j]:
                     score[j], back[j] = here + s, i
         return score, back
@@ -117,6 +127,8 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """The normal text of ids; ``plain`` of it is the text."""
+        if self.part_bytes.isdisjoint(ids):
+            return "".join(map(self.plain_text.__getitem__, ids))
         out, raw = [], bytearray()
         for i in ids:
             if (b := self.of_byte.get(i)) is not None:
