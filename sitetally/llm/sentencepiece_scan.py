@@ -54,8 +54,9 @@ class Pieces:
         self.of_byte = {i: b for b, i in self.bytes.items()}
         self.ids = {self.names[i]: i for i in plain}
         self.scores = {self.names[i]: round(sp.get_score(i)) * TIES for i in plain}
-        self.points = {i: round(sp.get_score(i)) for i in plain}
         self.unknown = min(round(sp.get_score(i)) for i in plain) * TIES - UNKNOWN * TIES
+        self.points = np.full(size, self.unknown // TIES, dtype=np.int64)
+        self.points[plain] = [round(sp.get_score(i)) for i in plain]
         self.longest = max(map(len, self.ids))
         # beginnings of pieces that are none themselves have no score; what is not here begins no piece
         self.table = {p[:k]: None for p in self.ids for k in range(1, len(p))} | self.scores
@@ -123,7 +124,7 @@ class Pieces:
 
     def score(self, ids: list[int]) -> int:
         """Sum of the pieces' scores; a byte costs its share of an unknown character, so their sum is only a bound."""
-        return sum(self.points.get(i, self.unknown // TIES) for i in ids)
+        return int(self.points[np.array(ids, dtype=np.int64)].sum())
 
     def decode(self, ids: list[int]) -> str:
         """The normal text of ids; ``plain`` of it is the text."""
