@@ -1,6 +1,7 @@
 """Near-duplicate lines of a corpus, one of each kept. DataFrame functions only.
 
-A line is its text in lower case without outer white space. Its shingles: the ``SHINGLE`` characters from each word start.
+A line is its text in lower case without outer white space. Its shingles: the ``SHINGLE`` characters from each word start, and
+from every other character of a word longer than that, so that all of the line is in some shingle.
 Equal lines collapse by a 64-bit hash. The others get ``BANDS`` x ``ROWS`` MinHash values (smallest and greatest of several
 hashes of their shingles); lines that agree on a whole band share a bucket, which a pair of similarity 0.8 misses in all bands with
 a chance of about (1 - 0.8 ** ROWS) ** BANDS = 0.2 %. Pairs are verified by the exact Jaccard similarity of their shingles.
@@ -27,12 +28,22 @@ SIMILAR = 0.8
 BANDS, ROWS = 6, 2
 SMALL = 64
 SPACES = " \t\x0b\f\r"
-_WORDS = rf"(?:^|[\x20\x09-\x0D]++)(?=([^\x20\x09-\x0D].{{0,{SHINGLE - 1}}}))"
+_WORDS = rf"(?s)(?:^|[\x20\x09-\x0D]++)(?=([^\x20\x09-\x0D].{{0,{SHINGLE - 1}}}))"
+_IS_LONG = rf"(?:^|[\x20\x09-\x0D])[^\x20\x09-\x0D]{{{SHINGLE + 1}}}"
+_LONG = rf"(?s)(?:^|[\x20\x09-\x0D])(?=([^\x20\x09-\x0D]{{{SHINGLE + 1},}}+.{{0,{SHINGLE - 1}}}))"  # with what follows
+_EVERY = rf"(?s)(?=(.{{1,{SHINGLE}}}))"
 MARK_BITS = 17  # log2 of the 64-bit words of the bitmap of needed lines: at most 131,072 rows are broadcast
 
 
 def shingle_hashes(line: Column) -> Column:
-    return F.transform(F.regexp_extract_all(line, F.lit(_WORDS), F.lit(1)), lambda s: F.xxhash64(s))
+    def inner(word: Column) -> Column:
+        length = F.length(F.regexp_extract(word, r"^[^\x20\x09-\x0D]++", 0))
+        return F.slice(F.regexp_extract_all(word, F.lit(_EVERY), F.lit(1)), F.lit(2), length - 1)
+
+    more = F.flatten(F.transform(F.regexp_extract_all(line, F.lit(_LONG), F.lit(1)), inner))
+    none = F.array().cast("array<string>")
+    starts = F.regexp_extract_all(line, F.lit(_WORDS), F.lit(1))
+    return F.transform(F.concat(starts, F.when(line.rlike(_IS_LONG), more).otherwise(none)), lambda s: F.xxhash64(s))
 
 
 def rehashed(hashes: Column) -> Column:
