@@ -6,10 +6,10 @@ Equal lines collapse by a 64-bit hash. The others get ``BANDS`` x ``ROWS`` MinHa
 hashes of their shingles); lines that agree on a whole band share a bucket, which a pair of similarity 0.8 misses in all bands with
 a chance of about (1 - 0.8 ** ROWS) ** BANDS = 0.2 %. Pairs are verified by the exact Jaccard similarity of their shingles.
 
-Candidates grow with the bucket memberships, not with their squares: first every line against the smallest of its bucket;
-then, in buckets that still hold several components, every line against the others if the bucket has at most ``SMALL``
-lines. Larger ones are split by a second band, in the same way; where that still leaves more, its components' smallest lines
-are tried against the smallest one, round by round, until nothing links.
+Every pair of a bucket is tried unless it is one component already or cannot be similar: first every line against the
+smallest of its bucket, then all others in buckets of at most ``SMALL`` lines. Larger buckets are cut into cells: with the
+shingles in the bucket's order of frequency, rarest first, similar lines share one of their first ``n - ceil(0.8 n) + 1``. Cells
+are tried in the same way, those above ``SMALL`` lines in pairs of blocks, so no task holds a large one.
 
 NULL text: no lines. Blank lines stay. Rows with equal id and text are one document. Of a component the line with the
 smallest (id, line number) stays; NULL ids come first.
@@ -17,7 +17,7 @@ smallest (id, line number) stays; NULL ids come first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -82,9 +82,9 @@ def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _grouped(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``members`` (``key``, ``band``, ``id``, ``other``) of buckets that hold several components ``c``, and the bucket's ``size``."""
+    """``members`` (``key``, ``id``) of buckets that hold several components ``c``, and the bucket's ``size``."""
     of = components(links)
-    rows = saved(members.join(of, "id", "left").select("key", "band", "id", "other", F.coalesce("component", "id").alias("c")), "buckets")
+    rows = saved(members.join(of, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")), "buckets")
     open_ = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo != hi")
     return saved(rows.join(open_.select("key", "size"), "key"), "buckets")
 
@@ -95,37 +95,42 @@ def _leaders(members: DataFrame) -> DataFrame:
 
 
 def _all_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components in buckets of at most ``SMALL`` lines."""
-    few = members.where(F.col("size") <= SMALL).select("key", "id", "c")
-    pairs = few.join(few.select("key", F.col("id").alias("b"), F.col("c").alias("d")), "key").where("id < b and c != d")
-    return pairs.select(F.col("id").alias("a"), "b").distinct()
+    """Pairs of different components of each bucket; one of more than ``SMALL`` lines is visited by pairs of blocks."""
+    own, k = F.pmod(F.xxhash64("id"), F.col("blocks")), F.col("k")
+    dealt = members.withColumn("blocks", F.ceil(F.col("size") / SMALL)).withColumn("own", own)
+    dealt = dealt.withColumn("k", F.explode(F.expr("sequence(0L, blocks - 1)"))).select(
+        "key", F.least("own", k).alias("p"), F.greatest("own", k).alias("q"), (F.col("own") > k).alias("right"), "id", "c")
+    left = dealt.where("not right").select("key", "p", "q", "id", "c")
+    right = dealt.where("right or p = q").select("key", "p", "q", F.col("id").alias("b"), F.col("c").alias("d"))
+    pairs = left.join(right, ["key", "p", "q"]).where("(p < q or id < b) and c != d")
+    return pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+
+
+def _cells(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``key``, ``id`` of the cells of buckets: one for each of the rarest shingles of a line."""
+    of = saved(members.select("key", "id").join(sets, "id").select("key", "id", F.size("s").alias("n"), F.explode("s").alias("s")), "cells")
+    often = of.groupBy("key", "s").agg(F.count("*").alias("lines"))
+    place = F.row_number().over(Window.partitionBy("key", "id").orderBy("lines", "s"))
+    first = of.join(often, ["key", "s"]).withColumn("place", place).where(
+        (F.col("place") <= F.col("n") - F.ceil(SIMILAR * F.col("n") - 1e-6) + 1) & (F.col("lines") > 1))
+    return first.select(F.xxhash64("key", "s").alias("key"), "id").distinct()
 
 
 def similar_lines(lines: DataFrame, hashed: DataFrame) -> DataFrame:
     """Verified links (``a``, ``b``) between ids of different lines. ``hashed``: ``id``, ``bands``, any number of times."""
-    one = hashed.groupBy("id").agg(F.first("bands").alias("other"))
-    every = one.select(F.posexplode("other").alias("band", "key"), "id", "other")
+    one = hashed.groupBy("id").agg(F.first("bands").alias("bands"))
+    every = one.select(F.explode("bands").alias("key"), "id")
     held = every.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
     members = saved(every.join(held, "key"), "buckets")
     sets = shingle_sets(lines, members.select("id").distinct())
     links = saved(_verified(sets, saved(_leaders(members), "pairs")), "links")
     members = _grouped(members, links)
-    # a large bucket is cut once more, by every other band: lines of similarity 0.8 share one of those all but always
-    parts = members.where(F.col("size") > SMALL).select(
-        F.explode(F.filter("other", lambda _, i: i != F.col("band"))).alias("more"), "key", "band", "id", "other", "c")
-    parts = saved(parts.select(F.xxhash64("key", "more").alias("key"), "band", "id", "other", "c").distinct(), "buckets")
-    sizes = parts.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo != hi")
-    parts = saved(parts.join(sizes.select("key", "size"), "key"), "buckets")
-    pairs = _all_pairs(members).unionByName(_all_pairs(parts)).unionByName(_leaders(parts.where(F.col("size") > SMALL)))
-    links = saved(links.unionByName(_verified(sets, saved(pairs.distinct(), "pairs"))), "links")
-    rest = parts.where(F.col("size") > SMALL)
-    while not rest.isEmpty():
-        rest = _grouped(rest.select("key", "band", "id", "other"), links)
-        heads = rest.groupBy("key", "c").agg(F.min("id").alias("id"))
-        new = saved(_verified(sets, saved(_leaders(heads), "pairs")).join(links, ["a", "b"], "left_anti"), "links")
-        if new.isEmpty():
-            break
-        links = links.unionByName(new)
+    cells = saved(_cells(members.where(F.col("size") > SMALL), sets), "cells")
+    pairs = _all_pairs(members.where(F.col("size") <= SMALL)).unionByName(_leaders(cells)).distinct()
+    links = saved(links.unionByName(_verified(sets, saved(pairs, "pairs"))), "links")
+    if not cells.isEmpty():
+        pairs = _all_pairs(_grouped(cells, links)).join(links, ["a", "b"], "left_anti")
+        links = links.unionByName(saved(_verified(sets, saved(pairs, "pairs")), "links"))
     return links
 
 

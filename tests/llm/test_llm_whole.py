@@ -5,10 +5,9 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
-from sitetally.llm import line_dedup, signature_join
+from sitetally.llm import line_dedup
 
 
 def _components(n, links):
@@ -46,3 +45,21 @@ def test_lines_without_spaces_and_with_equal_beginnings(spark):
     assert links and [got[i] for i in range(len(lines))] == [up[i] == i for i in range(len(lines))]
     hashes = df.select("doc_id", F.size(F.array_distinct(line_dedup.shingle_hashes(F.col("text")))).alias("n")).collect()
     assert {r.doc_id: r.n for r in hashes} == {i: len(s) for i, s in enumerate(sets)}
+
+
+def test_large_bucket_of_several_families(spark):
+    """All lines in one bucket; families whose lines drift, of which one line at most is next to the smallest id."""
+    rng = np.random.default_rng(7)
+    lines = []
+    for f in range(5):
+        words = [f"f{f}w{k}" for k in range(40)]
+        for k in range(60):
+            words[int(rng.integers(40))] = f"n{f}x{k}"
+            lines.append(" ".join(words))
+    sets = [_shingles(x) for x in lines]
+    links = [(i, j) for i, j in combinations(range(len(lines)), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    df = spark.createDataFrame([(x,) for x in lines], "body string")
+    hashed = df.select(F.xxhash64("body").alias("id"), F.array(*(F.lit(k).cast("long") for k in range(6))).alias("bands"))
+    at = {r.id: i for i, r in enumerate(hashed.collect())}
+    found = [(at[r.a], at[r.b]) for r in line_dedup.similar_lines(df, hashed).collect()]
+    assert {tuple(sorted(x)) for x in found} <= set(links) and _components(len(lines), found) == _components(len(lines), links)
