@@ -93,7 +93,8 @@ def frequent(docs: DataFrame) -> set[int]:
 
 
 def sets_of(docs: DataFrame, late: set[int]) -> DataFrame:
-    """``doc_id``, ``f`` (hash of the set, NULL if empty), ``n``, the shingles that name its cells, and its bitmap."""
+    """``doc_id``, ``row`` (as ``_row`` has it), ``f`` (hash of the set, NULL if empty), ``n``, the shingles that name its
+    cells, and its bitmap."""
     sent = docs.sparkSession.sparkContext.broadcast(np.array(sorted(late), dtype=np.int64).view(np.uint64))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -102,17 +103,17 @@ def sets_of(docs: DataFrame, late: set[int]) -> DataFrame:
 
         hashes, last, done = word_hashes(), np.sort(sent.value), set()
 
-        def each(doc, body):
+        def each(doc, row, body):
             doc = doc.decode() if isinstance(doc, bytes) else doc
             found = shingles(body or b"", hashes)
             n = len(found)
             if not n:
-                yield doc, None, 0, [], None, None
+                yield doc, row, None, 0, [], None, None
                 return
             f = xxh3_64_intdigest(found.tobytes())
             f -= (f >= 1 << 63) << 64
             if f in done:  # the cells of a copy in this task are known
-                yield doc, f, n, [], None, None
+                yield doc, row, f, n, [], None, None
                 return
             if len(done) > 200_000:
                 done.clear()
@@ -120,19 +121,24 @@ def sets_of(docs: DataFrame, late: set[int]) -> DataFrame:
             is_late = last[np.searchsorted(last[:-1], found)] == found if len(last) else np.zeros(n, dtype=bool)
             cells = np.concatenate([found[~is_late], found[is_late]])[:n - needed(n) + 1]
             wide = bitmap(found)
-            yield doc, f, n, cells.astype(np.int64).tolist(), folded(wide).tobytes(), wide
+            yield doc, row, f, n, cells.astype(np.int64).tolist(), folded(wide).tobytes(), wide
         return each
 
-    return map_rows(docs.select("doc_id", "text"), make, f"doc_id {kind}, f long, n int, cells array<long>, bits binary, wide binary")
+    return map_rows(docs.select("doc_id", _row(), "text"), make, f"doc_id {kind}, row long, f long, n int, cells array<long>, bits binary, wide binary")
 
 
-def _place(doc_id: str) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(64 << MARK_BITS))
+def _row(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Names a row by id and text: ids may be missing or repeated."""
+    return F.xxhash64(doc_id, text).alias("row")
 
 
-def _marked(ids: DataFrame) -> np.ndarray:
-    """Bitmap of the hashes of ``doc_id``: its size is fixed, so with many ids it only lets more through."""
-    place = ids.select(_place("doc_id").alias("p"))
+def _place(row: str | Column) -> Column:
+    return F.pmod(row, F.lit(64 << MARK_BITS))
+
+
+def _marked(rows: DataFrame) -> np.ndarray:
+    """Bitmap of ``row``: its size is fixed, so with many rows it only lets more through."""
+    place = rows.select(_place("row").alias("p"))
     words = place.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("b")).toPandas()
     out = np.zeros(1 << MARK_BITS, dtype=np.int64)
     out[words["w"].to_numpy(dtype=np.int64)] = words["b"]
@@ -153,22 +159,27 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
         own.select(F.col("id").alias("b"), F.col("own").alias("q")), "b").select("c", "p", "q", "a", "b")
     placed = saved(placed, "pairs")
     ends = placed.select("c", "p", "q", F.explode(F.array("a", "b")).alias("f")).distinct()
-    one = sets.where("f is not null").groupBy("f").agg(F.min("doc_id").alias("doc_id")).join(groups.select(F.col("id").alias("f")), "f")
+    one = sets.where("f is not null").groupBy("f").agg(F.min("row").alias("row")).join(groups.select(F.col("id").alias("f")), "f")
     sent = docs.sparkSession.sparkContext.broadcast(_marked(one))
 
     def hashed():
-        hashes, bits = word_hashes(), sent.value
+        hashes, bits, done = word_hashes(), sent.value, set()
         from xxhash import xxh3_64_intdigest
 
         def each(place, body):
             if int(bits[place >> 6]) >> (place & 63) & 1:
                 found = shingles(body, hashes).tobytes()
                 f = xxh3_64_intdigest(found)
+                if f in done:  # a repeated row
+                    return
+                if len(done) > 200_000:
+                    done.clear()
+                done.add(f)
                 yield f - ((f >= 1 << 63) << 64), found
         return each
 
     # texts are not shuffled: most of those that are not needed are known by a bitmap of fixed size, the rest by the join
-    texts = docs.where("text is not null and doc_id is not null").select(_place("doc_id"), "text")
+    texts = docs.where("text is not null").select(_place(_row()), "text")
     bodies = map_rows(texts, hashed, "f long, body binary")
     empty = F.lit(None).cast("long")
     rows = ends.join(bodies, "f").select("c", "p", "q", F.lit(0).alias("kind"), F.col("f").alias("a"), empty.alias("b"), "body")
@@ -318,6 +329,11 @@ def _tree_pairs(groups: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links, itself included)."""
+    return linked_rows(docs, doc_id, text).drop("row")
+
+
+def linked_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``linked``, with ``row`` (see ``_row``)."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sets = saved(sets_of(docs, frequent(docs)), "sets")
     cells = sets.select(F.explode("cells").alias("h"), "f")
@@ -345,14 +361,17 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     second = saved(verified(docs, sets, saved(bounded(sets, rest, "wide"), "pairs")), "links")
 
     groups = components(first.unionByName(second)).select(F.col("id").alias("f"), "component")
-    rows = sets.select("doc_id", "f", "n").join(groups, "f", "left").withColumn("g", F.coalesce("component", "f"))
+    rows = sets.select("doc_id", "row", "f", "n").join(groups, "f", "left").withColumn("g", F.coalesce("component", "f"))
     lowest = rows.where("g is not null").groupBy("g").agg(F.min("doc_id").alias("low"))
     return rows.join(lowest, "g", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
+        "doc_id", "row", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are the smallest id of their component; rows without an id stay."""
-    out = linked(docs).where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(out, "doc_id", "left_anti")
+    out = linked_rows(docs).where("doc_id != component_id").select(
+        F.col("doc_id").alias("__st_id"), F.col("row").alias("__st_row")).distinct()
+    marked = docs.withColumn("__st_own", _row())
+    same = (F.col("doc_id") == F.col("__st_id")) & (F.col("__st_own") == F.col("__st_row"))
+    return marked.join(out, same, "left_anti").drop("__st_own")

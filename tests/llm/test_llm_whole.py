@@ -7,7 +7,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import functions as F
 
-from sitetally.llm import line_dedup
+from sitetally.llm import line_dedup, signature_join
 
 
 def _components(n, links):
@@ -63,3 +63,15 @@ def test_large_bucket_of_several_families(spark):
     at = {r.id: i for i, r in enumerate(hashed.collect())}
     found = [(at[r.a], at[r.b]) for r in line_dedup.similar_lines(df, hashed).collect()]
     assert {tuple(sorted(x)) for x in found} <= set(links) and _components(len(lines), found) == _components(len(lines), links)
+
+
+def test_join_of_rows_without_an_id_or_with_a_shared_one(spark):
+    base = [f"word{k}" for k in range(60)]
+    near, other = " ".join([*base[:-1], "edited"]), " ".join(f"other{k}" for k in range(40))
+    own = " ".join(f"own{k}" for k in range(40))
+    rows = [(1, " ".join(base)), (None, near), (None, near), (5, " ".join([*base[:-1], "changed"])), (5, own), (None, other), (7, other + " more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in signature_join.linked(df).collect())
+    assert got == [(0, 0), (0, 0), (0, 0), (1, 1), (5, 1), (5, 5), (7, 7)]
+    left = sorted((r.doc_id or 0, r.text) for r in signature_join.one_of_each(df).collect())
+    assert left == sorted([(0, near), (0, near), (0, other), (1, " ".join(base)), (5, own), (7, other + " more")])
