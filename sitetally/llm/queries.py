@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    brown, html_model, language, licences, line_dedup, packing, quality, sentencepiece_scan, signature_join, vector_graph,
+    brown, fill_middle, html_model, language, licences, line_dedup, packing, quality, sentencepiece_scan, signature_join, vector_graph,
 )
 from .common import remainder, table
 
@@ -206,3 +206,24 @@ FROM embeddings d JOIN lowest ON lowest.id = d.vec_id"""
 @query("op10_vector_graph", OP10_SQL)
 def op10_vector_graph(spark, sf_dir):
     return vector_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+_FIM = [f"('0x' || sha256('{fill_middle.SEED}:' || coalesce(doc_id::VARCHAR, ''))[{1 + 8 * i}:{8 + 8 * i}])::BIGINT" for i in range(4)]
+OP13_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+  {', '.join(f'{h} AS h{i + 1}' for i, h in enumerate(_FIM))} FROM documents),
+c AS (SELECT *, len(u)::BIGINT AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b FROM d),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= {fill_middle.CHANGED_PERCENT}
+  THEN 'plain' WHEN h4 % 100 < {fill_middle.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form != 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form != 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
+
+
+@query("op13_fill_middle", OP13_SQL)
+def op13_fill_middle(spark, sf_dir):
+    rows = fill_middle.transformed(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
