@@ -58,11 +58,11 @@ def rows_to_arrow(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]], schema: str, at_once: int = 500) -> DataFrame:
     """``make()`` runs once a task and gives a function from a row's values to result rows.
 
-    Strings arrive as bytes. Batches are at most 2,000 result rows, whatever a row expands to. If the function has a
-    ``close``, its rows follow the last input row's.
+    Strings arrive as bytes. ``at_once`` rows are held at a time, and four times as many result rows, beside those of the last
+    row, make a batch. If the function has a ``close``, its rows follow the last input row's.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -73,17 +73,17 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each, out = make(), []
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for start in range(0, batch.num_rows, at_once):
+                part = batch.slice(start, at_once)
                 columns = [c.cast(pa.binary()) if pa.types.is_string(c.type) else c for c in part.columns]
                 for values in zip(*(c.to_pylist() for c in columns), strict=True):
                     out.extend(each(*values))
-                    if len(out) >= 2000:
+                    if len(out) >= 4 * at_once:
                         yield rows_to_arrow(out, arrow)
                         out = []
         out.extend(each.close() if hasattr(each, "close") else ())
-        for start in range(0, len(out), 2000):
-            yield rows_to_arrow(out[start:start + 2000], arrow)
+        for start in range(0, len(out), 4 * at_once):
+            yield rows_to_arrow(out[start:start + 4 * at_once], arrow)
 
     return df.mapInArrow(run, schema)
 

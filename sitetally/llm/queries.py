@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    brown, fill_middle, html_model, imatch, language, licences, line_dedup, packing, quality, sentencepiece_scan, signature_join, vector_graph,
+    brown, fill_middle, html_model, imatch, language, licences, line_dedup, packing, quality, sentencepiece_scan, signature_join, turn_repair,
+    vector_graph,
 )
 from .common import remainder, table
 
@@ -246,6 +247,28 @@ def op11_imatch(spark, sf_dir):
     return imatch.fingerprints(docs, imatch.lexicon(docs))
 
 
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Conversations with faults, by a hash of conversation and turn: rows dropped, emptied, cut, repeated, given to the user."""
+    rows = turns.select("conv_id", "turn", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")))
+    place = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    rows = rows.withColumn("dice", F.crc32(place.cast("binary")) % 20).where("dice != 0")
+    text = F.when(F.col("dice") == 1, "").when(F.col("dice") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("dice") == 4, "user").otherwise(F.col("role"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"),
+                       F.explode(F.when(F.col("dice") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+
+
+@query("op12_turn_repair")
+def op12_turn_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = turn_repair.repaired(damaged_turns(turns))
+    every = turns.select(F.col("conv_id").alias("own")).distinct()
+    figures = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found, F.col("own").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("own").alias("conv_id"), *(F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in figures),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 _FIM = [f"('0x' || sha256('{fill_middle.SEED}:' || coalesce(doc_id::VARCHAR, ''))[{1 + 8 * i}:{8 + 8 * i}])::BIGINT" for i in range(4)]
 OP13_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,

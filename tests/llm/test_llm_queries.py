@@ -37,7 +37,7 @@ def remainder(doc_id: int, by: int) -> int:
 def test_registered():
     import __spark_entry__ as entry
     keys = [k for k in entry.queries() if k.startswith("op")]
-    assert sorted({int(k[2:].split("_")[0]) for k in keys}) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted({int(k[2:].split("_")[0]) for k in keys}) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
 
