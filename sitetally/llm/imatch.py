@@ -3,16 +3,17 @@ lexicon and for many random parts of it.
 
 Terms are runs of letters, marks and digits in lower case. A term is in the lexicon if at least ``LEAST_DOCS`` texts hold it
 and its frequency is between one text in ``RAREST`` and one in ``COMMONEST`` (so the inverse frequency lies between the
-logarithms of the two). ``DRAWS`` times the lexicon is thinned in ``STEPS`` steps to a quarter each, by the digits of a
-term's SHA-256. A fingerprint has one entry for the whole lexicon and one for each thinned part: how many terms of the text
-the part keeps, and a hash of them in order. Dense parts agree for texts that are almost equal only, thin ones for texts that
-share much of their terms; ``likeness`` is the share of entries that agree, each weighing one over the terms it keeps.
+logarithms of the two). The lexicon is dealt at random into ``PARTS`` parts, and each part thinned to a quarter ``STEPS - 1``
+times, by the digits of a term's SHA-256. A fingerprint has one entry for the whole lexicon and one for each part and step that
+keeps a term of the text: its number, how many terms it keeps, and a hash of them in order. Dense parts agree for texts that
+are almost equal only, thin ones for texts that share much of their terms; ``likeness`` is the share of entries that agree,
+each weighing one over the terms it keeps.
 
 The lexicon has at most ``RAREST`` times the average number of distinct terms of a text, whatever the corpus; it is
 broadcast only after a count of its rows, and joined by a shuffle beyond ``MOST_BROADCAST``. Texts are shuffled once, into
 buckets of consecutive ids; the first text of a bucket also goes to the one before it, and everything after that stays there.
 
-No term in the lexicon: the first entry is a hash of all terms, or of the text if there is none; so equal texts always have
+No term in the lexicon: the first entry is a hash of all words in order, or of the text if there is none; so equal texts always have
 equal fingerprints. NULL text: read as empty. NULL id: comes last. Rows with the same id are ordered by text, and an id (or
 NULL) that fills more than a bucket is split by a hash of the text. Repeated rows get equal results. An empty table gives no
 rows. Extra columns are not read, so their names do not matter.
@@ -20,7 +21,6 @@ rows. Extra columns are not read, so their names do not matter.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,34 +30,33 @@ from .common import saved
 
 GAP = r"[^\p{L}\p{M}\p{N}]+"
 LEAST_DOCS, RAREST, COMMONEST = 2, 5000, 20
-DRAWS, STEPS = 16, 6
+PARTS, STEPS = 32, 5
 MOST_BROADCAST = 2_000_000
 BUCKET_BYTES, MOST_BUCKETS = 8 << 20, 100_000
 TIE_DIGITS = 7
 
 
-def terms(text: Column) -> Column:
-    return F.array_remove(F.array_distinct(F.split(F.lower(text), GAP)), "")
+def words_of(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), GAP), "")
 
 
-def depths(term: Column) -> Column:
-    """Three bits a draw: after how many steps the term is still there."""
-    digest, packed = F.sha2(term, 256), F.lit(0).cast("long")
-    for i in range(DRAWS):
-        digits = F.conv(F.substring(digest, 1 + 3 * i, 3), 16, 10).cast("long")
-        depth = F.lit(0)
-        for step in range(1, STEPS + 1):
-            depth = F.when(digits % 4 ** step == 0, step).otherwise(depth)
-        packed = packed.bitwiseOR(F.shiftleft(depth.cast("long"), 3 * i))
-    return packed
+def place(term: Column) -> tuple[Column, Column]:
+    """Part of the lexicon that a term is in, and the number of steps (at least one) after which it is still there."""
+    digest = F.sha2(term, 256)
+    digits = F.conv(F.substring(digest, 9, 8), 16, 10).cast("long")
+    depth = F.lit(1)
+    for step in range(1, STEPS):
+        depth = F.when(digits % 4 ** step == 0, step + 1).otherwise(depth)
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % PARTS).cast("int"), depth
 
 
 def lexicon(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``term``, ``depths`` of the terms within the band, written."""
+    """``term``, ``part``, ``depth`` of the terms within the band, written."""
     total = docs.count()
-    found = docs.select(F.explode(terms(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("docs"))
+    found = docs.select(F.explode(F.array_distinct(words_of(F.col(text)))).alias("term")).groupBy("term").agg(F.count("*").alias("docs"))
     band = (F.col("docs") >= LEAST_DOCS) & (F.col("docs") * RAREST >= total) & (F.col("docs") * COMMONEST <= total)
-    return saved(found.where(band).select("term", depths(F.col("term")).alias("depths")), "lexicon")
+    part, depth = place(F.col("term"))
+    return saved(found.where(band).select("term", part.alias("part"), depth.alias("depth")), "lexicon")
 
 
 def _bounds(docs: DataFrame) -> tuple[list[int], int]:
@@ -114,43 +113,50 @@ def in_order(docs: DataFrame) -> DataFrame:
     return rows.select("bucket", "guest", "id", "text", F.row_number().over(by).alias("pos"), F.lead("text").over(by).alias("next"))
 
 
-def entry(part: Column) -> Column:
-    """How many terms, and a hash of them; ``part``: sorted (term, depths) of a text."""
-    digest = F.substring(F.md5(F.array_join(part["term"], " ")), 1, 8)
-    return F.struct(F.size(part).alias("n"), F.when(F.size(part) > 0, digest).alias("hash"))
+def entry(number: Column, n: Column, digest: Column) -> Column:
+    """An entry as text, and what it weighs."""
+    return F.struct(F.format_string("%03d:%d:%s", number, n, F.substring(digest, 1, 8)).alias("text"), (1.0 / n).alias("weight"))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Of two lists of entries: the weight of those that agree among those that keep a term of either text."""
-    def weigh(x: Column, y: Column) -> Column:
-        most = F.greatest(x["n"], y["n"])
-        one = F.when(most > 0, 1.0 / most).otherwise(0.0)
-        return F.struct(F.when(x["hash"] == y["hash"], one).otherwise(0.0).alias("same"), one.alias("any"))
-    sums = F.aggregate(F.zip_with(a, b, weigh), F.struct(F.lit(0.0).alias("same"), F.lit(0.0).alias("any")),
-                       lambda s, x: F.struct((s["same"] + x["same"]).alias("same"), (s["any"] + x["any"]).alias("any")))
-    return F.round(sums["same"] / sums["any"], 6)
+def part_entries(rows: DataFrame, by: list[str], carried: list[str]) -> DataFrame:
+    """One row per text and part: its terms ``n``, their ``digest``, and the entries of all steps that keep one."""
+    term = F.when(F.col("part").isNotNull(), F.struct("term", "depth"))
+    parts = rows.groupBy(*by, "part").agg(F.sort_array(F.collect_list(term)).alias("left_1"), *(F.max(c).alias(c) for c in carried))
+    entries = []
+    for step in range(1, STEPS + 1):
+        left = F.col(f"left_{step}")
+        entries.append(F.when(F.size(left) > 0, entry(1 + F.col("part") * STEPS + (step - 1), F.size(left), F.md5(F.array_join(left["term"], " ")))))
+        if step < STEPS:
+            parts = parts.withColumn(f"left_{step + 1}", _deeper(left, step + 1))
+    return parts.select(*by, "part", *carried, F.size("left_1").alias("n"), F.md5(F.array_join(F.col("left_1")["term"], " ")).alias("digest"),
+                        F.array_compact(F.array(*entries)).alias("entries"))
+
 
+def _deeper(terms_left: Column, least: int) -> Column:
+    return F.filter(terms_left, lambda t: t["depth"] >= least)
 
-def as_text(fingerprint: Column) -> Column:
-    return F.array_join(F.transform(fingerprint, lambda e: F.when(e["n"] == 0, "").otherwise(F.concat(e["n"].cast("string"), F.lit(":"), e["hash"]))), " ")
 
+def with_entries(rows: DataFrame, by: list[str], carried: list[str]) -> DataFrame:
+    """One row per text with its ``fp``: texts of its entries in order, and their total ``weight``.
 
-def _still_in(draw: int, step: int) -> Callable[[Column], Column]:
-    return lambda term: F.shiftright(term["depths"], 3 * draw).bitwiseAND(7) >= step
+    ``rows``: terms of a text with their ``part`` and ``depth``, NULL outside the lexicon; ``whole`` and ``n_terms`` on some.
+    """
+    parts = part_entries(rows, by, carried)
+    found = parts.groupBy(*by).agg(
+        F.flatten(F.collect_list("entries")).alias("entries"), F.sum("n").alias("n"),
+        F.sort_array(F.collect_list(F.when(F.col("n") > 0, F.struct("part", "digest")))).alias("digests"), *(F.max(c).alias(c) for c in carried))
+    first = F.when(F.col("n") > 0, entry(F.lit(0), F.col("n"), F.md5(F.array_join(F.col("digests")["digest"], " ")))).otherwise(
+        entry(F.lit(0), F.greatest("n_terms", F.lit(1)), F.col("whole")))
+    found = found.withColumn("entries", F.sort_array(F.concat(F.array(first), "entries")))
+    weight = F.aggregate("entries", F.lit(0.0), lambda s, e: s + e["weight"])
+    return found.select(*by, *carried, F.struct(F.col("entries")["text"].alias("entries"), weight.alias("weight")).alias("fp"))
 
 
-def _with_entries(rows: DataFrame) -> DataFrame:
-    """Adds ``fp``: thins the kept terms draw by draw, each step from what the step before left."""
-    all_terms = F.struct(F.greatest("n_terms", F.lit(1)).alias("n"), F.substring("whole", 1, 8).alias("hash"))
-    first = F.when(F.size("kept") > 0, entry(F.col("kept"))).otherwise(all_terms)
-    for step in range(1, STEPS + 1):
-        left = {}
-        for i in range(DRAWS):
-            before = F.col("kept" if step == 1 else f"left_{i}_{step - 1}")
-            left[f"left_{i}_{step}"] = F.filter(before, _still_in(i, step))
-        rows = rows.withColumns(left)
-    parts = [entry(F.col(f"left_{i}_{step}")) for i in range(DRAWS) for step in range(1, STEPS + 1)]
-    return rows.withColumn("fp", F.array(first, *parts))
+def likeness(a: Column, b: Column) -> Column:
+    """Of two fingerprints: the weight of the entries that both have, of the weight of all."""
+    same = F.aggregate(F.array_intersect(a["entries"], b["entries"]), F.lit(0.0),
+                       lambda s, e: s + 1.0 / F.substring_index(F.substr(e, F.lit(5)), ":", 1).cast("int"))
+    return F.round(2 * same / (a["weight"] + b["weight"]), 6)
 
 
 def fingerprints(docs: DataFrame, words: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -165,22 +171,21 @@ def fingerprints(docs: DataFrame, words: DataFrame, key: str = "doc_id", text: s
     rows = rows.select("bucket", "pos", "guest", "id", n.alias("n_chars"), "text", edited.alias("edited"))
     sides = F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("body")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("body")))
     rows = rows.select("bucket", "pos", "guest", "id", "n_chars", F.inline(F.when(F.col("guest"), F.slice(sides, 1, 1)).otherwise(sides)))
-    rows = rows.withColumn("terms", F.sort_array(terms(F.col("body"))))
-    whole = F.when(F.size("terms") > 0, F.md5(F.array_join("terms", " "))).otherwise(F.md5("body"))
+    rows = rows.withColumn("words", words_of(F.col("body"))).withColumn("terms", F.array_distinct("words"))
+    whole = F.when(F.size("words") > 0, F.md5(F.array_join("words", " "))).otherwise(F.md5("body"))
     rows = rows.select("bucket", "pos", "side", "guest", "id", "n_chars", F.when(F.col("side") == 1, F.sha2("body", 256)).alias("sha"),
                        whole.alias("whole"), F.size("terms").alias("n_terms"), F.posexplode_outer("terms").alias("at", "term"))
     once = F.coalesce(F.col("at") == 0, F.lit(True))
-    rows = rows.select("bucket", "pos", "side", "term", *(F.when(once, F.col(c)).alias(c) for c in ("guest", "id", "n_chars", "sha", "whole", "n_terms")))
+    carried = ["guest", "id", "n_chars", "sha", "whole", "n_terms"]
+    rows = rows.select("bucket", "pos", "side", "term", once.alias("once"), *(F.when(once, F.col(c)).alias(c) for c in carried))
     if words.count() <= MOST_BROADCAST:
         words = F.broadcast(words)
-    found = rows.join(words, "term", "left").groupBy("bucket", "pos", "side").agg(
-        F.sort_array(F.collect_list(F.when(F.col("depths").isNotNull(), F.struct("term", "depths")))).alias("kept"),
-        *(F.max(c).alias(c) for c in ("guest", "id", "n_chars", "sha", "whole", "n_terms")))
-    found = _with_entries(found).select("bucket", "pos", "side", "guest", "id", "n_chars", "sha", "fp")
+    found = rows.join(words, "term", "left").where(F.col("once") | F.col("part").isNotNull())
+    found = with_entries(found, ["bucket", "pos", "side"], carried)
     by = Window.partitionBy("bucket").orderBy("pos", "side")
     found = found.select("*", F.lead("fp", 1).over(by).alias("fp_edited"), F.lead("fp", 2).over(by).alias("fp_next"),
                          F.lead("sha", 1).over(by).alias("edited_sha256")).where("side = 0 and not guest")
     return found.select(
-        F.col("id").alias(key), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", as_text(F.col("fp")).alias("fingerprint"),
-        as_text(F.col("fp_edited")).alias("edited_fingerprint"), likeness(F.col("fp"), F.col("fp_edited")).alias("near_edited"),
-        likeness(F.col("fp"), F.col("fp_next")).alias("near_next"))
+        F.col("id").alias(key), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
+        F.array_join("fp.entries", " ").alias("fingerprint"), F.array_join("fp_edited.entries", " ").alias("edited_fingerprint"),
+        likeness(F.col("fp"), F.col("fp_edited")).alias("near_edited"), likeness(F.col("fp"), F.col("fp_next")).alias("near_next"))

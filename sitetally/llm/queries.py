@@ -209,35 +209,34 @@ def op10_vector_graph(spark, sf_dir):
     return vector_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-_DEPTH = " | ".join(f"(list_sum([(('0x' || sha256(term)[{1 + 3 * i}:{3 + 3 * i}])::BIGINT % p = 0)::INT FOR p IN "
-                    f"[{', '.join(str(4 ** k) for k in range(1, imatch.STEPS + 1))}]])::BIGINT << {3 * i})" for i in range(imatch.DRAWS))
-_PART = "list_filter(kept, lambda t: ((t.depths >> (3 * ((k - 1) // {0}))::INT) & 7) > (k - 1) % {0})".format(imatch.STEPS)
-_TERMS = r"list_distinct(regexp_extract_all(lower({0}), '[\p{{L}}\p{{M}}\p{{N}}]+'))"
-_AS_TEXT = "array_to_string([CASE WHEN e.n = 0 THEN '' ELSE e.n || ':' || e.hash END FOR e IN {0}], ' ')"
-_NEAR = ("round(list_sum([CASE WHEN {0}[i].hash = {1}[i].hash THEN 1.0::DOUBLE / greatest({0}[i].n, {1}[i].n) ELSE 0.0 END FOR i IN ks]) / "
-         "list_sum([CASE WHEN greatest({0}[i].n, {1}[i].n) > 0 THEN 1.0::DOUBLE / greatest({0}[i].n, {1}[i].n) ELSE 0.0 END FOR i IN ks]), 6)")
+_WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{M}}\p{{N}}]+')"
+_HEX = "('0x' || sha256(term)[{0}:{1}])::BIGINT"
+_DEPTH = "1 + " + " + ".join(f"({_HEX.format(9, 16)} % {4 ** k} = 0)::INT" for k in range(1, imatch.STEPS))
+_ENTRY = "printf('%03d:%d:%s', ({0})::INT, ({1})::INT, md5({2})[1:8])"
+_NEAR = ("round(2 * coalesce(list_sum([1.0::DOUBLE / split_part(e, ':', 2)::INT FOR e IN list_sort(list_intersect({0}, {1}))]), 0) / "
+         "(list_sum([1.0::DOUBLE / split_part(e, ':', 2)::INT FOR e IN {0}]) + list_sum([1.0::DOUBLE / split_part(e, ':', 2)::INT FOR e IN {1}])), 6)")
 OP11_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER w AS pos, coalesce(lead(coalesce(text, '')) OVER w,
   first_value(coalesce(text, '')) OVER w) AS next FROM documents WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, md5(coalesce(text, ''))
   ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 s AS (SELECT pos, 0 AS side, text AS body FROM d UNION ALL
   SELECT pos, 1, left(text, length(text) - length(text) // 2) || left(next, length(text) // 2) FROM d),
-b AS (SELECT body, list_sort({_TERMS.format('body')}) AS terms FROM (SELECT DISTINCT body FROM s)),
-df AS (SELECT term, count(*) AS n FROM (SELECT unnest({_TERMS.format('text')}) AS term FROM d) GROUP BY term),
-lex AS (SELECT term, {_DEPTH} AS depths FROM df, (SELECT count(*) AS total FROM d) WHERE n >= {imatch.LEAST_DOCS}
-  AND n * {imatch.RAREST} >= total AND n * {imatch.COMMONEST} <= total),
-k AS (SELECT body, list_sort(list(struct_pack(term := term, depths := depths))) AS kept
-  FROM (SELECT body, unnest(terms) AS term FROM b) JOIN lex USING (term) GROUP BY body),
-p AS (SELECT body, kept, [struct_pack(n := len(kept), hash := md5(array_to_string([t.term FOR t IN kept], ' '))[1:8])] ||
-  [CASE WHEN len(q) = 0 THEN struct_pack(n := 0, hash := NULL) ELSE struct_pack(n := len(q), hash := md5(array_to_string([t.term FOR t IN q], ' '))[1:8]) END
-   FOR q IN [{_PART} FOR k IN generate_series(1, {imatch.DRAWS * imatch.STEPS})]] AS fp FROM k),
-f AS (SELECT b.body, coalesce(fp, [struct_pack(n := greatest(len(terms), 1), hash := CASE WHEN len(terms) > 0 THEN md5(array_to_string(terms, ' '))
-  ELSE md5(b.body) END[1:8])] || [struct_pack(n := 0, hash := NULL) FOR k IN generate_series(1, {imatch.DRAWS * imatch.STEPS})]) AS fp
-  FROM b LEFT JOIN p ON p.body = b.body),
-r AS (SELECT d.doc_id, length(d.text)::BIGINT AS n_chars, e.body AS edited, x.fp AS a, y.fp AS b, z.fp AS c,
-  generate_series(1, {imatch.DRAWS * imatch.STEPS + 1}) AS ks FROM d JOIN s e ON e.pos = d.pos AND e.side = 1
-  JOIN f x ON x.body = d.text JOIN f y ON y.body = e.body JOIN f z ON z.body = d.next)
-SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, {_AS_TEXT.format('a')} AS fingerprint, {_AS_TEXT.format('b')} AS edited_fingerprint,
+b AS (SELECT body, {_WORDS.format('body')} AS words FROM (SELECT DISTINCT body FROM s)),
+df AS (SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct({_WORDS.format('text')})) AS term FROM d) GROUP BY term),
+lex AS (SELECT term, {_HEX.format(1, 8)} % {imatch.PARTS} AS part, {_DEPTH} AS depth FROM df, (SELECT count(*) AS total FROM d)
+  WHERE n >= {imatch.LEAST_DOCS} AND n * {imatch.RAREST} >= total AND n * {imatch.COMMONEST} <= total),
+k AS (SELECT body, term, part, depth FROM (SELECT body, unnest(list_distinct(words)) AS term FROM b) JOIN lex USING (term)),
+parts AS (SELECT body, part, step, count(*) AS n, string_agg(term, ' ' ORDER BY term) AS kept FROM k, generate_series(1, {imatch.STEPS}) g(step)
+  WHERE depth >= step GROUP BY ALL),
+whole AS (SELECT body, sum(n) AS n, string_agg(md5(kept), ' ' ORDER BY part) AS kept FROM parts WHERE step = 1 GROUP BY body),
+e AS (SELECT body, {_ENTRY.format(f'1 + part * {imatch.STEPS} + step - 1', 'n', 'kept')} AS entry FROM parts UNION ALL
+  SELECT body, {_ENTRY.format('0', 'n', 'kept')} FROM whole UNION ALL
+  SELECT body, {_ENTRY.format('0', 'greatest(len(list_distinct(words)), 1)', "CASE WHEN len(words) > 0 THEN array_to_string(words, ' ') ELSE body END")}
+  FROM b WHERE body NOT IN (SELECT body FROM whole)),
+f AS (SELECT body, list(entry ORDER BY entry) AS fp FROM e GROUP BY body),
+r AS (SELECT d.doc_id, length(d.text)::BIGINT AS n_chars, e.body AS edited, x.fp AS a, y.fp AS b, z.fp AS c
+  FROM d JOIN s e ON e.pos = d.pos AND e.side = 1 JOIN f x ON x.body = d.text JOIN f y ON y.body = e.body JOIN f z ON z.body = d.next)
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, array_to_string(a, ' ') AS fingerprint, array_to_string(b, ' ') AS edited_fingerprint,
   {_NEAR.format('a', 'b')} AS near_edited, {_NEAR.format('a', 'c')} AS near_next FROM r"""
 
 
