@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used, also in lambdas."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def parse_list(cell: Column) -> Column:
     """``a; b;;c`` -> ``[a, b, c]``; NULL is the empty list."""
     parts = F.transform(F.split(F.coalesce(cell, F.lit("")), ";"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .html import NAMED
+
 _TOKEN = re.compile(r"\\[bBAZz]|\\[sSdDwWhHvV]|\\\W|\\.|\[(?:\\.|[^\]])*\]|[.^$]|[^\\\[\]().^$*+?{}|]")
 _QUANTIFIER = re.compile(r"[*+?][+?]?|\{\d+(?:,\d*)?\}[+?]?")
 MIN_LENGTH = 3
@@ -102,22 +104,84 @@ def required_literals(regex: str) -> list[str] | None:
     return sorted({fold_text(x) for x in out})
 
 
+#: Letters that equal an ASCII letter without regard to case, beside its own other case.
+ALIKE = {"İ": "i", "ı": "i", "ſ": "s", "\u212a": "k"}
+
+
 def fold_text(text: str) -> str:
-    return text.replace("İ", "i").upper().lower()
+    for letter, plain in ALIKE.items():
+        text = text.replace(letter, plain)
+    return text.lower()
 
 
 def fold(text: Column) -> Column:
-    """Text with case removed at least as far as Unicode case-insensitive matching does."""
-    return F.lower(F.upper(F.replace(text, F.lit("İ"), F.lit("i"))))
+    """Text with case removed, for ASCII letters as far as Unicode case-insensitive matching does."""
+    for letter, plain in ALIKE.items():
+        text = F.replace(text, F.lit(letter), F.lit(plain))
+    return F.lower(text)
+
+
+#: What markup and most references cannot bring about: markup turns into a space, and nearly all names stand for other characters.
+WHOLE = frozenset("abcdefghijklmnopqrstuvwxyz0123456789./%_-[]")
+#: Characters from the most to the least common one in page sources.
+COMMONNESS = " etaoinsrlcdhpm\"=u/<>.-fgbvwy0123456789:k_;x'jqz%[]"
+ANCHOR_LENGTH = 3
+
+
+def _stands_for_whole(char: str) -> bool:
+    return fold_text(char) in WHOLE
+
+
+#: References that do stand for such a character, or for one that is equal to it without regard to case.
+TELLING = sorted(name for name, text in NAMED.items() if any(map(_stands_for_whole, text)))
+
+
+def coded(html: Column) -> Column:
+    """May a reference in the page source stand for a character of ``WHOLE``?"""
+    return html.contains("&#") | (html.contains("&") & html.rlike(f"&(?:{'|'.join(TELLING)});"))
 
 
-def stays_whole(literal: str) -> bool:
-    """True for a literal that stripping markup and decoding named references cannot bring about.
+def anchor(literal: str) -> str | None:
+    """The end of a run of ``WHOLE`` characters in a literal, from its rarest character on; None if all runs are short.
 
-    Markup turns into a space and the named references stand for characters other than these, so such a literal is in
-    the visible text or in a link only if it is in the page source, or if a numeric reference is.
+    A text that holds the literal holds its anchor, and, unless the page is ``coded``, so does the page source.
     """
-    return re.fullmatch(r"[a-z0-9./%_\-\[\]]+", literal) is not None
+    best = None
+    for run in re.findall(f"[{re.escape(''.join(sorted(WHOLE)))}]{{{ANCHOR_LENGTH},}}", literal):
+        for start in range(len(run) - ANCHOR_LENGTH + 1):
+            rank = (COMMONNESS.find(run[start]), COMMONNESS.find(run[start + 1]), len(run) - start)
+            best = max(best or (rank, ""), (rank, run[start:]))
+    return best[1] if best else None
+
+
+def anchors(regex: str) -> list[str] | None:
+    """Texts of which every page with a match has at least one; None if there is no such list."""
+    found = [anchor(x) for x in required_literals(regex) or ()]
+    return sorted(set(found)) if found and None not in found else None
+
+
+def _quoted(text: str) -> str:
+    return re.sub(r"([^A-Za-z0-9_])", r"\\\1", text)
+
+
+def _tree(words: list[str]) -> str:
+    """A pattern for the longest of the words at a place, grouped by their first characters."""
+    if words == [""]:
+        return ""
+    by: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            by.setdefault(w[0], []).append(w[1:])
+    branches = [_quoted(c) + _tree(sorted(rest)) for c, rest in sorted(by.items())]
+    if "" in words:
+        branches.append("")
+    return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+
+
+def index_pattern(words: list[str]) -> str:
+    """A pattern that matches before every place where one of the words begins; group 1 is the longest one there."""
+    first = "".join(sorted({_quoted(w[0]) for w in words}))
+    return f"(?=[{first}])(?=({_tree(sorted(set(words)))}))"
 
 
 def has_any(folded: Column, literals: list[str]) -> Column:

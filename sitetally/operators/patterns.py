@@ -1,24 +1,28 @@
 """Matching page sections against the pattern dictionary.
 
-The dictionary is compiled into literal expressions of one narrow projection: each pattern is compiled once per task and
-the page body is dropped right after. Nothing is joined and no body is shuffled.
+The dictionary is compiled into one narrow projection: an index of rare pieces of the patterns' literals, looked for in one
+scan of the page, tells which patterns can match at all, and only their regular expressions run. So the work on a page does
+not grow with the dictionary. The page body is dropped right after; nothing is joined and no body is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..dictionaries.fixed import EVIDENCE_PATTERN, LINK_PATTERNS
+from ..functions.cells import once
 from ..functions.html import page_links, strip_markup, unescape
-from ..functions.literals import fold, has_any, may_match, required_literals, stays_whole
+from ..functions.literals import anchors, coded, fold, index_pattern, may_match, required_literals
 from ..functions.urls import authority, is_external
 from ..sources.dictionary import Pattern
 
 FLAGS = "(?iU)"  # Unicode-aware \b, \s and case folding
 SECTIONS = ("html", "joined", "text")
+FEW = 24  # pieces that are looked for one by one; more are looked for together, in one scan
 
 
 def with_sections(captures: DataFrame) -> DataFrame:
@@ -34,23 +38,47 @@ def page_sections(captures: DataFrame) -> DataFrame:
     return with_sections(captures).select("site", "seq", F.inline(bodies))
 
 
-def _source_decides(regex: str) -> list[str] | None:
-    """The literals of a pattern if the page source alone tells whether any section can match."""
-    literals = required_literals(regex)
-    return literals if literals and all(stays_whole(x) for x in literals) else None
+class Index(NamedTuple):
+    """The dictionary by rare pieces of its patterns' literals; ``rest`` are the patterns that have none."""
+
+    patterns: list[Pattern]
+    rest: list[Pattern]
+    #: piece -> numbers of the patterns (from 0) that may match where it is
+    of: dict[str, list[int]]
+
+
+def dictionary_index(patterns: Sequence[Pattern]) -> Index:
+    index = Index([], [], {})
+    for p in patterns:
+        pieces = anchors(p.regex)
+        if pieces is None:
+            index.rest.append(p)
+            continue
+        for piece in pieces:
+            index.of.setdefault(piece, []).append(len(index.patterns))
+        index.patterns.append(p)
+    # The index finds the longest piece at a place, so a piece stands for those that it begins with, too.
+    shorter = {w: [n for k in range(1, len(w) + 1) for n in index.of.get(w[:k], ())] for w in index.of}
+    return index._replace(of={w: sorted(set(ns)) for w, ns in shorter.items()})
 
 
 def with_candidates(pages: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
-    """Adds what :func:`matches` needs: folded sections, and per pattern whether the page source allows a match."""
+    """Adds what :func:`matches` needs: folded sections, and the patterns (by place in the index) that may match the page.
+
+    The page source is scanned once for all pieces; the other sections only where a reference may hide a piece in them.
+    """
     pages = pages.withColumns({f"folded_{s}": fold(F.col(s)) for s in SECTIONS})
-    coded = F.col("html").contains("&#")
-    maybe = {}
-    for p in patterns:
-        literals = _source_decides(p.regex)
-        if literals:
-            hidden = has_any(F.col("folded_joined"), literals) | has_any(F.col("folded_text"), literals)
-            maybe[f"maybe_{p.prio}"] = has_any(F.col("folded_html"), literals) | (coded & hidden)
-    return pages.withColumns(maybe)
+    index = dictionary_index(patterns)
+    if not index.patterns:
+        return pages.withColumn("candidates", F.array().cast("array<int>"))
+    folded = [F.col(f"folded_{s}") for s in SECTIONS]
+    scanned = F.when(coded(F.col("html")), F.concat_ws("\n", *folded)).otherwise(folded[0])
+    if len(index.of) <= FEW:
+        found = once(scanned, lambda page: F.filter(F.lit(list(index.of)), lambda piece: F.contains(page, piece)))
+    else:
+        found = F.array_distinct(F.regexp_extract_all(scanned, F.lit(index_pattern(list(index.of))), F.lit(1)))
+    known = F.map_from_arrays(F.lit(list(index.of)), F.array(*[F.lit(ns) for ns in index.of.values()]))
+    return pages.withColumn("candidates", F.array_sort(F.array_distinct(F.flatten(F.transform(found, lambda w: known[w])))))
 
 
 def found_in(section: str, regex: str) -> Column:
@@ -60,23 +88,45 @@ def found_in(section: str, regex: str) -> Column:
     return match if possible is None else possible & match
 
 
-def _match_in(section: str, p: Pattern) -> Column:
-    if _source_decides(p.regex):
-        return F.col(f"maybe_{p.prio}") & F.col(section).rlike(FLAGS + p.regex)
-    return found_in(section, p.regex)
-
-
 def _first_match(p: Pattern) -> Column:
     """Section number and matched text of the first section that matches, as one string; NULL without a match."""
     return F.coalesce(*[
-        F.when(_match_in(s, p), F.concat(F.lit(str(i)), F.regexp_extract(s, FLAGS + p.regex, 0)))
+        F.when(found_in(s, p.regex), F.concat(F.lit(str(i)), F.regexp_extract(s, FLAGS + p.regex, 0)))
         for i, s in enumerate(SECTIONS)])
 
 
+def _candidate_matches(patterns: list[Pattern]) -> Column:
+    """``(prio, found)`` of the candidates that match; each is tried on a section only if none before it matched."""
+    prios, regexes = F.lit([p.prio for p in patterns]), F.lit([FLAGS + p.regex for p in patterns])
+    literals = F.array(*[F.lit(required_literals(p.regex)) for p in patterns])
+
+    def tried_in(i: int, number: Column) -> Column:
+        """The match in a section; the expression runs only where one of the literals that any match needs is present."""
+        folded, regex = F.col(f"folded_{SECTIONS[i]}"), F.get(regexes, number)
+        possible = F.exists(F.get(literals, number), lambda x: F.contains(folded, x))
+        found = F.when(possible, F.call_function("regexp_extract", F.col(SECTIONS[i]), regex, F.lit(0))).otherwise("")
+        return F.struct(number.alias("number"), F.lit(str(i)).alias("section"), found.alias("hit"))
+
+    def later(i: int):
+        return lambda x: F.when(x["hit"] != "", x).otherwise(tried_in(i, x["number"]))
+
+    tried = F.transform("candidates", lambda number: tried_in(0, number))
+    for i in range(1, len(SECTIONS)):
+        tried = F.transform(tried, later(i))
+    return F.transform(F.filter(tried, lambda x: x["hit"] != ""),
+                       lambda x: F.struct(F.get(prios, x["number"]).alias("prio"), F.concat(x["section"], x["hit"]).alias("found")))
+
+
 def matches(patterns: Sequence[Pattern]) -> Column:
-    """Array of ``(prio, found)`` of the patterns that match, evaluated pattern by pattern."""
-    each = F.array(*[F.struct(F.lit(p.prio).alias("prio"), _first_match(p).alias("found")) for p in patterns])
-    return F.filter(each, lambda m: m["found"].isNotNull())
+    """Array of ``(prio, found)`` of the patterns that match: of the page's candidates, and of those that have no index entry."""
+    index = dictionary_index(patterns)
+    parts = [_candidate_matches(index.patterns)] if index.patterns else []
+    if index.rest:
+        each = F.array(*[F.struct(F.lit(p.prio).alias("prio"), _first_match(p).alias("found")) for p in index.rest])
+        parts.append(F.filter(each, lambda m: m["found"].isNotNull()))
+    if not parts:
+        return F.array().cast("array<struct<prio: int, found: string>>")
+    return F.array_sort(F.concat(*parts)) if len(parts) > 1 else parts[0]
 
 
 def describe(prio: Column, patterns: Sequence[Pattern]) -> dict[str, Column]:
@@ -100,16 +150,16 @@ def page_hits(captures: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
 
 def page_intents(captures: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
     """Per page: does any section hold an intent phrase for booking, forms, payments."""
-    pages = with_candidates(with_sections(captures), [p for p in patterns if p.category.startswith("intent_")])
-    flags = {}
-    for kind in ("booking", "forms", "payments"):
-        test = F.lit(False)
-        for p in patterns:
-            if p.category == f"intent_{kind}":
-                for s in SECTIONS:
-                    test = test | _match_in(s, p)
-        flags[f"intent_{kind}"] = test
-    return pages.select("site", "seq", *[c.alias(n) for n, c in flags.items()])
+    phrases = [p for p in patterns if p.category.startswith("intent_")]
+    of = {k: [p.prio for p in phrases if p.category == f"intent_{k}"] for k in ("booking", "forms", "payments")}
+    pages = captures.select("site", "seq", *(F.lit(False).alias(f"intent_{k}") for k in of))
+    if phrases:
+        pages = with_candidates(with_sections(captures), phrases).select("site", "seq", matches(phrases).alias("found"))
+        prios = F.transform("found", lambda m: m["prio"])
+        pages = pages.select("site", "seq", *[
+            F.arrays_overlap(prios, F.lit(own).cast("array<int>")).alias(f"intent_{k}") if own else F.lit(False).alias(f"intent_{k}")
+            for k, own in of.items()])
+    return pages
 
 
 def evidence_pages(captures: DataFrame, regex: str = EVIDENCE_PATTERN) -> DataFrame:

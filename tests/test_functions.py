@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import random
 import re
+from html.parser import HTMLParser
 from urllib.parse import urljoin, urlparse
 
 import pytest
@@ -136,6 +138,65 @@ def test_text_as_a_parser_sees_it(spark):
     assert [" ".join(t.split()) for t in column(spark, list(cases), page_text)] == list(cases.values())
 
 
+PIECES = [
+    "<p>", "</p>", "<p class=it's>", "<a href=/it's>", "<a href='/q?a=1&amp;b=2'>", '<a HREF="/b>c">', "</a>", "<b>", "</b >", "<br/>", "<br />",
+    "text ", "it's ", "5 < 6 ", "a<3 ", "&amp;", "&eacute;", "&copy", "&copy2", "&#233;", "&#x2014;", "&#150;", "&nope;", "& ", "&", "&#65 ",
+    "<a title=x href=/y/>", "<a href=>", "<a href>", "<a\nhref = /sp ace>", "<a =x href=/eq>", "<a/href=/sl>", "<a x='y'href='/glued'>",
+    "<a href=\"/u\"title='t>t'>", "<a href==/dbl>", "<A data-href=/no href=/yes>", "<abbr href=/no>", "<!-- c <a href=/no> -->", "<!DOCTYPE html>",
+    "<?php x ?>", "</ x>", "</>", "<a-b href=/no>", "<script>if(a<b) '<a href=/no>'</script>", "<style>p>a{}</style>", "<SCRIPT type='x'>y</SCRIPT >",
+    "<div id=\"a'b\" class='c\"d'>", "<i/>", "< b>", "<a href='mailto:x@y'>", "<a href=' /pad\n'>", '<img alt="<b>">', '"', "'", "=", ">", "\n",
+    "<p a=b'c\"d>", "&lt;b&gt;", "&ampx", "<a href=/r&amp=1&lt>", "é😀 "]
+
+
+class Reader(HTMLParser):
+    """Links and visible text of a page, with one space for all the markup between two texts."""
+
+    def __init__(self):
+        super().__init__()
+        self.links, self.parts, self.hidden = [], [], False
+
+    def handle_starttag(self, tag, attrs):
+        self.parts.append(None)
+        self.hidden = self.hidden or tag in ("script", "style")
+        href = [(v or "").strip(" \t\n\r\f\x0b") for k, v in attrs if k == "href"][:1] if tag == "a" else []
+        self.links += [h for h in href if not h.startswith("mailto:")]
+
+    def handle_endtag(self, tag):
+        self.parts.append(None)
+        self.hidden = False
+
+    def handle_other(self, _):
+        self.parts.append(None)
+
+    handle_comment = handle_decl = handle_pi = handle_other
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.parts.append(data)
+
+    def text(self):
+        kept = [" " if p is None else p for i, p in enumerate(self.parts) if p is not None or i == 0 or self.parts[i - 1] is not None]
+        return " ".join("".join(kept).lower().split())
+
+
+def test_broken_pages_read_like_the_standard_library(spark):
+    """Quotes in unquoted values, glued and empty attributes, stray signs, references without an end, in any order."""
+    dice = random.Random(11)
+    pages = ["".join(dice.choice(PIECES) for _ in range(dice.randrange(1, 30))) + " end<p>" for _ in range(1500)]
+    links, texts = column(spark, pages, page_links), column(spark, pages, page_text)
+    for page, own, text in zip(pages, links, texts, strict=True):
+        reader = Reader()
+        reader.feed(page)
+        reader.close()
+        assert (own, " ".join(text.split())) == (reader.links, reader.text()), page
+
+
+def test_a_quote_that_never_closes_makes_no_tag(spark):
+    pages = ['<p>a <a href="/x>b</a> <i>c</i>', "<a href=/ok>x</a><p title='y>z"]
+    assert column(spark, pages, page_links) == [[], ["/ok"]]
+    assert [" ".join(t.split()) for t in column(spark, pages, page_text)] == ['a <a href="/x>b c', "x <p title='y>z"]
+
+
 def test_long_tags_do_not_exhaust_the_stack(spark):
     page = "<a " + " ".join(f"d{i}='{i}>'" for i in range(20_000)) + ' href="/x">t</a><p class="' + "y" * 200_000 + '">u</p>'
     assert column(spark, [page], page_links) == [["/x"]]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sitetally.dictionaries.fixed import CHALLENGE_MARKERS, EVIDENCE_PATTERN
 from sitetally.operators import patterns, sites
-from sitetally.sources.dictionary import load_patterns, patterns_table, production_patterns
+from sitetally.sources.dictionary import Pattern, load_patterns, patterns_table, production_patterns
 
 PAGES = [
     ("a.com", 1, 200, '<p>Welcome. <b>Book</b> <i>online</i> with <a href="https://book.nexhealth.com/x">NexHealth</a></p>'),
@@ -55,6 +56,35 @@ def test_site_hits(spark, captures, dictionary):
     assert got == want and len(want) > 15
 
 
+def large_dictionary(copies: int):
+    """The production patterns, and as many times with other words: pieces that begin or hold one another, and some without any."""
+    own = list(production_patterns())
+    more = [Pattern(1000 * c + p.prio, p.category, p.strength, f"{p.vendor}{c}", p.regex.replace("e", "e" + "xq"[c % 2], 1) + (r"\d?" if c % 3 else ""))
+            for c in range(1, copies) for p in own]
+    odd = ["zq", "zqx", "zqxlong", "qx[0-9]+", "x{2}", r"\bab\b", r"(?:dolphin|zqx)\.com", "long zqx", "ﬁnd", r"patients?\.x"]
+    return own + more + [Pattern(900_000 + i, "other", None, None, rx) for i, rx in enumerate(odd)]
+
+
+def test_index_gives_what_all_patterns_give(spark):
+    """Also where a reference stands for a character of a pattern, with or without regard to case."""
+    dice = random.Random(3)
+    words = ["zqxlong", "zqx", "zq ", "qx7", "xx", " ab ", "dolphin.com", "dolphin&period;com", "dolphin&#46;com", "long <b>zqx</b>", "LONG ZQX", "ﬁnd",
+             "Dentri&#120;", "dolph&imath;n imaging", "strİpe", "<a href='https://x.patientviewer.com/f&sol;g'>", "patient&#x2e;x", "weave", "&amp;", "\n"]
+    pages = [("s", i, "".join(dice.choice(words) for _ in range(dice.randrange(8)))) for i in range(120)]
+    data = spark.createDataFrame(pages, "site string, seq long, html string")
+    dictionary = large_dictionary(3)
+    index = patterns.dictionary_index(dictionary)
+    assert len(index.patterns) > 3 * 46 and {p.regex for p in index.rest} >= {"x{2}", r"\bab\b", "ﬁnd"}
+    got = {(h.seq, h.prio): (h.section, h.hit) for h in patterns.page_hits(data, dictionary).collect()}
+    want = {}
+    sections = {(r.seq, r.section): r.body for r in patterns.page_sections(data).collect()}
+    for (seq, section), body in sorted(sections.items(), key=lambda k: k[0][1]):
+        for p in dictionary:
+            if found := re.search(p.regex, body, re.I):
+                want.setdefault((seq, p.prio), (section, found.group()))
+    assert got == want and len(want) > 200
+
+
 def test_features(captures, dictionary):
     rows = {r.site: r for r in sites.site_features(captures, dictionary).collect()}
     assert set(rows) == {"a.com", "b.com", "c.com", "d.com"}
