@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..functions.cells import pct
-from .skew import OrderedRows, micros_of
+from .skew import OrderedRows, Stop, latest, micros_of, runs_since
 
 ORDER = ("ts", "seq")
 
@@ -39,29 +39,31 @@ def _slow_run() -> tuple[Column, Column]:
     return _made() & F.col("status").between(200, 299), slow.cast("int")
 
 
-def _backoff() -> Column:
+def _backoff(slow_run: str = "slow_run") -> Column:
     """Seconds after the row: doubled with each step of the slow run, up to the cap."""
-    steps = F.least(F.col("slow_run"), F.lit(30).cast("long"))
+    steps = F.least(F.col(slow_run), F.lit(30).cast("long"))
     doubled = F.pow(F.lit(2.0), steps) * (params.BACKOFF_INITIAL_SECONDS / 2)
-    return F.when(F.col("slow_run") > 0, F.least(F.lit(float(params.BACKOFF_CAP_SECONDS)), doubled)).otherwise(0.0)
+    return F.when(F.col(slow_run) > 0, F.least(F.lit(float(params.BACKOFF_CAP_SECONDS)), doubled)).otherwise(0.0)
 
 
-def _with_stop(rows: OrderedRows) -> OrderedRows:
+def _stop() -> Stop:
     """``stopped``: the host was given up before this row, after three failures in a row or a 403."""
-    stop = (F.col("error_run") >= params.MAX_ERROR_RUN) | F.coalesce(_made() & (F.col("status") == 403), F.lit(False))
-    return rows.cut().running_sum({"stops_before": stop.cast("long")}, before=True).scan(
-        local={}, result={"stopped": F.col("stops_before") > 0})
+    return Stop("stopped", "error_run", params.MAX_ERROR_RUN, _made() & (F.col("status") == 403))
+
+
+def _with_runs(log: DataFrame, segments: int | None, **runs: tuple[Column, Column]) -> DataFrame:
+    """Running runs of each row, and the stop flag, in one pass."""
+    return OrderedRows.of(log, ["host"], ORDER, segments).add(runs_since(runs, ["host"], _stop())).rows()
 
 
 def error_runs(log: DataFrame, segments: int | None = None) -> DataFrame:
     """Every request with its error run and whether the host had been stopped before."""
-    rows = OrderedRows.of(requests(log), ["host"], ORDER, segments)
-    return _with_stop(rows.run_since({"error_run": _error_run()})).rows().drop("stops_before")
+    return _with_runs(requests(log), segments, error_run=_error_run())
 
 
 def backoff_series(log: DataFrame, segments: int | None = None) -> DataFrame:
     """Every request with the backoff in force after it."""
-    rows = OrderedRows.of(requests(log), ["host"], ORDER, segments).run_since({"slow_run": _slow_run()})
+    rows = OrderedRows.of(requests(log), ["host"], ORDER, segments).add(runs_since({"slow_run": _slow_run()}, ["host"]))
     return rows.rows().withColumn("backoff", _backoff()).drop("slow_run")
 
 
@@ -72,13 +74,13 @@ def politeness(log: DataFrame, base: float = params.DELAY_BASE_SECONDS, segments
     no gap and is never early.
     """
     timed = requests(log).withColumn("us", micros_of(log, "ts"))
-    rows = OrderedRows.of(timed, ["host"], ORDER, segments).run_since({"slow_run": _slow_run()})
-    rows = rows.cut().last_known({"us_before": F.col("us"), "backoff_before": _backoff()}, before=True)
-    required = F.greatest(F.lit(base), F.coalesce("crawl_delay", F.lit(0.0)), F.coalesce("backoff_before", F.lit(0.0)))
+    rows = OrderedRows.of(timed, ["host"], ORDER, segments).add(
+        runs_since({"slow_run": _slow_run()}, ["host"], before={"slow_before": "slow_run"}), latest({"us_before": F.col("us")}, before=True))
+    required = F.greatest(F.lit(base), F.coalesce("crawl_delay", F.lit(0.0)), _backoff("slow_before"))
     gap = (F.col("us") - F.col("us_before")) / F.lit(1e6)
     return rows.rows().withColumns({"required": required, "gap": gap}).withColumn(
         "early", F.coalesce(F.col("gap") < F.col("required"), F.lit(False))).drop(
-        "us", "us_before", "backoff_before", "slow_run")
+        "us", "us_before", "slow_before", "slow_run")
 
 
 def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: bool = True, segments: int | None = None) -> DataFrame:
@@ -87,8 +89,7 @@ def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: b
     ``evidence``: ``host, pos, url``, at most five per host. Beside the older final values there are a true maximum of
     the backoff and counters for what used to be uncounted: other 5xx and no response.
     """
-    runs = OrderedRows.of(log, ["host"], ORDER, segments).run_since({"error_run": _error_run(), "slow_run": _slow_run()})
-    rows = _with_stop(runs).rows().withColumn("backoff", _backoff())
+    rows = _with_runs(log, segments, error_run=_error_run(), slow_run=_slow_run()).withColumn("backoff", _backoff())
     made = _made() & ~F.col("stopped") if apply_stop else _made()
     s = F.when(made, F.col("status"))
     last = F.max(F.when(made, F.struct(*ORDER, "error_run", "backoff")))
@@ -128,8 +129,8 @@ def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: b
 
 def host_states(log: DataFrame, segments: int | None = None) -> DataFrame:
     """Counters, final run and backoff, and whether the host was stopped: what the stream keeps per host, from a whole log."""
-    runs = OrderedRows.of(requests(log), ["host"], ORDER, segments).run_since({"error_run": _error_run(), "slow_run": _slow_run()})
-    made = _with_stop(runs).rows().where(~F.col("stopped")).withColumn("backoff", _backoff())
+    runs = _with_runs(requests(log), segments, error_run=_error_run(), slow_run=_slow_run())
+    made = runs.where(~F.col("stopped")).withColumn("backoff", _backoff())
     at, s = F.struct(*ORDER), F.col("status")
     stop = (F.col("error_run") >= params.MAX_ERROR_RUN) | F.coalesce(s == 403, F.lit(False))
     return made.groupBy("host").agg(
