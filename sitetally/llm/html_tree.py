@@ -12,6 +12,8 @@ import html
 import re
 from dataclasses import dataclass, field
 
+from ..functions.html import ATTRIBUTES, VALUE
+
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -28,10 +30,10 @@ ENDS_SAME = {
     "tbody": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}),
 }
 TOKEN = re.compile(
-    rf"<!--(?s:.*?)(?:--!?>|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(?s:.*?)(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)"
+    rf"<!--(?s:.*?)(?:--!?>|\Z)|<(?P<raw>{RAW})(?=[\s/>]){ATTRIBUTES}>(?s:.*?)(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>{ATTRIBUTES})>|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z/!?][^>]*\Z|(?P<text>[^<]+|<)", re.I)
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NAMED_VALUE = re.compile(rf"([^\s/>][^\s/=>]*+)(?:\s*+=++\s*+({VALUE}))?+")
 
 
 @dataclass
@@ -49,7 +51,12 @@ class Node:
 
 
 def attributes(raw: str) -> dict[str, str]:
-    return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
+    """Names in lower case with their decoded values; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for m in NAMED_VALUE.finditer(raw):
+        value = m[2] or ""
+        found.setdefault(m[1].lower(), html.unescape(value[1:-1] if value[:1] in ("'", '"') else value))
+    return found
 
 
 def parsed(page: str, label_with: str | None = None) -> tuple[list[Node], list[tuple[int, str]]]:
