@@ -28,18 +28,18 @@ def is_error() -> Column:
     return F.col("status").isNull() | (F.col("status") >= 400)
 
 
-def _error_run() -> tuple[Column, Column]:
+def error_run_parts() -> tuple[Column, Column]:
     """Failures since the last success. A challenge page resets the run and then counts one."""
     return _made() & ~is_error(), (_made() & (is_error() | F.col("challenge"))).cast("int")
 
 
-def _slow_run() -> tuple[Column, Column]:
+def slow_run_parts() -> tuple[Column, Column]:
     """Answers 429 or 503 since the last 2xx."""
     slow = F.coalesce(_made() & F.col("status").isin(429, 503), F.lit(False))
     return _made() & F.col("status").between(200, 299), slow.cast("int")
 
 
-def _backoff(slow_run: str = "slow_run") -> Column:
+def backoff_seconds(slow_run: str = "slow_run") -> Column:
     """Seconds after the row: doubled with each step of the slow run, up to the cap."""
     steps = F.least(F.col(slow_run), F.lit(30).cast("long"))
     doubled = F.pow(F.lit(2.0), steps) * (params.BACKOFF_INITIAL_SECONDS / 2)
@@ -58,13 +58,13 @@ def _with_runs(log: DataFrame, segments: int | None, **runs: tuple[Column, Colum
 
 def error_runs(log: DataFrame, segments: int | None = None) -> DataFrame:
     """Every request with its error run and whether the host had been stopped before."""
-    return _with_runs(requests(log), segments, error_run=_error_run())
+    return _with_runs(requests(log), segments, error_run=error_run_parts())
 
 
 def backoff_series(log: DataFrame, segments: int | None = None) -> DataFrame:
     """Every request with the backoff in force after it."""
-    rows = OrderedRows.of(requests(log), ["host"], ORDER, segments).add(runs_since({"slow_run": _slow_run()}, ["host"]))
-    return rows.rows().withColumn("backoff", _backoff()).drop("slow_run")
+    rows = OrderedRows.of(requests(log), ["host"], ORDER, segments).add(runs_since({"slow_run": slow_run_parts()}, ["host"]))
+    return rows.rows().withColumn("backoff", backoff_seconds()).drop("slow_run")
 
 
 def politeness(log: DataFrame, base: float = params.DELAY_BASE_SECONDS, segments: int | None = None) -> DataFrame:
@@ -75,8 +75,8 @@ def politeness(log: DataFrame, base: float = params.DELAY_BASE_SECONDS, segments
     """
     timed = requests(log).withColumn("us", micros_of(log, "ts"))
     rows = OrderedRows.of(timed, ["host"], ORDER, segments).add(
-        runs_since({"slow_run": _slow_run()}, ["host"], before={"slow_before": "slow_run"}), latest({"us_before": F.col("us")}, before=True))
-    required = F.greatest(F.lit(base), F.coalesce("crawl_delay", F.lit(0.0)), _backoff("slow_before"))
+        runs_since({"slow_run": slow_run_parts()}, ["host"], before={"slow_before": "slow_run"}), latest({"us_before": F.col("us")}, before=True))
+    required = F.greatest(F.lit(base), F.coalesce("crawl_delay", F.lit(0.0)), backoff_seconds("slow_before"))
     gap = (F.col("us") - F.col("us_before")) / F.lit(1e6)
     return rows.rows().withColumns({"required": required, "gap": gap}).withColumn(
         "early", F.coalesce(F.col("gap") < F.col("required"), F.lit(False))).drop(
@@ -89,7 +89,7 @@ def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: b
     ``evidence``: ``host, pos, url``, at most five per host. Beside the older final values there are a true maximum of
     the backoff and counters for what used to be uncounted: other 5xx and no response.
     """
-    rows = _with_runs(log, segments, error_run=_error_run(), slow_run=_slow_run()).withColumn("backoff", _backoff())
+    rows = _with_runs(log, segments, error_run=error_run_parts(), slow_run=slow_run_parts()).withColumn("backoff", backoff_seconds())
     made = _made() & ~F.col("stopped") if apply_stop else _made()
     s = F.when(made, F.col("status"))
     last = F.max(F.when(made, F.struct(*ORDER, "error_run", "backoff")))
@@ -129,8 +129,8 @@ def host_report(log: DataFrame, evidence: DataFrame | None = None, apply_stop: b
 
 def host_states(log: DataFrame, segments: int | None = None) -> DataFrame:
     """Counters, final run and backoff, and whether the host was stopped: what the stream keeps per host, from a whole log."""
-    runs = _with_runs(requests(log), segments, error_run=_error_run(), slow_run=_slow_run())
-    made = runs.where(~F.col("stopped")).withColumn("backoff", _backoff())
+    runs = _with_runs(requests(log), segments, error_run=error_run_parts(), slow_run=slow_run_parts())
+    made = runs.where(~F.col("stopped")).withColumn("backoff", backoff_seconds())
     at, s = F.struct(*ORDER), F.col("status")
     stop = (F.col("error_run") >= params.MAX_ERROR_RUN) | F.coalesce(s == 403, F.lit(False))
     return made.groupBy("host").agg(

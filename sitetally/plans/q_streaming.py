@@ -59,13 +59,12 @@ FROM made m LEFT JOIN late ON late.host = m.host GROUP BY m.host""")
 def stream_host_state(spark, sf_dir):
     """The good answers arrive first, in several files; all others, of any time, arrive afterwards."""
     log = A.fetch_log(spark, sf_dir)
-    arrivals, out, checkpoint = (new_path(spark, n) for n in ("log", "hosts", "hosts-checkpoint"))
+    arrivals, folder, checkpoint = (new_path(spark, n) for n in ("log", "hosts", "hosts-checkpoint"))
     good = F.coalesce(F.col("status") == 200, F.lit(False))
     for lot in (log.where(good), log.where(~good)):
         lot.repartition(3, "seq").write.mode("append").parquet(arrivals)
-        states = hosts.host_states(read_stream(spark, arrivals, log.schema))
-        drain_batches(states, epoch_writer(out), checkpoint)
-    return hosts.settled(spark.read.parquet(out), spark.read.schema(log.schema).parquet(arrivals))
+        drain_batches(read_stream(spark, arrivals, log.schema), hosts.cell_writer(folder), checkpoint, "append")
+    return hosts.host_states(spark, folder)
 
 
 @query("stream_totals", with_ctes(A.LOG) + """

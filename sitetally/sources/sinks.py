@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -49,21 +49,26 @@ def write_json_document(doc: DataFrame, path: str, mode: str = "errorifexists")
     doc.select("value").write.mode(mode).text(path)
 
 
-def existing_keys(spark: SparkSession, path: str, schema, key: str) -> DataFrame | None:
-    """Keys already written to a CSV folder; None if there is no such folder yet."""
-    try:
-        return read_csv(spark, path, schema).select(key).distinct()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def identity(df: DataFrame, key: str) -> Column:
+    """The key of a row; where it is missing, a hash of all cells as they are written, so that other rows differ from it."""
+    cells = F.concat_ws("\u001f", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns))
+    own = F.col(key).cast("string")
+    return F.when(F.coalesce(own, F.lit("")) != "", F.concat(F.lit("key:"), own)).otherwise(F.concat(F.lit("row:"), F.sha2(cells, 256)))
 
 
 def append_new(df: DataFrame, path: str, key: str) -> None:
-    """Append the rows whose key is not in the folder yet; running it again adds nothing."""
-    done = existing_keys(df.sparkSession, path, df.schema, key)
-    if done is None:
+    """Append the rows that are not in the folder yet, by key or, without one, as a whole; running it again adds nothing.
+
+    A run that breaks off leaves nothing behind that a reader sees, as Spark commits the files of a job together.
+    """
+    spark = df.sparkSession
+    try:
+        done = read_csv(spark, path, df.schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         fresh = df
-    else:  # a missing key is a key too, else its rows would be added again each time
-        fresh = df.join(done.withColumnRenamed(key, "_done"), F.col(key).eqNullSafe(F.col("_done")), "left_anti")
+    else:
+        done = done.select(identity(done, key).alias("_done")).distinct()
+        fresh = df.withColumn("_id", identity(df, key)).join(done, F.col("_id") == F.col("_done"), "left_anti").drop("_id")
     write_csv(fresh, path, "append")

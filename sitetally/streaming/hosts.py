@@ -1,89 +1,117 @@
-"""Per-host state over a stream of fetch logs: counters, error run, backoff, stop flag.
+"""Per-host state over a stream of fetch logs: counters, error run, backoff, stop flag, whatever the order of arrival.
 
-Rows that arrive in order advance the state. A row older than its host's state may change everything after it, so it is
-counted as late, and hosts with late rows are computed anew from the stored log: nothing is lost, and the cost of a batch
-stays that of its own rows as long as rows come in order.
+Time is cut into cells. What a host did in a cell is kept as a small summary: a function of the run it enters the cell with,
+which is 0, 1 or 2 as long as it is not stopped. A micro-batch stores its rows by cell, reads back the rows of the hosts and
+cells it touches, no others, and writes their summaries; so a late row costs one cell, not the log. The state of a host is its
+summaries put together in the order of time. A repeated batch replaces what it wrote.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import hostlog
-from ..operators.skew import micros_of
-from ..params import BACKOFF_CAP_SECONDS, BACKOFF_INITIAL_SECONDS, MAX_ERROR_RUN
-
-# Send the state function itself to the workers, so that they need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-STATE = "run long, slow long, stopped boolean, last_us long, last_seq long, attempted long, fetched long, challenges long, late long"
-OUTPUT = ("host string, pages_attempted long, pages_fetched long, captcha_hits long, consec_errors_final long, "
-          "backoff_seconds_final double, stopped boolean, late_rows long")
-
-
-def run_lengths(resets: np.ndarray, values: np.ndarray, carry: int) -> np.ndarray:
-    """Sum of ``values`` since the latest reset, that row included; ``carry`` is the sum before the first row."""
-    total = np.cumsum(values)
-    base = np.where(resets, total - values, -carry)
-    latest = np.maximum.accumulate(np.where(resets, np.arange(len(values)), -1))
-    return total - np.where(latest >= 0, base[latest], -carry)
-
-
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The rows of one host in one micro-batch, in log order; rows older than the state count as late only."""
-    run, slow, stopped, last_us, last_seq, attempted, fetched, challenges, late = (
-        state.get if state.exists else (0, 0, False, -1, -1, 0, 0, 0, 0))
-    parts = [(b["us"].to_numpy(), b["seq"].to_numpy(), b["status"].to_numpy(), b["challenge"].to_numpy()) for b in batches]
-    us, seq, status, challenge = (np.concatenate(c) for c in zip(*parts))
-    old = (us < last_us) | ((us == last_us) & (seq <= last_seq))
-    late += int(old.sum())
-    order = np.lexsort((seq, us))
-    order = order[~old[order]]
-    if len(order):
-        last_us, last_seq = int(us[order[-1]]), int(seq[order[-1]])
-    if len(order) and not stopped:
-        status = np.nan_to_num(status[order].astype(np.float64)).astype(np.int64)  # 0 stands for no response
-        challenge = challenge[order].astype(bool)
-        failed, fine = (status == 0) | (status >= 400), (status >= 200) & (status < 300)
-        runs = run_lengths(~failed, (failed | challenge).astype(np.int64), run)
-        slows = run_lengths(fine, np.isin(status, (429, 503)).astype(np.int64), slow)
-        stops = np.flatnonzero((runs >= MAX_ERROR_RUN) | (status == 403))
-        stopped = len(stops) > 0
-        made = int(stops[0]) + 1 if stopped else len(order)
-        attempted += made
-        fetched += int(fine[:made].sum())
-        challenges += int(challenge[:made].sum())
-        run, slow = int(runs[made - 1]), int(slows[made - 1])
-    state.update((run, slow, stopped, last_us, last_seq, attempted, fetched, challenges, late))
-    wait = min(float(BACKOFF_CAP_SECONDS), BACKOFF_INITIAL_SECONDS / 2 * 2.0 ** min(slow, 30)) if slow else 0.0
-    yield pd.DataFrame({
-        "host": [key[0]], "pages_attempted": [attempted], "pages_fetched": [fetched], "captcha_hits": [challenges],
-        "consec_errors_final": [run], "backoff_seconds_final": [wait], "stopped": [stopped], "late_rows": [late]})
-
-
-def host_states(log: DataFrame) -> DataFrame:
-    """Latest state of every host seen in a micro-batch, with the number of rows that came too late for it.
-
-    Only four narrow columns of a host's rows in one trigger meet in a task; the size of a trigger bounds them.
+from ..operators.skew import SEGMENT, OrderedRows, micros_of, runs_since, sums
+from ..params import MAX_ERROR_RUN
+
+CELL_SECONDS = 86_400
+NO_TIME = -(1 << 40)  # cell of rows without a time, which come first
+ROWS = "host string, us long, seq long, status int, challenge boolean, epoch long, cell long"
+#: What is known at a row of a cell, counted from the cell's beginning.
+SO_FAR = ("us", "seq", "attempted", "fetched", "challenges", "error_run", "error_open", "slow_run", "slow_open")
+RUNS = {"error_run": "error", "slow_run": "slow"}
+
+
+def stored_rows(spark: SparkSession, folder: str, cells: list[int]) -> DataFrame:
+    """Rows of some cells, from the folders of these cells alone."""
+    paths = [f"{folder}/rows/cell={c}" for c in cells]
+    if not paths:
+        return spark.createDataFrame([], ROWS)
+    return spark.read.schema(ROWS).option("basePath", f"{folder}/rows").parquet(*paths)
+
+
+def _runs() -> dict:
+    return {"error_run": hostlog.error_run_parts(), "slow_run": hostlog.slow_run_parts()}
+
+
+def cell_summaries(rows: DataFrame, epoch: int) -> DataFrame:
+    """Per host and cell: ``last``, what is known at its last row; ``stop_0`` to ``stop_2``, the same at the row that stops a
+    host which enters with that run (NULL if none does); rows ``new`` in this epoch, and those ``late`` within the cell."""
+    one = F.lit(1).cast("long")
+    data = rows.withColumns({"disallowed": F.lit(False), "older": -F.col("epoch")})
+    runs = _runs()
+    counts = {
+        "attempted": one, "fetched": F.col("status").between(200, 299).cast("long"), "challenges": F.col("challenge").cast("long"),
+        "new": (F.col("epoch") == epoch).cast("long"), **{f"{RUNS[n]}_resets": r.cast("long") for n, (r, _) in runs.items()}}
+    keys = ["host", "cell"]
+    done = OrderedRows.of(data, keys, ["us", "seq", "older"]).add(runs_since(runs, keys), sums(counts)).rows()
+    done = done.withColumns({f"{short}_open": F.col(f"{short}_resets") == 0 for short in RUNS.values()})
+    known = F.struct(*SO_FAR)
+    stops = {}
+    for entry in range(MAX_ERROR_RUN):
+        run = F.col("error_run") + F.when(F.col("error_open"), entry).otherwise(0)
+        stops[f"stop_{entry}"] = (run >= MAX_ERROR_RUN) | F.coalesce(F.col("status") == 403, F.lit(False))
+    return done.groupBy(*keys).agg(
+        F.max(known).alias("last"), *(F.min(F.when(stop, known)).alias(name) for name, stop in stops.items()),
+        F.max("new").alias("new"), F.coalesce(F.max(F.when(F.col("epoch") < epoch, F.col("new"))), F.lit(0).cast("long")).alias("late"))
+
+
+def cell_writer(folder: str, cell_seconds: int = CELL_SECONDS) -> Callable[[DataFrame, int], None]:
+    """Stores each micro-batch of a log and the summaries of the cells that it touches."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        us = micros_of(batch, "ts")
+        rows = batch.where(~F.col("disallowed")).select(
+            "host", us.alias("us"), "seq", F.col("status").cast("int").alias("status"), "challenge", F.lit(epoch).cast("long").alias("epoch"),
+            F.coalesce(F.floor(us / F.lit(cell_seconds * 1_000_000)), F.lit(NO_TIME)).alias("cell"))
+        cells = sorted(r.cell for r in rows.select("cell").distinct().collect())
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("cell", "epoch").parquet(f"{folder}/rows")
+        stored = stored_rows(spark, folder, cells).where(F.col("epoch") <= epoch)
+        touched = stored.where(F.col("epoch") == epoch).select(F.col("host").alias("_host"), F.col("cell").alias("_cell")).distinct()
+        mine = stored.join(touched, F.col("host").eqNullSafe(F.col("_host")) & (F.col("cell") == F.col("_cell")), "left_semi")
+        cell_summaries(mine, epoch).write.mode("overwrite").parquet(f"{folder}/cells/epoch={epoch}")
+    return write
+
+
+def host_states(spark: SparkSession, folder: str) -> DataFrame | None:
+    """One row per host from the summaries in a folder; None before the first batch.
+
+    ``late_rows``: rows that came in a later batch than a newer row, or one of the same time, of their host.
     """
-    rows = log.where(~F.col("disallowed")).select(
-        "host", micros_of(log, "ts").alias("us"), "seq", F.col("status").cast("double").alias("status"), "challenge")
-    return rows.groupBy("host").applyInPandasWithState(
-        _advance, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
-
-
-def settled(states: DataFrame, log: DataFrame) -> DataFrame:
-    """One row per host: the latest of ``states`` (with ``epoch``), computed anew from the stored ``log`` if rows came late."""
-    columns = [c for c in states.columns if c not in ("host", "epoch")]
-    latest = states.groupBy("host").agg(F.max_by(F.struct(*columns), "epoch").alias("s")).select("host", "s.*")
-    late = latest.where(F.col("late_rows") > 0).select("host", "late_rows")
-    anew = hostlog.host_states(log.join(late.select("host"), "host", "left_semi")).join(late, "host")
-    return latest.where(F.col("late_rows") == 0).unionByName(anew)
+    try:
+        cells = spark.read.parquet(f"{folder}/cells")
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    of_host = Window.partitionBy("host").orderBy("epoch").rangeBetween(Window.unboundedPreceding, -1)
+    newest = F.max("cell").over(of_host)
+    late = cells.withColumn("newest", newest).groupBy("host").agg(
+        F.sum(F.when(F.col("newest") > F.col("cell"), F.col("new")).otherwise(F.col("late"))).alias("late_rows"))
+
+    names = ["last", *(f"stop_{e}" for e in range(MAX_ERROR_RUN))]
+    now = cells.groupBy("host", "cell").agg(F.max_by(F.struct(*names), "epoch").alias("s")).select("host", F.col("cell").alias(SEGMENT), "s.*")
+    by = Window.partitionBy("host").orderBy(SEGMENT)
+    running = runs_since(_runs(), ["host"])
+    now = running.fold(now.withColumns({f"_{kind}{n}": F.col(f"last.{column}") for n, short in RUNS.items()
+                                        for kind, column in (("near", n), ("open", f"{short}_open"))}), by)
+    stop = F.lit(None)
+    for entry in range(MAX_ERROR_RUN):
+        stop = F.when(F.least(F.col("_farerror_run"), F.lit(MAX_ERROR_RUN - 1)) == entry, F.col(f"stop_{entry}")).otherwise(stop)
+    now = now.withColumn("stop", stop)
+    before = F.max(F.col("stop").isNotNull()).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    now = now.withColumn("gone", F.coalesce(before, F.lit(False))).where(~F.col("gone")).withColumn("end", F.coalesce("stop", "last"))
+    runs = {n: F.col(f"end.{n}") + F.when(F.col(f"end.{short}_open"), F.col(f"_far{n}")).otherwise(0) for n, short in RUNS.items()}
+    out = now.withColumns(runs).groupBy("host").agg(
+        *(F.sum(f"end.{c}").alias(c) for c in ("attempted", "fetched", "challenges")),
+        F.max(F.struct(SEGMENT, "error_run", "slow_run")).alias("at_end"), F.max(F.col("stop").isNotNull()).alias("stopped"))
+    out = out.select("host", F.col("attempted").alias("pages_attempted"), F.col("fetched").alias("pages_fetched"),
+                     F.col("challenges").alias("captcha_hits"), F.col("at_end.error_run").alias("consec_errors_final"),
+                     F.col("at_end.slow_run").alias("slow_run"), "stopped")
+    late = late.withColumnRenamed("host", "_host")
+    out = out.withColumn("backoff_seconds_final", hostlog.backoff_seconds()).drop("slow_run")
+    return out.join(late, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")

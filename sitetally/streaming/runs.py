@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.listings import known_rows, new_listings
+from ..operators.listings import dedup_key, known_rows, new_listings
 
+KEY_BUCKETS = 64
 MAX_BYTES = 1 << 30  # input of one micro-batch; it bounds what a busy key can bring into one task
 
 
@@ -40,18 +41,40 @@ def epoch_writer(out: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def first_listings_writer(existing: DataFrame, out: str, order: list[str]) -> Callable[[DataFrame, int], None]:
-    """Rows of each batch whose key is neither among ``existing`` nor in an earlier epoch's folder, the first per key.
+def _key_hashes(rows: DataFrame, buckets: int) -> DataFrame:
+    """``rows`` with two hashes of their key, 128 bits together, and the bucket of the key log."""
+    h1, h2 = F.xxhash64(*dedup_key()), F.xxhash64(F.lit("second"), *dedup_key())
+    return rows.withColumns({"_h1": h1, "_h2": h2, "_bucket": F.pmod(h1, F.lit(buckets))})
 
-    What was written is the only memory: no state is kept between batches, and a repeated epoch replaces its own folder.
+
+def logged_keys(spark: SparkSession, log: str, buckets: list[int]) -> DataFrame:
+    """Hashes of the keys written so far that fall into some buckets, from the folders of these buckets alone."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(log).getFileSystem(spark._jsc.hadoopConfiguration())
+    paths = [p for p in (f"{log}/_bucket={b}" for b in buckets) if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p))]
+    kind = "_h1 long, _h2 long, _bucket long, _epoch long"
+    return spark.read.schema(kind).option("basePath", log).parquet(*paths) if paths else spark.createDataFrame([], kind)
+
+
+def first_listings_writer(existing: DataFrame, out: str, order: list[str], buckets: int = KEY_BUCKETS) -> Callable[[DataFrame, int], None]:
+    """Rows of each batch whose key is neither among ``existing`` nor was written by an earlier batch, the first per key.
+
+    The memory is a log of key hashes beside the output, in folders by bucket; a batch reads the buckets of its own keys only,
+    and none of the rows written before. A repeated epoch replaces what it wrote and does not see its own keys or later ones.
     """
+    log = f"{out}-keys"
+
     def write(batch: DataFrame, epoch: int) -> None:
-        spark, known = batch.sparkSession, known_rows(existing)
+        spark = batch.sparkSession
+        path = f"{out}/epoch={epoch}"
+        fresh = _key_hashes(new_listings(known_rows(existing), batch, order, complete=False), buckets).persist()
         try:
-            before = spark.read.parquet(out).where(f"epoch < {epoch}").drop("epoch")
-            known = known.unionByName(before, allowMissingColumns=True)
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-        new_listings(known, batch, order, complete=False).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+            touched = sorted(r[0] for r in fresh.select("_bucket").distinct().collect())
+            known = logged_keys(spark, log, touched).where(F.col("_epoch") < epoch).select("_h1", "_h2")
+            rows = fresh.join(known, ["_h1", "_h2"], "left_anti")
+            rows.drop("_h1", "_h2", "_bucket").select(*batch.columns).write.mode("overwrite").parquet(path)
+            keys = _key_hashes(spark.read.schema(batch.schema).parquet(path), buckets).select(
+                "_h1", "_h2", "_bucket", F.lit(epoch).cast("long").alias("_epoch"))
+            keys.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket", "_epoch").parquet(log)
+        finally:
+            fresh.unpersist()
     return write

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import random
+from collections import Counter
 from decimal import Decimal
 from urllib.robotparser import RobotFileParser
 
@@ -16,7 +19,7 @@ from sitetally.plans import adapters as A
 from sitetally.session import new_path
 from sitetally.sources import readers, sinks
 from sitetally.streaming import hosts
-from sitetally.streaming.runs import drain_batches, drain_to_files, epoch_writer, first_listings_writer, read_stream
+from sitetally.streaming.runs import drain_batches, drain_to_files, epoch_writer, first_listings_writer, logged_keys, read_stream
 
 TEXTS = {
     "one": "User-agent: *\nDisallow: /a\nAllow: /a/b\n",
@@ -230,16 +233,14 @@ def _arrive(df, path, order, parts):
 
 
 def test_host_state_over_many_batches(spark):
-    path, out = new_path(spark, "events"), new_path(spark, "state")
+    path, folder = new_path(spark, "events"), new_path(spark, "state")
     events = A.table(spark, SF_DIR, "events")
     _arrive(events, path, ["ts", "event_id"], 5)
     log = A.fetch_log_of(read_stream(spark, path, events.schema, 1))
-    drain_batches(hosts.host_states(log), epoch_writer(out), new_path(spark, "state-checkpoint"))
-    states = spark.read.parquet(out)
-    assert states.select("epoch").distinct().count() == 5
-    last = states.groupBy("host").agg(F.max_by(F.struct("*"), "epoch").alias("s")).select("s.*")
+    drain_batches(log, hosts.cell_writer(folder), new_path(spark, "state-checkpoint"), "append")
+    assert spark.read.parquet(f"{folder}/cells").select("epoch").distinct().count() == 5
     want = {r.host: r for r in hostlog.host_report(A.fetch_log_of(events)).collect() if r.pages_attempted}
-    got = {r.host: r for r in last.collect()}
+    got = {r.host: r for r in hosts.host_states(spark, folder).collect()}
     assert set(got) == set(want) and all(r.late_rows == 0 for r in got.values())
     for h, r in got.items():
         w = want[h]
@@ -248,22 +249,58 @@ def test_host_state_over_many_batches(spark):
 
 
 def test_late_rows_of_a_host_are_not_lost(spark):
-    """Interleaved times in two files: the stream and the stored log together give the batch result."""
-    path, out = new_path(spark, "log"), new_path(spark, "state")
+    """Interleaved times in two files give the batch result."""
+    path, folder = new_path(spark, "log"), new_path(spark, "state")
     log = spark.range(100).select(
         F.lit("h").alias("host"), F.timestamp_seconds(F.col("id") * 10).alias("ts"), F.col("id").alias("seq"),
         F.when(F.col("id") % 4 == 3, 503).otherwise(200).cast("int").alias("status"), F.lit(False).alias("challenge"),
         F.lit(False).alias("disallowed"), F.lit(None).cast("double").alias("crawl_delay"))
     for part in (log.where("seq % 2 = 0"), log.where("seq % 2 = 1")):
         part.coalesce(1).write.mode("append").parquet(path)
-        drain_batches(hosts.host_states(read_stream(spark, path, log.schema, 1)), epoch_writer(out), out + "-checkpoint")
-    got = hosts.settled(spark.read.parquet(out), spark.read.schema(log.schema).parquet(path)).collect()
+        drain_batches(read_stream(spark, path, log.schema, 1), hosts.cell_writer(folder), folder + "-checkpoint", "append")
+    got = hosts.host_states(spark, folder).collect()
     want = hostlog.host_report(log).collect()[0]
     assert len(got) == 1 and got[0].late_rows == 49
     assert (got[0].pages_attempted, got[0].consec_errors_final, got[0].backoff_seconds_final) == (
         want.pages_attempted, want.consec_errors_final, want.backoff_seconds_final) and want.pages_attempted == 100
 
 
+def test_states_do_not_depend_on_the_order_of_arrival(spark):
+    """Runs, stops and backoff over cells that are filled in any order, some batches twice; a batch reads its own cells only."""
+    dice = random.Random(8)
+    rows = []
+    for i in range(400):
+        host = dice.choice(["a", "b", "c", None, "d"])
+        status = dice.choices([200, 204, 404, 503, 429, 403, None, 302], [60, 5, 12, 8, 6, 1 if host in ("a", "c") else 0, 6, 4])[0]
+        rows.append((host, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=dice.randrange(2000)), i, status, dice.random() < 0.1,
+                     dice.random() < 0.05))
+    log = spark.createDataFrame(rows, "host string, ts timestamp, seq long, status int, challenge boolean, disallowed boolean").cache()
+    want = {tuple(sorted(r.asDict().items(), key=str)) for r in hostlog.host_states(log).collect()}
+    for seed in (1, 2):
+        folder, write = new_path(spark, "state"), None
+        write = hosts.cell_writer(folder, cell_seconds=300)
+        lots = log.withColumn("lot", F.pmod(F.xxhash64("seq", F.lit(seed)), F.lit(4)))
+        for epoch in range(4):
+            for _ in range(2 if epoch == seed else 1):
+                write(lots.where(F.col("lot") == epoch).drop("lot"), epoch)
+        states = hosts.host_states(spark, folder)
+        got = {tuple(sorted(r.asDict().items(), key=str)) for r in states.drop("late_rows").collect()}
+        assert got == want
+        seen, late = {}, Counter()
+        for epoch in range(4):
+            batch = [(h, (ts, seq)) for h, ts, seq, _, _, gone in rows if not gone and (h, seq) in {
+                (r.host, r.seq) for r in lots.where(F.col("lot") == epoch).select("host", "seq").collect()}]
+            for h, at in batch:
+                late[h] += h in seen and at <= seen[h]
+            for h, at in batch:
+                seen[h] = max(seen.get(h, at), at)
+        assert {r.host: r.late_rows for r in states.collect()} == {h: late[h] for h in seen}
+        first = spark.read.parquet(f"{folder}/rows").agg(F.min("cell")).head()[0]
+        files = hosts.stored_rows(spark, folder, [first]).inputFiles()
+        assert files and all(f"cell={first}/" in f for f in files)
+    assert hosts.host_states(spark, new_path(spark, "nothing")) is None
+
+
 def test_first_listings_over_many_batches(spark):
     path, out = new_path(spark, "parts"), new_path(spark, "added")
     part = A.table(spark, SF_DIR, "part")
@@ -306,8 +343,30 @@ def test_files_are_read_once_across_restarts(spark):
     assert spark.read.parquet(out).count() == 2 * part.count()
 
 
-def test_run_lengths():
-    import numpy as np
-    resets, values = np.array([0, 0, 1, 0, 0, 1, 0], bool), np.array([1, 1, 0, 1, 1, 1, 1])
-    assert hosts.run_lengths(resets, values, 5).tolist() == [6, 7, 0, 1, 2, 1, 2]
-    assert hosts.run_lengths(resets[:2], values[:2], 0).tolist() == [1, 2]
+def test_a_batch_reads_the_buckets_of_its_keys_only(spark):
+    """Keys seen before are found again in their buckets; other buckets and the rows written before are not read."""
+    out = new_path(spark, "added")
+    kind = "seq long, name string, address string"
+    existing = spark.createDataFrame([(1, "Old", "Street 1")], kind)
+    write = first_listings_writer(existing, out, ["seq"], buckets=16)
+    lots = [[(i, f"N{i % 30}", "x") for i in range(50)] + [(99, "old", "street 1"), (98, None, None)], [(200, "n7", "X"), (201, "New", "y"), (202, None, "")],
+            [], [(300, "new", "Y"), (301, "N31", "x")]]
+    for epoch, lot in enumerate(lots):
+        for _ in range(2 if epoch in (0, 3) else 1):  # a repeated batch leaves the same
+            write(spark.createDataFrame(lot, kind), epoch)
+    got = {(r.epoch, r.seq) for r in spark.read.parquet(out).collect()}
+    assert got == {(0, i) for i in range(30)} | {(0, 98), (1, 201), (3, 301)}
+    some = logged_keys(spark, f"{out}-keys", [3]).inputFiles()
+    assert all("_bucket=3/" in f for f in some) and len(some) <= 2
+    assert logged_keys(spark, f"{out}-keys", list(range(16))).count() == len(got)
+
+
+def test_rows_without_a_key_are_appended_once_each(spark):
+    out = new_path(spark, "resumed")
+    rows = [("a", 1, "x"), (None, 2, "y"), ("b", None, None)]
+    for more in ([], [(None, 3, "y"), (None, 2, "y"), ("a", 9, "z")], [(None, None, None)], [(None, None, None)]):
+        rows = rows if not more else more
+        sinks.append_new(spark.createDataFrame(rows, "k string, n int, t string"), out, "k")
+    got = sorted(tuple(r) for r in readers.read_csv(spark, out, spark.createDataFrame([], "k string, n int, t string").schema).fillna(
+        {"k": "-", "n": 0, "t": "-"}).collect())
+    assert got == [("-", 0, "-"), ("-", 2, "y"), ("-", 3, "y"), ("a", 1, "x"), ("b", 0, "-")]
