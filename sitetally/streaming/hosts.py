@@ -18,7 +18,7 @@ from ..operators import hostlog
 from ..operators.skew import SEGMENT, OrderedRows, micros_of, runs_since, sums
 from ..params import MAX_ERROR_RUN
 
-CELL_SECONDS = 86_400
+CELL_SECONDS = 7 * 86_400
 NO_TIME = -(1 << 40)  # cell of rows without a time, which come first
 ROWS = "host string, us long, seq long, status int, challenge boolean, epoch long, cell long"
 #: What is known at a row of a cell, counted from the cell's beginning.
@@ -69,7 +69,7 @@ def cell_writer(folder: str, cell_seconds: int = CELL_SECONDS) -> Callable[[Data
             "host", us.alias("us"), "seq", F.col("status").cast("int").alias("status"), "challenge", F.lit(epoch).cast("long").alias("epoch"),
             F.coalesce(F.floor(us / F.lit(cell_seconds * 1_000_000)), F.lit(NO_TIME)).alias("cell"))
         cells = sorted(r.cell for r in rows.select("cell").distinct().collect())
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("cell", "epoch").parquet(f"{folder}/rows")
+        rows.hint("rebalance", F.col("cell")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("cell", "epoch").parquet(f"{folder}/rows")
         stored = stored_rows(spark, folder, cells).where(F.col("epoch") <= epoch)
         touched = stored.where(F.col("epoch") == epoch).select(F.col("host").alias("_host"), F.col("cell").alias("_cell")).distinct()
         mine = stored.join(touched, F.col("host").eqNullSafe(F.col("_host")) & (F.col("cell") == F.col("_cell")), "left_semi")
