@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 import os
-from functools import lru_cache
 
 import numpy as np
 
+from .common import resident
+
 #: How such vocabularies split text before the merges; fixed by the format.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Below this character the libraries' Unicode tables cannot differ.
@@ -22,12 +23,9 @@ class ByteBpe:
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.path, self.tokenizer = path, None
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         byte_of = _bytes_of_characters()
@@ -45,6 +43,12 @@ class ByteBpe:
             return np.zeros(0, dtype=np.uint32)
         if self.fast is not None and max(text) < PLAIN:
             return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype=np.uint32)
+        if self.tokenizer is None:  # only for texts that need it, as it takes much memory
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
+            self.tokenizer.encode_special_tokens = True
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
@@ -55,7 +59,6 @@ def _bytes_of_characters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> ByteBpe:
     """One for all tasks of a worker."""
-    return ByteBpe(path)
+    return resident(f"bpe {path}", lambda: ByteBpe(path))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -84,22 +86,47 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]],
         out.extend(each.close() if hasattr(each, "close") else ())
         for start in range(0, len(out), 4 * at_once):
             yield rows_to_arrow(out[start:start + 4 * at_once], arrow)
+        del each, out
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+#: What the tasks of a worker share; one thing only, as workers serve many operators one after the other.
+_RESIDENT: dict[str, object] = {}
+
+
+def resident(name: str, make: Callable[[], object]) -> object:
+    """The worker's thing of this name, made when first asked for; what another operator left in the worker is dropped."""
+    if name not in _RESIDENT:
+        _RESIDENT.clear()
+        give_back()
+        _RESIDENT[name] = make()
+    return _RESIDENT[name]
+
+
+def give_back() -> None:
+    """Free memory of the worker goes back to the machine, where the C library can do that."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 class WordHashes:
-    """64-bit hashes of words, remembered; the memory is emptied when full, so its size is bounded."""
+    """64-bit hashes of words, remembered; the memory is emptied at so many bytes, so its size is bounded."""
 
-    def __init__(self, limit: int = 800_000):
+    def __init__(self, limit: int = 32 << 20):
         from xxhash import xxh3_64_intdigest
 
-        self.hash, self.limit, self.known = xxh3_64_intdigest, limit, {}
+        self.hash, self.limit, self.known, self.held = xxh3_64_intdigest, limit, {}, 0
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         known, found = self.known, self.hash
-        if len(known) > self.limit:
+        if self.held > self.limit:
             known.clear()
+            self.held = 0
         get = known.get
         out = list(map(get, words))
         if None in out:
@@ -107,13 +134,13 @@ class WordHashes:
                 if h is None:
                     w = words[i]
                     out[i] = known[w] = found(w)
+                    self.held += len(w) + 150  # an entry's objects
         return np.array(out, dtype=np.uint64)
 
 
-@lru_cache(maxsize=1)
 def word_hashes() -> WordHashes:
     """One for all tasks of a worker."""
-    return WordHashes()
+    return resident("words", WordHashes)
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:

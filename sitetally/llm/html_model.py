@@ -257,8 +257,11 @@ def trained(pages: DataFrame, by: str = "page_id", html: str = "html", sample: i
     for nodes in trees:
         for x in nodes:
             x.attrs = re.sub(rf'\s*{MARK}="[01]"', "", x.attrs)
-    chosen = pages.where(F.col(html).isNotNull()).select(F.xxhash64(by).alias("h"), html).orderBy("h", html).limit(sample)
-    own = [nodes for r in chosen.select(html).collect() if (nodes := from_markup(r[0])) is not None]
+    # the hashes alone are sorted, and only the pages at or below the last one leave their partitions
+    hashed = pages.where(F.col(html).isNotNull()).select(F.xxhash64(by, html).alias("h"), html)
+    least = hashed.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).head()[0]
+    chosen = sorted(r[0] for r in hashed.where(F.col("h") <= least).select(html).distinct().collect()) if least is not None else []
+    own = [nodes for page in chosen[:sample] if (nodes := from_markup(page)) is not None]
     return fitted([*trees, *(neutral(t) for t in trees), *own, *(neutral(t) for t in own)])
 
 

@@ -114,7 +114,7 @@ class Model:
 class Scorer:
     """Scores texts; remembers the tokens seen, within a bound."""
 
-    def __init__(self, model: Model, limit: int = 400_000):
+    def __init__(self, model: Model, limit: int = 200_000):
         self.model, self.limit = model, limit
         self._forget()
 

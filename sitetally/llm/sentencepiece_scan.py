@@ -21,14 +21,13 @@ NULL or empty text: no pieces. Rows with equal id and text are one document. U+2
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, saved, ship_package
+from .common import map_rows, resident, saved, ship_package
 
 CHUNK, GROUP = 8192, 64
 UNKNOWN = 10
@@ -142,10 +141,9 @@ class Pieces:
         return "".join(out) + raw.decode(errors="replace")
 
 
-@lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     """One for all tasks of a worker."""
-    return Pieces(path)
+    return resident(f"pieces {path}", lambda: Pieces(path))
 
 
 def plain(normal: str) -> str:
