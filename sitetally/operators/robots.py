@@ -10,6 +10,7 @@ from ..functions.urls import unquote, url_path
 from .skew import OrderedRows, lookup_join, micros_of
 
 
+MANY_RULES = 200
 RULE_COLUMNS = ("group_no", "agent", "rule_no", "allow", "prefix")
 _BREAK = "\ue000"  # stands for a line break inside a decoded value
 
@@ -85,13 +86,33 @@ def rules_for_agent(rules: DataFrame, agent: str) -> DataFrame:
     return groups.where(rank.isNotNull()).groupBy(*keys).agg(F.min_by("rules", F.struct(rank, "group_no")).alias("rules"))
 
 
-def robots_allowed(urls: DataFrame, agent_rules: DataFrame, url: str) -> DataFrame:
-    """Adds ``rule_no`` and ``allowed``: the first rule whose prefix starts the path decides; without one, allowed."""
-    joined = lookup_join(urls, agent_rules, "host")
-    joined = joined.withColumn("path", unquote(url_path(F.col(url))))
+def _first_by_prefix(asked: DataFrame, agent_rules: DataFrame) -> DataFrame:
+    """``host, path`` -> the first rule whose prefix starts the path, by equality of prefixes.
+
+    A path is cut at every length that a prefix of its host has; a host's rules never meet in one row or task.
+    """
+    first = agent_rules.select("host", F.inline("rules")).groupBy("host", "prefix").agg(F.min(F.struct("rule_no", "allow")).alias("first"))
+    lengths = agent_rules.select("host", F.array_distinct(F.transform("rules", lambda r: F.length(r["prefix"]))).alias("lengths"))
+    cuts = F.transform(F.filter("lengths", lambda n: n <= F.length("path")), lambda n: F.substr("path", F.lit(1), n))
+    tried = asked.distinct().join(lengths, "host").select("host", "path", F.explode(cuts).alias("prefix"))
+    return tried.join(first, ["host", "prefix"]).groupBy("host", "path").agg(F.min("first").alias("match"))
+
+
+def robots_allowed(urls: DataFrame, agent_rules: DataFrame, url: str, many: int = MANY_RULES) -> DataFrame:
+    """Adds ``rule_no`` and ``allowed``: the first rule whose prefix starts the path decides; without one, allowed.
+
+    Rules of a host with up to ``many`` of them go along with its URLs as a list; those of larger hosts are joined by prefix.
+    """
+    urls = urls.withColumn("path", unquote(url_path(F.col(url))))
     matching = F.filter("rules", lambda r: F.col("path").startswith(r["prefix"]))
-    return joined.withColumn("match", F.try_element_at(matching, F.lit(1))).withColumns({
-        "rule_no": F.col("match.rule_no"), "allowed": F.coalesce("match.allow", F.lit(True))}).drop("match", "rules", "path")
+    few, more = (agent_rules.where(test) for test in (F.size("rules") <= many, F.size("rules") > many))
+    joined = lookup_join(urls, few, "host").withColumn("match", F.try_element_at(matching, F.lit(1))).drop("rules")
+    match = F.struct(F.col("match.rule_no").alias("rule_no"), F.col("match.allow").alias("allow"))
+    joined = joined.withColumn("match", F.when(F.col("match").isNotNull(), match))
+    if not more.isEmpty():
+        far = _first_by_prefix(urls.select("host", "path"), more).withColumnRenamed("match", "far")
+        joined = joined.join(far, ["host", "path"], "left").withColumn("match", F.coalesce("match", "far")).drop("far")
+    return joined.withColumns({"rule_no": F.col("match.rule_no"), "allowed": F.coalesce("match.allow", F.lit(True))}).drop("match", "path")
 
 
 def robots_asof(requests: DataFrame, snapshots: DataFrame, ttl_seconds: float = params.ROBOTS_TTL_SECONDS, segments: int | None = None) -> DataFrame:

@@ -370,3 +370,25 @@ def test_rows_without_a_key_are_appended_once_each(spark):
     got = sorted(tuple(r) for r in readers.read_csv(spark, out, spark.createDataFrame([], "k string, n int, t string").schema).fillna(
         {"k": "-", "n": 0, "t": "-"}).collect())
     assert got == [("-", 0, "-"), ("-", 2, "y"), ("-", 3, "y"), ("a", 1, "x"), ("b", 0, "-")]
+
+
+def test_rules_of_large_hosts_are_joined_by_prefix(spark):
+    """Thousands of rules on one host, equal prefixes among them: the first one that starts the path decides, as in a list."""
+    dice = random.Random(4)
+    rules = [("big", [(i, dice.random() < 0.5, "/" + "".join(dice.choice("abé") for _ in range(dice.randrange(9)))) for i in range(3000)]),
+             ("small", [(0, False, "/a"), (1, True, "/")]), ("none", []), (None, [(0, False, "/")])]
+    rules[0] = ("big", [r for r in rules[0][1] if r[2] != "/"])
+    kind = "host string, rules array<struct<rule_no: int, allow: boolean, prefix: string>>"
+    urls = [(h, f"http://{h}/" + "".join(dice.choice("abéz") for _ in range(dice.randrange(12)))) for h in ("big", "small", "none", "other") for _ in range(150)]
+    urls += urls[:40] + [("big", None), (None, "http://x/a"), ("big", "http://big")]
+    data, table = spark.createDataFrame(urls, "host string, url string"), spark.createDataFrame(rules, kind)
+
+    def got(many):
+        return sorted(map(repr, robots.robots_allowed(data, table, "url", many).select("host", "url", "rule_no", "allowed").collect()))
+    assert got(10) == got(10_000) and len(got(10)) == len(urls)
+    by = {(r.host, r.url): r for r in robots.robots_allowed(data, table, "url", 10).collect()}
+    for host, url in urls:
+        if host == "big" and url:
+            path = url.removeprefix("http://big")
+            first = next((r for r in rules[0][1] if path.startswith(r[2])), None)
+            assert (by[host, url].rule_no, by[host, url].allowed) == ((first[0], first[1]) if first else (None, True))
