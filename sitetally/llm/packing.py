@@ -5,7 +5,7 @@ size (tier) that holds it. Each tier is packed into sequences of its own size, f
 opens a sequence, its gap is filled with the largest fitting pieces of this and the shorter tiers, and what then remains
 is filled by the beginning of a shorter piece, so that sequences end up full. What is left at the end of a task is cut at
 powers of two. Every sequence is thus full, or has a power of two of tokens. Step groups hold ``STEP_TOKENS`` tokens each,
-of one tier, so that steps cost the same.
+of one size of sequence and of any task, so that steps cost the same; only the last group of a size may hold less.
 
 Packing needs no shuffle: each task packs its own partition, holding at most ``POOL`` left-over pieces. Sequence ids are
 the partition's number and a counter. An executor lost: the partition is read and packed again with the same result.
@@ -19,16 +19,16 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, saved
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 POOL = 4096
 STEP_TOKENS = 1 << 18
-PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
+PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, nth long"
 
 
 class Packer:
@@ -70,10 +70,9 @@ class Packer:
         self.sequences += 1
         nth = self.in_tier.get(tier, 0)
         self.in_tier[tier] = nth + 1
-        step = (self.task << 40) + (tier << 24) + nth * tier // STEP_TOKENS
         offset = 0
         for length, _, doc, start, ids, total in pieces:
-            row = (doc, start, length, crc32(ids.astype("<u4").tobytes()), total, sequence, offset, tier, step)
+            row = (doc, start, length, crc32(ids.astype("<u4").tobytes()), total, sequence, offset, tier, nth)
             yield (*row, ids.tolist()) if self.with_ids else row
             offset += length
 
@@ -118,8 +117,22 @@ class Packer:
             total -= size
 
 
+def in_steps(pieces: DataFrame, step_tokens: int) -> DataFrame:
+    """``nth`` sequence of a size in its task -> ``step_group``: the sequences of each size are numbered over all tasks, from
+    their numbers per task alone, and dealt to steps in that order; so all steps but the last one of a size are full."""
+    task = F.shiftright("sequence_id", 40)
+    counts = pieces.groupBy(F.col("tier").alias("_tier"), task.alias("_task")).agg((F.max("nth") + 1).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("_tier").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("_tier", "_task", F.coalesce(before, F.lit(0)).alias("_before"))
+    group = F.shiftleft(F.col("tier").cast("long"), 40) + F.floor((F.col("_before") + F.col("nth")) * F.col("tier") / step_tokens)
+    joined = pieces.join(counts, (F.col("tier") == F.col("_tier")) & (task == F.col("_task")))
+    kept = [c for c in pieces.columns if c not in ("nth", "ids")]
+    return joined.select(*kept, group.alias("step_group"), *(["ids"] if "ids" in pieces.columns else []))
+
+
 def packed(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text",
-           tiers: tuple[int, ...] = TIERS, pool: int = POOL, with_ids: bool = False) -> DataFrame:
+           tiers: tuple[int, ...] = TIERS, pool: int = POOL, with_ids: bool = False,
+           step_tokens: int = STEP_TOKENS) -> DataFrame:
     """One row per piece: ``doc_id``, place in the document, place in its sequence, tier and step group (and ids)."""
     data = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
 
@@ -140,4 +153,4 @@ def packed(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
         return Each()
 
     kind = data.schema["doc_id"].dataType.simpleString()
-    return map_rows(data, make, f"doc_id {kind}, {PIECE}" + ", ids array<long>" * with_ids)
+    return in_steps(saved(map_rows(data, make, f"doc_id {kind}, {PIECE}" + ", ids array<long>" * with_ids), "pieces"), step_tokens)

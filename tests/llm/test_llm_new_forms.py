@@ -235,3 +235,18 @@ def test_quotes_in_unquoted_values_lose_no_text():
     assert " ".join(t for _, t in parsed(page)[1]) == "One two. Second. Don't stop. One mid x"
     assert attributes(" class=it's id='a\"b'data-x=\"c'd\" class=no checked x==y z=a/b/ e=") == {
         "class": "it's", "id": 'a"b', "data-x": "c'd", "checked": "", "x": "y", "z": "a/b/", "e": ""}
+
+
+def test_step_groups_are_full_over_all_tasks(spark):
+    """However many tasks pack, each size has one group at most that is not full."""
+    from sitetally.llm import packing
+    docs = spark.range(900).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), cast(1 + id % 97 AS int)) AS text").repartition(24)
+    rows = packing.packed(docs, queries.vocabulary("byte_bpe_50k.json"), step_tokens=8192).collect()
+    tokens, sizes = defaultdict(int), defaultdict(set)
+    for r in rows:
+        tokens[r.step_group] += r.length
+        sizes[r.step_group].add(r.tier)
+    assert all(len(s) == 1 for s in sizes.values()) and len({r.sequence_id >> 40 for r in rows}) > 8
+    for size in {s for own in sizes.values() for s in own}:
+        groups = [tokens[g] for g in sorted(tokens) if sizes[g] == {size}]
+        assert groups[:-1] == [8192] * (len(groups) - 1) and groups[-1] <= 8192
