@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import hostlog, patterns
 from ..session import new_path
 from ..streaming import hosts
-from ..streaming.runs import drain_batches, drain_to_files, epoch_writer, first_listings_writer, read_stream
+from ..streaming.runs import drain_batches, drain_to_files, first_listings_writer, read_stream, totals_writer
 from . import adapters as A
 from .adapters import with_ctes
 from .registry import ORACLE, query
@@ -72,13 +72,14 @@ SELECT count(*)::BIGINT AS attempted, count_if(coalesce(status < 400, false))::B
   count_if(NOT coalesce(status < 400, false))::BIGINT AS failed,
   100.0::DOUBLE * count_if(NOT coalesce(status < 400, false)) / count(*) AS fail_rate, true AS alert FROM req""")
 def stream_totals(spark, sf_dir):
-    out = new_path(spark, "totals")
+    out, alerts = new_path(spark, "totals"), new_path(spark, "alerts")
     log = hostlog.requests(A.fetch_log_of(_stream(spark, sf_dir, "events")))
     totals = hostlog.run_totals(log.withColumn("success", F.coalesce(F.col("status") < 400, F.lit(False))))
-    drain_batches(totals, epoch_writer(out), new_path(spark, "totals-checkpoint"), "complete")
+    drain_batches(totals, totals_writer(out, alerts), new_path(spark, "totals-checkpoint"), "complete")
     rows = spark.read.parquet(out)
     last = rows.agg(F.max("epoch")).scalar()
-    return rows.where(F.col("epoch") == last).drop("epoch").withColumn("alert", F.col("fail_rate") >= 15.0)
+    alerted = spark.read.parquet(alerts).select("epoch", F.lit(True).alias("alert"))
+    return rows.where(F.col("epoch") == last).join(alerted, "epoch", "left").drop("epoch").withColumn("alert", F.coalesce("alert", F.lit(False)))
 
 
 @query("stream_dedup", with_ctes(A.PARTS) + "SELECT seq, name, address FROM added")

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.hostlog import alert
 from ..operators.listings import dedup_key, known_rows, new_listings
+from ..params import FAIL_ALERT_PCT
 
 KEY_BUCKETS = 64
 MAX_BYTES = 1 << 30  # input of one micro-batch; it bounds what a busy key can bring into one task
@@ -41,6 +43,20 @@ def epoch_writer(out: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def totals_writer(out: str, alerts: str, threshold_pct: float = FAIL_ALERT_PCT) -> Callable[[DataFrame, int], None]:
+    """Writes the running totals of each batch and, before the next batch begins, the alert that they call for, if any.
+
+    ``batch``: one row of :func:`..operators.hostlog.run_totals` in complete mode. Both are replaced when a batch is repeated.
+    """
+    totals = epoch_writer(out)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        totals(batch, epoch)
+        written = batch.sparkSession.read.schema(batch.schema).parquet(f"{out}/epoch={epoch}")
+        alert(written, threshold_pct).write.mode("overwrite").parquet(f"{alerts}/epoch={epoch}")
+    return write
+
+
 def _key_hashes(rows: DataFrame, buckets: int) -> DataFrame:
     """``rows`` with two hashes of their key, 128 bits together, and the bucket of the key log."""
     h1, h2 = F.xxhash64(*dedup_key()), F.xxhash64(F.lit("second"), *dedup_key())

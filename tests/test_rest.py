@@ -19,7 +19,7 @@ from sitetally.plans import adapters as A
 from sitetally.session import new_path
 from sitetally.sources import readers, sinks
 from sitetally.streaming import hosts
-from sitetally.streaming.runs import drain_batches, drain_to_files, epoch_writer, first_listings_writer, logged_keys, read_stream
+from sitetally.streaming.runs import drain_batches, drain_to_files, epoch_writer, first_listings_writer, logged_keys, read_stream, totals_writer
 
 TEXTS = {
     "one": "User-agent: *\nDisallow: /a\nAllow: /a/b\n",
@@ -392,3 +392,23 @@ def test_rules_of_large_hosts_are_joined_by_prefix(spark):
             path = url.removeprefix("http://big")
             first = next((r for r in rules[0][1] if path.startswith(r[2])), None)
             assert (by[host, url].rule_no, by[host, url].allowed) == ((first[0], first[1]) if first else (None, True))
+
+
+def test_the_alert_is_there_before_the_next_batch(spark):
+    """Failures begin in the second of three files; the totals pass the limit there and fall below it again."""
+    path, out, alerts = (new_path(spark, n) for n in ("log", "totals", "alerts"))
+    lots = [[True] * 10, [False] * 5, [True] * 40]
+    write, seen = totals_writer(out, alerts, 15.0), []
+
+    def watched(batch, epoch):
+        if epoch:
+            seen.append(spark.read.parquet(f"{alerts}/epoch={epoch - 1}").count())
+        write(batch, epoch)
+
+    for lot in lots:
+        spark.createDataFrame([(x,) for x in lot], "success boolean").coalesce(1).write.mode("append").parquet(path)
+        log = read_stream(spark, path, spark.createDataFrame([], "success boolean").schema, 1)
+        drain_batches(hostlog.run_totals(log), watched, out + "-checkpoint", "complete")
+    assert seen == [0, 1]
+    rows = spark.read.parquet(alerts).collect()
+    assert [(r.epoch, r.attempted, r.failed) for r in rows] == [(1, 15, 5)] and "33.33%" in rows[0].message
