@@ -54,7 +54,8 @@ def op2_html_model(spark, sf_dir):
 
 @query("op3_sentencepiece_scan")
 def op3_sentencepiece_scan(spark, sf_dir):
-    """Per document: pieces, chunks, sum of scores, a digest of the ids, and whether the decoded text is the text."""
+    """Per document: pieces, chunks, sum of scores, a digest of the ids, and whether decoding gives the text as the file
+    normalises it (so a text with U+2581, or with runs of spaces, comes back normalised)."""
     rows = sentencepiece_scan.encoded(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
     sums = rows.groupBy("doc", "mark").agg(
         F.sum(F.size("ids").cast("long")).alias("n_pieces"), F.max("n_chunks").cast("long").alias("n_chunks"),
@@ -68,7 +69,7 @@ def op4_language_id(spark, sf_dir):
     held_out = remainder("doc_id", 5) == 0
     model = language.fitted(docs.where(~held_out))
     return language.predicted(docs.select("doc_id", "text"), model).select(
-        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+        "doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def document_files(docs: DataFrame) -> DataFrame:

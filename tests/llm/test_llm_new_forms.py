@@ -250,3 +250,13 @@ def test_step_groups_are_full_over_all_tasks(spark):
     for size in {s for own in sizes.values() for s in own}:
         groups = [tokens[g] for g in sorted(tokens) if sizes[g] == {size}]
         assert groups[:-1] == [8192] * (len(groups) - 1) and groups[-1] <= 8192
+
+
+def test_words_that_tie_are_clustered_up_to_the_bound(spark):
+    from sitetally.llm import brown
+    words_ = spark.range(4000).selectExpr("concat('w', id) AS word", "cast(1 AS long) AS n")
+    some = words_.unionByName(spark.createDataFrame([("often", 9), ("", 50)], "word string, n long"))
+    for data in (words_, some):
+        items = brown.chosen_items(data)
+        assert len(items.words) == brown.ITEMS and (data is words_ or b"often" in items.words)
+    assert len(brown._frequent(words_.limit(7), 100).collect()) == 7
