@@ -37,11 +37,6 @@ def distinct_hits(hits: DataFrame) -> DataFrame:
     return hits.groupBy("site", "category", "strength", "vendor", "hit").agg(F.min("prio").alias("prio"))
 
 
-def category_hits(hits: DataFrame, category: str) -> DataFrame:
-    """Distinct texts of one flat category with their earliest pattern."""
-    return hits.where(F.col("category") == category).groupBy("site", "hit").agg(F.min("prio").alias("prio"))
-
-
 def site_flags(sites: DataFrame, hits: DataFrame) -> DataFrame:
     """Capability flags: an intent phrase or any vendor hit. ``sites``: one row per site to report on."""
     flags = hits.groupBy("site").agg(*[

@@ -12,11 +12,9 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 
 SEED = _struct(city=_s)
-LISTING = _struct(name=_s, website=_s, phone=_s, address=_s, source=_s)
 PRACTICE = _struct(id=_l, name=_s, website=_s, phone=_s, address=_s, source=_s)
 CAPTURE = _struct(site=_s, seq=_l, status=_i, final_url=_s, content_type=_s, html=_s)
 PATTERN = _struct(prio=_i, category=_s, strength=_s, vendor=_s, regex=_s)
-SEARCH_HIT = _struct(id=_l, rank=_l, name=_s, url=_s, snippet=_s)
 
 FEED_A_PAGE = _struct(
     city=_s,
