@@ -93,12 +93,6 @@ def trace(rows: list[tuple], costs: list[tuple[int, ...]], state: int) -> Iterat
         yield inserted, edit, state
 
 
-def shape(vector: Iterable[int]) -> tuple[int, ...]:
-    """A cost vector up to a constant."""
-    first, *rest = vector
-    return tuple(x - first for x in rest)
-
-
 def prepared(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """``c, t, r, x``, digest ``h`` of the text, whether it is blank and whether it ends without a full stop."""
     rows = turns.select(F.col(conv).alias("c"), F.col(turn).cast("long").alias("t"), F.coalesce(F.col(role), F.lit(" ")).alias("r"),

@@ -9,7 +9,6 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest import SF_DIR
-from pyspark.sql import functions as F
 
 import oracle
 from sitetally.llm import brown, html_model, queries, sentencepiece_scan
