@@ -9,7 +9,9 @@ a chance of about (1 - 0.8 ** ROWS) ** BANDS = 0.2 %. Pairs are verified by the
 Every pair of a bucket is tried unless it is one component already or cannot be similar: first every line against the
 smallest of its bucket, then all others in buckets of at most ``SMALL`` lines. Larger buckets are cut into cells: with the
 shingles in the bucket's order of frequency, rarest first, similar lines share one of their first ``n - ceil(0.8 n) + 1``. Cells
-are tried in the same way, those above ``SMALL`` lines in pairs of blocks, so no task holds a large one.
+are tried in the same way, those above ``BLOCK`` lines in pairs of blocks, so no task holds a large one.
+Sizes and bitmaps of the sets bound what a pair can share; the join that meets two lines tests the bound, so that only pairs which
+may be similar become rows, and only those move their sets. The bound excludes no similar pair.
 
 NULL text: no lines. Blank lines stay. Rows with equal id and text are one document. Of a component the line with the
 smallest (id, line number) stays; NULL ids come first.
@@ -17,6 +19,9 @@ smallest (id, line number) stays; NULL ids come first.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +32,8 @@ SHINGLE = 12
 SIMILAR = 0.8
 BANDS, ROWS = 6, 2
 SMALL = 64
+BLOCK = 2048  # lines of a bucket that meet in one place
+WIDE = 8  # 64-bit words of a line's bitmap
 SPACES = " \t\x0b\f\r"
 _WORDS = rf"(?s)(?:^|[\x20\x09-\x0D]++)(?=([^\x20\x09-\x0D].{{0,{SHINGLE - 1}}}))"
 _IS_LONG = rf"(?:^|[\x20\x09-\x0D])[^\x20\x09-\x0D]{{{SHINGLE + 1}}}"
@@ -73,19 +80,45 @@ def shingle_sets(lines: DataFrame, ids: DataFrame) -> DataFrame:
     return saved(once.select("id", F.array_distinct(shingle_hashes(F.col("body"))).alias("s")), "sets")
 
 
+def marks_of(sets: DataFrame) -> DataFrame:
+    """``id``, ``n`` (shingles), ``w``: the set as a bitmap of ``WIDE`` 64-bit words, ``spare``: shingles without a bit of their own."""
+    bit = F.expr("shiftleft(1L, cast(h & 63 AS int))")
+    words = [F.coalesce(F.bit_or(F.when(F.pmod(F.shiftright("h", 6), F.lit(WIDE)) == k, bit)), F.lit(0).cast("long")) for k in range(WIDE)]
+    one = sets.select("id", F.explode("s").alias("h")).groupBy("id").agg(F.count("*").cast("int").alias("n"), F.array(*words).alias("w"))
+    return saved(one.withColumn("spare", F.col("n") - reduce(add, (F.bit_count(F.col("w")[k]) for k in range(WIDE)))), "marks")
+
+
+def _possible(x: str, y: str) -> Column:
+    """Whether two sets with marks may be similar; never false for a pair that is. The shared ones have a bit in both, but for
+    those without a bit of their own. Each word is counted once: the code of a join's condition must stay small to run fast."""
+    m, n = F.col(f"{x}.n"), F.col(f"{y}.n")
+    both = reduce(add, (F.bit_count(F.col(f"{x}.w")[k].bitwiseAND(F.col(f"{y}.w")[k])) for k in range(WIDE)))
+    fewest = SIMILAR / (1 + SIMILAR) * (m + n) - 1e-6
+    return (m >= SIMILAR * n) & (n >= SIMILAR * m) & (both + F.least(f"{x}.spare", f"{y}.spare") >= fewest)
+
+
+def _bounded(marks: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that sizes and bitmaps do not rule out."""
+    left = pairs.join(marks.withColumnRenamed("id", "a"), "a").alias("x")
+    right = marks.withColumnRenamed("id", "b").alias("y")
+    return left.join(right, (F.col("x.b") == F.col("y.b")) & _possible("x", "y")).select("x.a", "x.b")
+
+
 def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
-    near = both.where((F.size("x") >= SIMILAR * F.size("y")) & (F.size("y") >= SIMILAR * F.size("x")))
     common = F.size(F.array_intersect("x", "y"))
-    return near.where(common >= SIMILAR * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return both.where(common >= SIMILAR * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
 def _grouped(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``members`` (``key``, ``id``) of buckets that hold several components ``c``, and the bucket's ``size``."""
+    """``members`` (``key``, ``id``) of buckets that hold several components ``c``, and the bucket's ``size``. Of buckets with
+    the same lines one stays."""
     of = components(links)
     rows = saved(members.join(of, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")), "buckets")
-    open_ = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo != hi")
+    open_ = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"),
+                                    F.bit_xor(F.xxhash64("id")).alias("same")).where("lo != hi")
+    open_ = open_.groupBy("same", "size").agg(F.min("key").alias("key"))
     return saved(rows.join(open_.select("key", "size"), "key"), "buckets")
 
 
@@ -94,16 +127,24 @@ def _leaders(members: DataFrame) -> DataFrame:
     return members.join(lead, "key").where("id != a").select("a", F.col("id").alias("b")).distinct()
 
 
-def _all_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components of each bucket; one of more than ``SMALL`` lines is visited by pairs of blocks."""
-    own, k = F.pmod(F.xxhash64("id"), F.col("blocks")), F.col("k")
-    dealt = members.withColumn("blocks", F.ceil(F.col("size") / SMALL)).withColumn("own", own)
-    dealt = dealt.withColumn("k", F.explode(F.expr("sequence(0L, blocks - 1)"))).select(
-        "key", F.least("own", k).alias("p"), F.greatest("own", k).alias("q"), (F.col("own") > k).alias("right"), "id", "c")
-    left = dealt.where("not right").select("key", "p", "q", "id", "c")
-    right = dealt.where("right or p = q").select("key", "p", "q", F.col("id").alias("b"), F.col("c").alias("d"))
-    pairs = left.join(right, ["key", "p", "q"]).where("(p < q or id < b) and c != d")
-    return pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+def _all_pairs(members: DataFrame, marks: DataFrame) -> DataFrame:
+    """Pairs of different components of each bucket that bitmaps do not rule out. The join itself tests them, so what it makes are
+    the pairs left; a bucket of more than ``BLOCK`` lines is visited by pairs of blocks."""
+    blocks = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK)).join(marks, "id")
+    one = blocks.where("blocks = 1").withColumns({"own": F.lit(0).cast("long"), "k": F.lit(0).cast("long")})
+    more = blocks.where("blocks > 1").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks"))).withColumn(
+        "k", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    dealt = saved(one.unionByName(more).select(
+        "key", F.least("own", "k").alias("p"), F.greatest("own", "k").alias("q"), (F.col("own") > F.col("k")).alias("right"),
+        "id", "c", "n", "w", "spare"), "dealt")
+    # as many tasks as the session shuffles to: the rows are few, what they meet is not
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = dealt.where("not right").repartition(tasks, "key", "p", "q").alias("x")
+    y = dealt.where("right or p = q").repartition(tasks, "key", "p", "q").alias("y")
+    same = reduce(and_, (F.col(f"x.{k}") == F.col(f"y.{k}") for k in ("key", "p", "q")))
+    once = ((F.col("x.p") < F.col("x.q")) | (F.col("x.id") < F.col("y.id"))) & (F.col("x.c") != F.col("y.c"))
+    pairs = x.join(y, same & once & _possible("x", "y"))
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def _cells(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -123,13 +164,14 @@ def similar_lines(lines: DataFrame, hashed: DataFrame) -> DataFrame:
     held = every.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
     members = saved(every.join(held, "key"), "buckets")
     sets = shingle_sets(lines, members.select("id").distinct())
-    links = saved(_verified(sets, saved(_leaders(members), "pairs")), "links")
+    marks = marks_of(sets)
+    links = saved(_verified(sets, saved(_bounded(marks, _leaders(members)), "pairs")), "links")
     members = _grouped(members, links)
     cells = saved(_cells(members.where(F.col("size") > SMALL), sets), "cells")
-    pairs = _all_pairs(members.where(F.col("size") <= SMALL)).unionByName(_leaders(cells)).distinct()
+    pairs = _all_pairs(members.where(F.col("size") <= SMALL), marks).unionByName(_bounded(marks, _leaders(cells))).distinct()
     links = saved(links.unionByName(_verified(sets, saved(pairs, "pairs"))), "links")
     if not cells.isEmpty():
-        pairs = _all_pairs(_grouped(cells, links)).join(links, ["a", "b"], "left_anti")
+        pairs = _all_pairs(_grouped(cells, links), marks).join(links, ["a", "b"], "left_anti")
         links = links.unionByName(saved(_verified(sets, saved(pairs, "pairs")), "links"))
     return links
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sitetally.llm import line_dedup, signature_join
@@ -65,6 +66,45 @@ def test_large_bucket_of_several_families(spark):
     assert {tuple(sorted(x)) for x in found} <= set(links) and _components(len(lines), found) == _components(len(lines), links)
 
 
+def _one_bucket(spark, lines):
+    df = spark.createDataFrame([(x,) for x in lines], "body string")
+    hashed = df.select(F.xxhash64("body").alias("id"), F.array(*(F.lit(k).cast("long") for k in range(6))).alias("bands"))
+    return df, hashed, {r.id: i for i, r in enumerate(hashed.collect())}
+
+
+@pytest.mark.parametrize("n", [50, 150])
+def test_lines_that_share_much_but_are_not_similar_make_no_pairs(spark, monkeypatch, n):
+    """A bucket of one family: each line has half of its words from the family, a few have a near copy."""
+    rng = np.random.default_rng(8)
+    word = [f"w{k}" for k in range(30)]
+    lines = [" ".join([*rng.permutation(word)[:15].tolist(), *word[:15], *(f"x{i}y{k}" for k in range(15))]) for i in range(n)]
+    lines += [x + " end" for x in lines[:10]]
+    tried = []
+    monkeypatch.setattr(line_dedup, "_verified", lambda sets, pairs, own=line_dedup._verified: tried.append(pairs.count()) or own(sets, pairs))
+    df, hashed, at = _one_bucket(spark, lines)
+    found = {tuple(sorted((at[r.a], at[r.b]))) for r in line_dedup.similar_lines(df, hashed).collect()}
+    assert found == {(i, n + i) for i in range(10)}
+    assert sum(tried) <= 30  # pairs whose sets moved; tried against the smallest id alone, the bucket has more
+
+
+def test_bound_of_bitmaps_and_blocks_lose_no_link(spark, monkeypatch):
+    """Lines with more shingles than a bitmap has bits, short ones, and buckets cut into blocks."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    rng = np.random.default_rng(9)
+    lines = []
+    for f, n in enumerate([5, 6, 30, 30, 200, 1200]):
+        words = [f"f{f}w{k}" for k in range(n)]
+        for c in range(14):
+            for _ in range(max(1, n // 40)):
+                words[int(rng.integers(n))] = f"n{f}x{c}y{rng.integers(1 << 30)}"
+            lines.append(" ".join(words))
+    sets = [_shingles(x) for x in lines]
+    links = [(i, j) for i, j in combinations(range(len(lines)), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    df, hashed, at = _one_bucket(spark, lines)
+    found = [tuple(sorted((at[r.a], at[r.b]))) for r in line_dedup.similar_lines(df, hashed).collect()]
+    assert links and set(found) <= set(links) and _components(len(lines), found) == _components(len(lines), links)
+
+
 def test_join_of_rows_without_an_id_or_with_a_shared_one(spark):
     base = [f"word{k}" for k in range(60)]
     near, other = " ".join([*base[:-1], "edited"]), " ".join(f"other{k}" for k in range(40))
