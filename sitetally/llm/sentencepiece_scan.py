@@ -11,8 +11,9 @@ bytes. The best cut of a long text is found in parallel:
   the left for the best way to a state, from the right for the best way on;
 * with the best state at both ends, every chunk finds its own pieces, independently of all others.
 
-No piece goes on behind a space, so inside a chunk the words are cut one by one, and each distinct word once a worker; only
-the words over a place where a text is cut need their states. Scores are whole numbers; ``TIES`` adds a fixed small amount
+No piece goes on behind a space, so inside a chunk the words are cut one by one, and each distinct word once a worker: the
+new words of many texts together, place by place for all words of a length. Only the words over a place where a text is cut
+need their states. Scores are whole numbers; ``TIES`` adds a fixed small amount
 to each piece, so that the best cut is unique and both ways find the same.
 
 NULL or empty text: no pieces. Rows with equal id and text are one document. U+2581 in a text is read as a space.
@@ -20,16 +21,18 @@ NULL or empty text: no pieces. Rows with equal id and text are one document. U+2
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, resident, saved, ship_package
+from .common import map_rows, resident, saved
 
 CHUNK, GROUP = 8192, 64
+HELD = 1 << 21  # characters of the texts whose new words are cut together
+FEW = 24  # words of one length are cut together if there are more
 UNKNOWN = 10
 BARRED = -1e8  # the files give this to pieces that are never to be chosen
 TIES = 1 << 32
@@ -41,7 +44,7 @@ SPACE = "▁"
 class Pieces:
     """A SentencePiece vocabulary as a table of scores; encodes words, spans with states, and decodes."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_file=path)
@@ -60,10 +63,21 @@ class Pieces:
         # beginnings of pieces that are none themselves have no score; what is not here begins no piece
         self.table = {p[:k]: None for p in self.ids for k in range(1, len(p))} | self.scores
         self.plain_text = [chr(self.of_byte[i]) if i in self.of_byte else name for i, name in enumerate(self.names)]
-        self.part_bytes = frozenset(i for i, b in self.of_byte.items() if b > 127)
+        self.part_bytes = np.zeros(size, dtype=bool)
+        self.part_bytes[[i for i, b in self.of_byte.items() if b > 127]] = True
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece goes on behind a space")
         self.limit, self.known = limit, {}
+        # the same table as a trie: a node and the next character, in one number, lead to a node
+        node = {"": 0} | {p: k + 1 for k, p in enumerate(self.table)}
+        steps = sorted((node[p[:-1]] << 21 | ord(p[-1]), node[p]) for p in self.table)
+        self.steps, self.to = (np.array([*x, -1], dtype=np.int64) for x in zip(*steps, strict=True))
+        self.steps[-1] = np.iinfo(np.int64).max
+        self.first = np.full(1 << 21, -1, dtype=np.int32)
+        self.first[[ord(p) for p in self.table if len(p) == 1]] = [node[p] for p in self.table if len(p) == 1]
+        self.node_score, self.node_id = np.full(len(node), NEVER, dtype=np.int64), np.full(len(node), -1, dtype=np.int32)
+        for p, i in self.ids.items():
+            self.node_score[node[p]], self.node_id[node[p]] = self.scores[p], i
 
     def normal(self, text: str) -> str:
         return SPACE + text.replace(" ", SPACE) if text else ""
@@ -106,28 +120,82 @@ class Pieces:
             end = back[end]
         return [i for ids in reversed(out) for i in ids]
 
-    def word(self, word: str) -> list[int]:
-        """Ids of a span that begins and ends where pieces must."""
+    def word(self, word: str) -> bytes:
+        """Ids, of four bytes each, of a span that begins and ends where pieces must."""
         if (found := self.known.get(word)) is None:
             if len(self.known) > self.limit:
                 self.known.clear()
             _, back = self.best(word, {0: 0}, len(word))
-            found = self.known[word] = self.traced(word, back, 0, len(word))
+            found = self.known[word] = np.array(self.traced(word, back, 0, len(word)), dtype=np.int32).tobytes()
         return found
 
-    def words(self, span: str) -> list[int]:
-        get, ids = self.known.get, []
-        for w in split(span):
-            ids.extend(get(w) or self.word(w))
-        return ids
-
-    def score(self, ids: list[int]) -> int:
+    def learn(self, texts: Iterable[list[str]]) -> None:
+        """Cuts the words of ``texts`` that are not known yet, all of a length at once; ``word`` gives the same for each."""
+        if len(self.known) > self.limit:
+            self.known.clear()
+        by_length: dict[int, list[str]] = defaultdict(list)
+        for w in set().union(*texts).difference(self.known):
+            by_length[len(w)].append(w)
+        for n, words in by_length.items():
+            if len(words) > FEW:
+                self._together(words, n)
+
+    def _together(self, words: list[str], n: int) -> None:
+        """As ``best`` and ``traced`` of every word; a character that no piece covers goes by its negative number."""
+        chars = np.ascontiguousarray(np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).reshape(-1, n).T).astype(np.int64)
+        score = np.full((n + 1, len(words)), NEVER, dtype=np.int64)
+        back, ids = (np.zeros((n + 1, len(words)), dtype=np.int32) for _ in range(2))
+        score[0] = 0
+        for i in range(n):
+            here = score[i] + PLACES[i & 4095]
+            better = here + self.unknown > score[i + 1]
+            score[i + 1][better] = here[better] + self.unknown
+            back[i + 1][better], ids[i + 1][better] = i, ~chars[i][better]
+            node = self.first[chars[i]].astype(np.int64)
+            at = np.flatnonzero(node >= 0)
+            node = node[at]
+            for j in range(i + 1, min(i + self.longest, n) + 1):
+                if j > i + 1:
+                    step = node << 21 | chars[j - 1][at]
+                    place = np.searchsorted(self.steps, step)
+                    there = self.steps[place] == step
+                    at, node = at[there], self.to[place[there]]
+                if not len(at):
+                    break
+                own = self.node_score[node]
+                new = here[at] + own
+                better = np.flatnonzero((own > NEVER) & (new > score[j][at]))
+                w = at[better]
+                score[j][w], back[j][w], ids[j][w] = new[better], i, self.node_id[node[better]]
+        ends = np.zeros((n + 1, len(words)), dtype=bool)
+        ends[n] = True
+        for j in range(n, 0, -1):
+            w = np.flatnonzero(ends[j])
+            ends[back[j][w], w] = True
+        ends = ends[1:].T
+        flat, stops = ids[1:].T[ends], np.cumsum(ends.sum(axis=1)).tolist()
+        covered = (~(ends & (ids[1:].T < 0)).any(axis=1)).tolist()
+        packed, start = flat.tobytes(), 0
+        for w, stop, simple in zip(words, stops, covered, strict=True):
+            if simple:
+                self.known[w] = packed[4 * start:4 * stop]
+            else:
+                found = ([i] if i >= 0 else [self.bytes[b] for b in chr(~i).encode()] for i in flat[start:stop].tolist())
+                self.known[w] = np.array([x for ids in found for x in ids], dtype=np.int32).tobytes()
+            start = stop
+
+    def words(self, words: list[str]) -> np.ndarray:
+        get = self.known.get
+        return np.frombuffer(b"".join([get(w) or self.word(w) for w in words]), dtype=np.int32)
+
+    def score(self, ids: np.ndarray) -> int:
         """Sum of the pieces' scores; a byte costs its share of an unknown character, so their sum is only a bound."""
-        return int(self.points[np.array(ids, dtype=np.int64)].sum())
+        return int(self.points[ids].sum())
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """The normal text of ids; ``plain`` of it is the text."""
-        if self.part_bytes.isdisjoint(ids):
+        parted, ids = self.part_bytes[ids].any(), ids.tolist()
+        if not parted:
             return "".join(map(self.plain_text.__getitem__, ids))
         out, raw = [], bytearray()
         for i in ids:
@@ -153,6 +221,10 @@ def plain(normal: str) -> str:
 def split(span: str) -> list[str]:
     """Words with the spaces before them; a piece never reaches over their borders."""
     parts = span.split(SPACE)
+    if all(parts[1:]):
+        out = [SPACE + p for p in parts]
+        out[0] = parts[0]
+        return out if parts[0] else out[1:]
     out, spaces = [parts[0]] if parts[0] else [], 1
     for p in parts[1:]:
         if p:
@@ -206,18 +278,19 @@ def transfer(p: Pieces, before: str, core: str, beyond: str, origin: int) -> np.
     return level(out)
 
 
-def chunk_ids(p: Pieces, before: str, core: str, beyond: str, origin: int, e: int, f: int) -> list[int]:
+def chunk_ids(p: Pieces, before: str, core: str, beyond: str, origin: int, e: int, f: int) -> np.ndarray:
     """Ids of the pieces that begin in ``core``, from state ``e`` to state ``f``."""
     n, span, shift = len(core), before + core + beyond, len(before)
     first = border(span, shift, shift + n)
     if first == shift + n:
         _, back = p.best(core + beyond, {e: 0}, n, origin)
-        return p.traced(core + beyond, back, e, n + f)
+        return np.array(p.traced(core + beyond, back, e, n + f), dtype=np.int32)
     last = last_border(span, first, shift + n)
     _, back = p.best(span[shift:first], {e: 0}, first - shift, origin)
     ids = p.traced(span[shift:first], back, e, first - shift)
     _, back = p.best(span[last:], {0: 0}, shift + n - last)
-    return ids + p.words(span[first:last]) + p.traced(span[last:], back, 0, shift + n - last + f)
+    tail = p.traced(span[last:], back, 0, shift + n - last + f)
+    return np.concatenate([np.array(ids, dtype=np.int32), p.words(split(span[first:last])), np.array(tail, dtype=np.int32)])
 
 
 def level(m: np.ndarray) -> np.ndarray:
@@ -231,16 +304,38 @@ def product(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return level(sums.max(axis=1))
 
 
-def _matrices(rows: pd.Series) -> list[np.ndarray]:
-    return [m.reshape(int(len(m) ** 0.5), -1) for m in (np.asarray(r, dtype=np.int64) for r in rows)]
+def _runs(rows: DataFrame, keys: list[str], order: str, fold: Callable[[list[tuple]], Iterable[tuple]], schema: str) -> DataFrame:
+    """``fold`` of the rows of each ``keys``, which come first and in order of ``order``; the document's id is the first."""
+    def make():
+        class Each:
+            def __init__(self):
+                self.key, self.rows = None, []
+
+            def __call__(self, doc, *rest):
+                key = str(doc), *rest[:len(keys) - 1]
+                if key != self.key:
+                    yield from self.close()
+                    self.key = key
+                self.rows.append((doc.decode() if isinstance(doc, bytes) else doc, *rest))
+
+            def close(self):
+                rows, self.rows = self.rows, []
+                yield from fold(rows) if rows else ()
+        return Each()
+
+    return map_rows(rows.repartition(*keys).sortWithinPartitions(*keys, order), make, schema)
+
+
+def _matrix(m: list[int]) -> np.ndarray:
+    return np.array(m, dtype=np.int64).reshape(int(len(m) ** 0.5), -1)
 
 
-def _grouped(part: pd.DataFrame) -> pd.DataFrame:
-    part = part.sort_values("k")
-    total, *rest = _matrices(part["m"])
-    for m in rest:
-        total = product(total, m)
-    return part.iloc[:1][["doc", "mark", "g"]].assign(m=[total.ravel().tolist()])
+def _grouped(rows: list[tuple]) -> Iterator[tuple]:
+    doc, mark, g, _, m = rows[0]
+    total = _matrix(m)
+    for *_, m in rows[1:]:
+        total = product(total, _matrix(m))
+    yield doc, mark, g, total.ravel().tolist()
 
 
 def best_states(ms: list[np.ndarray], into: np.ndarray, onward: np.ndarray) -> tuple[list, list]:
@@ -259,21 +354,21 @@ def _only(size: int) -> np.ndarray:
     return out
 
 
-def _over_groups(part: pd.DataFrame) -> pd.DataFrame:
-    part = part.sort_values("g")
-    ms = _matrices(part["m"])
+def _over_groups(rows: list[tuple]) -> Iterator[tuple]:
+    ms = [_matrix(m) for *_, m in rows]
     to, after = best_states(ms, _only(len(ms[0])), _only(len(ms[0])))
-    return part[["doc", "mark", "g"]].assign(into=[x.tolist() for x in to], onward=[x.tolist() for x in after])
+    for (doc, mark, g, _), x, y in zip(rows, to, after, strict=True):
+        yield doc, mark, g, x.tolist(), y.tolist()
 
 
-def _in_group(part: pd.DataFrame) -> pd.DataFrame:
-    part = part.sort_values("k")
-    ms = _matrices(part["m"])
-    to, after = best_states(ms, np.asarray(part["into"].iloc[0]), np.asarray(part["onward"].iloc[0]))
+def _in_group(rows: list[tuple]) -> Iterator[tuple]:
+    ms = [_matrix(r[4]) for r in rows]
+    to, after = best_states(ms, *(np.array(x, dtype=np.int64) for x in rows[0][5:]))
     both = [np.where((a > NEVER) & (b > NEVER), a + b, NEVER) for a, b in
             zip([*to, product(to[-1][None], ms[-1])[0]], [product(ms[0], after[0][:, None])[:, 0], *after], strict=True)]
     states = [int(b.argmax()) for b in both]
-    return part[["doc", "mark", "k"]].assign(e=states[:-1], f=states[1:])
+    for (doc, mark, _, k, *_), e, f in zip(rows, states[:-1], states[1:], strict=True):
+        yield doc, mark, k, e, f
 
 
 ROW = "k int, n_chunks int, ids array<int>, score long, round_trip boolean"
@@ -284,51 +379,80 @@ def encoded(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str
     ``round_trip`` (whether they decode to the text they came from)."""
     data = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
     kind = f"doc {data.schema['doc'].dataType.simpleString()}, mark long"
-    ship_package(data.sparkSession.sparkContext)
+
+    def whole_texts():
+        p = pieces(vocabulary)
+
+        class Each:
+            def __init__(self):
+                self.held, self.many = [], 0
+
+            def __call__(self, doc, mark, body):
+                whole = p.normal((body or b"").decode())
+                self.held.append((doc.decode() if isinstance(doc, bytes) else doc, mark, whole, split(whole)))
+                self.many += len(whole)
+                if self.many > HELD:
+                    yield from self.close()
+
+            def close(self):
+                held, self.held, self.many = self.held, [], 0
+                p.learn(words for *_, words in held)
+                for doc, mark, whole, words in held:
+                    ids = p.words(words)
+                    yield doc, mark, 0, 1, ids, p.score(ids), p.decode(ids) == whole
+        return Each()
 
     def first_pass():
         p = pieces(vocabulary)
 
         def each(doc, mark, body):
             doc = doc.decode() if isinstance(doc, bytes) else doc
-            whole = p.normal((body or b"").decode())
-            if len(whole) <= chunk:
-                ids = p.words(whole)
-                yield doc, mark, 0, 1, ids, p.score(ids), p.decode(ids) == whole, None, None, None
-                return
+            whole = p.normal(body.decode())
             count = -(-len(whole) // chunk)
             for k in range(count):
                 s, t = k * chunk, min((k + 1) * chunk, len(whole))
                 parts = whole[s - 1:s] if s else "", whole[s:t], whole[t:t + p.longest - 1]
                 origin = s - last_border(whole, 0, s + 1)
-                yield doc, mark, k, count, None, None, None, transfer(p, *parts, origin).ravel().tolist(), list(parts), origin
+                yield doc, mark, k, count, transfer(p, *parts, origin).ravel().tolist(), list(parts), origin
         return each
 
-    rows = saved(map_rows(data, first_pass, f"{kind}, {ROW}, m array<long>, parts array<string>, origin long"), "pieces")
+    is_long = F.coalesce(F.length("text") >= chunk, F.lit(False))  # a space comes in front
+    short = map_rows(data.where(~is_long), whole_texts, f"{kind}, {ROW}")
+    cut = saved(map_rows(data.where(is_long), first_pass, f"{kind}, k int, n_chunks int, m array<long>, parts array<string>, origin long"), "pieces")
     keys = ["doc", "mark"]
     # equal rows give equal chunks: one of each takes part in the scan, all find their states by the join
-    cut = rows.where("n_chunks > 1").withColumn("g", F.floor(F.col("k") / GROUP).cast("int"))
+    cut = cut.withColumn("g", F.floor(F.col("k") / GROUP).cast("int"))
     one = cut.select(*keys, "g", "k", "m").dropDuplicates([*keys, "k"])
-    groups = one.groupBy(*keys, "g").applyInPandas(_grouped, f"{kind}, g int, m array<long>")
-    ends = groups.groupBy(*keys).applyInPandas(_over_groups, f"{kind}, g int, into array<long>, onward array<long>")
+    groups = _runs(one.select(*keys, "g", "k", "m"), [*keys, "g"], "k", _grouped, f"{kind}, g int, m array<long>")
+    ends = _runs(groups, keys, "g", _over_groups, f"{kind}, g int, into array<long>, onward array<long>")
     ends = ends.select(F.col("doc").alias("d"), F.col("mark").alias("w"), F.col("g").alias("h"), "into", "onward")
     full = one.join(ends, one["doc"].eqNullSafe(ends["d"]) & (F.col("mark") == F.col("w")) & (F.col("g") == F.col("h")))
-    states = full.select(*keys, "g", "k", "m", "into", "onward").groupBy(*keys, "g").applyInPandas(
-        _in_group, f"{kind}, k int, e int, f int").select(F.col("doc").alias("d"), F.col("mark").alias("w"), F.col("k").alias("j"), "e", "f")
+    full = full.select(*keys, "g", "k", "m", "into", "onward")
+    states = _runs(full, [*keys, "g"], "k", _in_group, f"{kind}, k int, e int, f int").select(F.col("doc").alias("d"), F.col("mark").alias("w"), F.col("k").alias("j"), "e", "f")
 
     def last_pass():
         p = pieces(vocabulary)
 
-        def each(doc, mark, k, n_chunks, parts, origin, e, f) -> Iterator[tuple]:
-            doc = doc.decode() if isinstance(doc, bytes) else doc
-            before, core, beyond = parts
-            ids = chunk_ids(p, before, core, beyond, origin, e, f)
-            yield doc, mark, k, n_chunks, ids, p.score(ids), p.decode(ids) == (core + beyond)[e:len(core) + f]
-        return each
+        class Each:
+            def __init__(self):
+                self.held, self.many = [], 0
+
+            def __call__(self, doc, mark, k, n_chunks, parts, origin, e, f):
+                self.held.append((doc.decode() if isinstance(doc, bytes) else doc, mark, k, n_chunks, parts, origin, e, f))
+                self.many += len(parts[1])
+                if self.many > HELD:
+                    yield from self.close()
+
+            def close(self):
+                held, self.held, self.many = self.held, [], 0
+                p.learn(split(parts[1]) for _, _, _, _, parts, *_ in held)
+                for doc, mark, k, n_chunks, (before, core, beyond), origin, e, f in held:
+                    ids = chunk_ids(p, before, core, beyond, origin, e, f)
+                    yield doc, mark, k, n_chunks, ids, p.score(ids), p.decode(ids) == (core + beyond)[e:len(core) + f]
+        return Each()
 
     known = cut.join(states, cut["doc"].eqNullSafe(states["d"]) & (F.col("mark") == F.col("w")) & (F.col("k") == F.col("j")))
     long_ones = map_rows(known.select("doc", "mark", "k", "n_chunks", "parts", "origin", "e", "f"), last_pass, f"{kind}, {ROW}")
-    short = rows.where("n_chunks = 1").select(*long_ones.columns)
     return short.unionByName(long_ones)
 
 
@@ -340,7 +464,7 @@ def decoded(encoded_rows: DataFrame, vocabulary: str) -> DataFrame:
         p = pieces(vocabulary)
 
         def each(doc, mark, k, ids):
-            yield doc.decode() if isinstance(doc, bytes) else doc, mark, k, p.decode(ids)
+            yield doc.decode() if isinstance(doc, bytes) else doc, mark, k, p.decode(np.array(ids, dtype=np.int32))
         return each
 
     return map_rows(encoded_rows.select("doc", "mark", "k", "ids"), make, f"{kind}, k int, span string")

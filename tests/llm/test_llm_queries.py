@@ -178,6 +178,24 @@ def test_pieces_in_chunks_equal_one_pass(spark):
             assert sp.decode(ids).replace(sentencepiece_scan.SPACE, " ").strip(" ") == (text or "").strip(" ")
 
 
+def test_new_words_of_many_texts_are_cut_together(spark):
+    import random
+    p, rnd = sentencepiece_scan.Pieces(queries.vocabulary("piece_bpe_32k.model")), random.Random(6)
+    parts = ["the", "a", "ing", "😛", "\n", "implement", "ation", "日本", "é", "0", "ß"]
+    words = list({"▁" * rnd.randint(0, 3) + "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 6))) for _ in range(3000)})
+    p.learn([words])
+    assert len(p.known) > 2000
+    for w in words:
+        _, back = p.best(w, {0: 0}, len(w))
+        assert p.words([w]).tolist() == p.traced(w, back, 0, len(w)), w
+
+
+def test_chunks_are_scanned_without_a_frame_for_each_text(spark):
+    df = spark.createDataFrame([(k, "some words " * 40) for k in range(3)], "doc_id long, text string")
+    rows = sentencepiece_scan.encoded(df, queries.vocabulary("piece_bpe_32k.model"), chunk=64)
+    assert "FlatMapGroupsInPandas" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_round_trip_of_documents(spark):
     rows = queries.QUERIES["op3_sentencepiece_scan"](spark, SF_DIR)
     assert rows.where("not round_trip").isEmpty() and rows.count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
