@@ -11,7 +11,9 @@ smallest of its bucket, then all others in buckets of at most ``SMALL`` lines. L
 shingles in the bucket's order of frequency, rarest first, similar lines share one of their first ``n - ceil(0.8 n) + 1``. Cells
 are tried in the same way, those above ``BLOCK`` lines in pairs of blocks, so no task holds a large one.
 Sizes and bitmaps of the sets bound what a pair can share; the join that meets two lines tests the bound, so that only pairs which
-may be similar become rows, and only those move their sets. The bound excludes no similar pair.
+may be similar become rows, and only those move their sets. The bound excludes no similar pair. Two lines that share several
+buckets or cells become a row in the least of them: each line carries its ``LEAST`` least keys, and a pair is left to a lesser
+key only if both lines carry it.
 
 NULL text: no lines. Blank lines stay. Rows with equal id and text are one document. Of a component the line with the
 smallest (id, line number) stays; NULL ids come first.
@@ -33,6 +35,7 @@ SIMILAR = 0.8
 BANDS, ROWS = 6, 2
 SMALL = 64
 BLOCK = 2048  # lines of a bucket that meet in one place
+LEAST = 64  # keys a line carries of the buckets or cells it is in; of longer lists, a pair may be a row more than once
 WIDE = 8  # 64-bit words of a line's bitmap
 SPACES = " \t\x0b\f\r"
 _WORDS = rf"(?s)(?:^|[\x20\x09-\x0D]++)(?=([^\x20\x09-\x0D].{{0,{SHINGLE - 1}}}))"
@@ -129,22 +132,25 @@ def _leaders(members: DataFrame) -> DataFrame:
 
 def _all_pairs(members: DataFrame, marks: DataFrame) -> DataFrame:
     """Pairs of different components of each bucket that bitmaps do not rule out. The join itself tests them, so what it makes are
-    the pairs left; a bucket of more than ``BLOCK`` lines is visited by pairs of blocks."""
-    blocks = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK)).join(marks, "id")
+    the pairs left, each in the least bucket that both lines carry; a bucket of more than ``BLOCK`` lines is visited by pairs of
+    blocks."""
+    keys = members.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("key")), 1, LEAST).alias("keys"))
+    blocks = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK)).join(keys, "id").join(marks, "id")
     one = blocks.where("blocks = 1").withColumns({"own": F.lit(0).cast("long"), "k": F.lit(0).cast("long")})
     more = blocks.where("blocks > 1").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks"))).withColumn(
         "k", F.explode(F.expr("sequence(0L, blocks - 1)")))
     dealt = saved(one.unionByName(more).select(
         "key", F.least("own", "k").alias("p"), F.greatest("own", "k").alias("q"), (F.col("own") > F.col("k")).alias("right"),
-        "id", "c", "n", "w", "spare"), "dealt")
+        "id", "c", "keys", "n", "w", "spare"), "dealt")
     # as many tasks as the session shuffles to: the rows are few, what they meet is not
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = dealt.where("not right").repartition(tasks, "key", "p", "q").alias("x")
     y = dealt.where("right or p = q").repartition(tasks, "key", "p", "q").alias("y")
     same = reduce(and_, (F.col(f"x.{k}") == F.col(f"y.{k}") for k in ("key", "p", "q")))
     once = ((F.col("x.p") < F.col("x.q")) | (F.col("x.id") < F.col("y.id"))) & (F.col("x.c") != F.col("y.c"))
-    pairs = x.join(y, same & once & _possible("x", "y"))
-    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    here = F.coalesce(F.array_min(F.array_intersect("x.keys", "y.keys")) >= F.col("x.key"), F.lit(True))
+    pairs = x.join(y, same & once & _possible("x", "y") & here)
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
 
 def _cells(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -171,7 +177,7 @@ def similar_lines(lines: DataFrame, hashed: DataFrame) -> DataFrame:
     pairs = _all_pairs(members.where(F.col("size") <= SMALL), marks).unionByName(_bounded(marks, _leaders(cells))).distinct()
     links = saved(links.unionByName(_verified(sets, saved(pairs, "pairs"))), "links")
     if not cells.isEmpty():
-        pairs = _all_pairs(_grouped(cells, links), marks).join(links, ["a", "b"], "left_anti")
+        pairs = _all_pairs(_grouped(cells, links), marks).distinct().join(links, ["a", "b"], "left_anti")
         links = links.unionByName(saved(_verified(sets, saved(pairs, "pairs")), "links"))
     return links
 

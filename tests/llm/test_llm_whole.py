@@ -105,6 +105,27 @@ def test_bound_of_bitmaps_and_blocks_lose_no_link(spark, monkeypatch):
     assert links and set(found) <= set(links) and _components(len(lines), found) == _components(len(lines), links)
 
 
+def test_lines_that_meet_in_many_buckets_are_a_pair_once(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    base = [f"w{k}" for k in range(100)]
+    lines = [" ".join([*base, *(f"x{i}y{k}" for k in range(5))]) for i in range(12)]
+    df, hashed, at = _one_bucket(spark, lines)
+    sets = line_dedup.shingle_sets(df, hashed.select("id"))
+    rows = [(key, i, i, 12) for key in rng.integers(1 << 40, size=30).tolist() for i in at]
+    members = spark.createDataFrame(rows, "key long, id long, c long, size long")
+    for block, least in ((2048, 64), (4, 64), (2048, 30)):
+        monkeypatch.setattr(line_dedup, "BLOCK", block)
+        monkeypatch.setattr(line_dedup, "LEAST", least)
+        pairs = [(r.a, r.b) for r in line_dedup._all_pairs(members, line_dedup.marks_of(sets)).collect()]
+        assert sorted(pairs) == sorted(combinations(sorted(at), 2))
+    # lines carry too few keys to tell: pairs may be there twice, but all are
+    few = spark.createDataFrame([(k, i, i, 12) for k, i in [(1, 1), (2, 1), (3, 1), (0, 2), (2, 2), (3, 2)]], "key long, id long, c long, size long")
+    marks = line_dedup.marks_of(sets).limit(1).select("n", "w", "spare")
+    marks = marks.withColumn("id", F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))))
+    monkeypatch.setattr(line_dedup, "LEAST", 1)
+    assert {(r.a, r.b) for r in line_dedup._all_pairs(few, marks).collect()} == {(1, 2)}
+
+
 def test_join_of_rows_without_an_id_or_with_a_shared_one(spark):
     base = [f"word{k}" for k in range(60)]
     near, other = " ".join([*base[:-1], "edited"]), " ".join(f"other{k}" for k in range(40))
