@@ -10,7 +10,9 @@ at least ``PERCENT`` / 100. Equal sets collapse first, so copies cost one row ea
 * *Trees.* In cells that still hold two components, sets form a tree by size: each node has the OR (and AND) of its
   members' bitmaps, the range of their sizes and of their components. Two nodes are visited together; a pair of nodes is
   left out if all its members are one component already, or if the greatest overlap that sizes and bitmaps allow is too
-  small. Cells beyond ``BLOCK`` members are cut into blocks; a task visits two blocks at a time.
+  small. Cells beyond ``BLOCK`` members are cut into blocks; a task visits two blocks at a time. Two sets that share many cells
+  are a pair in the least of them: each set carries its ``LEAST`` least cells, and nodes whose members all carry a lesser one
+  are left to that.
 * Pairs that remain are verified exactly on the whole sets, and components are taken over all verified links.
 
 Nothing is lost: a linked pair shares a cell; there it is either in one component already or visited by the trees, whose
@@ -37,6 +39,7 @@ PERCENT = 80
 BITS = 2048
 LEAF, FAN = 8, 8
 BLOCK = 2048
+LEAST, SEEN = 8, 512  # lesser cells that a set carries, and that a task tells apart; beyond, a pair may be there more than once
 MARK_BITS = 18  # log2 of the 64-bit words of the bitmap of needed texts: 2 MB
 ORDER_SAMPLE, MANY, MOST_FREQUENT = 64, 6, 1 << 16
 
@@ -229,11 +232,12 @@ def bounded(sets: DataFrame, pairs: DataFrame, by: str) -> DataFrame:
 class Tree:
     """Sets sorted by component and size, and the nodes above them, level by level (leaves first)."""
 
-    def __init__(self, group: np.ndarray, sizes: np.ndarray, bits: np.ndarray):
+    def __init__(self, group: np.ndarray, sizes: np.ndarray, bits: np.ndarray, seen: np.ndarray | None = None):
         self.order = np.lexsort((sizes, group))
-        group, sizes, bits = group[self.order], sizes[self.order], bits[self.order]
+        seen = np.zeros((len(group), 1), dtype=np.uint64) if seen is None else seen
+        group, sizes, bits, seen = group[self.order], sizes[self.order], bits[self.order], seen[self.order]
         spare = sizes - np.bitwise_count(bits).sum(axis=1)
-        level = (group, group, sizes, sizes, bits, bits, spare)
+        level = (group, group, sizes, sizes, bits, bits, spare, seen)
         self.levels = [level]
         step = LEAF
         while len(level[0]) > 1:
@@ -241,7 +245,7 @@ class Tree:
             level = (np.minimum.reduceat(level[0], at), np.maximum.reduceat(level[1], at),
                      np.minimum.reduceat(level[2], at), np.maximum.reduceat(level[3], at),
                      np.bitwise_or.reduceat(level[4], at), np.bitwise_and.reduceat(level[5], at),
-                     np.maximum.reduceat(level[6], at))
+                     np.maximum.reduceat(level[6], at), np.bitwise_and.reduceat(level[7], at))
             self.levels.append(level)
             step = FAN
 
@@ -250,7 +254,8 @@ class Tree:
 
 
 def possible(x: tuple, i: np.ndarray, y: tuple, j: np.ndarray) -> np.ndarray:
-    """Whether nodes ``i`` of level ``x`` and ``j`` of level ``y`` may hold a linked pair of different components."""
+    """Whether nodes ``i`` of level ``x`` and ``j`` of level ``y`` may hold a linked pair of different components that is not
+    left to a lesser cell."""
     one = (x[0][i] == x[1][i]) & (y[0][j] == y[1][j]) & (x[0][i] == y[0][j])
     either, both = x[4][i] & y[4][j], np.minimum(x[3][i], y[3][j])
     most = np.minimum(both, np.bitwise_count(either).sum(axis=1) + np.minimum(x[6][i], y[6][j]))
@@ -258,6 +263,7 @@ def possible(x: tuple, i: np.ndarray, y: tuple, j: np.ndarray) -> np.ndarray:
     most = np.minimum(most, y[3][j] - np.bitwise_count(y[5][j] & ~x[4][i]).sum(axis=1))
     fewest = x[2][i].astype(np.int64) + y[2][j]
     near = (PERCENT * x[2][i] <= 100 * y[3][j]) & (PERCENT * y[2][j] <= 100 * x[3][i])
+    one |= (x[7][i] & y[7][j]).any(axis=1)
     return ~one & near & ((100 + PERCENT) * most.astype(np.int64) >= PERCENT * fewest)
 
 
@@ -294,18 +300,36 @@ def _children(tree: Tree, depth: int, i: np.ndarray, j: np.ndarray) -> tuple[np.
     return down[down < below], np.repeat(j, fan)[down < below]
 
 
+def lesser(h: int, halves: list[list[list[int]]]) -> list[np.ndarray]:
+    """For each half, which of the cells below ``h`` its sets carry, as bitmaps of the ``SEEN`` cells that most of them carry."""
+    below = [np.array([k for keys in half for k in keys if k < h], dtype=np.int64) for half in halves]
+    names, times = np.unique(np.concatenate(below), return_counts=True)
+    names = np.sort(names[np.argsort(-times, kind="stable")[:SEEN]])
+    out = []
+    for half, keys in zip(halves, below, strict=True):
+        flags = np.zeros((len(half), 64 * max(1, -(-len(names) // 64))), dtype=bool)
+        own = np.repeat(np.arange(len(half)), [sum(k < h for k in keys) for keys in half])
+        place = np.searchsorted(names, keys)
+        known = np.flatnonzero(place < len(names))
+        known = known[names[place[known]] == keys[known]]
+        flags[own[known], place[known]] = True
+        out.append(np.packbits(flags, axis=1, bitorder="little").view(np.uint64))
+    return out
+
+
 def _tree_pairs(groups: DataFrame) -> DataFrame:
-    """``a``, ``b`` from rows (``h``, ``p``, ``q``, ``side``, ``f``, ``n``, ``c``, ``bits``): one tree for each side of a task."""
+    """``a``, ``b`` from rows (``h``, ``p``, ``q``, ``side``, ``f``, ``n``, ``c``, ``bits``, ``keys``): one tree for each side of
+    a task. ``keys``: the least cells of a set, of those that are visited."""
     def make():
         class Each:
             def __init__(self):
                 self.key, self.rows = None, []
 
-            def __call__(self, h, p, q, side, f, n, c, bits):
+            def __call__(self, h, p, q, side, f, n, c, bits, keys):
                 if (h, p, q) != self.key:
                     yield from self.close()
                     self.key = h, p, q
-                self.rows.append((side, f, n, c, bits))
+                self.rows.append((side, f, n, c, bits, keys))
 
             def close(self):
                 rows, self.rows = self.rows, []
@@ -313,9 +337,10 @@ def _tree_pairs(groups: DataFrame) -> DataFrame:
                 if not halves[0]:
                     return
                 names = [np.array([r[1] for r in half], dtype=np.int64) for half in halves]
+                seen = lesser(self.key[0], [[r[5] for r in half] for half in halves])
                 trees = [Tree(np.array([r[3] for r in half], dtype=np.int64), np.array([r[2] for r in half], dtype=np.int64),
-                              np.frombuffer(b"".join(r[4] for r in half), dtype=np.uint64).reshape(len(half), -1))
-                         for half in halves if half]
+                              np.frombuffer(b"".join(r[4] for r in half), dtype=np.uint64).reshape(len(half), -1), known)
+                         for half, known in zip(halves, seen, strict=True) if half]
                 same = self.key[1] == self.key[2]
                 if not same and len(trees) < 2:
                     return
@@ -352,10 +377,12 @@ def linked_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     open_cells = open_cells.groupBy("same", "size").agg(F.min("h").alias("h")).select("h", F.ceil(F.col("size") / BLOCK).alias("blocks"))
     bits = sets.where("bits is not null").groupBy("f").agg(F.first("n").alias("n"), F.min("bits").alias("bits"))
     own = F.pmod(F.xxhash64("f"), F.col("blocks"))
-    placed = grouped.join(open_cells, "h").join(bits, "f").withColumn("own", own)
+    visited = saved(grouped.join(open_cells, "h"), "members")
+    least = visited.groupBy("f").agg(F.slice(F.sort_array(F.collect_set("h")), 1, LEAST).alias("keys"))
+    placed = visited.join(bits.join(least, "f"), "f").withColumn("own", own)
     task = F.struct(F.least("own", "k").alias("p"), F.greatest("own", "k").alias("q"), (F.col("own") > F.col("k")).cast("int").alias("side"))
     placed = placed.withColumn("k", F.explode(F.expr("sequence(0L, blocks - 1)"))).withColumn("t", task)
-    placed = placed.select("h", "t.p", "t.q", "t.side", "f", "n", "c", "bits").repartition("h", "p", "q")
+    placed = placed.select("h", "t.p", "t.q", "t.side", "f", "n", "c", "bits", "keys").repartition("h", "p", "q")
     found = _tree_pairs(placed.sortWithinPartitions("h", "p", "q"))
     rest = found.join(tried, ["a", "b"], "left_anti")  # leaders are the smaller ids, as the first of a pair is
     second = saved(verified(docs, sets, saved(bounded(sets, rest, "wide"), "pairs")), "links")

@@ -126,6 +126,30 @@ def test_lines_that_meet_in_many_buckets_are_a_pair_once(spark, monkeypatch):
     assert {(r.a, r.b) for r in line_dedup._all_pairs(few, marks).collect()} == {(1, 2)}
 
 
+def test_sets_that_share_many_cells_are_a_pair_once(spark):
+    """Ten sets in thirty cells, and one set that is in the last cell alone."""
+    bits, rng = b"\x0f" * 256, np.random.default_rng(11)
+    made = []
+    for least in (8, 1):
+        cells = sorted(rng.integers(-(1 << 40), 1 << 40, size=30).tolist())
+        rows = [(h, 0, 0, 0, f, 1000, f, bits, cells[:least]) for h in cells for f in range(10)]
+        rows.append((cells[-1], 0, 0, 0, 10, 1000, 10, bits, cells[-1:]))
+        halves = [[r[8] for r in rows if r[0] == cells[-1]], []]
+        seen = signature_join.lesser(cells[-1], halves)[0]
+        assert seen[:10].any(axis=1).all() and not seen[10].any()
+        df = spark.createDataFrame(rows, "h long, p long, q long, side int, f long, n int, c long, bits binary, keys array<long>")
+        found = signature_join._tree_pairs(df.repartition(1).sortWithinPartitions("h", "p", "q")).collect()
+        assert sorted((r.a, r.b) for r in found) == list(combinations(range(11), 2))
+        # what the trees give cell by cell, before anything is made distinct
+        for h in cells:
+            part = [r for r in rows if r[0] == h]
+            tree = signature_join.Tree(np.array([r[6] for r in part]), np.array([r[5] for r in part]),
+                                       np.frombuffer(b"".join(r[7] for r in part), dtype=np.uint64).reshape(len(part), -1),
+                                       signature_join.lesser(h, [[r[8] for r in part]])[0])
+            made += [(h, len(i)) for i, _ in signature_join.dual(tree, tree, True)]
+    assert sum(n for _, n in made) == 2 * 55
+
+
 def test_join_of_rows_without_an_id_or_with_a_shared_one(spark):
     base = [f"word{k}" for k in range(60)]
     near, other = " ".join([*base[:-1], "edited"]), " ".join(f"other{k}" for k in range(40))
