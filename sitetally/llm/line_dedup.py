@@ -38,22 +38,13 @@ BLOCK = 2048  # lines of a bucket that meet in one place
 LEAST = 64  # keys a line carries of the buckets or cells it is in; of longer lists, a pair may be a row more than once
 WIDE = 8  # 64-bit words of a line's bitmap
 SPACES = " \t\x0b\f\r"
-_WORDS = rf"(?s)(?:^|[\x20\x09-\x0D]++)(?=([^\x20\x09-\x0D].{{0,{SHINGLE - 1}}}))"
-_IS_LONG = rf"(?:^|[\x20\x09-\x0D])[^\x20\x09-\x0D]{{{SHINGLE + 1}}}"
-_LONG = rf"(?s)(?:^|[\x20\x09-\x0D])(?=([^\x20\x09-\x0D]{{{SHINGLE + 1},}}+.{{0,{SHINGLE - 1}}}))"  # with what follows
-_EVERY = rf"(?s)(?=(.{{1,{SHINGLE}}}))"
+# a match for each shingle: a word of at most SHINGLE characters is passed at once, a longer one by single characters
+_SHINGLES = rf"(?s)\s*+(?=(\S.{{0,{SHINGLE - 1}}}+))(?:(?<!\S)\S{{1,{SHINGLE}}}+(?!\S)|\S)"
 MARK_BITS = 17  # log2 of the 64-bit words of the bitmap of needed lines: at most 131,072 rows are broadcast
 
 
 def shingle_hashes(line: Column) -> Column:
-    def inner(word: Column) -> Column:
-        length = F.length(F.regexp_extract(word, r"^[^\x20\x09-\x0D]++", 0))
-        return F.slice(F.regexp_extract_all(word, F.lit(_EVERY), F.lit(1)), F.lit(2), length - 1)
-
-    more = F.flatten(F.transform(F.regexp_extract_all(line, F.lit(_LONG), F.lit(1)), inner))
-    none = F.array().cast("array<string>")
-    starts = F.regexp_extract_all(line, F.lit(_WORDS), F.lit(1))
-    return F.transform(F.concat(starts, F.when(line.rlike(_IS_LONG), more).otherwise(none)), lambda s: F.xxhash64(s))
+    return F.transform(F.regexp_extract_all(line, F.lit(_SHINGLES), F.lit(1)), lambda s: F.xxhash64(s))
 
 
 def rehashed(hashes: Column) -> Column:
