@@ -5,7 +5,7 @@ at least ``PERCENT`` / 100. Equal sets collapse first, so copies cost one row ea
 
 * *Cells.* In a global order of shingles (frequent ones last), linked sets share one of their first
   ``n - ceil(0.8 n) + 1`` shingles. Every set goes to the cells of those; cells with one set are dropped.
-* *Leaders.* Each set of a cell is tried against the cell's first set. That joins groups of near copies in one round,
+* *Leaders.* Each set of a cell is tried against the cell's first set if their sizes allow a link. That joins groups of near copies in one round,
   in rows proportional to the memberships and not to their squares.
 * *Trees.* In cells that still hold two components, sets form a tree by size: each node has the OR (and AND) of its
   members' bitmaps, the range of their sizes and of their components. Two nodes are visited together; a pair of nodes is
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from zlib import compress, decompress
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -97,7 +98,7 @@ def frequent(docs: DataFrame) -> set[int]:
 
 def sets_of(docs: DataFrame, late: set[int]) -> DataFrame:
     """``doc_id``, ``row`` (as ``_row`` has it), ``f`` (hash of the set, NULL if empty), ``n``, the shingles that name its
-    cells, and its bitmap."""
+    cells, its bitmap, and the wide one compressed, as few of its bits are set."""
     sent = docs.sparkSession.sparkContext.broadcast(np.array(sorted(late), dtype=np.int64).view(np.uint64))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -124,7 +125,7 @@ def sets_of(docs: DataFrame, late: set[int]) -> DataFrame:
             is_late = last[np.searchsorted(last[:-1], found)] == found if len(last) else np.zeros(n, dtype=bool)
             cells = np.concatenate([found[~is_late], found[is_late]])[:n - needed(n) + 1]
             wide = bitmap(found)
-            yield doc, row, f, n, cells.astype(np.int64).tolist(), folded(wide).tobytes(), wide
+            yield doc, row, f, n, cells.astype(np.int64).tolist(), folded(wide).tobytes(), compress(wide, 1)
         return each
 
     return map_rows(docs.select("doc_id", _row(), "text"), make, f"doc_id {kind}, row long, f long, n int, cells array<long>, bits binary, wide binary")
@@ -171,17 +172,17 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
         def each(place, body):
             if int(bits[place >> 6]) >> (place & 63) & 1:
-                found = shingles(body, hashes).tobytes()
-                f = xxh3_64_intdigest(found)
+                f = xxh3_64_intdigest(shingles(body, hashes).tobytes())
                 if f in done:  # a repeated row
                     return
                 if len(done) > 200_000:
                     done.clear()
                 done.add(f)
-                yield f - ((f >= 1 << 63) << 64), found
+                yield f - ((f >= 1 << 63) << 64), body
         return each
 
-    # texts are not shuffled: most of those that are not needed are known by a bitmap of fixed size, the rest by the join
+    # most texts that are not needed are known by a bitmap of fixed size, the rest by the join. The others are sent as they are,
+    # which takes less than half of what their shingles do
     texts = docs.where("text is not null").select(_place(_row()), "text")
     bodies = map_rows(texts, hashed, "f long, body binary")
     empty = F.lit(None).cast("long")
@@ -189,8 +190,8 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     rows = rows.unionByName(placed.select("c", "p", "q", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("body")))
 
     def make():
+        hashes, at = word_hashes(), None
         held: dict[int, np.ndarray] = {}
-        at = None
 
         def each(c, p, q, kind, a, b, body):
             nonlocal at
@@ -198,7 +199,7 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
                 held.clear()
                 at = c, p, q
             if not kind:
-                held[a] = np.frombuffer(body, dtype=np.uint64)
+                held[a] = shingles(body, hashes)
                 return
             x, y = held[a], held[b]
             if len(x) > len(y):
@@ -217,8 +218,12 @@ def bounded(sets: DataFrame, pairs: DataFrame, by: str) -> DataFrame:
     both = pairs.join(bits.select(F.col("f").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x")), "a").join(
         bits.select(F.col("f").alias("b"), "n", F.col("bits").alias("y")), "b").select("a", "b", "m", "n", "x", "y")
 
+    packed = by == "wide"
+
     def make():
         def each(a, b, m, n, x, y):
+            if packed:
+                x, y = decompress(x), decompress(y)
             size = 8 * min(len(x), len(y))
             x, y = folded(x, size), folded(y, size)
             common = min(m - int(np.bitwise_count(x & ~y).sum()), n - int(np.bitwise_count(y & ~x).sum()))
@@ -361,15 +366,16 @@ def linked_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """As ``linked``, with ``row`` (see ``_row``)."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sets = saved(sets_of(docs, frequent(docs)), "sets")
-    cells = sets.select(F.explode("cells").alias("h"), "f")
-    busy = cells.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").select("h")
-    members = saved(cells.join(busy, "h").distinct(), "members")
-    lead = members.groupBy("h").agg(F.min("f").alias("a"), F.max("f").alias("z")).where("a != z").select("h", "a")
-    tried = saved(members.join(lead, "h").where("f != a").select("a", F.col("f").alias("b")).distinct(), "pairs")
+    # dealt once: the cell's first set is found, and met with the others, where the cell is
+    cells = sets.select(F.explode("cells").alias("h"), "f", "n").repartition("h")
+    lead = cells.groupBy("h").agg(F.min("f").alias("a"), F.max("f").alias("z"), F.min_by("n", "f").alias("m")).where("a != z").drop("z")
+    members = saved(cells.join(lead, "h").distinct(), "members")
+    near = (PERCENT * F.col("m") <= 100 * F.col("n")) & (PERCENT * F.col("n") <= 100 * F.col("m"))
+    tried = saved(members.where((F.col("f") != F.col("a")) & near).select("a", F.col("f").alias("b")).distinct(), "pairs")
     first = saved(verified(docs, sets, saved(bounded(sets, bounded(sets, tried, "bits"), "wide"), "pairs")), "links")
     groups = components(first).select(F.col("id").alias("f"), "component")
 
-    grouped = members.join(lead.select("h"), "h").join(groups, "f", "left").select("h", "f", F.coalesce("component", "f").alias("c"))
+    grouped = members.join(groups, "f", "left").select("h", "f", F.coalesce("component", "f").alias("c"))
     grouped = saved(grouped, "members")
     open_cells = grouped.groupBy("h").agg(
         F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("f")).alias("same")).where("lo != hi")
