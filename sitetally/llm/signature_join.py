@@ -40,6 +40,8 @@ PERCENT = 80
 BITS = 2048
 LEAF, FAN = 8, 8
 BLOCK = 2048
+PLACE, SPREAD = 4096, 4  # sets of a block whose wide bitmaps meet those of another, and the fewest blocks
+CELL_BITS = 48  # of a shingle's hash that name a cell; shingles that agree in them share one, which only adds tries
 LEAST, SEEN = 8, 512  # lesser cells that a set carries, and that a task tells apart; beyond, a pair may be there more than once
 MARK_BITS = 18  # log2 of the 64-bit words of the bitmap of needed texts: 2 MB
 ORDER_SAMPLE, MANY, MOST_FREQUENT = 64, 6, 1 << 16
@@ -212,28 +214,78 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return map_rows(rows.repartition("c", "p", "q").sortWithinPartitions("c", "p", "q", "kind"), make, "a long, b long")
 
 
-def bounded(sets: DataFrame, pairs: DataFrame, by: str) -> DataFrame:
-    """The pairs that sizes and bitmaps (``bits``, or the exacter ``wide``) do not rule out."""
-    bits = sets.where("bits is not null").groupBy("f").agg(F.first("n").alias("n"), F.min(by).alias("bits"))
+def _needed(sets: DataFrame, ids: DataFrame, by: str) -> DataFrame:
+    """``f``, ``n`` and ``bits`` (the column ``by``), once a set. A bitmap of fixed size leaves out most sets that are not in ``ids``
+    (``f``) before anything is shuffled."""
+    marks = ids.select(_place("f").alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("b"))
+    rows = sets.where("bits is not null").select("f", "n", F.col(by).alias("bits"), _place("f").alias("p"))
+    some = rows.join(F.broadcast(marks), F.shiftright("p", 6) == F.col("w")).where("bit_get(b, cast(p & 63 AS int)) = 1")
+    return some.groupBy("f").agg(F.first("n").alias("n"), F.min("bits").alias("bits"))
+
+
+def _ends(pairs: DataFrame, *more: str) -> DataFrame:
+    return pairs.select(*more, F.explode(F.array("a", "b")).alias("f")).distinct()
+
+
+def _may_link(m: int, n: int, x: bytes, y: bytes) -> bool:
+    """Whether sets of ``m`` and ``n`` shingles with these bitmaps may link."""
+    size = 8 * min(len(x), len(y))
+    x, y = folded(x, size), folded(y, size)
+    common = min(m - int(np.bitwise_count(x & ~y).sum()), n - int(np.bitwise_count(y & ~x).sum()))
+    return (100 + PERCENT) * common >= PERCENT * (m + n)
+
+
+def bounded(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that sizes and ``bits`` do not rule out."""
+    bits = _needed(sets, _ends(pairs), "bits")
     both = pairs.join(bits.select(F.col("f").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x")), "a").join(
         bits.select(F.col("f").alias("b"), "n", F.col("bits").alias("y")), "b").select("a", "b", "m", "n", "x", "y")
 
-    packed = by == "wide"
-
     def make():
         def each(a, b, m, n, x, y):
-            if packed:
-                x, y = decompress(x), decompress(y)
-            size = 8 * min(len(x), len(y))
-            x, y = folded(x, size), folded(y, size)
-            common = min(m - int(np.bitwise_count(x & ~y).sum()), n - int(np.bitwise_count(y & ~x).sum()))
-            if (100 + PERCENT) * common >= PERCENT * (m + n):
+            if _may_link(m, n, x, y):
                 yield a, b
         return each
 
     return map_rows(both, make, "a long, b long")
 
 
+def wide_bounded(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that ``wide`` does not rule out. Those bitmaps are long, so they do not travel with pairs: sets are dealt into
+    blocks by hash, a place has the pairs of two blocks, and a set is sent once to each place that has a pair of it."""
+    blocks = max(SPREAD, -(-_ends(pairs).count() // PLACE))
+    own = [F.pmod(F.xxhash64(k), F.lit(blocks)) for k in ("a", "b")]
+    placed = pairs.select(F.least(*own).alias("p"), F.greatest(*own).alias("q"), "a", "b")
+    ends = _ends(placed, "p", "q")
+    rows = ends.join(_needed(sets, ends, "wide"), "f").select(
+        "p", "q", F.lit(0).alias("kind"), F.col("f").alias("a"), F.lit(None).cast("long").alias("b"), "n", "bits")
+    rows = rows.unionByName(placed.select(
+        "p", "q", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("int").alias("n"), F.lit(None).cast("binary").alias("bits")))
+
+    def make():
+        held: dict[int, tuple[int, bytes]] = {}
+        at = last = None
+
+        def each(p, q, kind, a, b, n, bits):
+            nonlocal at, last
+            if (p, q) != at:
+                held.clear()
+                at, last = (p, q), None
+            if not kind:
+                held[a] = n, bits
+                return
+            if last is None or last[0] != a:
+                m, x = held[a]
+                last = a, m, decompress(x)
+            n, y = held[b]
+            if _may_link(last[1], n, last[2], decompress(y)):
+                yield a, b
+        return each
+
+    return map_rows(rows.repartition("p", "q").sortWithinPartitions("p", "q", "kind", "a"), make, "a long, b long")
+
+
 class Tree:
     """Sets sorted by component and size, and the nodes above them, level by level (leaves first)."""
 
@@ -366,13 +418,16 @@ def linked_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """As ``linked``, with ``row`` (see ``_row``)."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sets = saved(sets_of(docs, frequent(docs)), "sets")
-    # dealt once: the cell's first set is found, and met with the others, where the cell is
-    cells = sets.select(F.explode("cells").alias("h"), "f", "n").repartition("h")
+    # dealt once: the cell's first set is found, and met with the others, where the cell is. Of neighbouring rows only ``h``
+    # differs; as the last column it leaves the rest in one piece, which compresses better
+    cells = sets.select("f", "n", F.explode("cells").alias("h")).withColumn("h", F.col("h").bitwiseAND(F.lit((1 << CELL_BITS) - 1)))
+    cells = cells.repartition("h")
     lead = cells.groupBy("h").agg(F.min("f").alias("a"), F.max("f").alias("z"), F.min_by("n", "f").alias("m")).where("a != z").drop("z")
     members = saved(cells.join(lead, "h").distinct(), "members")
     near = (PERCENT * F.col("m") <= 100 * F.col("n")) & (PERCENT * F.col("n") <= 100 * F.col("m"))
     tried = saved(members.where((F.col("f") != F.col("a")) & near).select("a", F.col("f").alias("b")).distinct(), "pairs")
-    first = saved(verified(docs, sets, saved(bounded(sets, bounded(sets, tried, "bits"), "wide"), "pairs")), "links")
+    left = saved(bounded(sets, tried), "pairs")
+    first = saved(verified(docs, sets, saved(wide_bounded(sets, left), "pairs")), "links")
     groups = components(first).select(F.col("id").alias("f"), "component")
 
     grouped = members.join(groups, "f", "left").select("h", "f", F.coalesce("component", "f").alias("c"))
@@ -381,17 +436,17 @@ def linked_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("f")).alias("same")).where("lo != hi")
     # cells with the same sets are visited once
     open_cells = open_cells.groupBy("same", "size").agg(F.min("h").alias("h")).select("h", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    bits = sets.where("bits is not null").groupBy("f").agg(F.first("n").alias("n"), F.min("bits").alias("bits"))
     own = F.pmod(F.xxhash64("f"), F.col("blocks"))
     visited = saved(grouped.join(open_cells, "h"), "members")
+    bits = _needed(sets, visited.select("f"), "bits")
     least = visited.groupBy("f").agg(F.slice(F.sort_array(F.collect_set("h")), 1, LEAST).alias("keys"))
     placed = visited.join(bits.join(least, "f"), "f").withColumn("own", own)
     task = F.struct(F.least("own", "k").alias("p"), F.greatest("own", "k").alias("q"), (F.col("own") > F.col("k")).cast("int").alias("side"))
     placed = placed.withColumn("k", F.explode(F.expr("sequence(0L, blocks - 1)"))).withColumn("t", task)
     placed = placed.select("h", "t.p", "t.q", "t.side", "f", "n", "c", "bits", "keys").repartition("h", "p", "q")
     found = _tree_pairs(placed.sortWithinPartitions("h", "p", "q"))
-    rest = found.join(tried, ["a", "b"], "left_anti")  # leaders are the smaller ids, as the first of a pair is
-    second = saved(verified(docs, sets, saved(bounded(sets, rest, "wide"), "pairs")), "links")
+    rest = saved(found.join(tried, ["a", "b"], "left_anti"), "pairs")  # leaders are the smaller ids, as the first of a pair is
+    second = saved(verified(docs, sets, saved(wide_bounded(sets, rest), "pairs")), "links")
 
     groups = components(first.unionByName(second)).select(F.col("id").alias("f"), "component")
     rows = sets.select("doc_id", "row", "f", "n").join(groups, "f", "left").withColumn("g", F.coalesce("component", "f"))
