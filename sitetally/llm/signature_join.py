@@ -4,7 +4,8 @@ A document's set: its distinct shingles of ``WORDS`` words as 64-bit hashes. Two
 at least ``PERCENT`` / 100. Equal sets collapse first, so copies cost one row each.
 
 * *Cells.* In a global order of shingles (frequent ones last), linked sets share one of their first
-  ``n - ceil(0.8 n) + 1`` shingles. Every set goes to the cells of those; cells with one set are dropped.
+  ``n - ceil(0.8 n) + 1`` shingles. Every set goes to the cells of those; cells with one set are dropped. A cell is named by
+  ``CELL_BITS`` bits of its shingle's hash.
 * *Leaders.* Each set of a cell is tried against the cell's first set if their sizes allow a link. That joins groups of near copies in one round,
   in rows proportional to the memberships and not to their squares.
 * *Trees.* In cells that still hold two components, sets form a tree by size: each node has the OR (and AND) of its
@@ -13,7 +14,8 @@ at least ``PERCENT`` / 100. Equal sets collapse first, so copies cost one row ea
   small. Cells beyond ``BLOCK`` members are cut into blocks; a task visits two blocks at a time. Two sets that share many cells
   are a pair in the least of them: each set carries its ``LEAST`` least cells, and nodes whose members all carry a lesser one
   are left to that.
-* Pairs that remain are verified exactly on the whole sets, and components are taken over all verified links.
+* Pairs that remain are tried by wider bitmaps, of which a set sends one to a place and not one a pair. Those left are verified
+  exactly on the whole sets, and components are taken over all verified links.
 
 Nothing is lost: a linked pair shares a cell; there it is either in one component already or visited by the trees, whose
 bounds never exclude it. The order of shingles comes from a sample of 1 in ``ORDER_SAMPLE`` documents; any order is right.
