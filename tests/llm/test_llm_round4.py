@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from sitetally.llm import vector_graph
+from sitetally.llm import brown, vector_graph
 
 
 def _vectors(kind: str) -> np.ndarray:
@@ -62,3 +65,83 @@ def test_a_main_shard_holds_all_partners(spark, monkeypatch, kind):
     for i, others in enumerate(met):
         assert len(set(others)) == len(others)
         assert set(np.flatnonzero(unit @ unit[i] >= 0.98).tolist()) - {i} <= set(others)
+
+
+def test_gains_against_counting_anew():
+    rng = np.random.default_rng(1)
+    classes, words = 7, 30
+    of = np.append(0, 1 + rng.integers(0, classes - 1, words - 1))
+    text = np.concatenate([[0], rng.choice(words, 400, p=np.append(0.1, rng.dirichlet(np.ones(words - 1) * 0.3) * 0.9)), [0]])
+    a, b = text[:-1], text[1:]
+
+    def joint(of):
+        out = np.zeros((classes, classes))
+        np.add.at(out, (of[a], of[b]), 1)
+        return out
+    after, before = np.zeros((words, classes)), np.zeros((words, classes))
+    np.add.at(after, (a, of[b]), 1)
+    np.add.at(before, (b, of[a]), 1)
+    own = np.bincount(a[a == b], minlength=words).astype(float)
+    gain, move = brown.gains(joint(of), of, after, before, own), brown.Mover(joint(of))
+    assert own.sum() > 20
+    new = move._block(of, after, before, own)
+    for w in set(text.tolist()) - {0}:
+        want = np.array([brown.likelihood(joint(np.where(np.arange(words) == w, c, of))) for c in range(1, classes)])
+        assert np.allclose(gain[w, 1:] - gain[w, of[w]], want - want[of[w] - 1], atol=1e-8)
+        assert np.isclose(want[new[w] - 1], want.max())
+        if new[w] != of[w]:  # the next block's class bigrams have the move
+            one = brown.Mover(joint(of))
+            one(*(x[w:w + 1] for x in (of, after, before, own)))
+            assert np.array_equal(one.joint, joint(np.where(np.arange(words) == w, new[w], of)))
+
+
+def _sentences(n: int) -> list[str]:
+    """Two kinds of words with the same endings, in places of their own; only the first word of each kind is among the items."""
+    rng = np.random.default_rng(4)
+    number = [max(0, k) for k in rng.integers(-20, 45, 6 * n).tolist()]
+    return [" ".join(f"da n{k}ing" if rng.random() < 0.5 else f"ko v{k}ing" for k in number[6 * i:6 * i + 6]) for i in range(n)]
+
+
+@pytest.mark.parametrize("head", [30, 1000])
+def test_every_word_has_a_class_of_its_own(spark, monkeypatch, head):
+    for name, value in (("ITEMS", 4), ("SUFFIXES", 3), ("HEAD", head)):
+        monkeypatch.setattr(brown, name, value)
+    texts = [*_sentences(300), "", None, "Da n1ing\tda da n1ing n1ing", "new0 da n2ing new1ing new2ing ko"]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(0, texts[0]), (None, "da v1ing")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learn = (F.col("doc_id") % 7 != 2) & (F.col("doc_id") != len(texts) - 1)
+    model, scored = brown.trained_and_scored(docs, learn)
+    _, others, *_ = brown.learned(docs, learn)
+    words, n, of = model.head
+    own = {b"": 0} | {w: (int(n[k]), int(of[k])) for k, w in enumerate(words, 1)} | {r.word.encode(): (r.n, r.c) for r in others.collect()}
+    own[b""] = (int(n[0]), 0)
+    # the words are those of the training texts, and each kind is told apart by where its words are
+    lists = [[*(t or "").lower().encode().split(), b""] for _, t in rows]
+    train = [d is not None and d % 7 != 2 and d != len(texts) - 1 for d, _ in rows]
+    count = Counter(w for ws, t in zip(lists, train, strict=True) for w in ws if t)
+    assert {w: k for w, (k, _) in own.items()} == dict(count) and len(model.items.words) <= 4
+    kinds = {k: Counter(c for w, (_, c) in own.items() if w.startswith(k) and w not in model.items.words) for k in (b"n", b"v")}
+    assert sum((kinds[b"n"] | kinds[b"v"]).values()) > 0.75 * sum((kinds[b"n"] + kinds[b"v"]).values())  # half, if the ending tells
+    # scores by the definition, with class bigrams counted here
+    joint, types = np.zeros((brown.CLASSES, brown.CLASSES)), Counter(c for _, c in own.values())
+    for ws, t in zip(lists, train, strict=True):
+        c = [0, *(own[w][1] for w in ws)] if t else [0]
+        np.add.at(joint, (c[:-1], c[1:]), 1)
+    size, total = joint.sum(axis=0), defaultdict(float)
+    assert np.array_equal(size, model.size)
+    prior = (size + 1) / (size + 1).sum()
+    following = np.log10((joint + brown.MU * prior) / (joint.sum(axis=1, keepdims=True) + brown.MU))
+    unseen = np.log10([min(1.0, (model.discount * types[c] + 1) / (size[c] + 1)) for c in range(brown.CLASSES)])
+    want = Counter()
+    for (d, _), ws in zip(rows, lists, strict=True):
+        before = score = 0
+        for w in ws:
+            k, c = own.get(w, (0, int(model.of[model.items.of(w)])))
+            score += following[before, c] + (np.log10((k - model.discount) / (size[c] + 1)) if k else unseen[c])
+            before = c
+        want[d, len(ws), sum(w in own for w in ws), round(score, 6)] += 1
+    for got in (scored, brown.scored(docs, model, others)):
+        assert Counter((r.doc_id, r.n_tokens, r.n_known, round(r.score, 6)) for r in got.collect()) == want
+    for k, c in own.values():
+        total[c] += (k - model.discount) / (size[c] + 1)
+    assert all(np.isclose(x + 10 ** model.unseen[c], 1) for c, x in total.items())
